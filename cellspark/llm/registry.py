@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encoding, media, packing, sharding, warc
+from . import decontamination, encoding, jaccard, media, packing, sharding, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_warc": warc.op2_warc,
+    "op3_jaccard": jaccard.op3_jaccard,
     "op4_tokens": encoding.op4_tokens,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op7_sharding": sharding.op7_sharding,
     "op8_packing": packing.op8_packing,
     "op9_media": media.op9_media,
+    "op10_substrings": substrings.op10_substrings,
 }
 
 ORACLE_SQL: dict[str, str] = {}
