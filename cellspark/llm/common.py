@@ -11,17 +11,20 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task looks at in one go.
 SLICE_BYTES = 2_000_000
 
-_scratch: dict[int, list[str]] = {}
+_scratch: dict[str, list[str]] = {}
+_scope = ""
 
 
 # --------------------------------------------------------------- scratch tables
@@ -46,26 +49,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/cellspark-scratch"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _scratch.setdefault(id(spark.sparkContext), []).append(path)
+    _scratch.setdefault(_scope, []).append(path)
     return path
 
 
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Scratch tables made inside belong to this name, by which they can be released."""
+    global _scope
+    before, _scope = _scope, name
+    try:
+        yield
+    finally:
+        _scope = before
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage, outlives executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    # The exchanges behind the table are needed no longer; Spark deletes their files when the driver forgets them.
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables made so far; call it when what was built on them has been written."""
+def release(spark: SparkSession, name: str = "") -> None:
+    """Delete a scope's scratch tables; call it when what was built on them has been written."""
     jvm = spark._jvm
-    for path in _scratch.pop(id(spark.sparkContext), []):
+    for path in _scratch.pop(name, []):
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def even_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """n numbers, the k-th of which repartition(n, number) sends to partition k."""
+    found = spark.range(64 * n).select(F.col("id").cast("int").alias("key"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("part"))
+    rows = found.groupBy("part").agg(F.min("key").alias("key")).collect()  # n rows
+    out = np.arange(n, dtype=np.int32)
+    out[[r["part"] for r in rows]] = [r["key"] for r in rows]
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, encoding, jaccard, media, packing, sharding, substrings, toxicity, warc
+from . import decontamination, encoding, jaccard, lm, media, packing, sharding, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_warc": warc.op2_warc,
     "op3_jaccard": jaccard.op3_jaccard,
     "op4_tokens": encoding.op4_tokens,
+    "op5_lm": lm.op5_lm,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_sharding": sharding.op7_sharding,
     "op8_packing": packing.op8_packing,
