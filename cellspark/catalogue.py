@@ -1,10 +1,582 @@
-"""All queries of the table engine, by name, with equivalent SQL."""
+"""All queries of the table engine, by name, with equivalent SQL.
+
+lineitem and orders stand for long observation tables, nation and region for
+sparse grids, small aggregates of either for pages. Money is summed as exact
+decimals, so that results do not depend on the order of addition.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import criteria as cr
+from .functions import scalars as sc
+from .operators import aggregates, lookups, publish, ranges, ranking, series, verification
+from .plans import levels
+from .sources import tables
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def money(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
+
+
+def values(rows: list[tuple]) -> str:
+    """Rows as SQL."""
+    one = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else repr(x)
+    return ", ".join(f"({', '.join(map(one, r))})" for r in rows)
+
+
+# -------------------------------------------------- conditional aggregates, long
+CRITERIA = [(i, f, s, y) for i, (f, s, y) in enumerate((f, s, y) for f in ("A", "N", "R", "Z") for s in ("F", "O") for y in range(1992, 1999))]
+SUM = "coalesce(cast(sum(cast(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE), 0)"
+
+
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t(spark, sf_dir, "lineitem").withColumn("yr", F.year("l_shipdate").cast("long"))
+
+
+@query(f"WITH q(qid, flag, status, yr) AS (VALUES {values(CRITERIA)}) SELECT qid, {SUM} AS value FROM q LEFT JOIN lineitem ON l_returnflag = flag AND l_linestatus = status AND year(l_shipdate) = yr GROUP BY qid")
+def sumifs_batch(spark, d):
+    q = spark.createDataFrame(CRITERIA, "qid int, flag string, status string, yr int").withColumnRenamed("yr", "year")
+    out = aggregates.conditional(_lineitem(spark, d), q, {"l_returnflag": "flag", "l_linestatus": "status", "yr": "year"}, F.sum(money("l_extendedprice")))
+    return out.select("qid", F.col("value").cast("double").alias("value"))
+
+
+@query(f"SELECT {SUM} AS value FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'")
+def sumifs_single(spark, d):
+    hit = cr.on_long_text(F.col("l_returnflag"), cr.split("A")) & cr.on_long_text(F.col("l_linestatus"), cr.split("=F"))
+    return aggregates.one_pass(t(spark, d, "lineitem"), {"value": F.coalesce(F.sum(F.when(hit, money("l_extendedprice"))).cast("double"), F.lit(0.0))})
+
+
+@query(f"""SELECT {SUM.replace('sum(cast(l_extendedprice AS DECIMAL(18,2)))', "sum(cast(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_quantity >= 25 AND l_returnflag <> 'N')")} AS at_least,
+count(*) FILTER (WHERE l_quantity < 10) AS below, count(*) FILTER (WHERE l_quantity <> 10) AS other, count(*) FILTER (WHERE l_returnflag <> '') AS filled, count(*) FILTER (WHERE l_returnflag > 'A') AS later FROM lineitem""")
+def sumifs_comparison(spark, d):
+    num, txt = F.col("l_quantity"), F.col("l_returnflag")
+    n = lambda c: F.count(F.when(c, 1))
+    hit = cr.on_long_number(num, cr.split(">= 25")) & cr.on_long_text(txt, cr.split("<>n"))
+    return aggregates.one_pass(
+        t(spark, d, "lineitem"),
+        {
+            "at_least": F.coalesce(F.sum(F.when(hit, money("l_extendedprice"))).cast("double"), F.lit(0.0)),
+            "below": n(cr.on_long_number(num, cr.split("<10"))),
+            "other": n(cr.on_long_number(num, cr.split("<>10"))),
+            "filled": n(cr.on_long_text(txt, cr.split("<>"))),
+            "later": n(cr.on_long_text(txt, cr.split(">a"))),
+        },
+    )
+
+
+BOUNDS = [(i, f, q) for i, (f, q) in enumerate((f, q) for f in ("a", "R") for q in (5.0, 25.0, 45.0, 99.0))]
+
+
+@query(f"WITH q(qid, flag, q) AS (VALUES {values(BOUNDS)}) SELECT qid, {SUM} AS value FROM q LEFT JOIN lineitem ON lower(l_returnflag) = lower(flag) AND l_quantity >= q GROUP BY qid")
+def sumifs_bounds_batch(spark, d):
+    q = spark.createDataFrame(BOUNDS, "qid int, flag string, least double")
+    out = aggregates.conditional(t(spark, d, "lineitem"), q, {"l_returnflag": "flag"}, F.sum(money("l_extendedprice")), {"l_quantity": (">=", "least")})
+    return out.select("qid", F.col("value").cast("double").alias("value"))
+
+
+NOCASE = [(1, "building"), (2, "MACHINERY"), (3, "Automobile"), (4, "none"), (5, None)]
+
+
+@query(f"WITH q(qid, seg) AS (VALUES {values(NOCASE)}) SELECT qid, coalesce(cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE), 0) AS value FROM q LEFT JOIN customer ON lower(c_mktsegment) = lower(coalesce(seg, '')) GROUP BY qid")
+def sumifs_nocase(spark, d):
+    q = spark.createDataFrame(NOCASE, "qid int, seg string")
+    return aggregates.conditional(t(spark, d, "customer"), q, {"c_mktsegment": "seg"}, F.sum(money("c_acctbal"))).select("qid", F.col("value").cast("double").alias("value"))
+
+
+@query("SELECT coalesce(cast(sum(cast(l_extendedprice AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = '') AS DOUBLE), 0) AS value, count(*) FILTER (WHERE l_returnflag IS NOT NULL AND l_returnflag <> '') AS filled FROM lineitem")
+def sumifs_blank_criterion(spark, d):
+    txt = F.col("l_returnflag")
+    return aggregates.one_pass(t(spark, d, "lineitem"), {"value": F.coalesce(F.sum(F.when(cr.on_long_text(txt, cr.split(None)), money("l_extendedprice"))).cast("double"), F.lit(0.0)), "filled": F.count(F.when(cr.on_long_text(txt, cr.split("<>")), 1))})
+
+
+@query(f"WITH q(qid, flag, status, yr) AS (VALUES {values(CRITERIA)}) SELECT qid, count(l_orderkey) AS value FROM q LEFT JOIN lineitem ON l_returnflag = flag AND l_linestatus = status AND year(l_shipdate) = yr GROUP BY qid")
+def countifs_long(spark, d):
+    q = spark.createDataFrame(CRITERIA, "qid int, flag string, status string, yr int").withColumnRenamed("yr", "year")
+    return aggregates.conditional(_lineitem(spark, d), q, {"l_returnflag": "flag", "l_linestatus": "status", "yr": "year"}, F.count("l_returnflag"))
+
+
+@query(f"WITH q(qid, flag, status, yr) AS (VALUES {values(CRITERIA)}) SELECT qid, round(cast(sum(cast(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(l_quantity), 0), 6) AS value FROM q LEFT JOIN lineitem ON l_returnflag = flag AND l_linestatus = status AND year(l_shipdate) = yr GROUP BY qid")
+def averageifs_long(spark, d):
+    q = spark.createDataFrame(CRITERIA, "qid int, flag string, status string, yr int").withColumnRenamed("yr", "year")
+    mean = F.sum(money("l_quantity")).cast("double") / F.count("l_quantity")
+    return aggregates.conditional(_lineitem(spark, d), q, {"l_returnflag": "flag", "l_linestatus": "status", "yr": "year"}, mean, empty=None).select("qid", F.round("value", 6).alias("value"))
+
+
+# ------------------------------------------------------------------------- grids
+MELT = """g AS (SELECT 1 AS r, c, NULL::DOUBLE AS v_num, v_txt FROM (VALUES (1, 'n_nationkey'), (2, 'n_name'), (3, 'n_regionkey')) h(c, v_txt)
+UNION ALL SELECT row_number() OVER (ORDER BY n_nationkey) + 1, 1, n_nationkey::DOUBLE, NULL FROM nation
+UNION ALL SELECT row_number() OVER (ORDER BY n_nationkey) + 1, 2, NULL, n_name FROM nation
+UNION ALL SELECT row_number() OVER (ORDER BY n_nationkey) + 1, 3, n_regionkey::DOUBLE, NULL FROM nation)"""
+
+
+def _grid(spark, d) -> DataFrame:
+    return tables.melt(t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), "etc", "nation", ["n_nationkey"])
+
+
+@query(f"WITH {MELT} SELECT 'etc' AS src, 'nation' AS sheet, r, c, v_num, v_txt FROM g")
+def grid_melt(spark, d):
+    return _grid(spark, d)
+
+
+@query("SELECT cast(sum(n_nationkey) AS DOUBLE) AS total, count(*) AS matches FROM nation WHERE n_regionkey = 2")
+def grid_sumifs(spark, d):
+    return aggregates.grid_conditional(_grid(spark, d), "etc", "nation", 1, {3: cr.split("2")})
+
+
+@query("SELECT cast(sum(n_nationkey) AS DOUBLE) AS total, count(*) AS matches FROM (SELECT n_nationkey, n_regionkey FROM nation UNION ALL SELECT NULL, NULL) WHERE n_regionkey IS DISTINCT FROM 2")
+def grid_countifs_negated(spark, d):
+    return aggregates.grid_conditional(_grid(spark, d), "etc", "nation", 1, {3: cr.split("<>2")})
+
+
+@query("SELECT count(*) FILTER (WHERE n_regionkey > 2) AS more, count(*) FILTER (WHERE lower(n_name) > 'j') + 1 AS later, cast(0 AS BIGINT) AS blank FROM nation")
+def grid_criteria(spark, d):
+    g = aggregates.pivot_grid(_grid(spark, d), [2, 3])
+    n = lambda c: F.count(F.when(c, 1))
+    return g.agg(n(cr.on_grid(F.col("n3"), F.col("t3"), cr.split(">2"))).alias("more"), n(cr.on_grid(F.col("n2"), F.col("t2"), cr.split(">J"))).alias("later"), n(cr.on_grid(F.col("n3"), F.col("t3"), cr.split("="))).alias("blank"))
+
+
+PLACES = [(1, 2, 1), (2, 3, 2), (3, 26, 3), (4, 99, 1), (5, 1, 2), (6, 2, 9)]
+
+
+@query(f"WITH {MELT}, q(qid, r, c) AS (VALUES {values(PLACES)}) SELECT qid, CASE WHEN v_txt IS NULL THEN coalesce(v_num, 0) END AS num, v_txt AS txt FROM q LEFT JOIN g USING (r, c)")
+def gridcell_default_zero(spark, d):
+    q = spark.createDataFrame(PLACES, "qid int, r int, c int").withColumns({"src": F.lit("etc"), "sheet": F.lit("nation")})
+    return lookups.external_cell(q, _grid(spark, d)).select("qid", "num", "txt")
+
+
+NEEDLES = [(1, "FRANCE"), (2, "nation_7"), (3, "NATION_3"), (4, "none"), (5, "n_name"), (6, "JAPAN"), (7, "NATION_24")]
+
+
+def _needles(spark, rows) -> DataFrame:
+    return spark.createDataFrame(rows, "qid int, needle string").withColumns({"src": F.lit("etc"), "sheet": F.lit("nation")})
+
+
+@query(f"WITH {MELT}, q(qid, needle) AS (VALUES {values(NEEDLES)}), h AS (SELECT qid, min(r) AS r FROM q LEFT JOIN g ON c = 2 AND lower(v_txt) = lower(needle) GROUP BY qid) SELECT qid, v_num AS num, v_txt AS txt FROM h LEFT JOIN g ON h.r = g.r AND g.c = 3")
+def vlookup_exact(spark, d):
+    return lookups.vlookup(_needles(spark, NEEDLES), _grid(spark, d), 2, 2)
+
+
+ACROSS = [(1, "N_NAME"), (2, "n_regionkey"), (3, "missing")]
+
+
+@query(f"WITH {MELT}, q(qid, needle) AS (VALUES {values(ACROSS)}), h AS (SELECT qid, min(c) AS c FROM q LEFT JOIN g ON r = 1 AND lower(v_txt) = lower(needle) GROUP BY qid) SELECT qid, v_num AS num, v_txt AS txt FROM h LEFT JOIN g ON h.c = g.c AND g.r = 4")
+def hlookup_exact(spark, d):
+    return lookups.hlookup(_needles(spark, ACROSS), _grid(spark, d), 1, 4)
+
+
+@query(f"WITH {MELT}, q(qid, needle) AS (VALUES {values(NEEDLES)}), h AS (SELECT qid, min(r) AS r FROM q LEFT JOIN g ON c = 2 AND lower(v_txt) = lower(needle) GROUP BY qid) SELECT qid, coalesce(v_txt, cast(cast(v_num AS BIGINT) AS VARCHAR), '-') AS shown FROM h LEFT JOIN g ON h.r = g.r AND g.c = 3")
+def vlookup_miss_iferror(spark, d):
+    got = lookups.vlookup(_needles(spark, NEEDLES), _grid(spark, d), 2, 2)
+    return got.select("qid", sc.if_error(sc.general_text(sc.cell(F.col("num"), F.col("txt"))), F.lit("-")).alias("shown"))
+
+
+@query(f"WITH o AS (SELECT n_name, n_nationkey, row_number() OVER (ORDER BY n_nationkey) AS pos FROM nation), q(qid, needle) AS (VALUES {values(NEEDLES)}) SELECT qid, pos, cast(n_nationkey AS DOUBLE) AS num FROM q LEFT JOIN o ON lower(n_name) = lower(needle)")
+def index_match(spark, d):
+    page = _grid(spark, d).withColumnsRenamed({"v_num": "num", "v_txt": "txt"})
+    names, numbers = lookups.positions(page, 2, 2, 26, 2), lookups.positions(page, 2, 1, 26, 1)
+    found = lookups.match(_needles(spark, NEEDLES), names)
+    return found.join(lookups.index(found, numbers, 25), "qid").select("qid", F.col("pos").cast("long").alias("pos"), "num")
+
+
+# ------------------------------------------------------------------------ ranges
+@query("""SELECT cast(n_regionkey AS INTEGER) AS qid, cast(sum(n_nationkey) AS DOUBLE) AS total, cast(max(n_nationkey) AS DOUBLE) AS largest, 2 * count(*) AS filled FROM nation GROUP BY 1
+UNION ALL SELECT 99, 0, 0, 0""")
+def range_sum_max_counta(spark, d):
+    n = t(spark, d, "nation")
+    r = F.row_number().over(ranking.W.partitionBy("n_regionkey").orderBy("n_nationkey"))
+    cells = n.select(F.lit("p").alias("part"), F.col("n_regionkey").cast("string").alias("sheet"), r.alias("r"), F.inline(F.array(F.struct(F.lit(1).alias("c"), F.col("n_nationkey").cast("double").alias("num"), F.lit(None).cast("string").alias("txt")), F.struct(F.lit(2).alias("c"), F.lit(None).cast("double").alias("num"), F.col("n_name").alias("txt")))))
+    rect = n.select(F.col("n_regionkey").cast("int").alias("qid"), F.col("n_regionkey").cast("string").alias("sheet")).distinct().union(spark.createDataFrame([(99, "none")], "qid int, sheet string"))
+    rect = rect.select("qid", F.lit("p").alias("part"), "sheet", F.lit(1).alias("r1"), F.lit(1).alias("c1"), F.lit(1000).alias("r2"), F.lit(2).alias("c2"))
+    return ranges.range_aggregates(rect, cells)
+
+
+@query("SELECT o_orderstatus, count(*) FILTER (WHERE o_totalprice > 150000 AND o_orderpriority <> '1-URGENT') AS n FROM orders GROUP BY 1")
+def rangecount(spark, d):
+    o = t(spark, d, "orders")
+    null = F.lit(None)
+    return ranges.count_where(o, cr.on_page(F.col("o_totalprice"), null.cast("string"), cr.split(">150000")), cr.on_page(null.cast("double"), F.col("o_orderpriority"), cr.split("<>1-urgent")), by=["o_orderstatus"])
+
+
+@query("SELECT count(*) AS n FROM nation WHERE n_regionkey <> 2")
+def sumproduct_isnumber_ne(spark, d):
+    g = aggregates.pivot_grid(_grid(spark, d), [1, 3])
+    return ranges.count_where(g, F.col("n1").isNotNull(), cr.on_page(F.col("n3"), F.col("t3"), cr.split("<>2")))
+
+
+@query("SELECT count(*) FILTER (WHERE p_size = 7) AS sevens, count(*) FILTER (WHERE upper(p_brand) = 'BRAND#11') AS brand, count(*) FILTER (WHERE p_size >= 40) AS large FROM part")
+def countif_numeric_text(spark, d):
+    null = F.lit(None)
+    num, txt = F.col("p_size").cast("double"), F.col("p_brand")
+    return t(spark, d, "part").agg(F.count_if(cr.on_page(num, null.cast("string"), cr.split("7"))).alias("sevens"), F.count_if(cr.on_page(null.cast("double"), txt, cr.split("brand#11"))).alias("brand"), F.count_if(cr.on_page(num, null.cast("string"), cr.split(">=40"))).alias("large"))
+
+
+# ----------------------------------------------------------------------- ranking
+@query("SELECT c_custkey, rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rank FROM customer")
+def rank_desc(spark, d):
+    return ranking.rank_descending(t(spark, d, "customer"), "c_acctbal", ["c_nationkey"]).select("c_custkey", F.col("rank").cast("long").alias("rank"))
+
+
+@query("SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS pos, rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) + count(*) OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) - 1 AS both FROM part")
+def rank_countif_unique(spark, d):
+    p = ranking.sort_position(t(spark, d, "part"), "p_size", "p_partkey", ["p_brand"])
+    p = ranking.running_count(ranking.rank_descending(p, "p_size", ["p_brand"]), "p_size", "p_partkey", ["p_brand"])
+    return p.select("p_partkey", F.col("pos").cast("long").alias("pos"), (F.col("rank") + F.col("nth") - 1).alias("both"))
+
+
+@query("SELECT n_regionkey, pos, n_name FROM (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey DESC) AS pos FROM nation) WHERE pos <= 3")
+def sorted_table_index_match(spark, d):
+    return ranking.sort_position(t(spark, d, "nation"), "n_nationkey", "n_name", ["n_regionkey"]).filter("pos <= 3").select("n_regionkey", F.col("pos").cast("long").alias("pos"), "n_name")
+
+
+@query("SELECT c_custkey, rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rank FROM customer WHERE c_acctbal > 0 AND c_mktsegment <> 'BUILDING' UNION ALL SELECT c_custkey, NULL FROM customer WHERE NOT (c_acctbal > 0 AND c_mktsegment <> 'BUILDING')")
+def rank_excluding(spark, d):
+    return ranking.rank_where(t(spark, d, "customer"), "c_acctbal", (F.col("c_acctbal") > 0) & (F.col("c_mktsegment") != "BUILDING"), ["c_nationkey"]).select("c_custkey", F.col("rank").cast("long").alias("rank"))
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20")
+def topk_customers(spark, d):
+    return t(spark, d, "customer").select("c_custkey", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").limit(20)
+
+
+@query("SELECT o_custkey, min(o_orderkey) AS first_order, arg_min(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY 1")
+def first_match(spark, d):
+    return t(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"), F.min_by("o_orderpriority", "o_orderkey").alias("priority"))
+
+
+# ------------------------------------------------------------------------ series
+@query("SELECT cast(i + 1 AS INTEGER) AS pos, cast(2025 - 11 + i AS INTEGER) AS year FROM range(12) x(i)")
+def anchor_year_series(spark, d):
+    return series.years(spark, 2025, 12)
+
+
+YEARLY = "y AS (SELECT l_returnflag AS flag, year(l_shipdate) AS yr, cast(sum(cast(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2)"
+
+
+def _yearly(spark, d) -> DataFrame:
+    return _lineitem(spark, d).groupBy(F.col("l_returnflag").alias("flag"), "yr").agg(F.sum(money("l_extendedprice")).cast("double").alias("total"))
+
+
+@query(f"WITH {YEARLY}, w AS (SELECT *, lag(total) OVER s AS p, lag(yr) OVER s AS py FROM y WINDOW s AS (PARTITION BY flag ORDER BY yr)) SELECT flag, yr, CASE WHEN py < 1995 AND yr >= 1995 THEN NULL ELSE round((total - p) / (p / 100), 6) END AS growth, CASE WHEN py < 1995 AND yr >= 1995 THEN '…' WHEN p IS NULL OR p = 0 THEN '-' END AS growth_mark FROM w")
+def growth_rate_break(spark, d):
+    return series.growth(_yearly(spark, d), "total", "yr", ["flag"], 1995).select("flag", "yr", F.round("growth", 6).alias("growth"), "growth_mark")
+
+
+@query(f"WITH {YEARLY} SELECT flag, yr, round(total / (sum(total) OVER (PARTITION BY flag) / 100), 6) AS pct FROM y")
+def share_percent(spark, d):
+    return _yearly(spark, d).select("flag", "yr", F.round(series.share(F.col("total"), ["flag"]), 6).alias("pct"))
+
+
+# ----------------------------------------------------------------------- scalars
+@query("SELECT l_orderkey, l_linenumber, round(cast(l_extendedprice AS DECIMAL(18,4)) / 10, 1)::DOUBLE AS r1, round(cast(-l_extendedprice AS DECIMAL(18,4)), 0)::DOUBLE AS r0 FROM lineitem")
+def excel_round(spark, d):
+    x = F.col("l_extendedprice")
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", sc.round_half_away(x / 10, 1).alias("r1"), sc.round_half_away(-x, 0).alias("r0"))
+
+
+@query("SELECT c_custkey, format('{:,.1f}', round(cast(c_acctbal AS DECIMAL(18,2)), 1)::DOUBLE) AS grouped FROM customer WHERE abs(c_acctbal) >= 1")
+def text_fixed_grouped(spark, d):
+    return t(spark, d, "customer").filter("abs(c_acctbal) >= 1").select("c_custkey", sc.text_fixed(F.col("c_acctbal"), 1, True).alias("grouped"))
+
+
+@query("SELECT c_custkey, round(c_acctbal * 1.0, 2) AS plain, round(c_acctbal / 100, 6) AS share, NULL::DOUBLE AS bad FROM customer")
+def numbervalue_parse(spark, d):
+    shown = F.format_number("c_acctbal", 2)
+    return t(spark, d, "customer").select("c_custkey", sc.number_value(F.concat(F.lit(" "), shown)).alias("plain"), F.round(sc.number_value(F.concat(shown, F.lit("%"))), 6).alias("share"), sc.number_value(F.concat(shown, F.lit("x"))).alias("bad"))
+
+
+@query("SELECT o_orderkey, cast(year(o_orderdate) AS VARCHAR) || '년 ' || o_orderstatus AS label, NULL::VARCHAR AS broken FROM orders")
+def concat_general(spark, d):
+    text = lambda s: sc.cell(txt=s)
+    year = sc.cell(num=F.year("o_orderdate"))
+    return t(spark, d, "orders").select("o_orderkey", sc.concat(year, text(F.lit("년 ")), text(F.col("o_orderstatus"))).alias("label"), sc.concat(year, sc.cell(num=sc.divide(F.lit(1.0), F.lit(0.0)))).alias("broken"))
+
+
+@query("SELECT p_partkey, replace(p_name, ' ', '+') AS swapped, left(p_name, 4) AS l, right(p_name, 3) AS r, length(p_name) AS n, cast(nullif(instr(p_name, 'a'), 0) AS DOUBLE) AS place FROM part")
+def substitute_left_right_len_find(spark, d):
+    s = F.col("p_name")
+    return t(spark, d, "part").select("p_partkey", sc.substitute(s, F.lit(" "), F.lit("+")).alias("swapped"), sc.left(s, F.lit(4)).alias("l"), sc.right(s, F.lit(3)).alias("r"), F.length(s).cast("long").alias("n"), sc.find(F.lit("a"), s).alias("place"))
+
+
+@query("SELECT p_partkey, trunc(p_size / 7)::DOUBLE AS q, trunc(-p_size / 7)::DOUBLE + 0 AS nq, (p_size - 7 * floor(p_size / 7))::DOUBLE AS m, (p_size + 7 * floor(p_size / -7))::DOUBLE AS nm, NULL::DOUBLE AS bad FROM part")
+def quotient_mod(spark, d):
+    x = F.col("p_size").cast("double")
+    return t(spark, d, "part").select("p_partkey", sc.quotient(x, F.lit(7.0)).alias("q"), (sc.quotient(-x, F.lit(7.0)) + F.lit(0.0)).alias("nq"), sc.modulo(x, F.lit(7.0)).alias("m"), sc.modulo(x, F.lit(-7.0)).alias("nm"), sc.modulo(x, F.lit(0.0)).alias("bad"))
+
+
+@query("SELECT cast(count(v) AS DOUBLE) AS numbers, cast(sum(v) AS DOUBLE) AS total FROM (SELECT n_nationkey AS v FROM nation UNION ALL SELECT n_regionkey FROM nation)")
+def n_isnumber(spark, d):
+    v = sc.cell(F.col("v_num"), F.col("v_txt"))
+    return _grid(spark, d).agg(F.sum(sc.is_number(v)).alias("numbers"), F.sum(sc.number_or_zero(v)).alias("total"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal > 5000 AND c_mktsegment = 'BUILDING' THEN 'big' ELSE 'other' END AS class, CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END AS below FROM customer")
+def cmp_and_if(spark, d):
+    balance, segment = sc.cell(num=F.col("c_acctbal")), sc.cell(txt=F.col("c_mktsegment"))
+    both = sc.all_of(sc.cell(num=sc.compare(balance, ">", sc.cell(num=F.lit(5000)))), sc.cell(num=sc.compare(segment, "=", sc.cell(txt=F.lit("BUILDING")))))
+    return t(spark, d, "customer").select("c_custkey", sc.if_else(sc.cell(num=both), F.lit("big"), F.lit("other")).alias("class"), sc.compare(balance, "<", sc.cell()).alias("below"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN '-' ELSE cast(n_regionkey AS VARCHAR) END AS shown, '-' AS text_shown FROM nation")
+def zero_dash(spark, d):
+    v = sc.zero_dash(sc.cell(num=F.col("n_regionkey")))
+    return t(spark, d, "nation").select("n_nationkey", sc.general_text(v).alias("shown"), sc.general_text(sc.zero_dash(sc.cell(txt=F.col("n_name")))).alias("text_shown"))
+
+
+@query("SELECT n_nationkey, n_name || '*?~' AS plain, true AS wild FROM nation")
+def wildcard_unescape(spark, d):
+    s = F.concat("n_name", F.lit("~*~?~~"))
+    return t(spark, d, "nation").select("n_nationkey", sc.unescape(s).alias("plain"), sc.has_wildcard(F.concat(s, F.lit("*"))).alias("wild"))
+
+
+RAW = [(1, ">=25"), (2, "<> x y"), (3, "<>"), (4, "="), (5, "  plain"), (6, ">text"), (7, "<5"), (8, "=a=b"), (9, None)]
+
+
+@query(f"WITH q(id, raw) AS (VALUES {values(RAW)}) SELECT id, CASE WHEN regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) = '' THEN '=' ELSE regexp_extract(raw, '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) END AS op, regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 2) AS rhs FROM q")
+def split_criteria(spark, d):
+    return spark.createDataFrame(RAW, "id int, raw string").select("id", cr.split_column(F.col("raw")).alias("k")).select("id", "k.op", "k.rhs")
+
+
+# ------------------------------------------------------------------ verification
+SPECS = "s AS (SELECT 'p' || n_regionkey AS part, CASE WHEN n_nationkey % 7 = 6 THEN '_h' ELSE 'a' END AS sheet, n_name AS ref, CASE WHEN n_nationkey % 5 = 4 THEN 'presentation' ELSE 'expr' END AS kind, n_nationkey AS k FROM nation)"
+VERDICTS = f"{SPECS}, v AS (SELECT part, sheet, ref, k, CASE WHEN k % 11 = 10 THEN 'no-oracle' WHEN kind <> 'expr' THEN kind WHEN k % 13 = 12 THEN 'error' WHEN k % 6 = 5 THEN 'mismatch' ELSE 'match' END AS verdict FROM s WHERE sheet <> '_h')"
+
+
+def _verdict_inputs(spark, d):
+    k = F.col("n_nationkey")
+    s = t(spark, d, "nation").select(F.concat(F.lit("p"), "n_regionkey").alias("part"), F.when(k % 7 == 6, "_h").otherwise("a").alias("sheet"), F.col("n_name").alias("ref"), F.when(k % 5 == 4, "presentation").otherwise("expr").alias("kind"), k.alias("k"))
+    none = F.lit(None).cast("string")
+    oracle = s.filter("k % 11 <> 10").select("part", "sheet", "ref", (F.col("k") * 1000.0).alias("num"), none.alias("txt"))
+    got = F.col("k") * 1000.0 + F.when(F.col("k") % 6 == 5, 1.0).otherwise(1e-10)
+    computed = s.select("part", "sheet", "ref", F.when(F.col("k") % 2 == 0, got).alias("num"), F.when(F.col("k") % 2 == 1, F.format_number(F.floor(got), 0)).alias("txt"), F.when(F.col("k") % 13 == 12, "failed").alias("err"))
+    return s, oracle, computed
+
+
+def _verdicts(spark, d) -> DataFrame:
+    return verification.verdicts(*_verdict_inputs(spark, d))
+
+
+@query(f"WITH {VERDICTS} SELECT part, sheet, ref, verdict FROM v")
+def verdicts(spark, d):
+    return _verdicts(spark, d).select("part", "sheet", "ref", "verdict")
+
+
+@query(f"WITH {VERDICTS} SELECT part, verdict, count(*) AS n FROM v GROUP BY ALL")
+def verify_summary(spark, d):
+    return verification.summary(_verdicts(spark, d))
+
+
+@query(f"WITH {VERDICTS}, c AS (SELECT part, count(*) FILTER (WHERE verdict IN ('match', 'mismatch', 'error', 'known-divergence')) AS comparable, count(*) FILTER (WHERE verdict = 'match') AS matches, count(*) FILTER (WHERE verdict IN ('mismatch', 'error', 'unsupported', 'no-oracle')) AS failures FROM v GROUP BY part) SELECT part, comparable, matches, round(matches * 100.0 / nullif(comparable, 0), 6) AS rate, failures = 0 AS passed FROM c")
+def verify_rates(spark, d):
+    return verification.rates(_verdicts(spark, d)).withColumn("rate", F.round("rate", 6))
+
+
+EXEMPT = "x AS (SELECT part, sheet, ref, k * 1000.0 AS e_num, CASE WHEN k % 4 = 1 THEN k * 1000.0 + 1 ELSE 5.0 END AS g_num FROM s WHERE k % 3 <> 0)"
+
+
+def _exemptions(spark, d) -> DataFrame:
+    s, _, _ = _verdict_inputs(spark, d)
+    return s.filter("k % 3 <> 0").select("part", "sheet", "ref", (F.col("k") * 1000.0).alias("e_num"), F.when(F.col("k") % 4 == 1, F.col("k") * 1000.0 + 1).otherwise(5.0).alias("g_num"))
+
+
+def _numeric(results: DataFrame) -> DataFrame:
+    return results.withColumn("g_num", F.coalesce("g_num", sc.number_value(F.col("g_txt"))))
+
+
+@query(f"WITH {VERDICTS}, {EXEMPT} SELECT v.part, v.sheet, v.ref, CASE WHEN verdict = 'mismatch' AND x.ref IS NOT NULL AND k % 4 = 1 THEN 'known-divergence' ELSE verdict END AS verdict FROM v LEFT JOIN x USING (part, sheet, ref)")
+def exemptions_applied(spark, d):
+    return verification.exempt(_numeric(_verdicts(spark, d)), _exemptions(spark, d)).select("part", "sheet", "ref", "verdict")
+
+
+@query(f"WITH {VERDICTS}, {EXEMPT} SELECT x.part, x.sheet, x.ref, CASE WHEN verdict IS NULL THEN 'the cell is gone' WHEN verdict = 'match' THEN 'it matches now' WHEN k % 11 = 10 THEN 'the published value has changed' ELSE 'the computed value has changed' END AS reason FROM x LEFT JOIN v USING (part, sheet, ref) WHERE NOT (verdict IS NOT NULL AND verdict <> 'match' AND k % 11 <> 10 AND k % 4 = 1 AND k % 6 = 5)")
+def stale_exemptions(spark, d):
+    return verification.stale(_exemptions(spark, d), _numeric(_verdicts(spark, d)))
+
+
+@query("SELECT regexp_replace(trim(regexp_replace(props_like, '\\s*\\([^()]*\\)\\s*$', '')), '\\d+', '#', 'g') AS key, count(*) AS n, min(event_id) AS sample FROM (SELECT event_id, event_type || ' failed at row ' || user_id || ' (batch ' || event_id || ')' AS props_like FROM events) GROUP BY 1")
+def reason_key_groups(spark, d):
+    e = t(spark, d, "events").select("event_id", F.concat("event_type", F.lit(" failed at row "), "user_id", F.lit(" (batch "), "event_id", F.lit(")")).alias("reason"))
+    return verification.reason_groups(e, "reason", "event_id")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN 'missing' WHEN c_custkey % 10 = 4 THEN 'extra' ELSE 'changed' END AS status FROM customer WHERE c_custkey % 10 IN (3, 4, 5)")
+def snapshot_diff(spark, d):
+    c = t(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("num"), F.lit(None).cast("string").alias("txt"))
+    new = c.filter("c_custkey % 10 <> 3").withColumn("num", F.col("num") + F.when(F.col("c_custkey") % 10 == 5, 1.0).otherwise(0.0))
+    return verification.snapshot_diff(c.filter("c_custkey % 10 <> 4"), new, ["c_custkey"])
+
+
+@query("SELECT l_returnflag AS table_id, count(*) AS rows, max(cast(year(l_shipdate) AS VARCHAR)) AS max_period FROM lineitem GROUP BY 1")
+def fingerprint(spark, d):
+    return tables.fingerprint(t(spark, d, "lineitem").withColumn("period", F.year("l_shipdate").cast("string")), "l_returnflag", "period")
+
+
+@query(f"WITH {MELT} SELECT 'etc' AS src, count(*) AS rows, cast(1 AS BIGINT) AS sheets FROM g")
+def grid_fingerprint(spark, d):
+    return tables.grid_fingerprint(_grid(spark, d))
+
+
+# ------------------------------------------------------------------ dependencies
+EDGES = "e AS (SELECT p_partkey AS cell, p_partkey // 2 AS needs FROM part WHERE p_partkey >= 2 UNION SELECT p_partkey, p_partkey // 3 FROM part WHERE p_partkey >= 3)"
+
+
+def _edges(spark, d) -> DataFrame:
+    p = t(spark, d, "part").select(F.col("p_partkey").alias("cell"))
+    by = lambda k: p.filter(F.col("cell") >= k).select("cell", F.floor(F.col("cell") / k).alias("needs"))
+    return by(2).union(by(3)).distinct()
+
+
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT cell, needs AS leaf FROM e UNION SELECT r.cell, e.needs FROM r JOIN e ON r.leaf = e.cell) SELECT cell, leaf FROM r WHERE leaf NOT IN (SELECT cell FROM e)")
+def transitive_leaves(spark, d):
+    return levels.leaves(_edges(spark, d))
+
+
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
+def cell_levels(spark, d):
+    return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")).filter("cell >= 1"), _edges(spark, d), 20)
+
+
+@query("WITH n AS (SELECT c_nationkey AS k, cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS num FROM customer GROUP BY 1), a AS (SELECT round(sum(num), 2) AS num FROM n) SELECT 'n' || k AS cell, round(num, 4) AS num FROM n UNION ALL SELECT 'total', round(num, 4) FROM a UNION ALL SELECT 's' || k, round(n.num / (a.num / 100), 4) FROM n, a")
+def levelled_values(spark, d):
+    n = t(spark, d, "customer").groupBy("c_nationkey").agg(F.sum(money("c_acctbal")).cast("double").alias("num"))
+    inputs = n.select(F.concat(F.lit("n"), "c_nationkey").alias("cell"), "num")
+    specs = inputs.select(F.concat(F.lit("s"), F.substring("cell", 2, 9)).alias("cell"), F.lit("pct_of").alias("shape")).union(spark.createDataFrame([("total", "sum")], "cell string, shape string"))
+    own = inputs.select(F.concat(F.lit("s"), F.substring("cell", 2, 9)).alias("cell"), F.inline(F.array(F.struct(F.lit(0).alias("pos"), F.col("cell").alias("needs")), F.struct(F.lit(1).alias("pos"), F.lit("total").alias("needs")))))
+    total = inputs.select(F.lit("total").alias("cell"), F.substring("cell", 2, 9).cast("int").alias("pos"), F.col("cell").alias("needs"))
+    return levels.evaluate(inputs, specs, own.union(total)).select("cell", F.round("num", 4).alias("num"))
+
+
+# -------------------------------------------------------------------- publishing
+def _page(spark, d) -> DataFrame:
+    """Totals by nation (rows) and year (columns) of two measures (sheets)."""
+    o = t(spark, d, "orders").join(t(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.groupBy((F.col("c_nationkey") + 1).cast("int").alias("r"), (F.year("o_orderdate") - 1990).cast("int").alias("c")).agg(F.sum(money("o_totalprice")).cast("double").alias("a"), (F.count("*") * 7.0).alias("b"))
+    return o.select(F.inline(F.array(F.struct(F.lit("price").alias("sheet"), F.col("a").alias("num")), F.struct(F.lit("count").alias("sheet"), F.col("b").alias("num")))), "r", "c")
+
+
+PAGE = "o AS (SELECT cast(c_nationkey + 1 AS INTEGER) AS r, cast(year(o_orderdate) - 1990 AS INTEGER) AS c, cast(sum(cast(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS a, count(*) * 7.0 AS b FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), p AS (SELECT 'price' AS sheet, r, c, a AS num FROM o UNION ALL SELECT 'count', r, c, b FROM o)"
+
+
+@query(f"""WITH {PAGE}, asked AS (SELECT 'T' AS tbl, r AS i, c AS j, floor(num * 0.001 * 10 + 0.5) / 10 AS shown, 1 AS decimals FROM p WHERE sheet = 'price' AND r <= 8),
+place AS (SELECT sheet, r, c, scale, d AS decimals, floor(num * scale * pow(10, d) + 0.5) / pow(10, d) AS shown FROM p, (VALUES (1.0::DOUBLE), (10.0), (100.0), (1000.0), (0.1), (0.01), (0.001)) s(scale), (VALUES (0), (1), (2)) x(d)),
+often AS (SELECT sheet, scale, decimals, shown, count(*) AS hits FROM place GROUP BY ALL HAVING count(*) <= 40),
+votes AS (SELECT tbl, sheet, scale, i, r, sum(1.0 / hits) AS votes FROM asked JOIN place USING (decimals, shown) JOIN often USING (sheet, scale, decimals, shown) GROUP BY ALL),
+best AS (SELECT tbl, sheet, scale, i, max(votes) AS votes FROM votes GROUP BY ALL), score AS (SELECT tbl, sheet, scale, sum(votes) AS votes FROM best GROUP BY ALL)
+SELECT tbl AS "table", sheet, scale, round(votes, 6) AS votes FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY round(votes, 9) DESC, sheet, scale) AS n FROM score) WHERE n = 1""")
+def value_vote_match(spark, d):
+    page = _page(spark, d)
+    printed = page.filter("sheet = 'price' and r <= 8").select(F.lit("T").alias("table"), F.col("r").alias("i"), F.col("c").alias("j"), sc.round_half_up(F.col("num") * 0.001, 1).alias("value"), F.lit(1).alias("decimals"))
+    return publish.best_sheet(publish.value_votes(printed, page)).select("table", "sheet", "scale", F.round("votes", 6).alias("votes"))
+
+
+@query(f"WITH {PAGE}, x AS (SELECT i, j, r, c FROM (SELECT unnest([2, 4, 6]) AS r, unnest([0, 1, 2]) AS i), (SELECT unnest([3, 5, 99]) AS c, unnest([0, 1, 2]) AS j)) SELECT 1 AS page, x.i, x.j, floor(num * 0.001 * (CASE j WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END) + 0.5) / (CASE j WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END) AS value, CASE WHEN num IS NULL THEN NULL WHEN x.r = 4 THEN 'x' ELSE 'v' END AS source FROM x LEFT JOIN (SELECT * FROM p WHERE sheet = 'price') p ON p.r = x.r AND p.c = x.c")
+def table_projection(spark, d):
+    page = _page(spark, d).withColumn("part", F.lit("p"))
+    spec = spark.createDataFrame([(1, "p", "price", 0.001, [0, 1, 2], [2, 4, 6], [3, 5, 99])], "page int, part string, sheet string, scale double, decimals array<int>, rows array<int>, cols array<int>")
+    return publish.project_table(spec, page.filter("r <> 4"), page)
+
+
+SERIES = [(1, 1, "price", 2, 2, 8), (1, 2, "count", 2, 2, 8), (2, 1, "price", 90, 2, 4)]
+
+
+@query(f"WITH {PAGE}, q(chart, series, sheet, r, c1, c2) AS (VALUES {values(SERIES)}), x AS (SELECT chart, series, q.sheet, q.r, unnest(range(c1, c2 + 1)) AS c FROM q) SELECT chart, series, string_agg(coalesce(cast(cast(round(num) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY x.c) AS shown FROM x LEFT JOIN p ON p.sheet = x.sheet AND p.r = x.r AND p.c = x.c GROUP BY ALL")
+def chart_series_long(spark, d):
+    got = publish.chart_series(spark.createDataFrame(SERIES, "chart int, series int, sheet string, r int, c1 int, c2 int"), _page(spark, d))
+    return got.select("chart", "series", F.array_join(F.transform("values", lambda x: F.coalesce(F.round(x).cast("long").cast("string"), F.lit("-"))), ",").alias("shown"))
+
+
+@query("SELECT n_regionkey AS chart, n_nationkey AS series, last_value(CASE WHEN n_nationkey % 3 = 0 THEN n_name END IGNORE NULLS) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey ROWS UNBOUNDED PRECEDING) AS cat FROM nation")
+def chart_cat_inherit(spark, d):
+    s = t(spark, d, "nation").select(F.col("n_regionkey").alias("chart"), F.col("n_nationkey").alias("series"), F.when(F.col("n_nationkey") % 3 == 0, F.col("n_name")).alias("cat"))
+    return publish.inherit_categories(s)
+
+
+@query("WITH x AS (SELECT c_nationkey AS chart, c_mktsegment AS cat, sum(cast(greatest(c_acctbal, 0) AS DECIMAL(18,2))) AS s FROM customer GROUP BY ALL) SELECT chart, round(cast(max(s) AS DOUBLE), 2) AS top FROM x GROUP BY chart")
+def stacked_axis_max(spark, d):
+    points = t(spark, d, "customer").select(F.col("c_nationkey").alias("chart"), F.col("c_mktsegment").alias("cat"), money("c_acctbal").alias("value"))
+    return publish.axis_top(points).select("chart", F.round(F.col("top").cast("double"), 2).alias("top"))
+
+
+@query("WITH x AS (SELECT l_returnflag AS chart, l_linestatus AS cat, count(*)::DOUBLE AS value FROM lineitem GROUP BY ALL), y AS (SELECT chart, cat, floor(value * 100.0 / sum(value) OVER (PARTITION BY chart) * 10 + 0.5) / 10 AS pct FROM x WHERE value > 0) SELECT chart, cat, pct, pct >= 5 AS labelled FROM y")
+def pie_share(spark, d):
+    x = t(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("chart"), F.col("l_linestatus").alias("cat")).agg(F.count("*").cast("double").alias("value"))
+    return publish.pie_shares(x).select("chart", "cat", "pct", "labelled")
+
+
+@query("SELECT chart, series FROM (SELECT n_regionkey AS chart, n_nationkey AS series, row_number() OVER (PARTITION BY n_regionkey ORDER BY length(n_name) DESC, n_nationkey) AS n FROM nation) WHERE n = 1")
+def fullest_categories(spark, d):
+    return publish.fullest_categories(t(spark, d, "nation").select(F.col("n_regionkey").alias("chart"), F.col("n_nationkey").alias("series"), F.length("n_name").alias("filled"))).select("chart", "series")
+
+
+@query("SELECT 'p' AS part, cast(n_regionkey AS VARCHAR) AS sheet, max(CASE WHEN n_nationkey % 3 = 0 THEN n_name END) AS a1, max(CASE WHEN n_nationkey % 3 = 1 THEN n_name END) AS a2, max(CASE WHEN n_nationkey % 3 = 2 THEN n_name END) AS c2 FROM nation GROUP BY 2")
+def layout_pivot(spark, d):
+    k = F.col("n_nationkey") % 3
+    return publish.layout(t(spark, d, "nation").select(F.lit("p").alias("part"), F.col("n_regionkey").cast("string").alias("sheet"), F.when(k == 0, "A1").when(k == 1, "A2").otherwise("C2").alias("ref"), F.col("n_name").alias("txt")))
+
+
+@query("SELECT cast(sum(o_totalprice_c) AS BIGINT) AS cells, count(*) AS sheets FROM (SELECT o_custkey, cast(arg_min(floor(o_totalprice), o_orderkey) AS BIGINT) AS o_totalprice_c FROM orders GROUP BY 1)")
+def dedupe_by_sheet(spark, d):
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.floor("o_totalprice").alias("cells"))
+    return publish.first_of(o, ["o_custkey"], ["o_orderkey"]).agg(F.sum("cells").alias("cells"), F.count("*").alias("sheets"))
+
+
+@query("SELECT r_name AS part, left(n_name, 1) AS chapter, string_agg(n_name, ',' ORDER BY n_name) AS pages FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
+def toc_tree(spark, d):
+    n = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return publish.toc(n.select(F.col("r_name").alias("part"), F.left("n_name", F.lit(1)).alias("chapter"), F.col("n_name").alias("page"))).select("part", "chapter", F.array_join("pages", ",").alias("pages"))
+
+
+@query("WITH w AS (SELECT p_partkey, p_brand AS page, p_retailprice AS y FROM part), f AS (SELECT *, CASE WHEN lag(y) OVER s IS NULL OR y - lag(y) OVER s > 2.6 THEN 1 ELSE 0 END AS n FROM w WINDOW s AS (PARTITION BY page ORDER BY y, p_partkey)), l AS (SELECT page, y, max(l) AS line FROM (SELECT page, y, sum(n) OVER (PARTITION BY page ORDER BY y, p_partkey) AS l FROM f) GROUP BY ALL) SELECT page, max(line)::BIGINT AS lines FROM l GROUP BY page")
+def pdf_line_grouping(spark, d):
+    words = t(spark, d, "part").select(F.col("p_brand").alias("page"), F.col("p_retailprice").alias("y"))
+    return tables.lines_of(words, 2.6).groupBy("page").agg(F.max("line").alias("lines"))
+
+
+@query("SELECT 'etc' AS src, 'nation' AS sheet, 1 AS header UNION ALL SELECT 'etc', 'titled', 3")
+def header_inference(spark, d):
+    g = _grid(spark, d)
+    titled = g.select("src", F.lit("titled").alias("sheet"), (F.col("r") + 2).alias("r"), "c", "v_num", "v_txt").union(spark.createDataFrame([("etc", "titled", 1, 1, None, "title"), ("etc", "narrow", 1, 1, None, "x")], tables.GRID))
+    return tables.header_row(g.union(titled))
+
+
+@query("SELECT p_brand AS part, max(p_name || '_' || p_partkey) AS path FROM part GROUP BY 1")
+def latest_workbook(spark, d):
+    return tables.latest(t(spark, d, "part").select(F.col("p_brand").alias("part"), F.concat("p_name", F.lit("_"), "p_partkey").alias("path")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey % 99 + 1 AS r, l_suppkey % 60 + 1 AS c FROM lineitem")
+def reference_coordinates(spark, d):
+    c = F.col("l_suppkey") % 60
+    letters = F.concat(F.when(c >= 26, F.char(F.floor(c / 26) + 64)).otherwise(""), F.char(c % 26 + 65))
+    ref = F.concat(F.lit("$"), letters, F.lit("$"), F.col("l_partkey") % 99 + 1)
+    r, col = tables.coordinates(ref)
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", r.cast("long").alias("r"), col.cast("long").alias("c"))
+
+
+@query("SELECT c_nationkey, c_mktsegment, cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS rows FROM customer GROUP BY ALL")
+def totals_by_keys(spark, d):
+    from .streaming.refresh import running_totals
+
+    return running_totals(t(spark, d, "customer").withColumn("v", money("c_acctbal")), ["c_nationkey", "c_mktsegment"], "v").withColumn("total", F.col("total").cast("double"))
