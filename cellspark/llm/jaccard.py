@@ -39,7 +39,7 @@ from .components import components
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 HASHES, BANDS, ROUND = 128, 32, 16
 #: Classes in a band that are compared as pairs, and classes and shingles in a block of a larger one.
-SMALL, BLOCK, BLOCK_SHINGLES = 12, 512, 1_000_000
+SMALL, BLOCK, BLOCK_SHINGLES = 6, 512, 1_000_000
 
 _rng = np.random.default_rng(77)
 _A, _B = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1), _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -154,6 +154,18 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return each.select("a", F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("b")).distinct()
 
 
+def groups_of(members: DataFrame) -> DataFrame:
+    """id, group: which classes of members(band, id) hang together by bands.
+
+    Each class takes the smallest id that it shares a band with, and the graph
+    is one of these: a large group's many bands shrink to few edges.
+    """
+    centres = members.join(members.groupBy("band").agg(F.min("id").alias("centre")), "band").groupBy("id").agg(F.collect_set("centre").alias("centres"))  # a class has BANDS bands
+    near = centres.select("id", F.array_min("centres").alias("a"), "centres")
+    labels = components(near.select("a", F.explode("centres").alias("b")).distinct()).select(F.col("v").alias("a"), "label")
+    return near.select("id", "a").join(labels, "a", "left").select("id", F.coalesce("label", "a").alias("group"))
+
+
 def pruned(pairs: DataFrame, classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     steps = least_matches(threshold, tolerance)
     side = lambda k: classes.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}"), F.col("n").alias(f"n_{k}"))
@@ -258,9 +270,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     classes = table(sig.groupBy("f1", "f2").agg(F.min_by(F.struct("id", "n", "sig", "bands"), "id").alias("r"), F.count("*").alias("copies")).select("f1", "f2", "copies", "r.*"), "classes")
     banded = classes.filter("n > 0").select("id", F.explode("bands").alias("band"))
     full = table(banded.join(banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"), "band"), "bands")
-    stars = full.filter(F.col("size") > SMALL)
-    stars = stars.join(stars.groupBy("band").agg(F.min("id").alias("b")), "band").select(F.col("id").alias("a"), "b").distinct()
-    groups = components(stars).select(F.col("v").alias("id"), F.col("label").alias("group"))
+    groups = table(groups_of(full.filter(F.col("size") > SMALL)), "groups")
     a, b = (groups.select(F.col("id").alias(k), F.col("group").alias(f"group_{k}")) for k in ("a", "b"))
     pairs = small_pairs(full.filter(F.col("size") <= SMALL)).join(a, "a", "left").join(b, "b", "left").filter(~F.coalesce(F.col("group_a") == F.col("group_b"), F.lit(False))).select("a", "b")
     pairs = table(pruned(pairs, classes, threshold, tolerance), "pairs")
