@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -53,6 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def drop_exchanges(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what has been written to a table.
+
+    They go once the driver's JVM has forgotten the query; without a collection
+    that may be after the next large exchange. The pause is for the events of
+    the query's end, which hold on to it.
+    """
+    time.sleep(1.5)
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def scope(name: str) -> Iterator[None]:
     """Scratch tables made inside belong to this name, by which they can be released."""
@@ -68,8 +80,6 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage, outlives executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    # The exchanges behind the table are needed no longer; Spark deletes their files when the driver forgets them.
-    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,8 +1,8 @@
 """Substring dedup: drop every word covered by a window of words that an earlier document has, too.
 
 Each document's windows of `size` words get Rabin-Karp hashes. A task packs
-the windows of a slice of texts into arrays, one per hash bucket, so that the
-exchange carries few rows; Spark unpacks them behind it and finds each hash's
+the windows of a slice of texts into arrays by hash bucket, so that the exchange
+carries few rows; Spark unpacks them behind it and finds each hash's
 smallest doc_id with a window function. Before that exchange a slice settles
 what it can: where several of its documents share a window, only the smallest
 doc_id stands for it outside, so that a passage in a third of all documents
@@ -29,48 +29,65 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, flat, read, slices, windows
+from .common import Words, drop_exchanges, even_keys, flat, read, slices, table, windows
 
 SIZE = 13
-#: Buckets per shuffle partition, so that partitions come out even.
-BUCKETS = 8
+#: Bytes of text whose windows are packed together.
+SLICE = 4_000_000
 RESULTS = ("n_words", "n_removed", "spans")
 
 
+def packed(keys: np.ndarray, d: np.ndarray, h: np.ndarray) -> list[pa.Array]:
+    """Rows (key, docs, which, hs): hashes of a key with, for each, which of the row's at most 128 documents it is of."""
+    order = np.lexsort((d, keys))
+    keys, d, h = keys[order], d[order], h[order]
+    new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
+    new_doc = new_key.copy()
+    new_doc[1:] |= d[1:] != d[:-1]
+    nth = np.cumsum(new_doc) - 1  # documents so far, counted anew for each key
+    in_key = nth - np.repeat(nth[new_key], np.diff(np.append(np.flatnonzero(new_key), len(keys))))
+    new_row = new_key | (new_doc & (in_key % 128 == 0))
+    rows, docs = np.append(np.flatnonzero(new_row), len(keys)), np.flatnonzero(new_doc)
+    doc_rows = np.searchsorted(docs, rows)
+    lists = lambda cuts, x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x))
+    return [pa.array(keys[rows[:-1]]), lists(doc_rows, d[docs]), lists(rows, (in_key % 128).astype(np.int8)), lists(rows, h.view(np.int64))]
+
+
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """d, hs: the hashes of document d's windows that a document with a smaller id has, too."""
-    n = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = even_keys(docs.sparkSession, n)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 4_000_000):
+        for b in slices(batches, "text", SLICE):
             w = Words(*flat(b.column(1)))
             h, _, rows = windows(w.hashes(), w.bounds, size)
             d = b.column(0).to_numpy(zero_copy_only=False)[rows]
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
-            if not len(h):
-                continue
-            new = np.concatenate([[True], h[1:] != h[:-1]])
-            keep = new | np.concatenate([[True], d[1:] != d[:-1]])
-            h, d, known = h[keep], d[keep], ~new[keep]
-            bucket = np.where(known, d.astype(np.uint64), h) % np.uint64(n)
-            order = np.argsort(bucket, kind="stable")
-            bucket, h, d, known = bucket[order], h[order], d[order], known[order]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            items = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(d), pa.array(known)], ["h", "d", "known"])
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)], ["bucket", "items"])
+            new = np.ones(len(h), bool)
+            new[1:] = h[1:] != h[:-1]
+            keep = new.copy()
+            keep[1:] |= d[1:] != d[:-1]
+            for known, some in ((False, np.flatnonzero(new)), (True, np.flatnonzero(keep & ~new))):
+                if len(some):
+                    keys = buckets[((d[some].astype(np.uint64) if known else h[some]) % np.uint64(n)).astype(np.int64)]
+                    columns = packed(keys, d[some], h[some])
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), known))], ["bucket", "docs", "which", "hs", "known"])
 
     slim = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    packed = slim.mapInArrow(put, "bucket int, items array<struct<h: long, d: long, known: boolean>>")
-    each = packed.repartition(n // BUCKETS, "bucket").select("bucket", F.inline("items"))
+    rows = slim.mapInArrow(put, "bucket int, docs array<long>, which array<tinyint>, hs array<long>, known boolean").repartition(n, "bucket")
+    each = rows.select("bucket", "known", "docs", "which", F.posexplode("hs").alias("at", "h"))
+    each = each.select("h", "bucket", "known", F.get("docs", F.get("which", "at")).alias("d"))
     # What a slice has settled forms groups of its own, beside the hash's.
-    first = F.min("d").over(W.partitionBy("bucket", "h", F.when(F.col("known"), F.col("d"))))
+    first = F.min("d").over(W.partitionBy("h", "bucket", F.when(F.col("known"), F.col("d"))))
     return each.withColumn("first", first).filter(F.col("known") | (F.col("d") > F.col("first"))).groupBy("d").agg(F.collect_list("h").alias("hs"))
 
 
 def dedup_substrings(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """docs with shortened texts, n_words and n_removed, and spans: the removed intervals (first word, one after the last)."""
-    found = repeated_windows(docs, size)
+    found = table(repeated_windows(docs, size), "repeated")
+    drop_exchanges(docs.sparkSession)  # the texts' exchange needs the room that the windows' took
     docs = docs.drop(*RESULTS)
     names = docs.columns
     at = names.index("text")
