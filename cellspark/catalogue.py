@@ -332,7 +332,7 @@ def n_isnumber(spark, d):
     return _grid(spark, d).agg(F.sum(sc.is_number(v)).alias("numbers"), F.sum(sc.number_or_zero(v)).alias("total"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_acctbal > 5000 AND c_mktsegment = 'BUILDING' THEN 'big' ELSE 'other' END AS class, CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END AS below FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_acctbal > 5000 AND c_mktsegment = 'BUILDING' THEN 'big' ELSE 'other' END AS class, CASE WHEN c_acctbal < 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS below FROM customer")
 def cmp_and_if(spark, d):
     balance, segment = sc.cell(num=F.col("c_acctbal")), sc.cell(txt=F.col("c_mktsegment"))
     both = sc.all_of(sc.cell(num=sc.compare(balance, ">", sc.cell(num=F.lit(5000)))), sc.cell(num=sc.compare(segment, "=", sc.cell(txt=F.lit("BUILDING")))))
@@ -453,7 +453,7 @@ def transitive_leaves(spark, d):
     return levels.leaves(_edges(spark, d))
 
 
-@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part WHERE p_partkey >= 1 UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
 def cell_levels(spark, d):
     return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")).filter("cell >= 1"), _edges(spark, d), 20)
 

@@ -18,9 +18,14 @@ from ..functions.scalars import ascii_fold
 MOST_BROADCAST = 100_000
 
 
-def small(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
-    """df with a broadcast hint if it has no more than `most` rows."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def few(df: DataFrame) -> bool:
+    """Whether df has no more than MOST_BROADCAST rows; counts no further than that."""
+    return df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint if it is small."""
+    return F.broadcast(df) if few(df) else df
 
 
 def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], aggregate: Column, compare: dict[str, tuple[str, str]] | None = None, empty: float | int | None = 0, qid: str = "qid") -> DataFrame:
@@ -39,9 +44,10 @@ def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], ag
     once = asked.groupBy(*names).agg(F.min(qid).alias("rep"))
     on = [(ascii_fold(F.col(f)) if kinds[f] == "string" else F.col(f)) == F.col(f"k{i}") for i, f in enumerate(equal)]
     on += [relation(op, F.col(f), F.col(f"x{i}")) for i, (f, (op, _)) in enumerate(compare.items())]
-    hits = facts.join(small(once), reduce(Column.__and__, on), "inner")
-    got = hits.groupBy("rep").agg(aggregate.alias("value"))
-    by_question = small(once.join(got, "rep", "left"))
+    send = F.broadcast if few(once) else lambda df: df
+    hits = facts.join(send(once), reduce(Column.__and__, on), "inner")
+    got = hits.groupBy("rep").agg(aggregate.alias("value"))  # no more rows than questions
+    by_question = send(once.join(send(got), "rep", "left"))
     out = asked.join(by_question, reduce(Column.__and__, [asked[n].eqNullSafe(by_question[n]) for n in names]), "left")
     value = F.col("value") if empty is None else F.coalesce(F.col("value"), F.lit(empty))
     return out.select(asked[qid], value.alias("value"))

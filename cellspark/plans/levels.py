@@ -3,32 +3,25 @@
 The dependency graph is a table of edges(cell, needs). Each round is one
 distributed join of what is known with the cells that need it; rounds end when
 nothing changes, and after MOST_ROUNDS at the latest: what is left then lies on
-a cycle. Each round is a checkpoint in the folder that all executors share.
+a cycle. Each round is a table in the folder that all executors share.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import divide
+from ..sources.scratch import written
 
 MOST_ROUNDS = 12
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; on one machine without a shared folder a folder of that machine is taken."""
-    spark: SparkSession = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="cellspark-"))
-    return df.checkpoint()
+    """A table, not DataFrame.checkpoint(): that keeps constraints, which grow beyond all bounds over rounds of unions."""
+    return written(df, "levels")
 
 
 def levels(cells: DataFrame, edges: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
