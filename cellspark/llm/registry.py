@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, encoding, jaccard, lm, media, packing, sharding, substrings, toxicity, warc
+from . import decontamination, encoding, jaccard, lm, media, oracles, packing, sharding, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substrings": substrings.op10_substrings,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL

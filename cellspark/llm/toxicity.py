@@ -5,7 +5,7 @@ Features are the words of a text and the beginnings of its longer words, as
 of them, those with the smallest hash of doc_id: the sample's documented
 bound); the clearest ones and all identity terms form the model. Training, in
 numpy on the sample's sparse rows, adds to the logistic loss the squared change
-of the score between each labelled text with an identity term and the same text
+of the score (as log-odds) between each labelled text with an identity term and the same text
 with that term swapped for another of its group. A term that merely stands
 beside toxic words thus gets the same weight as its group, and neutral mentions
 stay below the bar. Scoring reads every whole text once; the weights are at
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Words, flat, mix, read, slices
 
 MAX_LABELLED, MAX_FEATURES, LEAST_TEXTS, LEAST_Z = 20_000, 16_384, 6, 4.0
-SWAP_WEIGHT, RIDGE, STEPS, BAR = 4.0, 3e-4, 300, 0.3
+SWAP_WEIGHT, RIDGE, STEPS, BAR = 3.0, 3e-4, 300, 0.3
 PREFIX = 5
 
 #: Terms that may be swapped within their group.
@@ -59,12 +59,15 @@ _FOLD[65:91] += 32
 _FOLD[[i for i in range(128) if not chr(i).isalnum()]] = 32
 
 
-def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature hashes of each row, one row after the other, and their rows."""
+def text_features(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct feature hashes of each row, one row after the other, and their rows.
+
+    The words in terms (ascending hashes) have no beginnings, so that a swap replaces all that the model sees of them.
+    """
     w = Words(_FOLD[data], offsets)
     rows = np.repeat(np.arange(len(offsets) - 1), w.counts())
     h = w.hashes()
-    long = np.flatnonzero(w.ends - w.starts > PREFIX)
+    long = np.flatnonzero((w.ends - w.starts > PREFIX) & ~np.isin(h, terms))
     w.starts, w.ends = w.starts[long], w.starts[long] + PREFIX
     h, rows = np.concatenate([h, mix(w.hashes() ^ np.uint64(0x5BD1E995))]), np.concatenate([rows, rows[long]])
     order = np.lexsort((h, rows))
@@ -81,11 +84,12 @@ def term_hash(term: str) -> int:
 
 @dataclass
 class Model:
-    """Feature hashes in ascending order, their weights, and the score of a text without any."""
+    """Feature hashes in ascending order, their weights, the log-odds of a text without any, and the identity terms' hashes."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
+    terms: np.ndarray
 
     def scores(self, h: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         z = np.full(n, self.bias)
@@ -105,7 +109,7 @@ def fit(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, n_features:
         group_of[members] = g
     own = np.flatnonzero(group_of[features] >= 0)
     # Each identity term of a text, swapped for the others of its group in turn.
-    swap_row, swap_from = rows[own], features[own]
+    swap_from = features[own]
     turn = np.arange(len(own))
     swap_to = np.array([(m := groups[group_of[f]])[(m.index(f) + 1 + t % max(len(m) - 1, 1)) % len(m)] for f, t in zip(swap_from.tolist(), turn.tolist(), strict=True)], np.int64)
     m1, m2 = np.zeros(n_features + 1), np.zeros(n_features + 1)
@@ -116,15 +120,12 @@ def fit(rows: np.ndarray, features: np.ndarray, labels: np.ndarray, n_features:
         grad = np.bincount(features, slope[rows], n_features) + ridge * w
         grad_b = slope.sum()
         if len(own) and swap_weight:
-            q = 1 / (1 + np.exp(-np.clip(z[swap_row] + w[swap_to] - w[swap_from], -60, 60)))
-            diff = 2 * swap_weight * (p[swap_row] - q) / len(own)
-            dp, dq = diff * p[swap_row] * (1 - p[swap_row]), -diff * q * (1 - q)
-            per_row = np.bincount(swap_row, dp + dq, n)
-            grad += np.bincount(features, per_row[rows], n_features) + np.bincount(swap_to, dq, n_features) - np.bincount(swap_from, dq, n_features)
-            grad_b += (dp + dq).sum()
+            # The change of the log-odds by each swap: what bends the probability hides changes far from one half.
+            change = 2 * swap_weight * (w[swap_to] - w[swap_from]) / len(own)
+            grad += np.bincount(swap_to, change, n_features) - np.bincount(swap_from, change, n_features)
         g = np.append(grad, grad_b)
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
-        move = 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+        move = 0.1 * (1 - step / (steps + 1)) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
     return w, b
 
@@ -140,15 +141,17 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     ids = ids.collect()  # max_labelled small rows at most
     if not ids or len({r["y"] > 0 for r in ids}) < 2:
         share = float(np.mean([r["y"] > 0 for r in ids])) if ids else 0.0
-        return Model(np.zeros(0, np.uint64), np.zeros(0), 60.0 if share else -60.0)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 60.0 if share else -60.0, np.zeros(0, np.uint64))
     spark = docs.sparkSession
     chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], float(r["y"] > 0)) for r in ids], "doc_id long, y double"))
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").select("text", "y")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = [[term_hash(t) for t in g] for g in terms]
+    term_hashes = np.unique(np.array([t for g in groups for t in g], np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            h, rows = text_features(*flat(b.column(0)))
+            h, rows = text_features(*flat(b.column(0)), term_hashes)
             y = b.column(1).to_numpy()[rows]
             each, which, n = np.unique(h, return_inverse=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(each.view(np.int64)), pa.array(n), pa.array(np.bincount(which, y, len(each)))], ["h", "n", "toxic"])
@@ -158,13 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     share = toxic / total
     z = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
     best = counted.filter(F.col("n") >= LEAST_TEXTS).withColumn("z", F.abs(z)).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "h").limit(max_features)
-    groups = [[term_hash(t) for t in g] for g in terms]
     chosen_h = np.array([r["h"] for r in best.select("h").collect()], np.int64).view(np.uint64)  # max_features rows at most
-    hashes = np.unique(np.concatenate([chosen_h, np.array([t for g in groups for t in g], np.uint64)]))
+    hashes = np.unique(np.concatenate([chosen_h, term_hashes]))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            h, rows = text_features(*flat(b.column(0)))
+            h, rows = text_features(*flat(b.column(0)), term_hashes)
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             hit = hashes[at] == h
             cuts = np.searchsorted(rows[hit], np.arange(b.num_rows + 1)).astype(np.int32)
@@ -176,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     rows, labels_ = np.repeat(np.arange(len(sizes)), sizes), got.column("y").to_numpy()
     index = {int(h): i for i, h in enumerate(hashes)}
     weights, bias = fit(rows, lists.values.to_numpy(), labels_, len(hashes), [[index[t] for t in g] for g in groups], swap_weight)
-    return Model(hashes, weights, bias)
+    return Model(hashes, weights, bias, term_hashes)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -184,7 +186,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            h, rows = text_features(*flat(b.column(1)))
+            h, rows = text_features(*flat(b.column(1)), model.terms)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(h, rows, b.num_rows))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -197,7 +199,7 @@ def keep_clean(docs: DataFrame, model: Model, bar: float = BAR) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            h, rows = text_features(*flat(b.column(at)))
+            h, rows = text_features(*flat(b.column(at)), model.terms)
             yield b.filter(pa.array(model.scores(h, rows, b.num_rows) < bar))
 
     return docs.mapInArrow(work, docs.schema).select(*names)
