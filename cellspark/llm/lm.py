@@ -11,12 +11,12 @@ Passes over the texts, all of them over whole texts and all documents:
 
 1. words that are frequent in some slice, summed up: the FREQUENT largest are
    those whose counts every worker gets (only a choice of a route: rarer words
-   are counted exactly, too);
-2. exact counts of these, and of the classes' tokens;
-3. training: each task runs stochastic gradient descent with
-   noise-contrastive estimation over its documents from the same start; Spark
-   averages the parameters, weighted by tokens;
-4. scores of each document's classes and frequent words, and its rare words.
+   are counted exactly, too), and the largest become classes;
+2. exact counts of these and of the classes' tokens; and training: each task
+   runs stochastic gradient descent with noise-contrastive estimation over its
+   documents from the same start, and Spark averages the parameters, weighted
+   by tokens;
+3. scores of each document's classes and frequent words, and its rare words.
    Rare words meet in one exchange, where a window function counts them over
    all documents; a word is rare only if it is rare in every slice of text,
    so that no group of that exchange holds more than a few words per slice.
@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, flat, read, slices, table
 
-TOP, FREQUENT, OFTEN, COUNT_BYTES = 192, 65_536, 8, 16_000_000
-CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 1024, 0.15, 5
+TOP, FREQUENT, OFTEN, COUNT_BYTES = 192, 65_536, 4, 2_000_000
+CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
 ENDINGS = 60
 LN10 = np.log(10.0)
 
@@ -67,12 +67,6 @@ class Texts:
         self.endings = _ENDING[data[w.ends - 1]] + 30 * (wide[w.ends] > wide[w.starts])
         self.rows = np.repeat(np.arange(self.n), np.diff(w.bounds))
 
-    def keep(self, rows: np.ndarray) -> None:
-        """Forget the words of all but these rows (a mask); the rows themselves stay, empty."""
-        mine = rows[self.rows]
-        self.h, self.endings, self.rows = self.h[mine], self.endings[mine], self.rows[mine]
-        self.bounds = np.searchsorted(self.rows, np.arange(self.n + 1))
-
 
 @dataclass
 class Counts:
@@ -98,17 +92,14 @@ class Counts:
         hit = self.hashes[at] == t.h
         return np.where(hit, at, -1), np.where(hit, self.classes[at], classes)
 
-    def sequence(self, t: Texts, classes: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def sequence(self, t: Texts, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Classes of all tokens with ends, the classes before each one (CONTEXT columns), and each token's row."""
-        seq = np.full(len(classes) + t.n, self.end, np.int64)
+        seq = np.full(len(classes) + t.n, self.end, np.int16)
         seq[np.arange(len(classes)) + t.rows] = classes
         row = np.repeat(np.arange(t.n), np.diff(t.bounds) + 1)
         start = (t.bounds[:-1] + np.arange(t.n))[row]
         at = np.arange(len(seq))
-        before = np.stack([np.where(at - j >= start, seq[np.maximum(at - j, 0)], self.end) for j in range(1, CONTEXT + 1)], 1) if len(seq) else np.zeros((0, CONTEXT), np.int64)
-        if rows is not None:
-            mine = rows[row]
-            return seq[mine], before[mine], row[mine]
+        before = np.stack([np.where(at - j >= start, seq[np.maximum(at - j, 0)], self.end) for j in range(1, CONTEXT + 1)], 1) if len(seq) else np.zeros((0, CONTEXT), np.int16)
         return seq, before, row
 
 
@@ -116,45 +107,29 @@ def in_training(doc_id: Column) -> Column:
     return ~F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 7 == 2, F.lit(False))
 
 
-def count_words(texts: DataFrame) -> Counts:
-    """Counts over the training rows of texts(train, text)."""
-    spark = texts.sparkSession
-    training = texts.filter("train").select("text")
+def frequent_words(training: DataFrame) -> Counts:
+    """The frequent words of training(text), with nearly their counts: what a slice has too few of is missing."""
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", COUNT_BYTES):
             t = Texts(b.column(0))
             h, first, n = np.unique(t.h, return_index=True, return_counts=True)
             keep = n >= OFTEN
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(t.endings[first[keep]]), pa.array(n[keep])], ["h", "ending", "n"])
+            all_endings = np.bincount(t.endings, minlength=ENDINGS)  # rows without a word
+            yield pa.RecordBatch.from_arrays([pa.array([*h[keep].view(np.int64).tolist(), *[None] * ENDINGS], pa.int64()), pa.array(np.concatenate([t.endings[first[keep]], np.arange(ENDINGS)])), pa.array(np.concatenate([n[keep], all_endings]))], ["h", "ending", "n"])
 
     summed = training.mapInArrow(often, "h long, ending long, n long").groupBy("h", "ending").agg(F.sum("n").alias("n"))
-    best = summed.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()  # FREQUENT rows at most
-    h, endings, rough = (best.column(k).to_numpy() for k in ("h", "ending", "n"))
-    h = h.view(np.uint64)
+    endings = np.zeros(ENDINGS, np.int64)
+    best = summed.orderBy(F.col("h").isNotNull(), F.desc("n"), "h").limit(ENDINGS + FREQUENT).toArrow()  # so many rows at most
+    word = best.column("h").is_valid().to_numpy()
+    all_e, all_n = best.column("ending").to_numpy(), best.column("n").to_numpy()
+    endings[all_e[~word]] = all_n[~word]
+    h, e, n = best.column("h").drop_null().to_numpy().view(np.uint64), all_e[word], all_n[word]
     top = min(TOP, len(h))
+    np.subtract.at(endings, e[:top], n[:top])
     order = np.argsort(h)
-    classes = np.where(np.arange(len(h)) < top, np.arange(len(h)), top + endings)[order] if len(h) else np.zeros(0, np.int64)
-    out = Counts(h[order], np.zeros(len(h), np.int64), classes, top, np.zeros(top + ENDINGS + 1, np.int64), 0)
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Keys: places of frequent words, and behind them classes.
-        total, ends = np.zeros(len(out.hashes) + out.end + 1, np.int64), len(out.hashes)
-        for b in slices(batches, "text"):
-            t = Texts(b.column(0))
-            at, cls = out.look(t)
-            total[:ends] += np.bincount(at[at >= 0], minlength=ends)
-            total[ends:] += np.bincount(cls, minlength=out.end + 1)
-            total[-1] += t.n
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["k", "n"])
-
-    got = training.mapInArrow(exact, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # one row per frequent word and class
-    total = np.zeros(len(h) + out.end + 1, np.int64)
-    total[got.column("k").to_numpy()] = got.column("n").to_numpy()
-    out.counts, out.class_counts, out.docs = total[: len(h)], total[len(h) :], int(total[-1])
-    del spark, rough
-    return out
+    classes = np.where(np.arange(len(h)) < top, np.arange(len(h)), top + e)[order]
+    return Counts(h[order], n[order], classes, top, np.concatenate([n[:top], np.maximum(endings, 0), [max(1, n.sum() // 100)]]), 0)
 
 
 # ----------------------------------------------------------------------- model
@@ -186,16 +161,19 @@ class Model:
     def log_probabilities(self, seq: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log of each token's class probability, normalised over all classes."""
         parts, out = [self.r * c for c in self.c], np.empty(len(seq))
+        # No sum of scores overflows, unless parameters have grown beyond all measure.
+        bound = sum(np.linalg.norm(p, axis=1).max() for p in parts) * np.linalg.norm(self.q, axis=1).max() + np.abs(self.b).max()
         for i in range(0, len(seq), 8192):
             ctx, want = before[i : i + 8192], seq[i : i + 8192]
             x = sum(p[ctx[:, j]] for j, p in enumerate(parts))
             s = x @ self.q.T
             s += self.b
             hit = s[np.arange(len(want)), want]
-            most = s.max(1, keepdims=True)
-            s -= most
+            most = s.max(1) if bound > 80 else np.zeros(len(s), "f4")
+            if bound > 80:
+                s -= most[:, None]
             np.exp(s, out=s)
-            out[i : i + 8192] = hit - most[:, 0] - np.log(s.sum(1))
+            out[i : i + 8192] = hit - most - np.log(s.sum(1))
         return out
 
 
@@ -241,34 +219,43 @@ class Trainer:
             value -= RATE * grad / np.sqrt(sq)
 
 
-def fit(texts: DataFrame, counts: Counts) -> Model:
-    """Parameters averaged over the tasks' own ones, weighted by their tokens."""
-    start = Model.start(counts)
-    if not counts.docs:
-        return start.filled(np.zeros(start.flatten().size))
+def learn(training: DataFrame) -> tuple[Counts, Model]:
+    """Exact counts over training(text), and parameters averaged over the tasks' own ones, weighted by their tokens."""
+    rough = frequent_words(training)
+    start = Model.start(rough)
+    words, size = len(rough.hashes), start.flatten().size
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, seen = Trainer(start.filled(start.flatten()), counts), 0
+        # Keys: places of frequent words, then classes, then documents; below 0 parameters.
+        trainer, seen, total = Trainer(start.filled(start.flatten()), rough), 0, np.zeros(words + rough.end + 2, np.int64)
         for b in slices(batches, "text"):
             t = Texts(b.column(0))
-            seq, before, _ = counts.sequence(t, counts.look(t)[1])
+            at, classes = rough.look(t)
+            seq, before, _ = rough.sequence(t, classes)
+            total[:words] += np.bincount(at[at >= 0], minlength=words)
+            total[words:-1] += np.bincount(seq, minlength=rough.end + 1)
+            total[-1] += t.n
             seen += len(seq)
             for i in range(0, len(seq), BATCH):
                 trainer.step(seq[i : i + BATCH], before[i : i + BATCH])
         if seen:
-            values = trainer.m.flatten().astype("f8")
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * seen), pa.array(np.full(len(values), seen))], ["k", "v", "n"])
+            some = np.flatnonzero(total)
+            keys = np.concatenate([some, -1 - np.arange(size)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([np.zeros(len(some)), trainer.m.flatten().astype("f8") * seen])), pa.array(np.concatenate([total[some], np.full(size, seen)]))], ["k", "v", "n"])
 
-    summed = texts.filter("train").select("text").mapInArrow(work, "k long, v double, n long").groupBy("k").agg((F.sum("v") / F.sum("n")).alias("v")).orderBy("k").toArrow()  # one row per parameter
-    return start.filled(summed.column("v").to_numpy())
+    got = training.mapInArrow(work, "k long, v double, n long").groupBy("k").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toArrow()  # one row per frequent word, class and parameter
+    k, v, n = (got.column(c).to_numpy() for c in ("k", "v", "n"))
+    total, values, parameter = np.zeros(words + rough.end + 2, np.int64), np.zeros(size), k < 0
+    total[k[~parameter]] = n[~parameter]
+    values[-1 - k[parameter]] = v[parameter] / n[parameter]
+    return Counts(rough.hashes, total[:words], rough.classes, rough.top, total[words:-1], int(total[-1])), start.filled(values)
 
 
 # --------------------------------------------------------------------- scoring
 def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score: all documents, learning from those with train."""
     texts = docs.select("doc_id", F.coalesce(train, F.lit(True)).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = count_words(texts)
-    model = fit(texts, counts)
+    counts, model = learn(texts.filter("train").select("text"))
     logs = np.log10(counts.counts + 1.0)
     end_log = float(np.log10(counts.docs + 1.0))
     rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32()), ("ending", pa.int32())]))
