@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task looks at in one go.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _scratch: dict[str, list[str]] = {}
 _scope = ""
@@ -158,7 +158,7 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
             x = np.full(n, b, np.uint64)
             x[0] = 1
             have.append(np.cumprod(x))
-        if n <= 4 * SLICE_BYTES:
+        if n <= 2 * SLICE_BYTES + 1:
             _powers[int(base)] = have
     return have[0][:n], have[1][:n]
 

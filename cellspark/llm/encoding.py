@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import _BASE, _BYTE, Words, flat, mix, powers, read, slices
 
 #: A worker forgets its pieces beyond this number.
-MOST_PIECES = 2_000_000
+MOST_PIECES = 1_800_000
 LIMIT = 2048
 
 

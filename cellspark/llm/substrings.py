@@ -33,7 +33,7 @@ from .common import Words, drop_exchanges, even_keys, flat, read, slices, table,
 
 SIZE = 13
 #: Bytes of text whose windows are packed together.
-SLICE = 4_000_000
+SLICE = 2_000_000
 RESULTS = ("n_words", "n_removed", "spans")
 
 
