@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from .common import Words, flat, read, slices, table
 
 TOP, FREQUENT, OFTEN, COUNT_BYTES = 192, 65_536, 4, 2_000_000
+MOST = 2_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
 ENDINGS = 60
 LN10 = np.log(10.0)
@@ -119,8 +120,12 @@ def frequent_words(training: DataFrame) -> Counts:
             yield pa.RecordBatch.from_arrays([pa.array([*h[keep].view(np.int64).tolist(), *[None] * ENDINGS], pa.int64()), pa.array(np.concatenate([t.endings[first[keep]], np.arange(ENDINGS)])), pa.array(np.concatenate([n[keep], all_endings]))], ["h", "ending", "n"])
 
     summed = training.mapInArrow(often, "h long, ending long, n long").groupBy("h", "ending").agg(F.sum("n").alias("n"))
+    summed = table(summed, "lm-words")
     endings = np.zeros(ENDINGS, np.int64)
-    best = summed.orderBy(F.col("h").isNotNull(), F.desc("n"), "h").limit(ENDINGS + FREQUENT).toArrow()  # so many rows at most
+    tokens = summed.filter("h is null").agg(F.sum("n")).first()[0] or 0
+    # No more than MOST words can have so large a share, whatever the number of partitions that offer them.
+    candidates = summed.filter(F.col("h").isNull() | (F.col("n") >= tokens / MOST))
+    best = candidates.orderBy(F.col("h").isNotNull(), F.desc("n"), "h").limit(ENDINGS + FREQUENT).toArrow()  # so many rows at most
     word = best.column("h").is_valid().to_numpy()
     all_e, all_n = best.column("ending").to_numpy(), best.column("n").to_numpy()
     endings[all_e[~word]] = all_n[~word]
