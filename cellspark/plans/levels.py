@@ -11,45 +11,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import divide
-from ..sources.scratch import written
+from ..sources.scratch import Growing, written
 
 MOST_ROUNDS = 12
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A table, not DataFrame.checkpoint(): that keeps constraints, which grow beyond all bounds over rounds of unions."""
-    return written(df, "levels")
-
-
 def levels(cells: DataFrame, edges: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
     """cell, level: 0 for cells without needs, else one more than the highest need; cells on or behind a cycle, or deeper than `rounds`, have none."""
-    needs = edges.select("cell", "needs").distinct()
-    total = needs.groupBy("cell").agg(F.count("*").alias("wanted"))
-    known = checkpointed(cells.select("cell").distinct().join(total, "cell", "left_anti").withColumn("level", F.lit(0)))
+    needs = written(edges.select("cell", "needs").distinct().withColumn("wanted", F.count("*").over(W.partitionBy("cell"))), "needs")
+    known = Growing("levels")
+    new = known.add(cells.select("cell").distinct().join(needs, "cell", "left_anti").withColumn("level", F.lit(0)))
     for level in range(1, rounds + 1):
-        met = needs.join(known.select(F.col("cell").alias("needs")), "needs").groupBy("cell").agg(F.count("*").alias("met"))
-        new = checkpointed(met.join(total, "cell").filter("met = wanted").select("cell").join(known, "cell", "left_anti").withColumn("level", F.lit(level)))
-        if not new.limit(1).count():
+        # Only cells that need one of the last level's can be next.
+        near = needs.join(new.select(F.col("cell").alias("needs")), "needs", "left_semi").select("cell").distinct()
+        met = needs.join(near, "cell", "left_semi").join(known.all().select(F.col("cell").alias("needs")), "needs").groupBy("cell", "wanted").agg(F.count("*").alias("met"))
+        new = known.add(met.filter("met = wanted").select("cell", F.lit(level).alias("level")))
+        if new.isEmpty():
             break
-        known = checkpointed(known.union(new))
-    return cells.select("cell").distinct().join(known, "cell", "left")
+    return cells.select("cell").distinct().join(known.all(), "cell", "left")
 
 
 def leaves(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """cell, leaf: the cells without needs that each cell rests on, over any number of steps."""
-    needs = edges.select("cell", "needs").distinct()
+    needs = written(edges.select("cell", "needs").distinct(), "needs")
     inner = needs.select("cell").distinct()
-    reach = frontier = checkpointed(needs.select("cell", F.col("needs").alias("leaf")))
+    reach = Growing("leaves")
+    frontier = reach.add(needs.select("cell", F.col("needs").alias("leaf")))
     for _ in range(rounds):
         step = frontier.join(needs.select(F.col("cell").alias("leaf"), "needs"), "leaf").select("cell", F.col("needs").alias("leaf")).distinct()
-        frontier = checkpointed(step.join(reach, ["cell", "leaf"], "left_anti"))
-        if not frontier.limit(1).count():
+        frontier = reach.add(step.join(reach.all(), ["cell", "leaf"], "left_anti"))
+        if frontier.isEmpty():
             break
-        reach = checkpointed(reach.union(frontier))
-    return reach.join(inner.select(F.col("cell").alias("leaf")), "leaf", "left_anti").select("cell", "leaf")
+    return reach.all().join(inner.select(F.col("cell").alias("leaf")), "leaf", "left_anti").select("cell", "leaf")
 
 
 #: What a cell may do with its operands, ordered by position: name -> Column over the array `args` of numbers.
@@ -70,17 +67,14 @@ def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame, rounds: int
     branch over the array of operands. Cells that need an unknown cell see null.
     """
     by_level = levels(specs.select("cell").union(inputs.select("cell")), edges.filter(F.col("needs").isNotNull()).select("cell", "needs"), rounds)
-    specs = checkpointed(specs.join(by_level, "cell"))
-    deepest = specs.agg(F.max("level")).first()[0]
-    known = inputs.select("cell", "num")
-    if deepest is None:
-        return known
-    for level in range(deepest + 1):
-        now = specs.filter(F.col("level") == level)
-        args = now.join(edges, "cell").join(known.select(F.col("cell").alias("needs"), "num"), "needs", "left")
+    specs = written(specs.join(by_level, "cell"), "specs")
+    known = Growing("values")
+    known.add(inputs.select("cell", "num"))
+    value = F.lit(None).cast("double")
+    for name, f in SHAPES.items():
+        value = F.when(F.col("shape") == name, f(F.col("args"))).otherwise(value)
+    for r in specs.filter("level is not null").select("level").distinct().orderBy("level").collect():  # `rounds` rows at most
+        args = specs.filter(F.col("level") == r["level"]).join(edges, "cell").join(known.all().select(F.col("cell").alias("needs"), "num"), "needs", "left")
         args = args.groupBy("cell", "shape").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "num"))), lambda x: x["num"]).alias("args"))
-        value = F.lit(None).cast("double")
-        for name, f in SHAPES.items():
-            value = F.when(F.col("shape") == name, f(F.col("args"))).otherwise(value)
-        known = checkpointed(known.union(args.select("cell", value.alias("num"))))
-    return known
+        known.add(args.select("cell", value.alias("num")))
+    return known.all()

@@ -5,18 +5,40 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written below spark.checkpoint.dir and read again; on one machine without that setting, below its own temporary folder."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir; on one machine without that setting, below its own temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/cellspark-scratch"
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written and read again."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Growing:
+    """A table that rounds add rows to; what was written before is never written again."""
+
+    def __init__(self, name: str):
+        self.name, self.paths = name, []
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """The new rows alone."""
+        path = shared_path(df.sparkSession, self.name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        self.spark, self.schema = df.sparkSession, df.schema
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
