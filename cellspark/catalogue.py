@@ -580,3 +580,74 @@ def totals_by_keys(spark, d):
     from .streaming.refresh import running_totals
 
     return running_totals(t(spark, d, "customer").withColumn("v", money("c_acctbal")), ["c_nationkey", "c_mktsegment"], "v").withColumn("total", F.col("total").cast("double"))
+
+
+# ---------------------------------------------------------------------- formulas
+def _formulas(spark, d) -> DataFrame:
+    p = t(spark, d, "part")
+    k = F.col("p_partkey")
+    text = (
+        F.when(k % 4 == 0, F.concat(F.lit("=SUMIFS([1]p1!$D$2:$D$"), k, F.lit(",[1]p1!$A$2:$A$"), k, F.lit(",\"A1 \"\"x\"\"\")")))
+        .when(k % 4 == 1, F.concat(F.lit("=_xlfn.NUMBERVALUE(B"), k, F.lit(")/C"), k, F.lit("%")))
+        .when(k % 4 == 2, F.concat(F.lit("='sheet "), k, F.lit("'!A1*1000+2.5")))
+        .otherwise(F.concat(F.lit("=OFFSET(A"), k, F.lit(",1)&\"년\"")))
+    )
+    return p.filter("p_partkey >= 1").select("p_partkey", text.alias("formula"))
+
+
+@query("SELECT CASE p_partkey % 4 WHEN 0 THEN '=SUMIFS(@,@,$)' WHEN 1 THEN '=_xlfn.NUMBERVALUE(@)/@%' WHEN 2 THEN '=@*#+#' ELSE '=OFFSET(@,#)&$' END AS shape, count(*) AS n FROM part WHERE p_partkey >= 1 GROUP BY 1")
+def formula_shapes(spark, d):
+    from .sources import formulas
+
+    return formulas.shapes(_formulas(spark, d)).select("shape", "n")
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'SUMIFS' WHEN 1 THEN 'NUMBERVALUE' WHEN 2 THEN '' ELSE 'OFFSET' END AS used, CASE WHEN p_partkey % 4 = 3 THEN 'unsupported' ELSE 'expr' END AS kind, CASE p_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 ELSE 1 END::BIGINT AS refs FROM part WHERE p_partkey >= 1")
+def formula_functions(spark, d):
+    from .sources import formulas
+
+    f = F.col("formula")
+    return _formulas(spark, d).select("p_partkey", F.array_join(formulas.functions_used(f), ",").alias("used"), formulas.kind(f, "CELL(").alias("kind"), F.size(formulas.references(f)).cast("long").alias("refs"))
+
+
+@query("SELECT p_partkey, 'host' AS sheet, 4::BIGINT AS r1, 2::BIGINT AS c1, 4::BIGINT AS r2, 102::BIGINT AS c2 FROM part UNION ALL SELECT p_partkey, 'p ' || p_size, 1, 1, p_size, 1 FROM part")
+def chart_range_expand(spark, d):
+    from .sources import formulas
+
+    text = F.concat(F.lit("($B$4:$CX$4,'p "), "p_size", F.lit("'!$A$1:$A$"), "p_size", F.lit(")"))
+    out = t(spark, d, "part").select("p_partkey", F.explode(formulas.areas(text, F.lit("host"))).alias("a"))
+    return out.select("p_partkey", "a.sheet", *(F.col(f"a.{k}").cast("long").alias(k) for k in ("r1", "c1", "r2", "c2")))
+
+
+@query("SELECT o_orderpriority AS \"table\", cast(o_custkey % 5 AS BIGINT) AS j, decimals FROM (SELECT o_orderpriority, o_custkey % 5 AS o_custkey, o_custkey % 3 AS decimals, row_number() OVER (PARTITION BY o_orderpriority, o_custkey % 5 ORDER BY count(*) DESC, min(o_orderkey)) AS n FROM orders GROUP BY 1, 2, 3) WHERE n = 1")
+def usual_decimals(spark, d):
+    k = F.col("o_custkey")
+    text = F.when(k % 3 == 0, "1,234").when(k % 3 == 1, "12.5").otherwise("0.25")
+    shown = t(spark, d, "orders").select(F.col("o_orderpriority").alias("table"), F.col("o_orderkey").alias("i"), (k % 5).alias("j"), text.alias("text"))
+    return publish.usual_decimals(shown).select("table", "j", F.col("decimals").cast("long").alias("decimals"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 <> 0 THEN -1.0::DOUBLE ELSE c_acctbal END AS num FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+def computed_before_constants(spark, d):
+    c = t(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("num"))
+    constants = c.filter("c_custkey % 3 = 0").withColumn("num", F.lit(-1.0))
+    return publish.prefer(c.filter("c_custkey % 2 = 0"), constants, ["c_custkey"], ["num"])
+
+
+@query("SELECT n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE contains(lower(n_name || ' ' || r_name), 'a')")
+def search_pages(spark, d):
+    n = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return publish.search(n, "A", ["n_name", "r_name"]).select("n_nationkey", "n_name")
+
+
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT cell, needs AS leaf FROM e UNION SELECT r.cell, e.needs FROM r JOIN e ON r.leaf = e.cell) SELECT leaf, count(*) AS users FROM r WHERE leaf NOT IN (SELECT cell FROM e) GROUP BY leaf")
+def leaf_users(spark, d):
+    return levels.leaves(_edges(spark, d)).groupBy("leaf").agg(F.count("*").alias("users"))
+
+
+@query()
+def greedy_assignment(spark, d):
+    page = _page(spark, d)
+    printed = page.filter("sheet = 'price' and r <= 8").select(F.lit("T").alias("table"), F.col("r").alias("i"), F.col("c").alias("j"), sc.round_half_up(F.col("num") * 0.001, 1).alias("value"), F.lit(1).alias("decimals"))
+    votes = publish.value_votes(printed, page)
+    return publish.greedy_pairs(votes.join(F.broadcast(publish.best_sheet(votes).select("table", "sheet", "scale")), ["table", "sheet", "scale"]))

@@ -113,3 +113,62 @@ def nice_top(x: Column) -> Column:
     p = F.pow(F.lit(10.0), F.floor(F.log10(x)))
     m = x / p
     return F.when(m <= 1, p).when(m <= 2, 2 * p).when(m <= 5, 5 * p).otherwise(10 * p)
+
+
+def greedy_pairs(votes: DataFrame) -> DataFrame:
+    """table, sheet, scale, i, r, votes: the strongest votes first, each printed row and each sheet row used once.
+
+    One small group per printed table and candidate sheet: its size is that of
+    a table on a page, whatever the number of tables.
+    """
+
+    def pick(pdf):
+        rows, cols, keep = set(), set(), []
+        for k, (i, r) in enumerate(zip(pdf.i, pdf.r, strict=True)):
+            if i not in rows and r not in cols:
+                rows.add(i)
+                cols.add(r)
+                keep.append(k)
+        return pdf.iloc[keep]
+
+    ordered = lambda pdf: pick(pdf.assign(_v=pdf.votes.round(9)).sort_values(["_v", "i", "r"], ascending=[False, True, True]).drop(columns="_v"))
+    columns = votes.select("table", "sheet", "scale", "i", "r", "votes")
+    return columns.groupBy("table", "sheet", "scale").applyInPandas(ordered, columns.schema)
+
+
+def search(pages: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    """Pages whose columns together hold a text, whatever its case."""
+    return pages.filter(F.lower(F.concat_ws(" ", *columns)).contains(text.lower()))
+
+
+def decimals_of(shown: Column) -> Column:
+    """Decimal places of a printed number."""
+    return F.length(F.regexp_extract(shown, r"\.(\d+)", 1))
+
+
+def usual_decimals(shown: DataFrame) -> DataFrame:
+    """table, j, decimals: each column's most frequent number of decimals, of equals the one seen first; shown(table, i, j, text)."""
+    n = shown.groupBy("table", "j", decimals_of(F.col("text")).alias("decimals")).agg(F.count("*").alias("n"), F.min("i").alias("first"))
+    w = W.partitionBy("table", "j").orderBy(F.desc("n"), "first")
+    return n.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("table", "j", "decimals")
+
+
+def prefer(first: DataFrame, second: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """All rows of either; where both have a key, those of the first, as a whole."""
+    a = first.select(*keys, *(F.col(c).alias(f"a_{c}") for c in columns), F.lit(True).alias("_a"))
+    b = second.select(*keys, *(F.col(c).alias(f"b_{c}") for c in columns))
+    return a.join(b, keys, "full_outer").select(*keys, *(F.when(F.col("_a"), F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(c) for c in columns))
+
+
+def compact(x: Column) -> Column:
+    """A number on a chart: no decimals from 1000, one from 100 if it has any, else two at most."""
+    digits = F.when(F.abs(x) >= 1000, 0).when(F.abs(x) >= 100, 1).otherwise(2)
+    return F.regexp_replace(F.when(digits == 0, F.format_number(x, 0)).when(digits == 1, F.format_number(x, 1)).otherwise(F.format_number(x, 2)), r"(\.\d*?)0+$", "$1").alias("shown")
+
+
+def bundle(pages: DataFrame, charts: DataFrame, table_cells: DataFrame) -> DataFrame:
+    """page, document: one JSON text per page with its charts' series and its table's cells; pages without either are kept."""
+    c = charts.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("chart", "series", "values"))).alias("charts"))
+    x = table_cells.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("i", "j", "value", "source"))).alias("cells"))
+    out = pages.join(c, "page", "left").join(x, "page", "left")
+    return out.select("page", F.to_json(F.struct(*(k for k in out.columns))).alias("document"))

@@ -113,3 +113,24 @@ def write_parts(df: DataFrame, path: str, *by: str) -> None:
 
 def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def load_all(spark: SparkSession, root: str, long: tuple[str, ...] = ("kosis",), sparse: tuple[str, ...] = ("oecd",), grids: tuple[str, ...] = ("etc", "panel")) -> dict[str, DataFrame]:
+    """obs, oecd_obs and grid from a folder of folders of JSON lines."""
+    union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
+    return {
+        "obs": union([load_obs(spark, f"{root}/{s}", s) for s in long]),
+        "oecd_obs": union([load_oecd(spark, f"{root}/{s}") for s in sparse]),
+        "grid": union([load_grid(spark, f"{root}/grid/{s}", s) for s in grids]),
+    }
+
+
+def smoke(df: DataFrame, checks: dict[str, Column]) -> list[str]:
+    """Names of the checks that no row meets; one scan for all."""
+    got = df.agg(*(F.coalesce(F.bool_or(c), F.lit(False)).alias(name) for name, c in checks.items())).first()
+    return [name for name in checks if not got[name]]
+
+
+def cell_text(value: Column) -> Column:
+    """A cell's text without blanks around it; blank cells are null."""
+    return F.nullif(F.trim(value.cast("string")), F.lit(""))

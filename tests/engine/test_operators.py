@@ -178,3 +178,33 @@ def test_streaming_refresh_equals_batch(spark, tmp_path):
     refresh.refresh(totals, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     last = spark.read.parquet(str(tmp_path / "out")).orderBy(F.desc("version"), "k").limit(2).collect()
     assert [(r.k, r.total, r.rows) for r in last] == [("a", 8, 4), ("b", 4, 2)]
+
+
+def test_formulas(spark):
+    from cellspark.sources import formulas
+
+    rows = ["=SUMIFS('[1]a b'!$D$2:$D$9,[1]s!$A$2:$A$9,\"A1 \"\"(\")", "='[1]seat'!$A$1", "=A1/B2%", "=CELL(\"x\")&SUM(A1:A3)", "=OFFSET(A1,1)"]
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, formula string")
+    f = F.col("formula")
+    got = df.select(formulas.shape(f).alias("s"), formulas.functions_used(f).alias("u"), formulas.references(f).alias("r"), formulas.is_anchor(f, "seat").alias("a"), formulas.kind(f, "CELL(").alias("k")).collect()
+    assert [r.s for r in got] == ["=SUMIFS(@,@,$)", "=@", "=@/@%", "=CELL($)&SUM(@)", "=OFFSET(@,#)"]
+    assert [r.u for r in got] == [["SUMIFS"], [], [], ["CELL", "SUM"], ["OFFSET"]]
+    assert got[0].r == ["'[1]a b'!$D$2:$D$9", "[1]s!$A$2:$A$9"] and got[2].r == ["A1", "B2"]
+    assert [r.a for r in got] == [False, True, False, False, False]
+    assert [r.k for r in got] == ["expr", "expr", "expr", "presentation", "unsupported"]
+    areas = spark.range(1).select(formulas.areas(F.lit("('p8'!$B$4:$CX$4,C3)"), F.lit("h")).alias("x")).first().x
+    assert [tuple(a) for a in areas] == [("p8", 4, 2, 4, 102), ("h", 3, 3, 3, 3)]
+
+
+def test_greedy_pairs_bundle_and_prefer(spark):
+    votes = spark.createDataFrame([("t", "s", 1.0, 1, 1, 0.9), ("t", "s", 1.0, 2, 1, 1.0), ("t", "s", 1.0, 2, 2, 0.95), ("t", "s", 1.0, 1, 3, 0.1)], "table string, sheet string, scale double, i int, r int, votes double")
+    assert {(r.i, r.r) for r in publish.greedy_pairs(votes).collect()} == {(2, 1), (1, 3)}
+    pages = spark.createDataFrame([(1, "a"), (2, "b")], "page int, title string")
+    charts = spark.createDataFrame([(1, 1, 1, [1.0, None])], "page int, chart int, series int, values array<double>")
+    cells = spark.createDataFrame([(1, 0, 0, 2.0, "v")], "page int, i int, j int, value double, source string")
+    docs = {r.page: json.loads(r.document) for r in publish.bundle(pages, charts, cells).collect()}
+    assert docs[1]["charts"][0]["values"] == [1.0, None] and docs[1]["cells"][0]["source"] == "v" and docs[2] == {"page": 2, "title": "b"}
+    a, b = spark.createDataFrame([(1, None)], "k int, x double"), spark.createDataFrame([(1, 5.0), (2, 6.0)], "k int, x double")
+    assert {r.k: r.x for r in publish.prefer(a, b, ["k"], ["x"]).collect()} == {1: None, 2: 6.0}
+    assert tables.smoke(a, {"has one": F.col("k") == 1, "has two": F.col("k") == 2}) == ["has two"]
+    assert [r.shown for r in spark.createDataFrame([(1234.5,), (123.45,), (1.5,), (2.0,)], "x double").select(publish.compact(F.col("x"))).collect()][0] in ("1,234", "1,235")

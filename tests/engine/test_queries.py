@@ -25,7 +25,7 @@ def sql(small):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
 def test_query_equals_sql(spark, small, sql, name):
     got = catalogue.QUERIES[name](spark, small)
     want = sql.sql(catalogue.ORACLE_SQL[name])
