@@ -40,6 +40,7 @@ WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 HASHES, BANDS, ROUND = 128, 32, 16
 #: Classes in a band that are compared as pairs, and classes and shingles in a block of a larger one.
 SMALL, BLOCK, BLOCK_SHINGLES = 6, 512, 1_000_000
+SALTS = 16
 
 _rng = np.random.default_rng(77)
 _A, _B = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1), _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -160,7 +161,10 @@ def groups_of(members: DataFrame) -> DataFrame:
     Each class takes the smallest id that it shares a band with, and the graph
     is one of these: a large group's many bands shrink to few edges.
     """
-    centres = members.join(members.groupBy("band").agg(F.min("id").alias("centre")), "band").groupBy("id").agg(F.collect_set("centre").alias("centres"))  # a class has BANDS bands
+    # A band may hold a third of all classes: its members are dealt out by salt, and its one row goes to each.
+    lowest = members.groupBy("band").agg(F.min("id").alias("centre")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = members.select("band", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    centres = salted.join(lowest, ["band", "salt"]).groupBy("id").agg(F.collect_set("centre").alias("centres"))  # a class has BANDS bands
     near = centres.select("id", F.array_min("centres").alias("a"), "centres")
     labels = components(near.select("a", F.explode("centres").alias("b")).distinct()).select(F.col("v").alias("a"), "label")
     return near.select("id", "a").join(labels, "a", "left").select("id", F.coalesce("label", "a").alias("group"))
