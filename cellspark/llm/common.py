@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,6 +23,8 @@ from pyspark.sql import functions as F
 #: Bytes of text that a task looks at in one go.
 SLICE_BYTES = 1_000_000
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _scratch: dict[str, list[str]] = {}
 _scope = ""
 
@@ -54,17 +55,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_exchanges(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of what has been written to a table.
-
-    They go once the driver's JVM has forgotten the query; without a collection
-    that may be after the next large exchange. The pause is for the events of
-    the query's end, which hold on to it.
-    """
-    time.sleep(1.5)
-    spark._jvm.System.gc()
-
-
 @contextmanager
 def scope(name: str) -> Iterator[None]:
     """Scratch tables made inside belong to this name, by which they can be released."""
@@ -77,10 +67,21 @@ def scope(name: str) -> Iterator[None]:
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, outlives executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df to the shared folder and read it again: cuts the lineage, outlives executors.
+
+    Once the table is there, the exchanges behind it are needed no longer:
+    Spark deletes their files at the end of this write, so that they leave room
+    for the next ones.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession, name: str = "") -> None:

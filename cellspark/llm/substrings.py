@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, drop_exchanges, even_keys, flat, read, slices, table, windows
+from .common import Words, even_keys, flat, read, slices, table, windows
 
 SIZE = 13
 #: Bytes of text whose windows are packed together.
@@ -86,8 +86,7 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """docs with shortened texts, n_words and n_removed, and spans: the removed intervals (first word, one after the last)."""
-    found = table(repeated_windows(docs, size), "repeated")
-    drop_exchanges(docs.sparkSession)  # the texts' exchange needs the room that the windows' took
+    found = table(repeated_windows(docs, size), "repeated")  # the windows' exchange goes before the texts' one
     docs = docs.drop(*RESULTS)
     names = docs.columns
     at = names.index("text")
