@@ -136,7 +136,7 @@ def _grid(spark, d) -> DataFrame:
     return tables.melt(t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), "etc", "nation", ["n_nationkey"])
 
 
-@query(f"WITH {MELT} SELECT 'etc' AS src, 'nation' AS sheet, r, c, v_num, v_txt FROM g")
+@query(f"WITH {MELT} SELECT 'etc' AS src, 'nation' AS sheet, cast(r AS INTEGER) AS r, c, v_num, v_txt FROM g")
 def grid_melt(spark, d):
     return _grid(spark, d)
 
