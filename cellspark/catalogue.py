@@ -455,7 +455,7 @@ def transitive_leaves(spark, d):
 
 @query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part WHERE p_partkey >= 1 UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
 def cell_levels(spark, d):
-    return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")).filter("cell >= 1"), _edges(spark, d), 20)
+    return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")).filter("cell >= 1"), _edges(spark, d))
 
 
 @query("WITH n AS (SELECT c_nationkey AS k, cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS num FROM customer GROUP BY 1), a AS (SELECT round(sum(num), 2) AS num FROM n) SELECT 'n' || k AS cell, round(num, 4) AS num FROM n UNION ALL SELECT 'total', round(num, 4) FROM a UNION ALL SELECT 's' || k, round(n.num / (a.num / 100), 4) FROM n, a")

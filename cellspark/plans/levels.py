@@ -2,13 +2,14 @@
 
 The dependency graph is a table of edges(cell, needs). Each round is one
 distributed join of what is known with the cells that need it; rounds end when
-nothing changes, and after MOST_ROUNDS at the latest: what is left then lies on
-a cycle. Each round is a table in the folder that all executors share.
+one adds no cell: what levels() leaves then lies on or behind a cycle. Each
+round is a table in the folder that all executors share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,15 +18,13 @@ from pyspark.sql import functions as F
 from ..functions.scalars import divide
 from ..sources.scratch import Growing, written
 
-MOST_ROUNDS = 12
 
-
-def levels(cells: DataFrame, edges: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
-    """cell, level: 0 for cells without needs, else one more than the highest need; cells on or behind a cycle, or deeper than `rounds`, have none."""
+def levels(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """cell, level: 0 for cells without needs, else one more than the highest need; cells on or behind a cycle have none."""
     needs = written(edges.select("cell", "needs").distinct().withColumn("wanted", F.count("*").over(W.partitionBy("cell"))), "needs")
     known = Growing("levels")
     new = known.add(cells.select("cell").distinct().join(needs, "cell", "left_anti").withColumn("level", F.lit(0)))
-    for level in range(1, rounds + 1):
+    for level in count(1):
         # Only cells that need one of the last level's can be next.
         near = needs.join(new.select(F.col("cell").alias("needs")), "needs", "left_semi").select("cell").distinct()
         met = needs.join(near, "cell", "left_semi").join(known.all().select(F.col("cell").alias("needs")), "needs").groupBy("cell", "wanted").agg(F.count("*").alias("met"))
@@ -60,21 +59,24 @@ SHAPES: dict[str, Callable] = {
 }
 
 
-def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
+def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame) -> DataFrame:
     """cell, num of inputs(cell, num) and of all specs(cell, shape) over edges(cell, pos, needs), level by level.
 
     All cells of a level are one job, whatever their shapes: a shape is a
-    branch over the array of operands. Cells that need an unknown cell see null.
+    branch over the array of operands. Cells that need an unknown cell see null;
+    cells on or behind a cycle are null.
     """
-    by_level = levels(specs.select("cell").union(inputs.select("cell")), edges.filter(F.col("needs").isNotNull()).select("cell", "needs"), rounds)
+    cells = specs.select("cell").union(inputs.select("cell"))
+    by_level = levels(cells, edges.select("cell", "needs").join(cells.select(F.col("cell").alias("needs")), "needs", "left_semi"))
     specs = written(specs.join(by_level, "cell"), "specs")
     known = Growing("values")
     known.add(inputs.select("cell", "num"))
     value = F.lit(None).cast("double")
     for name, f in SHAPES.items():
         value = F.when(F.col("shape") == name, f(F.col("args"))).otherwise(value)
-    for r in specs.filter("level is not null").select("level").distinct().orderBy("level").collect():  # `rounds` rows at most
-        args = specs.filter(F.col("level") == r["level"]).join(edges, "cell").join(known.all().select(F.col("cell").alias("needs"), "num"), "needs", "left")
-        args = args.groupBy("cell", "shape").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "num"))), lambda x: x["num"]).alias("args"))
+    for r in specs.filter("level is not null").select("level").distinct().orderBy("level").collect():  # one row per level
+        args = specs.filter(F.col("level") == r["level"]).join(edges, "cell", "left").join(known.all().select(F.col("cell").alias("needs"), "num"), "needs", "left")
+        args = args.groupBy("cell", "shape").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "num")))), lambda x: x["num"]).alias("args"))
         known.add(args.select("cell", value.alias("num")))
+    known.add(specs.filter("level is null").select("cell", F.lit(None).cast("double").alias("num")).distinct())
     return known.all()

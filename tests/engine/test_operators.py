@@ -116,6 +116,18 @@ def test_levels_and_values(spark):
     assert got == {"a": 4, "q": None, "s": 8, "d": 2, "p": 25, **({"bad": None} if "bad" in got else {})}
 
 
+def test_levels_are_as_deep_as_the_chain(spark):
+    # As the year chain of the reference's sheet _시계열: B1 is given, each cell needs the one after it.
+    n = 24
+    edges = spark.createDataFrame([(i, i - 1) for i in range(1, n)] + [(90, 91), (91, 90), (92, 90)], "cell long, needs long")
+    assert {r.cell: r.level for r in levels.levels(spark.createDataFrame([(i,) for i in [*range(n), 90, 91, 92]], "cell long"), edges).collect()} == {**{i: i for i in range(n)}, 90: None, 91: None, 92: None}
+    inputs = spark.createDataFrame([("0", 2025.0), ("one", 1.0)], "cell string, num double")
+    specs = spark.createDataFrame([(str(i), "sub") for i in range(1, n)] + [("x", "ref"), ("y", "ref"), ("z", "sum"), ("gap", "sum"), ("none", "sum")], "cell string, shape string")
+    needs = [(str(i), p, c) for i in range(1, n) for p, c in enumerate([str(i - 1), "one"])] + [("x", 0, "y"), ("y", 0, "x"), ("z", 0, "x"), ("z", 1, "one"), ("gap", 0, "one"), ("gap", 1, "nowhere")]
+    got = levels.evaluate(inputs, specs, spark.createDataFrame(needs, "cell string, pos int, needs string")).collect()
+    assert len(got) == n + 6 and {r.cell: r.num for r in got} == {**{str(i): 2025.0 - i for i in range(n)}, "one": 1, "x": None, "y": None, "z": None, "gap": 1, "none": 0}
+
+
 def test_verification(spark):
     at = "part string, sheet string, ref string"
     specs = spark.createDataFrame([("p", "s", f"A{i}", "expr") for i in range(1, 6)] + [("p", "s", "A6", "presentation"), ("p", "_h", "A1", "expr")], f"{at}, kind string")
