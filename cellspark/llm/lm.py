@@ -1,21 +1,24 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation, beside a unigram base.
 
-Tokens are lower-cased words and an end. The model predicts a token's class
-from the classes of the CONTEXT tokens before it: the TOP most frequent words
-are classes of their own, all other words fall into classes by their ending. A
-class's words share its probability by their counts. Each position of the
-context has weights of its own (a diagonal matrix), and the classes' scores are
-normalised by a matrix product over all classes.
+Tokens are lower-cased words and an end. All frequent words have a vector of
+their own as context and as target; rarer words have one by their ending. The
+model predicts a token's class from the CONTEXT tokens before it, and then the
+word within its class: the TOP most frequent words are classes of their own,
+the other frequent words are dealt into groups of GROUP words at most, and rarer
+words fall into classes by their ending, whose words share its probability by
+their counts. Each position of the context has weights of its own (a diagonal
+matrix). Scores are normalised by matrix products over all classes, and over all
+words of a group for the tokens of that group.
 
 Passes over the texts, all of them over whole texts and all documents:
 
 1. words that are frequent in some slice, summed up: the FREQUENT largest are
-   those whose counts every worker gets (only a choice of a route: rarer words
-   are counted exactly, too), and the largest become classes;
+   those with vectors and whose counts every worker gets (rarer words are
+   counted exactly, too), and the largest become classes;
 2. exact counts of these and of the classes' tokens; and training: each task
    runs stochastic gradient descent with noise-contrastive estimation over its
-   documents from the same start, and Spark averages the parameters, weighted
-   by tokens;
+   documents from the same start, and Spark averages the parameters, each
+   word's weighted by the tokens it was learned from;
 3. scores of each document's classes and frequent words, and its rare words.
    Rare words meet in one exchange, where a window function counts them over
    all documents; a word is rare only if it is rare in every slice of text,
@@ -44,7 +47,7 @@ from .common import Words, flat, read, slices, table
 TOP, FREQUENT, OFTEN, COUNT_BYTES = 192, 65_536, 4, 2_000_000
 MOST = 2_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
-ENDINGS = 60
+ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 256, 256, 512
 LN10 = np.log(10.0)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -80,6 +83,17 @@ class Counts:
     class_counts: np.ndarray
     docs: int
 
+    def __post_init__(self) -> None:
+        # A word's slot: its place when words are ordered by class; class k has the slots from starts[k] to starts[k + 1].
+        order = np.argsort(self.classes, kind="stable")
+        self.slots = np.empty(len(order), np.int64)
+        self.slots[order] = np.arange(len(order))
+        self.starts = np.searchsorted(self.classes[order], np.arange(len(self.class_counts) + 1))
+        # A word's share of its class, by slot.
+        self.shares, sizes = self.counts[order] + 0.5, np.diff(self.starts)
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        self.shares /= np.bincount(of, self.shares, len(sizes))[of]
+
     @property
     def end(self) -> int:
         return self.top + ENDINGS
@@ -93,15 +107,28 @@ class Counts:
         hit = self.hashes[at] == t.h
         return np.where(hit, at, -1), np.where(hit, self.classes[at], classes)
 
-    def sequence(self, t: Texts, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Classes of all tokens with ends, the classes before each one (CONTEXT columns), and each token's row."""
-        seq = np.full(len(classes) + t.n, self.end, np.int16)
-        seq[np.arange(len(classes)) + t.rows] = classes
+    def sequence(self, t: Texts, at: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all tokens with ends: the class, the context before (CONTEXT columns: frequent words, endings, the end), the row, and the slot or -1."""
+        words = len(self.hashes)
+        here = np.arange(len(classes)) + t.rows
+        seq, slot, own = np.full(len(classes) + t.n, self.end, np.int16), np.full(len(classes) + t.n, -1), np.full(len(classes) + t.n, words + ENDINGS, np.int32)
+        seq[here] = classes
+        if words:
+            slot[here] = np.where(at >= 0, self.slots[at], -1)
+        own[here] = np.where(at >= 0, at, words + t.endings)
         row = np.repeat(np.arange(t.n), np.diff(t.bounds) + 1)
         start = (t.bounds[:-1] + np.arange(t.n))[row]
-        at = np.arange(len(seq))
-        before = np.stack([np.where(at - j >= start, seq[np.maximum(at - j, 0)], self.end) for j in range(1, CONTEXT + 1)], 1) if len(seq) else np.zeros((0, CONTEXT), np.int16)
-        return seq, before, row
+        i = np.arange(len(seq))
+        before = np.stack([np.where(i - j >= start, own[np.maximum(i - j, 0)], words + ENDINGS) for j in range(1, CONTEXT + 1)], 1) if len(seq) else np.zeros((0, CONTEXT), np.int32)
+        return seq, before, row, slot
+
+    def grouped(self, seq: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Groups with tokens, and where these are."""
+        some = np.flatnonzero(seq > self.end)
+        some = some[np.argsort(seq[some], kind="stable")]
+        cuts = np.searchsorted(seq[some], np.arange(self.end + 1, len(self.class_counts) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            yield self.end + 1 + int(k), some[cuts[k] : cuts[k + 1]]
 
 
 def in_training(doc_id: Column) -> Column:
@@ -131,128 +158,211 @@ def frequent_words(training: DataFrame) -> Counts:
     endings[all_e[~word]] = all_n[~word]
     h, e, n = best.column("h").drop_null().to_numpy().view(np.uint64), all_e[word], all_n[word]
     top = min(TOP, len(h))
-    np.subtract.at(endings, e[:top], n[:top])
+    np.subtract.at(endings, e, n)
+    # Groups: words with the same ending, by falling counts.
+    rest = top + np.argsort(e[top:], kind="stable")
+    place = np.arange(len(rest)) - np.searchsorted(e[rest], e[rest])
+    new = np.diff(np.stack([e[rest], place // GROUP], 1), axis=0, prepend=-1).any(1)
+    classes = np.arange(len(h))
+    classes[rest] = top + ENDINGS + np.cumsum(new)
+    groups = np.bincount(classes[rest] - top - ENDINGS - 1, n[rest]).astype(np.int64)
     order = np.argsort(h)
-    classes = np.where(np.arange(len(h)) < top, np.arange(len(h)), top + e)[order]
-    return Counts(h[order], n[order], classes, top, np.concatenate([n[:top], np.maximum(endings, 0), [max(1, n.sum() // 100)]]), 0)
+    return Counts(h[order], n[order], classes[order], top, np.concatenate([n[:top], np.maximum(endings, 0), [max(1, n.sum() // 100)], groups]), 0)
 
 
 # ----------------------------------------------------------------------- model
 @dataclass
 class Model:
-    """Representations by class (context), position weights, predicted features by class and their bias."""
+    """Representations (context), position weights; predicted features and bias by class, and by slot of the words in groups."""
 
     r: np.ndarray
     c: np.ndarray
     q: np.ndarray
     b: np.ndarray
+    wq: np.ndarray
+    wb: np.ndarray
 
     @classmethod
     def start(cls, counts: Counts) -> Model:
-        rng, k = np.random.default_rng(SEED), counts.end + 1
+        rng, k, words = np.random.default_rng(SEED), len(counts.class_counts), len(counts.hashes)
         p = (counts.class_counts + 0.5) / (counts.class_counts.sum() + 0.5 * k)
-        return cls(rng.normal(0, 0.1, (k, WIDTH)).astype("f4"), np.full((CONTEXT, WIDTH), 0.5, "f4"), rng.normal(0, 0.1, (k, WIDTH)).astype("f4"), np.log(p).astype("f4"))
+        some = lambda n: rng.normal(0, 0.1, (n, WIDTH)).astype("f4")
+        return cls(some(words + ENDINGS + 1), np.full((CONTEXT, WIDTH), 0.5, "f4"), some(k), np.log(p).astype("f4"), some(words), np.log(counts.shares).astype("f4"))
+
+    def copy(self) -> Model:
+        return Model(*(x.copy() for x in (self.r, self.c, self.q, self.b, self.wq, self.wb)))
+
+    def rows(self) -> np.ndarray:
+        """All parameters in rows of WIDTH, and a bias or 0."""
+        bias = np.concatenate([np.zeros(len(self.r) + CONTEXT, "f4"), self.b, self.wb])
+        return np.column_stack([np.concatenate([self.r, self.c, self.q, self.wq]), bias])
 
-    def flatten(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.c, self.q, self.b)])
+    def filled(self, rows: np.ndarray) -> Model:
+        r, c, q, wq = np.split(rows.astype("f4"), np.cumsum([len(self.r), CONTEXT, len(self.q)]))
+        return Model(r[:, :WIDTH].copy(), c[:, :WIDTH].copy(), q[:, :WIDTH].copy(), q[:, WIDTH].copy(), wq[:, :WIDTH].copy(), wq[:, WIDTH].copy())
 
-    def filled(self, values: np.ndarray) -> Model:
-        out, at = [], 0
-        for x in (self.r, self.c, self.q, self.b):
-            out.append(values[at : at + x.size].reshape(x.shape).astype("f4"))
-            at += x.size
-        return Model(*out)
+    def expected(self, before: np.ndarray) -> np.ndarray:
+        return sum(self.r[before[:, j]] * c for j, c in enumerate(self.c))
 
     def log_probabilities(self, seq: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log of each token's class probability, normalised over all classes."""
-        parts, out = [self.r * c for c in self.c], np.empty(len(seq))
-        # No sum of scores overflows, unless parameters have grown beyond all measure.
-        bound = sum(np.linalg.norm(p, axis=1).max() for p in parts) * np.linalg.norm(self.q, axis=1).max() + np.abs(self.b).max()
-        for i in range(0, len(seq), 8192):
-            ctx, want = before[i : i + 8192], seq[i : i + 8192]
-            x = sum(p[ctx[:, j]] for j, p in enumerate(parts))
-            s = x @ self.q.T
-            s += self.b
-            hit = s[np.arange(len(want)), want]
-            most = s.max(1) if bound > 80 else np.zeros(len(s), "f4")
-            if bound > 80:
-                s -= most[:, None]
-            np.exp(s, out=s)
-            out[i : i + 8192] = hit - most - np.log(s.sum(1))
+        return normalised(self.expected(before), seq, self.q, self.b)
+
+    def log_word_probabilities(self, counts: Counts, seq: np.ndarray, before: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Natural log of each token's probability: its class's, and in a group the word's, normalised over the group."""
+        x = self.expected(before)
+        out = normalised(x, seq, self.q, self.b)
+        for k, at in counts.grouped(seq):
+            lo, hi = counts.starts[k], counts.starts[k + 1]
+            out[at] += normalised(x[at], slot[at] - lo, self.wq[lo:hi], self.wb[lo:hi])
         return out
 
 
-def add_rows(grad: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
-    """grad[at] += values, where rows may repeat."""
-    order = np.argsort(at, kind="stable")
+def normalised(x: np.ndarray, want: np.ndarray, q: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each row's wanted column under scores x q + b."""
+    out = np.empty(len(want))
+    if not len(want):
+        return out
+    # No sum of scores overflows, unless parameters have grown beyond all measure.
+    bound = np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1).max() + np.abs(b).max()
+    for i in range(0, len(want), 1024):
+        w = want[i : i + 1024]
+        s = x[i : i + 1024] @ q.T
+        s += b
+        hit = s[np.arange(len(w)), w]
+        most = s.max(1) if bound > 80 else np.zeros(len(s), "f4")
+        if bound > 80:
+            s -= most[:, None]
+        np.exp(s, out=s)
+        out[i : i + 1024] = hit - most - np.log(s.sum(1))
+    return out
+
+
+def row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of at, and the sums of their values."""
+    order = np.argsort(at, kind="stable" if at.itemsize == 2 else None)
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    grad[at[first]] += np.add.reduceat(values[order], first, axis=0)
+    return at[first], np.add.reduceat(values[order], first, axis=0)
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad; each batch shares its noise classes."""
+    """Noise-contrastive estimation with AdaGrad; each batch shares its noise: classes, and for a group its words."""
 
     def __init__(self, model: Model, counts: Counts, seed: int = SEED):
-        self.m = model
+        self.m, self.counts = model, counts
         p = (counts.class_counts + 0.5) / (counts.class_counts.sum() + 0.5 * len(model.b))
         self.log_noise, self.cumulated = np.log(NOISE * p).astype("f4"), np.cumsum(p)
+        self.word_noise, self.word_cumulated = np.log(NOISE * counts.shares).astype("f4"), np.concatenate([[0], np.cumsum(counts.shares)])
         self.rng = np.random.default_rng(seed)
-        self.sq = [np.full_like(x, 1e-4) for x in (model.r, model.c, model.q, model.b)]
-
-    def step(self, want: np.ndarray, ctx: np.ndarray) -> None:
+        # Rows of rare words move seldom, so that they start with longer steps.
+        self.r_sq, self.wq_sq, self.wb_sq = np.full_like(model.r, 1e-7), np.full_like(model.wq, 1e-4), np.full_like(model.wb, 1e-2)
+        self.sq = [np.full_like(x, 1e-4) for x in (model.c, model.q, model.b)]
+
+    def contrast(self, x: np.ndarray, want: np.ndarray, noise: np.ndarray, q: np.ndarray, b: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Gradients of the loss by x, by q's rows and by b."""
+        qw, qn = q[want], q[noise]
+        right = (x * qw).sum(1) + b[want] - log_noise[want]
+        wrong = x @ qn.T + (b[noise] - log_noise[noise])
+        e_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))
+        e_wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))
+        at, sums = row_sums(np.concatenate([want, noise], dtype=np.int16, casting="unsafe"), np.concatenate([e_right[:, None] * x, e_wrong.T @ x]))
+        gq = np.zeros_like(q)
+        gq[at] = sums
+        gb = np.bincount(want, e_right, len(b)) + np.bincount(noise, e_wrong.sum(0), len(b))
+        return e_right[:, None] * qw + e_wrong @ qn, gq, gb.astype("f4")
+
+    @staticmethod
+    def move(value: np.ndarray, sq: np.ndarray, grad: np.ndarray, at=...) -> None:
+        new = sq[at] + grad * grad
+        sq[at] = new
+        value[at] -= RATE * grad / np.sqrt(new)
+
+    def move_contexts(self, ctx: np.ndarray, dx: np.ndarray) -> None:
+        m, n = self.m, len(ctx)
+        at, grad = row_sums(ctx.T.ravel(), np.concatenate([dx * m.c[j] for j in range(CONTEXT)]))
+        gc = np.stack([(dx * m.r[ctx[:, j]]).sum(0) for j in range(CONTEXT)])
+        self.move(m.r, self.r_sq, grad / n, at)
+        self.move(m.c, self.sq[0], gc / n)
+
+    def step(self, want: np.ndarray, ctx: np.ndarray, more: np.ndarray) -> None:
+        """One step for the classes and the contexts; more: other gradients by what the contexts expect."""
         m, n = self.m, len(want)
-        reps = [m.r[ctx[:, j]] for j in range(CONTEXT)]
-        x = sum(rep * m.c[j] for j, rep in enumerate(reps))
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), len(m.b) - 1)
-        qw, qn = m.q[want], m.q[noise]
-        right = (x * qw).sum(1) + m.b[want] - self.log_noise[want]
-        wrong = x @ qn.T + (m.b[noise] - self.log_noise[noise])
-        e_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))  # gradients of the loss by the scores
-        e_wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))
-        dx = e_right[:, None] * qw + e_wrong @ qn
-        grads = [np.zeros_like(g) for g in (m.r, m.c, m.q, m.b)]
-        add_rows(grads[2], want, e_right[:, None] * x)
-        add_rows(grads[2], noise, e_wrong.T @ x)
-        grads[3] += np.bincount(want, e_right, len(m.b)) + np.bincount(noise, e_wrong.sum(0), len(m.b))
-        add_rows(grads[0], ctx.T.ravel(), np.concatenate([dx * m.c[j] for j in range(CONTEXT)]))
-        for j, rep in enumerate(reps):
-            grads[1][j] = (dx * rep).sum(0)
-        for value, grad, sq in zip((m.r, m.c, m.q, m.b), grads, self.sq, strict=True):
-            grad /= n
-            sq += grad * grad
-            value -= RATE * grad / np.sqrt(sq)
+        dx, gq, gb = self.contrast(m.expected(ctx), want, noise, m.q, m.b, self.log_noise)
+        self.move(m.q, self.sq[1], gq / n)
+        self.move(m.b, self.sq[2], gb / n)
+        dx += more
+        at, grad = row_sums(ctx.T.ravel(), np.concatenate([dx * c for c in m.c]))
+        gc = np.stack([(dx * m.r[ctx[:, j]]).sum(0) for j in range(CONTEXT)])
+        self.move(m.r, self.r_sq, grad / n, at)
+        self.move(m.c, self.sq[0], gc / n)
+
+    def step_words(self, seq: np.ndarray, ctx: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Steps for each group's words; the gradients by what the contexts expect."""
+        m, dx = self.m, np.zeros((len(seq), WIDTH), "f4")
+        for k, some in self.counts.grouped(seq):
+            lo, hi = self.counts.starts[k], self.counts.starts[k + 1]
+            a, b = self.word_cumulated[[lo, hi]]
+            x = m.expected(ctx[some])
+            for i in range(0, len(some), WORD_BATCH):
+                at = some[i : i + WORD_BATCH]
+                noise = np.clip(np.searchsorted(self.word_cumulated[lo : hi + 1], a + self.rng.random(NOISE) * (b - a), side="right") - 1, 0, hi - lo - 1)
+                dx[at], gq, gb = self.contrast(x[i : i + WORD_BATCH], slot[at] - lo, noise, m.wq[lo:hi], m.wb[lo:hi], self.word_noise[lo:hi])
+                self.move(m.wq[lo:hi], self.wq_sq[lo:hi], gq / len(at))
+                self.move(m.wb[lo:hi], self.wb_sq[lo:hi], gb / len(at))
+        return dx
+
+    def learn(self, seq: np.ndarray, before: np.ndarray, slot: np.ndarray) -> None:
+        more = self.step_words(seq, before, slot)
+        for i in range(0, len(seq), BATCH):
+            self.step(seq[i : i + BATCH], before[i : i + BATCH], more[i : i + BATCH])
 
 
 def learn(training: DataFrame) -> tuple[Counts, Model]:
-    """Exact counts over training(text), and parameters averaged over the tasks' own ones, weighted by their tokens."""
+    """Exact counts over training(text), and parameters averaged over the tasks' own ones, weighted by the tokens that they were learned from."""
     rough = frequent_words(training)
     start = Model.start(rough)
-    words, size = len(rough.hashes), start.flatten().size
+    words, classes = len(rough.hashes), len(rough.class_counts)
+    size = len(start.r) + CONTEXT + classes + words
+    blocks, sizes = -(-size // BLOCK), np.diff(rough.starts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Keys: places of frequent words, then classes, then documents; below 0 parameters.
-        trainer, seen, total = Trainer(start.filled(start.flatten()), rough), 0, np.zeros(words + rough.end + 2, np.int64)
+        # Blocks of rows of parameters times their weight, with the weight; the last block: counts of frequent words, classes and documents.
+        trainer, total, contexts = Trainer(start.copy(), rough), np.zeros(words + classes + 1, np.int64), np.zeros(len(start.r), np.int64)
         for b in slices(batches, "text"):
             t = Texts(b.column(0))
-            at, classes = rough.look(t)
-            seq, before, _ = rough.sequence(t, classes)
+            at, cls = rough.look(t)
+            seq, before, _, slot = rough.sequence(t, at, cls)
             total[:words] += np.bincount(at[at >= 0], minlength=words)
-            total[words:-1] += np.bincount(seq, minlength=rough.end + 1)
+            total[words:-1] += np.bincount(seq, minlength=classes)
             total[-1] += t.n
-            seen += len(seq)
-            for i in range(0, len(seq), BATCH):
-                trainer.step(seq[i : i + BATCH], before[i : i + BATCH])
-        if seen:
-            some = np.flatnonzero(total)
-            keys = np.concatenate([some, -1 - np.arange(size)])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.concatenate([np.zeros(len(some)), trainer.m.flatten().astype("f8") * seen])), pa.array(np.concatenate([total[some], np.full(size, seen)]))], ["k", "v", "n"])
-
-    got = training.mapInArrow(work, "k long, v double, n long").groupBy("k").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).toArrow()  # one row per frequent word, class and parameter
-    k, v, n = (got.column(c).to_numpy() for c in ("k", "v", "n"))
-    total, values, parameter = np.zeros(words + rough.end + 2, np.int64), np.zeros(size), k < 0
-    total[k[~parameter]] = n[~parameter]
-    values[-1 - k[parameter]] = v[parameter] / n[parameter]
+            contexts += np.bincount(before[:, 0], minlength=len(contexts))
+            trainer.learn(seq, before, slot)
+        if total[-1]:
+            group = total[words:-1]
+            weight = np.concatenate([contexts, np.full(CONTEXT + classes, group.sum()), np.repeat(group, sizes)]).astype("f8")
+            rows = np.column_stack([trainer.m.rows() * weight[:, None], weight]).astype("f4")
+            some = [i for i in range(blocks) if weight[i * BLOCK : (i + 1) * BLOCK].any()]
+            yield pa.RecordBatch.from_arrays([pa.array([*some, blocks], pa.int32()), pa.array([*(rows[i * BLOCK : (i + 1) * BLOCK].tobytes() for i in some), total.tobytes()], pa.binary())], ["block", "v"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                v = np.frombuffer(v.as_buffer(), "i8" if k == blocks else "f4")
+                sums[k] = sums[k] + v if k in sums else v.astype("i8" if k == blocks else "f8")
+        yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "v"])
+
+    got = training.mapInArrow(work, "block int, v binary").repartition("block").mapInArrow(add, "block int, v binary").toArrow()  # one row per block
+    total, values = np.zeros(words + classes + 1, np.int64), start.rows().astype("f8")
+    for k, v in zip(got.column("block").to_pylist(), got.column("v").to_pylist(), strict=True):
+        if k == blocks:
+            total = np.frombuffer(v, "i8")
+        else:
+            v = np.frombuffer(v, "f8").reshape(-1, WIDTH + 2)
+            seen = np.flatnonzero(v[:, -1])
+            values[k * BLOCK + seen] = v[seen, :-1] / v[seen, -1:]
     return Counts(rough.hashes, total[:words], rough.classes, rough.top, total[words:-1], int(total[-1])), start.filled(values)
 
 
@@ -269,11 +379,11 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
         for b in slices(batches, "text"):
             t = Texts(b.column(2))
             at, classes = counts.look(t)
-            seq, before, row = counts.sequence(t, classes)
-            lm = np.bincount(row, model.log_probabilities(seq, before), t.n) / LN10
+            seq, before, row, slot = counts.sequence(t, at, classes)
+            lm = np.bincount(row, model.log_word_probabilities(counts, seq, before, slot), t.n) / LN10
             known = at >= 0
             value = np.where(known, logs[at] if len(logs) else 0.0, 0.0)
-            rest = classes >= counts.top
+            rest = ~known
             endings = np.bincount(t.rows[rest] * ENDINGS + classes[rest] - counts.top, minlength=t.n * ENDINGS).astype(np.int32)
             # Rare words: each document's distinct ones, with their number.
             rare = np.flatnonzero(~known)
@@ -284,12 +394,12 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
             items = pa.StructArray.from_arrays([pa.array(h[new].view(np.int64)), pa.array(n), pa.array(t.endings[order][new].astype(np.int32))], ["h", "n", "ending"])
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[new], np.arange(t.n + 1)), pa.int32()), items)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.diff(t.bounds) + 1), pa.array(np.bincount(t.rows, known, t.n).astype(np.int64)), pa.array(np.bincount(t.rows, value, t.n)), pa.array(np.bincount(t.rows[rest], value[rest], t.n)), pa.array(lm), pa.ListArray.from_arrays(pa.array(np.arange(t.n + 1) * ENDINGS, pa.int32()), pa.array(endings)), lists.cast(rare_type)],
-                ["doc_id", "train", "n_tokens", "known", "logs", "logs_rest", "lm", "endings", "rare"],
+                [b.column(0), b.column(1), pa.array(np.diff(t.bounds) + 1), pa.array(np.bincount(t.rows, known, t.n).astype(np.int64)), pa.array(np.bincount(t.rows, value, t.n)), pa.array(lm), pa.ListArray.from_arrays(pa.array(np.arange(t.n + 1) * ENDINGS, pa.int32()), pa.array(endings)), lists.cast(rare_type)],
+                ["doc_id", "train", "n_tokens", "known", "logs", "lm", "endings", "rare"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = texts.mapInArrow(work, f"doc_id {kind}, train boolean, n_tokens long, known long, logs double, logs_rest double, lm double, endings array<int>, rare array<struct<h: long, n: int, ending: int>>")
+    scored = texts.mapInArrow(work, f"doc_id {kind}, train boolean, n_tokens long, known long, logs double, lm double, endings array<int>, rare array<struct<h: long, n: int, ending: int>>")
     scored = table(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("row", "train", F.inline("rare"))
     by_word = W.partitionBy("h")
@@ -298,8 +408,7 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     kinds = {r["ending"]: r["v"] for r in rare.filter("first and c > 0").groupBy("ending").agg(F.count("*").alias("v")).collect()}  # ENDINGS rows at most
     tokens = int(counts.class_counts.sum())
     distinct = sum(kinds.values()) + int((counts.counts > 0).sum()) + (counts.docs > 0)
-    frequent = np.bincount((counts.classes - counts.top)[counts.classes >= counts.top], minlength=ENDINGS)
-    shares = [float(np.log10(int(counts.class_counts[counts.top + k]) + int(frequent[k]) + kinds.get(k, 0) + 1)) for k in range(ENDINGS)]
+    shares = [float(np.log10(int(counts.class_counts[counts.top + k]) + kinds.get(k, 0) + 1)) for k in range(ENDINGS)]
     by_doc = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
     out = scored.drop("rare").join(by_doc, "row", "left").withColumn("rare_logs", F.coalesce("rare_logs", F.lit(0.0)))
     inside = F.aggregate(F.zip_with("endings", F.array(*map(F.lit, shares)), lambda n, s: n * s), F.lit(0.0), lambda a, x: a + x)
@@ -310,7 +419,7 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(counts.docs > 0))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("rare_logs") + F.lit(end_log) - F.col("n_tokens") * F.lit(float(np.log10(tokens + distinct + 1)))).alias("base_score"),
-        (F.col("lm") + F.col("logs_rest") + F.col("rare_logs") - inside).alias("score"),
+        (F.col("lm") + F.col("rare_logs") - inside).alias("score"),
     )
 
 

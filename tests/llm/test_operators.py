@@ -286,6 +286,27 @@ def test_base_scores_and_gain(make, nasty, monkeypatch):
     assert (none.n_known, none.train_tokens, none.base_score) == (0, 0, 0.0) and np.isfinite(none.score)
 
 
+def test_words_that_are_not_top_are_told_apart_by_context(make, monkeypatch):
+    monkeypatch.setattr(lm, "TOP", 0)
+    rng = np.random.default_rng(8)
+    # All words end alike and are about equally frequent; only the word before says which one comes next.
+    rows = [(i, " ".join(f"a{k}x b{k}x" for k in rng.integers(0, 12, 30))) for i in range(1500)]
+    out = [r for r in lm.lm_scores(make(rows), lm.in_training(F.col("doc_id"))).collect() if not r.train]
+    tokens = sum(r.n_tokens for r in out)
+    assert len(out) > 100 and sum(r.score for r in out) / tokens > sum(r.base_score for r in out) / tokens + 0.25
+
+
+def test_word_probabilities_are_normalised():
+    h, ones = np.arange(9, dtype=np.uint64), np.ones(9, np.int64)
+    classes = np.array([0, 62, 1, 63, 62, 63, 62, 62, 63]) + np.array([0, 1, 0, 1, 1, 1, 1, 1, 1])
+    counts = lm.Counts(h, ones, classes, 2, np.ones(65, np.int64), 3)
+    model = lm.Model.start(counts)
+    seq = np.concatenate([classes, np.arange(2, 63)])
+    slot = np.concatenate([counts.slots, np.full(61, -1)])
+    logs = model.log_word_probabilities(counts, seq, np.full((len(seq), lm.CONTEXT), 4), slot)
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
+
+
 def test_class_probabilities_are_normalised():
     counts = lm.Counts(np.arange(5, dtype=np.uint64), np.ones(5, np.int64), np.arange(5), 5, np.ones(5 + lm.ENDINGS + 1, np.int64), 3)
     model = lm.Model.start(counts)
