@@ -8,11 +8,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cellspark.llm import components, decontamination, encoding, jaccard, lm, media, packing, sharding, substrings, toxicity, warc
-from cellspark.llm.common import scratch_path, table
+from cellspark.llm.common import flat, scratch_path, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -182,6 +183,62 @@ def test_token_counts_equal_the_library(make, nasty, limit):
     assert encoding.token_counts(make([]), path).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_odd_characters_are_cut_out_of_long_texts(name):
+    from tokenizers import Tokenizer
+
+    path, rng = encoding.tokenizer_path(name), np.random.default_rng(11)
+    tok, own = Tokenizer.from_file(path), encoding.Pieces(path, name.startswith("byte"))
+    some = ["a", "B", "'s", " ", "  ", "\n", "\xa0", "\u3000", "\u2009", "\x1c", "<|endoftext|>", "<|", "1", "é", "\u0301", "東", "don't", "\x85"]
+    texts = ["".join(some[k] for k in rng.integers(0, len(some), rng.integers(0, 20))) for _ in range(3000)] + ["plain words here " * 300_000 + "x\xa0 \xa0y <|endoftext|>  z " + "and more " * 10]
+    data, offsets = flat(pa.array(texts))
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    if own.ids:
+        assert [x.tolist() for x in own.rows(data, offsets)] == want
+        pieces = np.diff(np.stack(own.cuts(*flat(pa.array(texts[-1:])))), axis=0)
+        assert pieces.max() < 60
+    else:
+        assert own.counts(data, offsets).tolist() == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_with_one_key_are_told_apart(name, monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = encoding.run_hashes
+    monkeypatch.setattr(encoding, "run_hashes", lambda *a: plain(*a) % np.uint64(7))
+    path = encoding.tokenizer_path(name)
+    tok, own = Tokenizer.from_file(path), encoding.Pieces(path, name.startswith("byte"))
+    for texts in (["one two three two", "four one"], ["five six", "one"]):
+        data, offsets = flat(pa.array(texts))
+        got = [len(x) for x in own.rows(data, offsets)] if own.ids else own.counts(data, offsets).tolist()
+        assert got == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def thue_morse(n=2048):
+    """Two words of n letters that collide under every polynomial hash modulo 2**64 with an odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[k] for k in bits), "".join("ba"[k] for k in bits)
+
+
+def test_words_that_collide_under_polynomials(make):
+    from tokenizers import Tokenizer
+
+    a, b = thue_morse()
+    rows = [(1, " ".join([a] * 14)), (2, " ".join([b] * 14)), (3, " ".join([a] * 14))]
+    got = {r.id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(make(rows)).collect()}
+    assert got == {1: (1, 1), 2: (2, 0), 3: (1, 1)}
+    assert {r.doc_id: r.n_removed for r in substrings.dedup_substrings(make(rows)).collect()} == {1: 0, 2: 0, 3: 14}
+    for name, ids in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = encoding.tokenizer_path(name)
+        tok, own = Tokenizer.from_file(path), encoding.Pieces(path, ids)
+        data, offsets = flat(pa.array([t for _, t in rows]))
+        want = [tok.encode(t, add_special_tokens=False).ids for _, t in rows]
+        assert ([x.tolist() for x in own.rows(data, offsets)] if ids else own.counts(data, offsets).tolist()) == (want if ids else [len(x) for x in want])
+    known = {r.doc_id: (r.n_known, r.train_tokens) for r in lm.lm_scores(make(rows), F.col("doc_id") != 2).collect()}
+    assert known == {1: (15, 30), 2: (1, 30), 3: (15, 30)}
+
+
 def pack_truth(rows, capacity):
     from tokenizers import Tokenizer
 
@@ -382,7 +439,7 @@ def test_shards(make, nasty):
 def test_png_filters_round_trip_and_damage():
     rng = np.random.default_rng(7)
     x = rng.integers(0, 256, (17, 24), dtype=np.uint8)
-    for filters in (0, 1, 2, 3, 4, np.arange(17) % 5):
+    for filters in (None, 0, 1, 2, 3, 4, np.arange(17) % 5, rng.integers(0, 5, 17)):
         data = media.png(x, filters, idat=50)
         assert np.array_equal(media.unpng(data), x)
         for at in (3, 20, 60, len(data) - 20):
@@ -394,6 +451,44 @@ def test_png_filters_round_trip_and_damage():
             media.unpng(data[:-5])
 
 
+def plain_unfilter(rows, w):
+    """PNG's row filters, undone byte by byte."""
+    out = []
+    for y, row in enumerate(rows):
+        kind, line = row[0], []
+        for x in range(w):
+            a, b, c = line[x - 1] if x else 0, out[y - 1][x] if y else 0, out[y - 1][x - 1] if x and y else 0
+            p = a + b - c
+            near = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
+            line.append((row[x + 1] + [0, a, b, (a + b) // 2, near][kind]) % 256)
+        out.append(line)
+    return out
+
+
+def test_unfilter_equals_a_plain_loop_on_many_images():
+    rng = np.random.default_rng(17)
+    images = []
+    for h, w in ((1, 5), (6, 5), (9, 3), (4, 5), (1, 3), (12, 5), (0, 5)):
+        rows = rng.integers(0, 256, (h, w + 1), dtype=np.uint8)
+        rows[:, 0] = rng.integers(0, 5, h)
+        images.append(rows)
+    for rows, got in zip(images, media.all_samples(images), strict=True):
+        assert got.tolist() == plain_unfilter(rows.tolist(), rows.shape[1] - 1)
+    text = np.frombuffer((b"Some words of a text, and then some more of them. " * 60)[:2880], np.uint8).reshape(-1, 192)
+    own = media.unpacked(media.png(text))
+    cost = [[sum(min(v, 256 - v) for v in media.unpacked(media.png(text, k))[y, 1:].tolist()) for k in range(5)] for y in range(len(text))]
+    assert own[:, 0].tolist() == [c.index(min(c)) for c in cost] and len(set(own[:, 0].tolist())) > 1
+
+
+def test_cosine_hash_equals_a_plain_transform():
+    rng = np.random.default_rng(18)
+    for h, w in ((3, 192), (9, 24)):
+        x = rng.integers(0, 256, (h, w))
+        c = [round(sum(x[i, j] * math.cos(math.pi / h * (i + 0.5) * u) * math.cos(math.pi / w * (j + 0.5) * v) for i in range(h) for j in range(w)) / (h * w), 9) for u in range(8) for v in range(8)]
+        middle = sorted(c[1:])[31]
+        assert int(media.cosine_hash(x.astype(np.uint8)), 16) == int("".join("1" if v > middle else "0" for v in c), 2)
+
+
 def test_cosine_hash_follows_low_frequencies():
     rng = np.random.default_rng(8)
     picture = lambda: media.cosines(48).T @ rng.normal(0, 12, (8, 8)) @ media.cosines(48) + 127
