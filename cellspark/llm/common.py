@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from threading import Lock
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _scratch: dict[str, list[str]] = {}
 _scope = ""
+_lock, _cleaning, _before = Lock(), 0, None
 
 
 # --------------------------------------------------------------- scratch tables
@@ -67,7 +69,25 @@ def scope(name: str) -> Iterator[None]:
         _scope = before
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def exchanges_deleted(spark: SparkSession) -> Iterator[None]:
+    """What runs inside has its exchanges' files deleted when it ends; writes may overlap in threads of a session."""
+    global _cleaning, _before
+    with _lock:
+        if not _cleaning:
+            _before = spark.conf.get(CLEAN_UP, None)
+            spark.conf.set(CLEAN_UP, "true")
+        _cleaning += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _cleaning -= 1
+            if not _cleaning:
+                spark.conf.unset(CLEAN_UP) if _before is None else spark.conf.set(CLEAN_UP, _before)
+
+
+def table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage, outlives executors.
 
     Once the table is there, the exchanges behind it are needed no longer:
@@ -75,13 +95,9 @@ def table(df: DataFrame, name: str) -> DataFrame:
     for the next ones.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
+    path = path or scratch_path(spark, name)
+    with exchanges_deleted(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Edge cases and brute-force checks of the text operators on small tables."""
 
 import base64
+import bisect
 import collections
 import hashlib
 import math
@@ -276,45 +277,63 @@ def test_packing(make, nasty):
 
 
 def best_fit_decreasing(lengths, capacity):
-    free = []
+    """The number of sequences that sequential best fit needs, from the longest length down."""
+    free, opened = [], 0
     for n in sorted(lengths, reverse=True):
-        fits = [f for f in free if f >= n]
-        if fits:
-            free.remove(min(fits))
-            if min(fits) > n:
-                free.append(min(fits) - n)
-        else:
-            free.append(capacity - n)
-    return sum(1 for _ in free)
-
-
-@pytest.mark.parametrize("seed", range(5))
-def test_sweeps_pack_as_well_as_sequential_best_fit(seed):
-    rng = np.random.default_rng(seed)
-    lengths = rng.integers(1, 64, 400) if seed % 2 else np.minimum(1 + rng.geometric(0.1, 400), 63)
-    plan, n = packing.sweeps(dict(collections.Counter(lengths.tolist())), 64)
+        at = bisect.bisect_left(free, n)
+        gap = free.pop(at) if at < len(free) else capacity
+        opened += at == len(free) and gap == capacity
+        bisect.insort(free, gap - n)
+    return opened
+
+
+@pytest.mark.parametrize("kind", ["uniform", "short", "equal", "halves", "few"])
+def test_rounds_pack_as_well_as_sequential_best_fit(spark, kind):
+    rng = np.random.default_rng(21)
+    lengths = {
+        "uniform": rng.integers(1, 64, 900),
+        "short": np.minimum(1 + rng.geometric(0.3, 3000), 63),
+        "equal": np.full(700, 22),
+        "halves": rng.integers(28, 36, 600),
+        "few": np.array([63, 1, 40]),
+    }[kind].tolist()
+    docs = table(spark.createDataFrame(list(enumerate(lengths)), "id long, length long").repartition(5), "docs")
+    placed, opened = packing.best_fit(docs, 64)
+    got = placed.collect()
+    assert sorted(r.id for r in got) == list(range(len(lengths)))
     used = collections.defaultdict(list)
-    for length, lo, hi, sequence, each, at in plan:
-        for k in range(hi - lo):
-            used[sequence + k // each].append((at + k % each * length, length))
-    assert sum(map(len, used.values())) == 400 and len(used) == n
+    for r in got:
+        used[r.sequence_id].append((r.offset, lengths[r.id]))
     for places in used.values():
         at = 0
         for offset, length in sorted(places):
             assert offset == at
             at += length
         assert at <= 64
-    free = []
-    opened = 0
-    for m in sorted(lengths.tolist(), reverse=True):
-        fits = [f for f in free if f >= m]
-        if fits:
-            free.remove(min(fits))
-            free.append(min(fits) - m)
-        else:
-            opened += 1
-            free.append(64 - m)
-    assert n <= opened + 1
+    assert len(used) <= opened and set(used) <= set(range(opened))
+    assert len(used) <= 1.01 * best_fit_decreasing(lengths, 64) + 1
+
+
+def test_a_sweep_gives_each_document_the_smallest_free_slot(spark):
+    rng = np.random.default_rng(22)
+    for parts, n in ((1, 40), (7, 300)):
+        free, want = rng.integers(1, 50, n).tolist(), rng.integers(1, 50, n).tolist()
+        rows = [(f, False, i, 0, f) for i, f in enumerate(free)] + [(w, True, i, 0, None) for i, w in enumerate(want)]
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            got, without = packing.sweep(spark.createDataFrame(rows, "size long, doc boolean, id long, k int, free long"))
+            pairs = sorted((r.length, r.free) for r in got.collect())
+            none = sorted(r.length for r in without.collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        truth, missed, open_ = [], [], sorted(free)
+        for w in sorted(want, reverse=True):
+            at = bisect.bisect_left(open_, w)
+            truth.append((w, open_.pop(at))) if at < len(open_) else missed.append(w)
+        assert pairs == sorted(truth) and none == sorted(missed)
 
 
 # ------------------------------------------------------------------------ 5 LM
