@@ -6,10 +6,10 @@
    and only the one with the smallest doc_id goes on, with the class's size.
 2. Candidates. 32 bands of four values: two sets with a similarity of 0.8 share
    no band with probability (1 - 0.8^4)^32 = 4e-8.
-   Bands with up to SMALL classes give pairs. The classes of larger bands form
-   groups (connected components), which are dealt out in blocks of bounded
-   size, and block pairs are compared in numpy: neither all pairs of a group
-   nor all members in one task ever become rows.
+   Bands with up to SMALL classes give pairs. The classes of larger bands are
+   dealt out in blocks of bounded size, neighbours together, and pairs of blocks
+   that have a band in common are compared in numpy: neither all pairs of a
+   band nor all members in one task ever become rows.
 3. Bayesian pruning. MinHash values are compared 16 at a time; a pair goes as
    soon as, under a uniform prior, the posterior probability that its similarity
    reaches the threshold is below `tolerance`.
@@ -155,19 +155,35 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return each.select("a", F.explode(F.slice("ids", F.col("i") + 2, F.size("ids"))).alias("b")).distinct()
 
 
-def groups_of(members: DataFrame) -> DataFrame:
-    """id, group: which classes of members(band, id) hang together by bands.
+def salted(df: DataFrame, by: str) -> DataFrame:
+    return df.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
 
-    Each class takes the smallest id that it shares a band with, and the graph
-    is one of these: a large group's many bands shrink to few edges.
+
+def for_salts(df: DataFrame) -> DataFrame:
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def blocks_of(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, block: the classes of members(band, id), dealt out in blocks of bounded size.
+
+    Classes that share a band with the same smallest id are neighbours: their
+    blocks hold nobody else.
     """
     # A band may hold a third of all classes: its members are dealt out by salt, and its one row goes to each.
-    lowest = members.groupBy("band").agg(F.min("id").alias("centre")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = members.select("band", "id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    centres = salted.join(lowest, ["band", "salt"]).groupBy("id").agg(F.collect_set("centre").alias("centres"))  # a class has BANDS bands
-    near = centres.select("id", F.array_min("centres").alias("a"), "centres")
-    labels = components(near.select("a", F.explode("centres").alias("b")).distinct()).select(F.col("v").alias("a"), "label")
-    return near.select("id", "a").join(labels, "a", "left").select("id", F.coalesce("label", "a").alias("group"))
+    lowest = for_salts(members.groupBy("band").agg(F.min("id").alias("centre")))
+    near = salted(members.select("band", "id"), "id").join(lowest, ["band", "salt"]).groupBy("id").agg(F.min("centre").alias("centre"))
+    near = table(near.join(classes.select("id", "n"), "id"), "centres")
+    sizes = near.groupBy("centre").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt = salted(near, "id").join(for_salts(sizes), ["centre", "salt"])
+    return dealt.select("id", F.concat_ws("/", "centre", F.pmod(F.xxhash64("id"), "blocks")).alias("block"))
+
+
+def block_pairs(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """i <= j: distinct pairs of blocks(id, block) that have a band of members(band, id) in common."""
+    met = table(members.select("band", "id").join(blocks, "id").select("band", "block").distinct(), "band-blocks")
+    several = met.join(met.groupBy("band").agg(F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high").select("band"), "band", "left_semi")
+    one, other = several.withColumnRenamed("block", "i"), several.withColumnRenamed("block", "j")
+    return blocks.select(F.col("block").alias("i"), F.col("block").alias("j")).union(one.join(other, "band").filter("i < j").select("i", "j")).distinct()
 
 
 def pruned(pairs: DataFrame, classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -201,10 +217,10 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(work, "a long, b long")
 
 
-# ----------------------------------------------------------------------- groups
+# ----------------------------------------------------------------------- blocks
 def compare_blocks(pdf: pd.DataFrame, threshold: float, steps: list[tuple[int, int]]) -> pd.DataFrame:
-    """One pair of blocks of a group: each class's links (classes and documents), and edges that span what is linked."""
-    i, j = int(pdf.i.iloc[0]), int(pdf.j.iloc[0])
+    """One pair of blocks: each class's links (classes and documents), and edges that span what is linked."""
+    i, j = pdf.i.iloc[0], pdf.j.iloc[0]
     pdf = pdf.sort_values("id", kind="stable").reset_index(drop=True)
     x = pdf[pdf.block == i].reset_index(drop=True)
     y = x if i == j else pdf[pdf.block == j].reset_index(drop=True)
@@ -256,15 +272,12 @@ def compare_blocks(pdf: pd.DataFrame, threshold: float, steps: list[tuple[int, i
     return both.astype({"id": "int64", "links": "int64", "docs": "int64", "other": "Int64"})[["id", "other", "links", "docs"]]
 
 
-def group_links(members: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """id, other, links, docs (see compare_blocks) for the classes members(id, group)."""
+def block_links(blocks: DataFrame, pairs: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """id, other, links, docs (see compare_blocks) for the pairs(i, j) of blocks(id, block)."""
     steps = least_matches(threshold, tolerance)
-    sizes = members.join(classes.select("id", "n"), "id").groupBy("group").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    rows = members.join(sizes, "group").join(classes.select("id", "n", "copies", "sig"), "id").join(sets, "id")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k", "blocks")
-    return rows.groupBy("group", "i", "j").applyInPandas(lambda pdf: compare_blocks(pdf, threshold, steps), "id long, other long, links long, docs long")
+    wanted = pairs.withColumn("block", F.col("i")).union(pairs.filter("i < j").withColumn("block", F.col("j")))
+    rows = blocks.join(classes.select("id", "n", "copies", "sig"), "id").join(sets, "id").join(wanted, "block")
+    return rows.groupBy("i", "j").applyInPandas(lambda pdf: compare_blocks(pdf, threshold, steps), "id long, other long, links long, docs long")
 
 
 # ------------------------------------------------------------------------- join
@@ -274,14 +287,18 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     classes = table(sig.groupBy("f1", "f2").agg(F.min_by(F.struct("id", "n", "sig", "bands"), "id").alias("r"), F.count("*").alias("copies")).select("f1", "f2", "copies", "r.*"), "classes")
     banded = classes.filter("n > 0").select("id", F.explode("bands").alias("band"))
     full = table(banded.join(banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"), "band"), "bands")
-    groups = table(groups_of(full.filter(F.col("size") > SMALL)), "groups")
-    a, b = (groups.select(F.col("id").alias(k), F.col("group").alias(f"group_{k}")) for k in ("a", "b"))
-    pairs = small_pairs(full.filter(F.col("size") <= SMALL)).join(a, "a", "left").join(b, "b", "left").filter(~F.coalesce(F.col("group_a") == F.col("group_b"), F.lit(False))).select("a", "b")
+    large = full.filter(F.col("size") > SMALL)
+    blocks = table(blocks_of(large, classes), "blocks")
+    together = table(block_pairs(large, blocks), "block-pairs")
+    # Pairs of classes whose blocks are compared anyway are left to these.
+    a, b = (blocks.select(F.col("id").alias(k), F.col("block").alias(f"block_{k}")) for k in ("a", "b"))
+    pairs = small_pairs(full.filter(F.col("size") <= SMALL)).join(a, "a", "left").join(b, "b", "left").withColumns({"i": F.least("block_a", "block_b"), "j": F.greatest("block_a", "block_b")})
+    pairs = pairs.filter("block_a is null or block_b is null").select("a", "b").union(pairs.filter("block_a is not null and block_b is not null").join(together, ["i", "j"], "left_anti").select("a", "b"))
     pairs = table(pruned(pairs, classes, threshold, tolerance), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(groups.select("id")).distinct()
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(blocks.select("id")).distinct()
     sets = table(sets_of(docs, wanted, words), "sets")
     pairs = table(verified(pairs, sets, threshold), "verified")
-    inside = table(group_links(groups, classes, sets, threshold, tolerance), "grouped")
+    inside = table(block_links(blocks, together, classes, sets, threshold, tolerance), "linked")
     copies = classes.select("id", "copies")
     ends = pairs.union(pairs.select("b", "a")).toDF("id", "other").join(copies.withColumnRenamed("id", "other"), "other")
     links = ends.select("id", F.lit(1).cast("long").alias("links"), F.col("copies").alias("docs")).union(inside.select("id", "links", "docs")).groupBy("id").agg(F.sum("links").alias("links"), F.sum("docs").alias("docs"))
