@@ -5,11 +5,13 @@ the windows of a slice of texts into arrays by hash bucket, so that the exchange
 carries few rows; Spark unpacks them behind it and finds each hash's
 smallest doc_id with a window function. Before that exchange a slice settles
 what it can: where several of its documents share a window, only the smallest
-doc_id stands for it outside, so that a passage in a third of all documents
-arrives once per slice, not once per document. Repeated windows then meet their
-document again, where neighbouring ones merge into maximal removal intervals.
+doc_id stands for it outside, and a task remembers such windows for its next
+slices, so that a passage in a third of all documents arrives about once per
+task, not once per document. Repeated windows then meet their document again (a
+list no longer than its text), where neighbouring ones merge into maximal
+removal intervals.
 
-Windows are compared by 64-bit hashes of word hashes.
+Windows are compared by 96 bits, of two hashes over word hashes.
 
 * null or empty text, texts shorter than a window: nothing is removed; null
   stays null. Very long texts: all windows count.
@@ -29,18 +31,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, even_keys, flat, read, slices, table, windows
+from .common import Words, even_keys, flat, mix, read, slices, table, windows
 
 SIZE = 13
 #: Bytes of text whose windows are packed together.
 SLICE = 2_000_000
+#: Shared windows that a task remembers.
+MOST_SHARED = 200_000
+#: Makes the second hash another function of a window's words.
+OTHER = np.uint64(0xA24BAED4963EE407)
 RESULTS = ("n_words", "n_removed", "spans")
 
 
-def packed(keys: np.ndarray, d: np.ndarray, h: np.ndarray) -> list[pa.Array]:
-    """Rows (key, docs, which, hs): hashes of a key with, for each, which of the row's at most 128 documents it is of."""
+def packed(keys: np.ndarray, d: np.ndarray, h: np.ndarray, c: np.ndarray) -> list[pa.Array]:
+    """Rows (key, docs, which, hs, cs): hashes of a key with, for each, which of the row's at most 128 documents it is of."""
     order = np.lexsort((d, keys))
-    keys, d, h = keys[order], d[order], h[order]
+    keys, d, h, c = keys[order], d[order], h[order], c[order]
     new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
     new_doc = new_key.copy()
     new_doc[1:] |= d[1:] != d[:-1]
@@ -50,7 +56,31 @@ def packed(keys: np.ndarray, d: np.ndarray, h: np.ndarray) -> list[pa.Array]:
     rows, docs = np.append(np.flatnonzero(new_row), len(keys)), np.flatnonzero(new_doc)
     doc_rows = np.searchsorted(docs, rows)
     lists = lambda cuts, x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x))
-    return [pa.array(keys[rows[:-1]]), lists(doc_rows, d[docs]), lists(rows, (in_key % 128).astype(np.int8)), lists(rows, h.view(np.int64))]
+    return [pa.array(keys[rows[:-1]]), lists(doc_rows, d[docs]), lists(rows, (in_key % 128).astype(np.int8)), lists(rows, h.view(np.int64)), lists(rows, c)]
+
+
+class Shared:
+    """Windows that several documents of a task's slices have, with the smallest doc_id sent out for each; at most `most`."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.h, self.c, self.d = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def later(self, h: np.ndarray, c: np.ndarray, d: np.ndarray, several: np.ndarray) -> np.ndarray:
+        """Which of a slice's windows (distinct, ascending h; d: the smallest doc_id; several: in more than one document) an earlier slice's document with a smaller id has."""
+        at = np.minimum(np.searchsorted(self.h, h), max(len(self.h) - 1, 0))
+        known = (self.h[at] == h) & (self.c[at] == c) if len(self.h) else np.zeros(len(h), bool)
+        at = at[known]
+        out = np.zeros(len(h), bool)
+        out[known] = d[known] > self.d[at]
+        self.d[at] = np.minimum(self.d[at], d[known])
+        new = np.flatnonzero(several & ~known)[: self.most]
+        new = new[~np.isin(h[new], self.h)]  # one window for each h is enough to remember
+        if len(self.h) + len(new) > self.most:
+            self.__init__(self.most)
+        to = np.searchsorted(self.h, h[new])
+        self.h, self.c, self.d = np.insert(self.h, to, h[new]), np.insert(self.c, to, c[new]), np.insert(self.d, to, d[new])
+        return out
 
 
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -59,28 +89,37 @@ def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     buckets = even_keys(docs.sparkSession, n)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = Shared(MOST_SHARED)
         for b in slices(batches, "text", SLICE):
             w = Words(*flat(b.column(1)))
-            h, _, rows = windows(w.hashes(), w.bounds, size)
+            words = w.hashes()
+            h, _, rows = windows(words, w.bounds, size)
+            c = (windows(mix(words ^ OTHER), w.bounds, size)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32)
             d = b.column(0).to_numpy(zero_copy_only=False)[rows]
-            order = np.lexsort((d, h))
-            h, d = h[order], d[order]
+            order = np.lexsort((d, c, h))
+            h, c, d = h[order], c[order], d[order]
             new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
             keep = new.copy()
             keep[1:] |= d[1:] != d[:-1]
-            for known, some in ((False, np.flatnonzero(new)), (True, np.flatnonzero(keep & ~new))):
+            settled, some = keep & ~new, np.flatnonzero(new)
+            several = np.logical_or.reduceat(settled, some) if len(some) else new
+            # A hash that stands for two windows of this slice (as good as never) is left to the exchange.
+            single = np.ones(len(some), bool)
+            single[1:] &= h[some[1:]] != h[some[:-1]]
+            settled[some[single]] = shared.later(h[some[single]], c[some[single]], d[some[single]], several[single])
+            for known, some in ((False, np.flatnonzero(new & ~settled)), (True, np.flatnonzero(settled))):
                 if len(some):
                     keys = buckets[((d[some].astype(np.uint64) if known else h[some]) % np.uint64(n)).astype(np.int64)]
-                    columns = packed(keys, d[some], h[some])
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), known))], ["bucket", "docs", "which", "hs", "known"])
+                    columns = packed(keys, d[some], h[some], c[some])
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), known))], ["bucket", "docs", "which", "hs", "cs", "known"])
 
     slim = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = slim.mapInArrow(put, "bucket int, docs array<long>, which array<tinyint>, hs array<long>, known boolean").repartition(n, "bucket")
-    each = rows.select("bucket", "known", "docs", "which", F.posexplode("hs").alias("at", "h"))
-    each = each.select("h", "bucket", "known", F.get("docs", F.get("which", "at")).alias("d"))
+    rows = slim.mapInArrow(put, "bucket int, docs array<long>, which array<tinyint>, hs array<long>, cs array<int>, known boolean").repartition(n, "bucket")
+    each = rows.select("bucket", "known", "docs", "which", "cs", F.posexplode("hs").alias("at", "h"))
+    each = each.select("h", F.get("cs", "at").alias("c"), "bucket", "known", F.get("docs", F.get("which", "at")).alias("d"))
     # What a slice has settled forms groups of its own, beside the hash's.
-    first = F.min("d").over(W.partitionBy("h", "bucket", F.when(F.col("known"), F.col("d"))))
+    first = F.min("d").over(W.partitionBy("h", "c", "bucket", F.when(F.col("known"), F.col("d"))))
     return each.withColumn("first", first).filter(F.col("known") | (F.col("d") > F.col("first"))).groupBy("d").agg(F.collect_list("h").alias("hs"))
 
 

@@ -550,6 +550,17 @@ def cut_truth(rows, size):
     return sorted(out, key=str)
 
 
+def test_windows_shared_by_several_slices_of_a_task(make, monkeypatch):
+    rng = np.random.default_rng(19)
+    passages = [" ".join(f"p{k}x{i}" for i in range(20)) for k in range(6)]
+    rows = [(int(i), " ".join(passages[k] for k in rng.integers(0, 6, 3)) + f" own{i}") for i in rng.permutation(400)]
+    for most in (3, 10**6):
+        monkeypatch.setattr(substrings, "SLICE", 2000)
+        monkeypatch.setattr(substrings, "MOST_SHARED", most)
+        got = [(str(r.doc_id), r.n_words, r.n_removed, tuple(WORD.findall(r.text))) for r in substrings.dedup_substrings(make(rows).coalesce(2)).collect()]
+        assert sorted(got, key=str) == cut_truth(rows, 13)
+
+
 def test_substrings_equal_brute_force(make, nasty):
     rng = np.random.default_rng(9)
     passage = " ".join(f"p{i}" for i in range(30))
