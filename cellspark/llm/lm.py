@@ -15,14 +15,18 @@ Passes over the texts, all of them over whole texts and all documents:
 1. words that are frequent in some slice, summed up: the FREQUENT largest are
    those with vectors and whose counts every worker gets (rarer words are
    counted exactly, too), and the largest become classes;
-2. exact counts of these and of the classes' tokens; and training: each task
-   runs stochastic gradient descent with noise-contrastive estimation over its
-   documents from the same start, and Spark averages the parameters, each
-   word's weighted by the tokens it was learned from;
+2. training in ROUNDS rounds, each over its own share of the documents: workers
+   run stochastic gradient descent with noise-contrastive estimation from the
+   same start, and Spark averages parameters and step sizes, each word's
+   weighted by the tokens it was learned from, for the next round; beside it,
+   exact counts of frequent words and of the classes' tokens;
 3. scores of each document's classes and frequent words, and its rare words.
-   Rare words meet in one exchange, where a window function counts them over
-   all documents; a word is rare only if it is rare in every slice of text,
-   so that no group of that exchange holds more than a few words per slice.
+   Rare words are summed up where they are scanned, then over all documents,
+   and join the documents that hold them.
+
+Passes 1 and 2 deal documents out by a hash of doc_id and text to as many
+workers as there are WORKER_BYTES of text, in the order of that hash: the model
+depends on the documents alone, not on files or partitions.
 
 * null or empty text: the end alone. Very long texts: every token counts.
 * Repeated rows and ties: each row is a document of its own, also with an equal
@@ -38,16 +42,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Words, flat, read, slices, table
+from .common import Words, exchanges_deleted, flat, read, slices, table
 
-TOP, FREQUENT, OFTEN, COUNT_BYTES = 192, 65_536, 4, 2_000_000
+TOP, FREQUENT, OFTEN, COUNT_BYTES = 64, 65_536, 4, 2_000_000
 MOST = 2_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
-ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 256, 256, 512
+ROUNDS, WORKER_BYTES = 3, 48_000_000
+ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 384, 256, 512
 LN10 = np.log(10.0)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -135,6 +140,12 @@ def in_training(doc_id: Column) -> Column:
     return ~F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 7 == 2, F.lit(False))
 
 
+def dealt(training: DataFrame, workers: int, nth: int = 0, of: int = 1) -> DataFrame:
+    """The nth of so many shares of training(doc_id, text), dealt out to workers in an order that only the rows decide."""
+    keyed = training.select("text", F.xxhash64("doc_id", "text").alias("key")).filter(F.pmod("key", F.lit(of)) == nth)
+    return keyed.repartition(workers, "key").sortWithinPartitions("key", "text").select("text")
+
+
 def frequent_words(training: DataFrame) -> Counts:
     """The frequent words of training(text), with nearly their counts: what a slice has too few of is missing."""
 
@@ -189,9 +200,6 @@ class Model:
         some = lambda n: rng.normal(0, 0.1, (n, WIDTH)).astype("f4")
         return cls(some(words + ENDINGS + 1), np.full((CONTEXT, WIDTH), 0.5, "f4"), some(k), np.log(p).astype("f4"), some(words), np.log(counts.shares).astype("f4"))
 
-    def copy(self) -> Model:
-        return Model(*(x.copy() for x in (self.r, self.c, self.q, self.b, self.wq, self.wb)))
-
     def rows(self) -> np.ndarray:
         """All parameters in rows of WIDTH, and a bias or 0."""
         bias = np.concatenate([np.zeros(len(self.r) + CONTEXT, "f4"), self.b, self.wb])
@@ -247,17 +255,26 @@ def row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad; each batch shares its noise: classes, and for a group its words."""
+    """Noise-contrastive estimation with AdaGrad; each batch shares its noise: classes, and for a group its words.
 
-    def __init__(self, model: Model, counts: Counts, seed: int = SEED):
-        self.m, self.counts = model, counts
+    start: all parameters and their sums of squared gradients, as rows() gives them.
+    """
+
+    def __init__(self, model: Model, counts: Counts, seed: int = SEED, start: np.ndarray | None = None):
+        # Rows of rare words move seldom, so that they start with longer steps.
+        squares = Model(*(np.full_like(x, v) for x, v in zip((model.r, model.c, model.q, model.b, model.wq, model.wb), (1e-7, 1e-4, 1e-4, 1e-4, 1e-4, 1e-2), strict=True)))
+        if start is not None:
+            model, squares = model.filled(start[:, : WIDTH + 1]), model.filled(start[:, WIDTH + 1 :])
+        self.m, self.counts, self.squares = model, counts, squares
         p = (counts.class_counts + 0.5) / (counts.class_counts.sum() + 0.5 * len(model.b))
         self.log_noise, self.cumulated = np.log(NOISE * p).astype("f4"), np.cumsum(p)
         self.word_noise, self.word_cumulated = np.log(NOISE * counts.shares).astype("f4"), np.concatenate([[0], np.cumsum(counts.shares)])
         self.rng = np.random.default_rng(seed)
-        # Rows of rare words move seldom, so that they start with longer steps.
-        self.r_sq, self.wq_sq, self.wb_sq = np.full_like(model.r, 1e-7), np.full_like(model.wq, 1e-4), np.full_like(model.wb, 1e-2)
-        self.sq = [np.full_like(x, 1e-4) for x in (model.c, model.q, model.b)]
+        self.r_sq, self.wq_sq, self.wb_sq = squares.r, squares.wq, squares.wb
+        self.sq = [squares.c, squares.q, squares.b]
+
+    def rows(self) -> np.ndarray:
+        return np.column_stack([self.m.rows(), self.squares.rows()])
 
     def contrast(self, x: np.ndarray, want: np.ndarray, noise: np.ndarray, q: np.ndarray, b: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gradients of the loss by x, by q's rows and by b."""
@@ -278,13 +295,6 @@ class Trainer:
         sq[at] = new
         value[at] -= RATE * grad / np.sqrt(new)
 
-    def move_contexts(self, ctx: np.ndarray, dx: np.ndarray) -> None:
-        m, n = self.m, len(ctx)
-        at, grad = row_sums(ctx.T.ravel(), np.concatenate([dx * m.c[j] for j in range(CONTEXT)]))
-        gc = np.stack([(dx * m.r[ctx[:, j]]).sum(0) for j in range(CONTEXT)])
-        self.move(m.r, self.r_sq, grad / n, at)
-        self.move(m.c, self.sq[0], gc / n)
-
     def step(self, want: np.ndarray, ctx: np.ndarray, more: np.ndarray) -> None:
         """One step for the classes and the contexts; more: other gradients by what the contexts expect."""
         m, n = self.m, len(want)
@@ -319,17 +329,15 @@ class Trainer:
             self.step(seq[i : i + BATCH], before[i : i + BATCH], more[i : i + BATCH])
 
 
-def learn(training: DataFrame) -> tuple[Counts, Model]:
-    """Exact counts over training(text), and parameters averaged over the tasks' own ones, weighted by the tokens that they were learned from."""
-    rough = frequent_words(training)
-    start = Model.start(rough)
+def train_round(texts: DataFrame, rough: Counts, start: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Averages of what the workers (partitions of texts) made of start, weighted by the tokens behind each row; counts of frequent words, classes and documents."""
     words, classes = len(rough.hashes), len(rough.class_counts)
-    size = len(start.r) + CONTEXT + classes + words
-    blocks, sizes = -(-size // BLOCK), np.diff(rough.starts)
+    contexts_n = words + ENDINGS + 1
+    blocks, sizes = -(-len(start) // BLOCK), np.diff(rough.starts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Blocks of rows of parameters times their weight, with the weight; the last block: counts of frequent words, classes and documents.
-        trainer, total, contexts = Trainer(start.copy(), rough), np.zeros(words + classes + 1, np.int64), np.zeros(len(start.r), np.int64)
+        # Of each block of rows those that were learned from: their places, and values times weight, and weight; the last block: the counts.
+        trainer, total, contexts = Trainer(Model.start(rough), rough, seed, start), np.zeros(words + classes + 1, np.int64), np.zeros(contexts_n, np.int64)
         for b in slices(batches, "text"):
             t = Texts(b.column(0))
             at, cls = rough.look(t)
@@ -337,40 +345,62 @@ def learn(training: DataFrame) -> tuple[Counts, Model]:
             total[:words] += np.bincount(at[at >= 0], minlength=words)
             total[words:-1] += np.bincount(seq, minlength=classes)
             total[-1] += t.n
-            contexts += np.bincount(before[:, 0], minlength=len(contexts))
+            contexts += np.bincount(before[:, 0], minlength=contexts_n)
             trainer.learn(seq, before, slot)
         if total[-1]:
             group = total[words:-1]
             weight = np.concatenate([contexts, np.full(CONTEXT + classes, group.sum()), np.repeat(group, sizes)]).astype("f8")
-            rows = np.column_stack([trainer.m.rows() * weight[:, None], weight]).astype("f4")
-            some = [i for i in range(blocks) if weight[i * BLOCK : (i + 1) * BLOCK].any()]
-            yield pa.RecordBatch.from_arrays([pa.array([*some, blocks], pa.int32()), pa.array([*(rows[i * BLOCK : (i + 1) * BLOCK].tobytes() for i in some), total.tobytes()], pa.binary())], ["block", "v"])
+            seen = np.flatnonzero(weight)
+            rows = np.column_stack([trainer.rows()[seen] * weight[seen, None], weight[seen]]).astype("f4")
+            cuts = np.searchsorted(seen, np.arange(blocks + 1) * BLOCK)
+            some = np.flatnonzero(np.diff(cuts))
+            parts = [(seen[a:z] % BLOCK).astype("u2").tobytes() + rows[a:z].tobytes() for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
+            worker = np.full(len(some) + 1, TaskContext.get().partitionId(), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(some, blocks).astype(np.int32)), pa.array(worker), pa.array([*parts, total.tobytes()], pa.binary())], ["block", "worker", "v"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for k, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                v = np.frombuffer(v.as_buffer(), "i8" if k == blocks else "f4")
-                sums[k] = sums[k] + v if k in sums else v.astype("i8" if k == blocks else "f8")
+            for k, v in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if k == blocks:
+                    sums[k] = sums.get(k, 0) + np.frombuffer(v, "i8")
+                else:
+                    n = len(v) // (2 + 4 * (start.shape[1] + 1))
+                    sums.setdefault(k, np.zeros((BLOCK, start.shape[1] + 1)))[np.frombuffer(v, "u2", n)] += np.frombuffer(v, "f4", offset=2 * n).reshape(n, -1)
         yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "v"])
 
-    got = training.mapInArrow(work, "block int, v binary").repartition("block").mapInArrow(add, "block int, v binary").toArrow()  # one row per block
-    total, values = np.zeros(words + classes + 1, np.int64), start.rows().astype("f8")
+    sent = texts.mapInArrow(work, "block int, worker int, v binary").repartition("block").sortWithinPartitions("block", "worker")
+    with exchanges_deleted(texts.sparkSession):
+        got = sent.mapInArrow(add, "block int, v binary").toArrow()  # one row per block
+    total, values = np.zeros(words + classes + 1, np.int64), start.copy()
     for k, v in zip(got.column("block").to_pylist(), got.column("v").to_pylist(), strict=True):
         if k == blocks:
             total = np.frombuffer(v, "i8")
         else:
-            v = np.frombuffer(v, "f8").reshape(-1, WIDTH + 2)
+            v = np.frombuffer(v, "f8").reshape(BLOCK, -1)
             seen = np.flatnonzero(v[:, -1])
             values[k * BLOCK + seen] = v[seen, :-1] / v[seen, -1:]
-    return Counts(rough.hashes, total[:words], rough.classes, rough.top, total[words:-1], int(total[-1])), start.filled(values)
+    return values, total
+
+
+def learn(training: DataFrame, rounds: int = ROUNDS, worker_bytes: int = WORKER_BYTES) -> tuple[Counts, Model]:
+    """Exact counts over training(doc_id, text), and the parameters after all rounds."""
+    size = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    workers = lambda of: max(1, -(-size // (of * worker_bytes)))
+    rough = frequent_words(dealt(training, workers(1)))
+    words = len(rough.hashes)
+    values, total = Trainer(Model.start(rough), rough).rows(), 0
+    for r in range(rounds):
+        values, counted = train_round(dealt(training, workers(rounds), r, rounds), rough, values, SEED + r)
+        total = total + counted
+    return Counts(rough.hashes, total[:words], rough.classes, rough.top, total[words:-1], int(total[-1])), Model.start(rough).filled(values[:, : WIDTH + 1])
 
 
 # --------------------------------------------------------------------- scoring
 def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score: all documents, learning from those with train."""
     texts = docs.select("doc_id", F.coalesce(train, F.lit(True)).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
-    counts, model = learn(texts.filter("train").select("text"))
+    counts, model = learn(texts.filter("train").select("doc_id", "text"))
     logs = np.log10(counts.counts + 1.0)
     end_log = float(np.log10(counts.docs + 1.0))
     rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32()), ("ending", pa.int32())]))
@@ -402,14 +432,13 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     scored = texts.mapInArrow(work, f"doc_id {kind}, train boolean, n_tokens long, known long, logs double, lm double, endings array<int>, rare array<struct<h: long, n: int, ending: int>>")
     scored = table(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
     rare = scored.select("row", "train", F.inline("rare"))
-    by_word = W.partitionBy("h")
-    rare = rare.select("row", "n", "ending", F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).over(by_word).alias("c"), (F.min("row").over(by_word) == F.col("row")).alias("first"))
-    rare = table(rare, "lm-rare")
-    kinds = {r["ending"]: r["v"] for r in rare.filter("first and c > 0").groupBy("ending").agg(F.count("*").alias("v")).collect()}  # ENDINGS rows at most
+    known = rare.filter("train").groupBy("h").agg(F.sum("n").alias("c"), F.min("row").alias("first"))
+    rare = table(rare.join(known, "h").select("row", "n", "ending", "c", (F.col("row") == F.col("first")).alias("first")), "lm-rare")
+    kinds = {r["ending"]: r["v"] for r in rare.filter("first").groupBy("ending").agg(F.count("*").alias("v")).collect()}  # ENDINGS rows at most
     tokens = int(counts.class_counts.sum())
     distinct = sum(kinds.values()) + int((counts.counts > 0).sum()) + (counts.docs > 0)
     shares = [float(np.log10(int(counts.class_counts[counts.top + k]) + kinds.get(k, 0) + 1)) for k in range(ENDINGS)]
-    by_doc = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
+    by_doc = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rare_logs"), F.sum("n").alias("rare_known"))
     out = scored.drop("rare").join(by_doc, "row", "left").withColumn("rare_logs", F.coalesce("rare_logs", F.lit(0.0)))
     inside = F.aggregate(F.zip_with("endings", F.array(*map(F.lit, shares)), lambda n, s: n * s), F.lit(0.0), lambda a, x: a + x)
     return out.select(

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.llm import components, decontamination, encoding, jaccard, lm, media, packing, sharding, substrings, toxicity, warc
-from cellspark.llm.common import flat, scratch_path, table
+from cellspark.llm.common import Words, flat, scratch_path, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -372,6 +372,53 @@ def test_words_that_are_not_top_are_told_apart_by_context(make, monkeypatch):
     assert len(out) > 100 and sum(r.score for r in out) / tokens > sum(r.base_score for r in out) / tokens + 0.25
 
 
+def test_the_model_depends_on_the_documents_alone(make):
+    rng = np.random.default_rng(14)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[k] for k in rng.zipf(1.4, 80) % 200)) for i in range(400)]
+    docs = make(rows)
+    got = []
+    for parts in (1, 5):
+        counts, model = lm.learn(docs.repartition(parts, "doc_id").select("doc_id", "text"), 3, 20_000)  # several workers in each round
+        got.append([counts.hashes, counts.counts, counts.classes, counts.class_counts, *vars(model).values()])
+    assert all(np.array_equal(a, b) for a, b in zip(*got, strict=True))
+    assert got[0][3].sum() == sum(len(WORD.findall(t)) + 1 for _, t in rows)
+
+
+def test_scores_equal_a_plain_evaluation(make):
+    rng = np.random.default_rng(15)
+    words = [f"w{chr(97 + i % 26)}" if i % 2 else f"v{i}{chr(97 + i % 7)}" for i in range(150)]
+    rows = [(i, " ".join(words[k] for k in rng.zipf(1.3, 40) % 150) + f" only{i}a") for i in range(250)]
+    docs = make(rows)
+    scores = {r.doc_id: r.score for r in lm.lm_scores(docs, F.lit(True)).collect()}
+    counts, model = lm.learn(docs.select("doc_id", "text"))
+    c = collections.Counter(x for _, t in rows for x in WORD.findall(t))
+    at = {h: k for k, h in enumerate(counts.hashes.tolist())}
+    ending = lambda x: lm._ENDING[x.encode()[-1]]
+    hashed = lambda x: int(Words(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x)])).hashes()[0])
+    rest = collections.defaultdict(list)  # rare words by ending
+    for x in c:
+        if hashed(x) not in at:
+            rest[ending(x)].append(x)
+    for i, t in rows[:12]:
+        total, before = 0.0, [len(at) + lm.ENDINGS] * lm.CONTEXT
+        for x in [*WORD.findall(t), None]:
+            expect = sum(model.r[b].astype("f8") * model.c[j] for j, b in enumerate(before))
+            k = counts.end if x is None else int(counts.classes[at[hashed(x)]]) if hashed(x) in at else counts.top + ending(x)
+            z = [math.exp(float(expect @ q + b)) for q, b in zip(model.q.astype("f8"), model.b, strict=True)]
+            p = z[k] / sum(z)
+            if x is not None and hashed(x) not in at:
+                p *= (c[x] + 1) / (sum(c[y] + 1 for y in rest[ending(x)]) + 1)  # 1 more for all unknown words
+            elif k > counts.end:
+                lo, hi = counts.starts[k], counts.starts[k + 1]
+                z = [math.exp(float(expect @ q + b)) for q, b in zip(model.wq[lo:hi].astype("f8"), model.wb[lo:hi], strict=True)]
+                p *= z[counts.slots[at[hashed(x)]] - lo] / sum(z)
+            total += math.log10(p)
+            here = len(at) + lm.ENDINGS if x is None else at[hashed(x)] if hashed(x) in at else len(at) + ending(x)
+            before = [here, *before[:-1]]
+        assert scores[i] == pytest.approx(total, abs=2e-3)
+
+
 def test_word_probabilities_are_normalised():
     h, ones = np.arange(9, dtype=np.uint64), np.ones(9, np.int64)
     classes = np.array([0, 62, 1, 63, 62, 63, 62, 62, 63]) + np.array([0, 1, 0, 1, 1, 1, 1, 1, 1])
