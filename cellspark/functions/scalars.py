@@ -84,6 +84,15 @@ def compare(a: Column, relation: str, b: Column) -> Column:
 
 
 # ----------------------------------------------------------------- arithmetic
+#: From here on every double is a whole number, and the next ones no longer fit a long.
+WHOLE = float(2**53)
+
+
+def floor(x: Column) -> Column:
+    """The largest whole number that isn't greater, as a double of any size."""
+    return F.when(F.abs(x) < WHOLE, F.floor(x).cast("double")).otherwise(x)
+
+
 def divide(a: Column, b: Column) -> Column:
     """a / b; an error (null) where b is 0."""
     return F.try_divide(a, b)
@@ -96,12 +105,12 @@ def percent(a: Column) -> Column:
 def quotient(a: Column, b: Column) -> Column:
     """The whole part of a / b, towards zero."""
     q = F.try_divide(a, b)
-    return F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q)).cast("double")
+    return F.when(q >= 0, floor(q)).otherwise(-floor(-q))
 
 
 def modulo(a: Column, b: Column) -> Column:
     """The remainder with the divisor's sign."""
-    return a - b * F.floor(F.try_divide(a, b))
+    return a - b * floor(F.try_divide(a, b))
 
 
 def fifteen_digits(x: Column) -> Column:
@@ -113,13 +122,17 @@ def round_half_away(x: Column, digits: int | Column = 0) -> Column:
     """ROUND(): halves away from zero, judged on 15 significant digits."""
     f = F.pow(F.lit(10.0), F.lit(float(digits)) if isinstance(digits, int) else digits)
     n = fifteen_digits(x * f)
-    return F.signum(n) * F.floor(F.abs(n) + 0.5) / f + F.lit(0.0)
+    return F.signum(n) * F.when(F.abs(n) < WHOLE, floor(F.abs(n) + 0.5)).otherwise(F.abs(n)) / f + F.lit(0.0)
 
 
-def text_fixed(x: Column, decimals: int = 0, group: bool = False) -> Column:
+def text_fixed(x: Column, decimals: int | Column = 0, group: bool = False) -> Column:
     """TEXT() with a format of digits: rounded, with fixed decimals, in groups of three if asked; non-numbers count as 0."""
-    pattern = ("#,##0" if group else "0") + ("." + "0" * decimals if decimals else "")
-    return F.call_function("format_number", round_half_away(F.coalesce(x, F.lit(0.0)), decimals), F.lit(pattern))
+    whole = "#,##0" if group else "0"
+    if isinstance(decimals, int):
+        pattern = F.lit(whole + ("." + "0" * decimals if decimals else ""))
+    else:
+        pattern = F.when(decimals > 0, F.concat(F.lit(whole + "."), F.repeat(F.lit("0"), decimals))).otherwise(whole)
+    return F.call_function("format_number", round_half_away(F.coalesce(x, F.lit(0.0)), decimals), pattern)
 
 
 def number_value(s: Column) -> Column:
@@ -133,10 +146,15 @@ def number_value(s: Column) -> Column:
 
 # ----------------------------------------------------------------------- texts
 def general_number(x: Column) -> Column:
-    """A number as text: up to 15 significant digits, no trailing zeros, whole numbers without a point."""
-    d = fifteen_digits(x)
-    whole = F.when((d == F.floor(d)) & (F.abs(d) < 1e15), d.try_cast("decimal(15,0)").cast("string"))
-    return F.coalesce(whole, F.regexp_replace(F.regexp_replace(d.try_cast("decimal(38,18)").cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", ""))
+    """A number as text: up to 15 significant digits, no trailing zeros, whole numbers without a point; with an exponent below 1e-6 and from 1e21."""
+    d, shown = fifteen_digits(x), F.format_string("%.14e", x)
+    trimmed = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    whole = d.try_cast("decimal(22,0)").cast("string")
+    part = trimmed(d.try_cast("decimal(38,21)").cast("string"))
+    power = F.regexp_extract(shown, r"e([+-])0*(\d+)$", 1), F.regexp_extract(shown, r"e([+-])0*(\d+)$", 2)
+    far = F.concat(trimmed(F.regexp_extract(shown, r"^(-?[\d.]+)e", 1)), F.lit("e"), *power)
+    size = F.abs(d)
+    return F.when(F.isnan(d) | (size == float("inf")), F.lit(None)).when(d == 0, "0").when((size >= 1e21) | (size < 1e-6), far).when(d == floor(d), whole).otherwise(part)
 
 
 def general_text(v: Column) -> Column:
@@ -207,4 +225,4 @@ def same_value(expected: Column, got: Column) -> Column:
 def round_half_up(x: Column, decimals: int = 0) -> Column:
     """Plain rounding of printed tables: floor(x + 1/2)."""
     p = 10.0**decimals
-    return F.floor(x * p + 0.5) / p
+    return floor(x * p + 0.5) / p

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cell, same_value
+from .aggregates import small
 
 AT = ["part", "sheet", "ref"]
 COMPARABLE = ("match", "mismatch", "error", "known-divergence")
@@ -27,24 +28,45 @@ def verdicts(specs: DataFrame, oracle: DataFrame, computed: DataFrame) -> DataFr
     return both.select(*AT, verdict.alias("verdict"), "e_num", "e_txt", "g_num", "g_txt")
 
 
+def _pair(df: DataFrame, num: str, txt: str) -> Column:
+    """A cell value from two columns; a table may lack the one for texts."""
+    return cell(df[num], df[txt] if txt in df.columns else None)
+
+
 def exempt(results: DataFrame, exemptions: DataFrame) -> DataFrame:
-    """Mismatches become known divergences where published and computed value are those that were pinned."""
-    x = exemptions.select(*AT, F.col("e_num").alias("x_e"), F.col("g_num").alias("x_g"))
-    pinned = same_value(cell(F.col("x_e")), cell(F.col("e_num"))) & same_value(cell(F.col("x_g")), cell(F.col("g_num")))
-    out = results.join(F.broadcast(x), AT, "left")
-    return out.withColumn("verdict", F.when((F.col("verdict") == "mismatch") & F.col("x_e").isNotNull() & pinned, "known-divergence").otherwise(F.col("verdict"))).drop("x_e", "x_g")
+    """Mismatches become known divergences where published and computed value are those that were pinned.
+
+    exemptions(part, sheet, ref, e_num, g_num, optionally e_txt and g_txt): of several
+    for a cell, one that holds is enough.
+    """
+    x = exemptions.select(*AT, _pair(exemptions, "e_num", "e_txt").alias("x_e"), _pair(exemptions, "g_num", "g_txt").alias("x_g"))
+    both = results.filter("verdict = 'mismatch'").join(small(x), AT)
+    held = both.filter(same_value(F.col("x_e"), _pair(both, "e_num", "e_txt")) & same_value(F.col("x_g"), _pair(both, "g_num", "g_txt")))
+    held = held.select(*AT, F.lit(True).alias("held")).distinct()
+    out = results.join(held, AT, "left")
+    return out.withColumn("verdict", F.when((F.col("verdict") == "mismatch") & F.col("held"), "known-divergence").otherwise(F.col("verdict"))).drop("held")
 
 
 def stale(exemptions: DataFrame, results: DataFrame) -> DataFrame:
     """Exemptions that no longer apply, and why."""
-    r = results.select(*AT, "verdict", F.col("e_num").alias("now_e"), F.col("g_num").alias("now_g"))
+    r = results.select(*AT, "verdict", _pair(results, "e_num", "e_txt").alias("now_e"), _pair(results, "g_num", "g_txt").alias("now_g"))
+    x = exemptions.select(*AT, _pair(exemptions, "e_num", "e_txt").alias("x_e"), _pair(exemptions, "g_num", "g_txt").alias("x_g"))
     why = (
         F.when(F.col("verdict").isNull(), "the cell is gone")
         .when(F.col("verdict") == "match", "it matches now")
-        .when(~same_value(cell(F.col("e_num")), cell(F.col("now_e"))), "the published value has changed")
-        .when(~same_value(cell(F.col("g_num")), cell(F.col("now_g"))), "the computed value has changed")
+        .when(~same_value(F.col("x_e"), F.col("now_e")), "the published value has changed")
+        .when(~same_value(F.col("x_g"), F.col("now_g")), "the computed value has changed")
+        .when(~F.col("verdict").isin("mismatch", "known-divergence"), "it is no mismatch now")
     )
-    return exemptions.join(r, AT, "left").select(*AT, why.alias("reason")).filter("reason is not null")
+    return x.join(r, AT, "left").select(*AT, why.alias("reason")).filter("reason is not null")
+
+
+def write_report(results: DataFrame, path: str, reason: str | None = None) -> None:
+    """Below path: counts by part and verdict, all cells that do not match, and (with a column of reasons) how often each occurs, as JSON lines."""
+    summary(results).write.mode("overwrite").json(f"{path}/summary")
+    results.filter("verdict <> 'match'").write.mode("overwrite").json(f"{path}/detail")
+    if reason:
+        reason_groups(results.filter(F.col(reason).isNotNull()), reason, "ref").write.mode("overwrite").json(f"{path}/reasons")
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -1,82 +1,159 @@
-"""Cells that depend on cells: levels, transitive leaves, and evaluation of one level at a time.
+"""Cells that depend on cells: levels, transitive leaves, and evaluation as soon as all operands are there.
 
 The dependency graph is a table of edges(cell, needs). Each round is one
-distributed join of what is known with the cells that need it; rounds end when
-one adds no cell: what levels() leaves then lies on or behind a cycle. Each
-round is a table in the folder that all executors share.
+distributed join, written to the folder that all executors share; there is no
+bound on the rounds. Levels and leaves shorten paths by half in each round, so
+that a chain of n cells takes about log n rounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import count
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.scalars import divide
+from ..functions import scalars as sc
 from ..sources.scratch import Growing, written
 
 
 def levels(cells: DataFrame, edges: DataFrame) -> DataFrame:
-    """cell, level: 0 for cells without needs, else one more than the highest need; cells on or behind a cycle have none."""
-    needs = written(edges.select("cell", "needs").distinct().withColumn("wanted", F.count("*").over(W.partitionBy("cell"))), "needs")
-    known = Growing("levels")
-    new = known.add(cells.select("cell").distinct().join(needs, "cell", "left_anti").withColumn("level", F.lit(0)))
-    for level in count(1):
-        # Only cells that need one of the last level's can be next.
-        near = needs.join(new.select(F.col("cell").alias("needs")), "needs", "left_semi").select("cell").distinct()
-        met = needs.join(near, "cell", "left_semi").join(known.all().select(F.col("cell").alias("needs")), "needs").groupBy("cell", "wanted").agg(F.count("*").alias("met"))
-        new = known.add(met.filter("met = wanted").select("cell", F.lit(level).alias("level")))
-        if new.isEmpty():
+    """cell, level: 0 for cells without needs, else one more than the highest need; cells on or behind a cycle have none.
+
+    A row says that a cell lies `dist` above an unsettled need, or (without one)
+    at least at `base`. In each round, needs that are settled turn into bases, and
+    needs that wait for a single cell themselves are replaced by that one.
+    """
+    all_cells = cells.select("cell").distinct()
+    rows = edges.select("cell", "needs", F.lit(1).alias("dist"), F.lit(None).cast("int").alias("base")).distinct()
+    rows = rows.unionByName(all_cells.select("cell", F.lit(None).cast(edges.schema["needs"].dataType).alias("needs"), F.lit(None).cast("int").alias("dist"), F.lit(0).alias("base")))
+    rows, before = written(rows, "levels"), None
+    while True:
+        by_cell = rows.groupBy("cell").agg(F.count("needs").alias("open"), F.max("base").alias("own"), F.max("needs").alias("next"), F.max("dist").alias("more"))
+        known = by_cell.filter((F.col("open") == 0) & F.col("own").isNotNull() | (F.col("open") == 1) & (F.col("next") != F.col("cell"))).withColumnRenamed("cell", "needs")
+        met = rows.join(known, "needs", "left")
+        base = F.greatest("base", F.col("dist") + F.col("own"))
+        step = met.select("cell", F.when(F.col("open").isNull(), F.col("needs")).otherwise(F.col("next")).alias("needs"), F.when(F.col("open").isNull(), F.col("dist")).otherwise(F.col("dist") + F.col("more")).alias("dist"), base.alias("base"))
+        settled = Observation()
+        step = step.groupBy("cell", "needs").agg(F.max("dist").alias("dist"), F.max("base").alias("base"))
+        # A base that comes with an edge is a row of its own: it must not wait for the edge.
+        step = step.select("cell", F.inline(F.array(F.struct("needs", "dist", F.when(F.col("needs").isNull(), F.col("base")).alias("base")), F.struct(F.lit(None).cast(edges.schema["needs"].dataType).alias("needs"), F.lit(None).cast("int").alias("dist"), F.coalesce("base", F.lit(0)).alias("base")))))
+        rows = written(step.distinct().observe(settled, F.count("needs").alias("edges")), "levels")
+        if not settled.get["edges"]:
             break
-    return cells.select("cell").distinct().join(known.all(), "cell", "left")
-
-
-def leaves(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """cell, leaf: the cells without needs that each cell rests on, over any number of steps."""
-    needs = written(edges.select("cell", "needs").distinct(), "needs")
-    inner = needs.select("cell").distinct()
-    reach = Growing("leaves")
-    frontier = reach.add(needs.select("cell", F.col("needs").alias("leaf")))
-    for _ in range(rounds):
-        step = frontier.join(needs.select(F.col("cell").alias("leaf"), "needs"), "leaf").select("cell", F.col("needs").alias("leaf")).distinct()
-        frontier = reach.add(step.join(reach.all(), ["cell", "leaf"], "left_anti"))
-        if frontier.isEmpty():
+        waiting = rows.filter("needs is not null").select("cell").distinct().count()
+        if waiting == before:  # without a cycle, some cell waits for settled ones only
             break
-    return reach.all().join(inner.select(F.col("cell").alias("leaf")), "leaf", "left_anti").select("cell", "leaf")
+        before = waiting
+    done = rows.groupBy("cell").agg(F.when(F.count("needs") == 0, F.max("base")).alias("level"))
+    return all_cells.join(done, "cell", "left")
+
+
+def leaves(edges: DataFrame) -> DataFrame:
+    """cell, leaf: the cells without needs that each cell rests on, over any number of steps.
+
+    Each cell's ends are replaced by these ends' own ends, until all are leaves:
+    paths double in each round, and cells in between never become rows of the
+    result. Around a cycle ends remain that are no leaves; they go when paths are
+    longer than there are cells.
+    """
+    ends = written(edges.select("cell", F.col("needs").alias("leaf")).distinct(), "leaves")
+    inner = written(ends.select("cell").distinct(), "inner").withColumnRenamed("cell", "leaf")
+    most, reached = inner.count(), 1
+    ends = written(ends.join(inner.withColumn("open", F.lit(True)), "leaf", "left").select("cell", "leaf", F.coalesce("open", F.lit(False)).alias("open")), "leaves")
+    while reached <= most and not ends.filter("open").isEmpty():
+        through = ends.filter("open").select("cell", F.col("leaf").alias("via")).join(ends.select(F.col("cell").alias("via"), "leaf", "open"), "via").select("cell", "leaf", "open")
+        ends = written(ends.filter("not open").select("cell", "leaf", "open").union(through).distinct(), "leaves")
+        reached *= 2
+    return ends.filter("not open").select("cell", "leaf")
+
+
+#: What a cell may do with its operands, ordered by position: name -> cell value from `args`, an array of cell values.
+SHAPES: dict[str, Callable[[Column], Column]] = {}
+
+
+def shape(name: str) -> Callable:
+    def add(f: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        SHAPES[name] = f
+        return f
+
+    return add
 
 
-#: What a cell may do with its operands, ordered by position: name -> Column over the array `args` of numbers.
-SHAPES: dict[str, Callable] = {
-    "sum": lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + F.coalesce(y, F.lit(0.0))),
-    "sub": lambda a: F.get(a, F.lit(0)) - F.get(a, F.lit(1)),
-    "mul": lambda a: F.get(a, F.lit(0)) * F.get(a, F.lit(1)),
-    "div": lambda a: divide(F.get(a, F.lit(0)), F.get(a, F.lit(1))),
-    "pct_of": lambda a: divide(F.get(a, F.lit(0)), F.get(a, F.lit(1)) / 100.0),
-    "ref": lambda a: F.get(a, F.lit(0)),
-}
+def _at(a: Column, i: int) -> Column:
+    return F.get(a, F.lit(i))
+
+
+def _number(a: Column, i: int) -> Column:
+    return sc.operand(_at(a, i))
+
+
+def _numbers(a: Column) -> Column:
+    """The numbers of a range: texts and blanks are left out."""
+    return F.filter(F.transform(a, lambda x: x["num"]), lambda x: x.isNotNull())
+
+
+shape("ref")(lambda a: _at(a, 0))
+shape("sum")(lambda a: sc.cell(F.aggregate(_numbers(a), F.lit(0.0), lambda x, y: x + y)))
+shape("add")(lambda a: sc.cell(F.aggregate(a, F.lit(0.0), lambda x, y: x + sc.operand(y))))
+shape("sub")(lambda a: sc.cell(_number(a, 0) - _number(a, 1)))
+shape("mul")(lambda a: sc.cell(_number(a, 0) * _number(a, 1)))
+shape("div")(lambda a: sc.cell(sc.divide(_number(a, 0), _number(a, 1))))
+shape("pct_of")(lambda a: sc.cell(sc.divide(_number(a, 0), _number(a, 1) / 100.0)))
+shape("quotient")(lambda a: sc.cell(sc.quotient(_number(a, 0), _number(a, 1))))
+shape("mod")(lambda a: sc.cell(sc.modulo(_number(a, 0), _number(a, 1))))
+shape("max")(lambda a: sc.cell(F.coalesce(F.array_max(_numbers(a)), F.lit(0.0))))
+shape("counta")(lambda a: sc.cell(F.size(F.filter(a, lambda x: x["num"].isNotNull() | (x["txt"] != "")))))
+shape("if")(lambda a: sc.if_else(_at(a, 0), _at(a, 1), _at(a, 2)))
+shape("iferror")(lambda a: F.when(sc.is_blank(_at(a, 0)), _at(a, 1)).otherwise(_at(a, 0)))
+shape("concat")(lambda a: sc.cell(txt=F.aggregate(a, F.lit(""), lambda x, y: F.concat(x, sc.general_text(y)))))
+shape("round")(lambda a: sc.cell(sc.round_half_away(_number(a, 0), _number(a, 1))))
+shape("text")(lambda a: sc.cell(txt=sc.text_fixed(_at(a, 0)["num"], _number(a, 1).cast("int"))))
+shape("zero_dash")(lambda a: sc.zero_dash(_at(a, 0)))
+for _relation in ("=", "<>", "<", "<=", ">", ">="):
+    shape(f"cmp {_relation}")(lambda a, r=_relation: sc.cell(sc.compare(_at(a, 0), r, _at(a, 1))))
 
 
 def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame) -> DataFrame:
-    """cell, num of inputs(cell, num) and of all specs(cell, shape) over edges(cell, pos, needs), level by level.
+    """cell, num, txt, on_cycle of inputs(cell, num, optionally txt) and of all specs(cell, shape) over edges(cell, pos, needs).
 
-    All cells of a level are one job, whatever their shapes: a shape is a
-    branch over the array of operands. Cells that need an unknown cell see null;
-    cells on or behind a cycle are null.
+    In each round the cells are evaluated whose last operand came with the round
+    before: one job, whatever their shapes, since a shape is a branch over the array
+    of operands. Operands in unknown cells are blank; a cell that is given as an
+    input and specified, too, keeps its input. Cells on or behind a cycle
+    come back without a value, and say so.
     """
-    cells = specs.select("cell").union(inputs.select("cell"))
-    by_level = levels(cells, edges.select("cell", "needs").join(cells.select(F.col("cell").alias("needs")), "needs", "left_semi"))
-    specs = written(specs.join(by_level, "cell"), "specs")
-    known = Growing("values")
-    known.add(inputs.select("cell", "num"))
-    value = F.lit(None).cast("double")
+    txt = F.col("txt") if "txt" in inputs.columns else F.lit(None).cast("string")
+    inputs = inputs.select("cell", F.col("num").cast("double").alias("num"), txt.alias("txt"))
+    specs = specs.join(inputs.select("cell"), "cell", "left_anti")
+    cells = specs.select("cell").union(inputs.select("cell")).distinct().select(F.col("cell").alias("needs"), F.lit(True).alias("inside"))
+    operands = specs.select("cell", "shape").distinct().join(edges.select("cell", "pos", "needs"), "cell", "left").join(cells, "needs", "left")
+    operands = written(operands.select("cell", "shape", "pos", "needs", F.coalesce("inside", F.lit(False)).alias("inside")), "operands")
+    left = operands.select("cell").distinct().count()
+    value = sc.cell()
     for name, f in SHAPES.items():
         value = F.when(F.col("shape") == name, f(F.col("args"))).otherwise(value)
-    for r in specs.filter("level is not null").select("level").distinct().orderBy("level").collect():  # one row per level
-        args = specs.filter(F.col("level") == r["level"]).join(edges, "cell", "left").join(known.all().select(F.col("cell").alias("needs"), "num"), "needs", "left")
-        args = args.groupBy("cell", "shape").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "num")))), lambda x: x["num"]).alias("args"))
-        known.add(args.select("cell", value.alias("num")))
-    known.add(specs.filter("level is null").select("cell", F.lit(None).cast("double").alias("num")).distinct())
-    return known.all()
+
+    def evaluated(met: DataFrame) -> DataFrame:
+        """Of operands with num, txt and arrived (for all of a cell's): the cells that wait for none."""
+        args = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.struct("num", "txt").alias("v"))))
+        whole = met.groupBy("cell", "shape").agg(F.bool_and(F.col("arrived") | ~F.col("inside")).alias("ready"), F.transform(F.array_sort(args), lambda x: x["v"]).alias("args"))
+        return whole.filter("ready").select("cell", value.alias("v")).select("cell", "v.num", "v.txt")
+
+    known = Growing("values")
+    blank = [F.lit(None).cast(t).alias(n) for t, n in (("double", "num"), ("string", "txt"))]
+    free = operands.join(operands.filter("inside").select("cell").distinct(), "cell", "left_anti").withColumns({"num": blank[0], "txt": blank[1], "arrived": F.lit(False)})
+    known.add(inputs)
+    _, n = known.counted(evaluated(free))
+    left, new, n = left - n, known.all(), 1
+    while left and n:
+        # Only cells that need one of the last round's can be next.
+        near = operands.join(new.select(F.col("cell").alias("needs")), "needs", "left_semi").select("cell").distinct()
+        met = operands.join(near, "cell", "left_semi").join(known.all().select(F.col("cell").alias("needs"), "num", "txt", F.lit(True).alias("here")), "needs", "left")
+        new, n = known.counted(evaluated(met.withColumn("arrived", F.coalesce("here", F.lit(False)))))
+        left -= n
+    out = known.all().withColumn("on_cycle", F.lit(False))
+    if not left:
+        return out
+    behind = specs.select("cell").distinct().join(known.all().select("cell"), "cell", "left_anti")
+    return out.unionByName(behind.select("cell", *blank, F.lit(True).alias("on_cycle")))

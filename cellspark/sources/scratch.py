@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+
+_made: list[str] = []
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -16,7 +22,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/cellspark-scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end: what was built on them must have been written or collected by then."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        jvm = spark._jvm
+        for path in _made[first:]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        del _made[first:]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -40,5 +62,10 @@ class Growing:
         self.spark, self.schema = df.sparkSession, df.schema
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The new rows alone, and their number as counted by the write."""
+        n = Observation()
+        return self.add(df.observe(n, F.count("*").alias("n"))), n.get["n"]
+
     def all(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*self.paths)
