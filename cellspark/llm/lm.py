@@ -25,8 +25,9 @@ Passes over the texts, all of them over whole texts and all documents:
    and join the documents that hold them.
 
 Passes 1 and 2 deal documents out by a hash of doc_id and text to as many
-workers as there are WORKER_BYTES of text, in the order of that hash: the model
-depends on the documents alone, not on files or partitions.
+workers as there are WORKER_BYTES of text (MOST_WORKERS at most, which then
+have more of it), in the order of that hash: the model depends on the
+documents alone, not on files or partitions.
 
 * null or empty text: the end alone. Very long texts: every token counts.
 * Repeated rows and ties: each row is a document of its own, also with an equal
@@ -46,12 +47,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, exchanges_deleted, flat, read, slices, table
+from .common import Words, even_keys, exchanges_deleted, flat, read, slices, table
 
 TOP, FREQUENT, OFTEN, COUNT_BYTES = 64, 65_536, 4, 2_000_000
 MOST = 2_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
-ROUNDS, WORKER_BYTES = 3, 48_000_000
+ROUNDS, WORKER_BYTES, MOST_WORKERS = 3, 48_000_000, 4096
 ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 384, 256, 512
 LN10 = np.log(10.0)
 
@@ -143,7 +144,10 @@ def in_training(doc_id: Column) -> Column:
 def dealt(training: DataFrame, workers: int, nth: int = 0, of: int = 1) -> DataFrame:
     """The nth of so many shares of training(doc_id, text), dealt out to workers in an order that only the rows decide."""
     keyed = training.select("text", F.xxhash64("doc_id", "text").alias("key")).filter(F.pmod("key", F.lit(of)) == nth)
-    return keyed.repartition(workers, "key").sortWithinPartitions("key", "text").select("text")
+    # One key per worker, each of which has a partition of its own, also where a session has more partitions than workers.
+    numbers = F.array(*(F.lit(int(k)) for k in even_keys(training.sparkSession, workers)))
+    keyed = keyed.withColumn("worker", F.get(numbers, F.pmod(F.shiftright("key", 20), F.lit(workers)).cast("int")))
+    return keyed.repartition(workers, "worker").sortWithinPartitions("worker", "key", "text").select("text")
 
 
 def frequent_words(training: DataFrame) -> Counts:
@@ -386,7 +390,8 @@ def train_round(texts: DataFrame, rough: Counts, start: np.ndarray, seed: int) -
 def learn(training: DataFrame, rounds: int = ROUNDS, worker_bytes: int = WORKER_BYTES) -> tuple[Counts, Model]:
     """Exact counts over training(doc_id, text), and the parameters after all rounds."""
     size = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    workers = lambda of: max(1, -(-size // (of * worker_bytes)))
+    # Each worker sends all parameters that it changed: their number is what bounds that traffic.
+    workers = lambda of: min(MOST_WORKERS, max(1, -(-size // (of * worker_bytes))))
     rough = frequent_words(dealt(training, workers(1)))
     words = len(rough.hashes)
     values, total = Trainer(Model.start(rough), rough).rows(), 0
