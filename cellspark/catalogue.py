@@ -16,7 +16,7 @@ from .functions import criteria as cr
 from .functions import scalars as sc
 from .operators import aggregates, lookups, publish, ranges, ranking, series, verification
 from .plans import levels
-from .sources import tables
+from .sources import scratch, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,7 +93,7 @@ BOUNDS = [(i, f, q) for i, (f, q) in enumerate((f, q) for f in ("a", "R") for q
 @query(f"WITH q(qid, flag, q) AS (VALUES {values(BOUNDS)}) SELECT qid, {SUM} AS value FROM q LEFT JOIN lineitem ON lower(l_returnflag) = lower(flag) AND l_quantity >= q GROUP BY qid")
 def sumifs_bounds_batch(spark, d):
     q = spark.createDataFrame(BOUNDS, "qid int, flag string, least double")
-    out = aggregates.conditional(t(spark, d, "lineitem"), q, {"l_returnflag": "flag"}, F.sum(money("l_extendedprice")), {"l_quantity": (">=", "least")})
+    out = aggregates.bounded(t(spark, d, "lineitem"), q, {"l_returnflag": "flag"}, ("l_quantity", ">=", "least"), money("l_extendedprice"))
     return out.select("qid", F.col("value").cast("double").alias("value"))
 
 
@@ -296,9 +296,9 @@ def excel_round(spark, d):
     return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", sc.round_half_away(x / 10, 1).alias("r1"), sc.round_half_away(-x, 0).alias("r0"))
 
 
-@query("SELECT c_custkey, format('{:,.1f}', round(cast(c_acctbal AS DECIMAL(18,2)), 1)::DOUBLE) AS grouped FROM customer WHERE abs(c_acctbal) >= 1")
+@query("SELECT c_custkey, format('{:,.1f}', round(cast(c_acctbal AS DECIMAL(18,2)), 1)::DOUBLE) AS grouped FROM customer")
 def text_fixed_grouped(spark, d):
-    return t(spark, d, "customer").filter("abs(c_acctbal) >= 1").select("c_custkey", sc.text_fixed(F.col("c_acctbal"), 1, True).alias("grouped"))
+    return t(spark, d, "customer").select("c_custkey", sc.text_fixed(F.col("c_acctbal"), 1, True).alias("grouped"))
 
 
 @query("SELECT c_custkey, round(c_acctbal * 1.0, 2) AS plain, round(c_acctbal / 100, 6) AS share, NULL::DOUBLE AS bad FROM customer")
@@ -453,9 +453,9 @@ def transitive_leaves(spark, d):
     return levels.leaves(_edges(spark, d))
 
 
-@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part WHERE p_partkey >= 1 UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT DISTINCT p_partkey AS cell, 0 AS level FROM part UNION SELECT e.cell, r.level + 1 FROM r JOIN e ON e.needs = r.cell) SELECT cell, max(level) AS level FROM r GROUP BY cell")
 def cell_levels(spark, d):
-    return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")).filter("cell >= 1"), _edges(spark, d))
+    return levels.levels(t(spark, d, "part").select(F.col("p_partkey").alias("cell")), _edges(spark, d))
 
 
 @query("WITH n AS (SELECT c_nationkey AS k, cast(sum(cast(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS num FROM customer GROUP BY 1), a AS (SELECT round(sum(num), 2) AS num FROM n) SELECT 'n' || k AS cell, round(num, 4) AS num FROM n UNION ALL SELECT 'total', round(num, 4) FROM a UNION ALL SELECT 's' || k, round(n.num / (a.num / 100), 4) FROM n, a")
@@ -479,7 +479,12 @@ def _page(spark, d) -> DataFrame:
 PAGE = "o AS (SELECT cast(c_nationkey + 1 AS INTEGER) AS r, cast(year(o_orderdate) - 1990 AS INTEGER) AS c, cast(sum(cast(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS a, count(*) * 7.0 AS b FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), p AS (SELECT 'price' AS sheet, r, c, a AS num FROM o UNION ALL SELECT 'count', r, c, b FROM o)"
 
 
-@query(f"""WITH {PAGE}, asked AS (SELECT 'T' AS tbl, r AS i, c AS j, floor(num * 0.001 * 10 + 0.5) / 10 AS shown, 1 AS decimals FROM p WHERE sheet = 'price' AND r <= 8),
+def _printed(page: DataFrame) -> DataFrame:
+    """The page's prices as a table printed in thousands."""
+    return page.filter("sheet = 'price'").select(F.lit("T").alias("table"), F.col("r").alias("i"), F.col("c").alias("j"), sc.round_half_up(F.col("num") * 0.001, 1).alias("value"), F.lit(1).alias("decimals"))
+
+
+@query(f"""WITH {PAGE}, asked AS (SELECT 'T' AS tbl, r AS i, c AS j, floor(num * 0.001 * 10 + 0.5) / 10 AS shown, 1 AS decimals FROM p WHERE sheet = 'price'),
 place AS (SELECT sheet, r, c, scale, d AS decimals, floor(num * scale * pow(10, d) + 0.5) / pow(10, d) AS shown FROM p, (VALUES (1.0::DOUBLE), (10.0), (100.0), (1000.0), (0.1), (0.01), (0.001)) s(scale), (VALUES (0), (1), (2)) x(d)),
 often AS (SELECT sheet, scale, decimals, shown, count(*) AS hits FROM place GROUP BY ALL HAVING count(*) <= 40),
 votes AS (SELECT tbl, sheet, scale, i, r, sum(1.0 / hits) AS votes FROM asked JOIN place USING (decimals, shown) JOIN often USING (sheet, scale, decimals, shown) GROUP BY ALL),
@@ -487,7 +492,7 @@ best AS (SELECT tbl, sheet, scale, i, max(votes) AS votes FROM votes GROUP BY AL
 SELECT tbl AS "table", sheet, scale, round(votes, 6) AS votes FROM (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY round(votes, 9) DESC, sheet, scale) AS n FROM score) WHERE n = 1""")
 def value_vote_match(spark, d):
     page = _page(spark, d)
-    printed = page.filter("sheet = 'price' and r <= 8").select(F.lit("T").alias("table"), F.col("r").alias("i"), F.col("c").alias("j"), sc.round_half_up(F.col("num") * 0.001, 1).alias("value"), F.lit(1).alias("decimals"))
+    printed = _printed(page)
     return publish.best_sheet(publish.value_votes(printed, page)).select("table", "sheet", "scale", F.round("votes", 6).alias("votes"))
 
 
@@ -592,17 +597,17 @@ def _formulas(spark, d) -> DataFrame:
         .when(k % 4 == 2, F.concat(F.lit("='sheet "), k, F.lit("'!A1*1000+2.5")))
         .otherwise(F.concat(F.lit("=OFFSET(A"), k, F.lit(",1)&\"년\"")))
     )
-    return p.filter("p_partkey >= 1").select("p_partkey", text.alias("formula"))
+    return p.select("p_partkey", text.alias("formula"))
 
 
-@query("SELECT CASE p_partkey % 4 WHEN 0 THEN '=SUMIFS(@,@,$)' WHEN 1 THEN '=_xlfn.NUMBERVALUE(@)/@%' WHEN 2 THEN '=@*#+#' ELSE '=OFFSET(@,#)&$' END AS shape, count(*) AS n FROM part WHERE p_partkey >= 1 GROUP BY 1")
+@query("SELECT CASE p_partkey % 4 WHEN 0 THEN '=SUMIFS(@,@,$)' WHEN 1 THEN '=_xlfn.NUMBERVALUE(@)/@%' WHEN 2 THEN '=@*#+#' ELSE '=OFFSET(@,#)&$' END AS shape, count(*) AS n FROM part GROUP BY 1")
 def formula_shapes(spark, d):
     from .sources import formulas
 
     return formulas.shapes(_formulas(spark, d)).select("shape", "n")
 
 
-@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'SUMIFS' WHEN 1 THEN 'NUMBERVALUE' WHEN 2 THEN '' ELSE 'OFFSET' END AS used, CASE WHEN p_partkey % 4 = 3 THEN 'unsupported' ELSE 'expr' END AS kind, CASE p_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 ELSE 1 END::BIGINT AS refs FROM part WHERE p_partkey >= 1")
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'SUMIFS' WHEN 1 THEN 'NUMBERVALUE' WHEN 2 THEN '' ELSE 'OFFSET' END AS used, CASE WHEN p_partkey % 4 = 3 THEN 'unsupported' ELSE 'expr' END AS kind, CASE p_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 ELSE 1 END::BIGINT AS refs FROM part")
 def formula_functions(spark, d):
     from .sources import formulas
 
@@ -645,9 +650,210 @@ def leaf_users(spark, d):
     return levels.leaves(_edges(spark, d)).groupBy("leaf").agg(F.count("*").alias("users"))
 
 
-@query()
+# ------------------------------------------------- printed tables, whole matching
+HITS = f"""{PAGE}, asked AS (SELECT 'T' AS tbl, r AS i, c AS j, floor(num * 0.001 * 10 + 0.5) / 10 AS shown, 1 AS decimals FROM p WHERE sheet = 'price'),
+place AS (SELECT sheet, r, c, scale, d AS decimals, floor(num * scale * pow(10, d) + 0.5) / pow(10, d) AS shown FROM p, (VALUES (1.0::DOUBLE), (10.0), (100.0), (1000.0), (0.1), (0.01), (0.001)) s(scale), (VALUES (0), (1), (2)) x(d)),
+often AS (SELECT sheet, scale, decimals, shown, count(*) AS hits FROM place GROUP BY ALL HAVING count(*) <= 40),
+hit AS (SELECT tbl, sheet, scale, i, j, r, c, hits FROM asked JOIN place USING (decimals, shown) JOIN often USING (sheet, scale, decimals, shown))"""
+
+
+def _greedy_sql(name: str, line: str, to: str) -> str:
+    """Each printed line in turn, the one with the strongest vote first, takes its strongest free one: a recursion over lines."""
+    return f"""{name}_v AS (SELECT sheet, scale, {line} AS line, {to} AS place, round(sum(1.0 / hits), 9) AS v FROM hit GROUP BY ALL),
+{name}_l AS (SELECT sheet, scale, line, max(v) AS best, list(place ORDER BY v DESC, place) AS places FROM {name}_v GROUP BY ALL),
+{name}_g AS (SELECT sheet, scale, list(line ORDER BY best DESC, line) AS lines, list(places ORDER BY best DESC, line) AS places FROM {name}_l GROUP BY ALL),
+{name}_a AS (SELECT sheet, scale, 1 AS k, []::INTEGER[] AS used, []::INTEGER[] AS got, lines, places FROM {name}_g
+UNION ALL SELECT sheet, scale, k + 1, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick) END, list_append(got, pick), lines, places FROM (SELECT *, list_filter(places[k], lambda x: NOT list_contains(used, x))[1] AS pick FROM {name}_a WHERE k <= len(lines))),
+{name} AS (SELECT * FROM (SELECT sheet, scale, unnest(lines) AS {line}, unnest(got) AS {to} FROM {name}_a WHERE k = len(lines) + 1) WHERE {to} IS NOT NULL)"""
+
+
+@query(f"WITH RECURSIVE {HITS}, {_greedy_sql('rowmap', 'i', 'r')} SELECT 'T' AS \"table\", sheet, scale, i, r FROM rowmap")
 def greedy_assignment(spark, d):
     page = _page(spark, d)
-    printed = page.filter("sheet = 'price' and r <= 8").select(F.lit("T").alias("table"), F.col("r").alias("i"), F.col("c").alias("j"), sc.round_half_up(F.col("num") * 0.001, 1).alias("value"), F.lit(1).alias("decimals"))
-    votes = publish.value_votes(printed, page)
-    return publish.greedy_pairs(votes.join(F.broadcast(publish.best_sheet(votes).select("table", "sheet", "scale")), ["table", "sheet", "scale"]))
+    return publish.greedy_pairs(publish.value_votes(_printed(page), page)).select("table", "sheet", "scale", "i", "r")
+
+
+ALIGNED = f"""{HITS}, {_greedy_sql('rowmap', 'i', 'r')}, {_greedy_sql('colmap', 'j', 'c')},
+laid AS (SELECT m.sheet, m.scale, floor(num * m.scale * 10 + 0.5) / 10 = shown AS same FROM rowmap m JOIN colmap n ON m.sheet = n.sheet AND m.scale = n.scale JOIN asked ON asked.i = m.i AND asked.j = n.j LEFT JOIN p ON p.sheet = m.sheet AND p.r = m.r AND p.c = n.c),
+checked AS (SELECT sheet, scale, count(*) AS pairs, count(*) FILTER (WHERE same) AS matched FROM laid GROUP BY ALL),
+rising AS (SELECT sheet, scale, CASE WHEN bool_and(coalesce(up, true)) THEN 0.5 ELSE 0 END AS bonus FROM (SELECT sheet, scale, r > lag(r) OVER (PARTITION BY sheet, scale ORDER BY i) AS up FROM rowmap) GROUP BY ALL UNION ALL SELECT sheet, scale, CASE WHEN bool_and(coalesce(up, true)) THEN 0.5 ELSE 0 END FROM (SELECT sheet, scale, c > lag(c) OVER (PARTITION BY sheet, scale ORDER BY j) AS up FROM colmap) GROUP BY ALL),
+scored AS (SELECT sheet, scale, pairs, matched, round(matched / pairs, 3) AS rate, matched / pairs * 100 + matched + (SELECT sum(bonus) FROM rising x WHERE x.sheet = checked.sheet AND x.scale = checked.scale) AS score FROM checked),
+best AS (SELECT *, CASE WHEN rate >= 0.9 AND matched >= 4 THEN 'ok' WHEN rate >= 0.7 AND matched >= 3 THEN 'weak' ELSE 'fail' END AS status FROM (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY score DESC, list_position([1.0, 10.0, 100.0, 1000.0, 0.1, 0.01, 0.001], scale)) AS n FROM scored) WHERE n = 1)"""
+
+
+@query(f"WITH RECURSIVE {ALIGNED} SELECT 'T' AS \"table\", sheet, scale, rate, pairs, matched, round(score, 6) AS score, status FROM best")
+def printed_alignment(spark, d):
+    page = _page(spark, d)
+    return publish.align(_printed(page), page).select("table", "sheet", "scale", "rate", "pairs", "matched", F.round("score", 6).alias("score"), "status")
+
+
+@query(f"WITH RECURSIVE {ALIGNED} SELECT 'T' AS \"table\", sheet, scale, (SELECT string_agg(r, ',' ORDER BY i) FROM rowmap m WHERE m.sheet = best.sheet AND m.scale = best.scale) AS rows, (SELECT string_agg(c, ',' ORDER BY j) FROM colmap m WHERE m.sheet = best.sheet AND m.scale = best.scale) AS cols, (SELECT string_agg('year ' || (j + 1990), ',' ORDER BY j) FROM colmap m WHERE m.sheet = best.sheet AND m.scale = best.scale) AS head, (SELECT string_agg('nation ' || (i - 1), ',' ORDER BY i) FROM rowmap m WHERE m.sheet = best.sheet AND m.scale = best.scale) AS labels, (SELECT string_agg('1', ',') FROM colmap m WHERE m.sheet = best.sheet AND m.scale = best.scale) AS decimals, 'corner' AS corner FROM best WHERE status <> 'fail'")
+def printed_table_spec(spark, d):
+    page = _page(spark, d)
+    printed = _printed(page)
+    side = page.select("r").distinct().select(F.col("r").alias("i"), F.lit(4).alias("j"), F.concat(F.lit("nation "), F.col("r") - 1).alias("text"))
+    top = page.select("c").distinct().select(F.lit(0).alias("i"), F.col("c").alias("j"), F.concat(F.lit("year "), F.col("c") + 1990).alias("text"))
+    texts = printed.select("i", "j", F.format_number("value", 1).alias("text")).union(side).union(top).union(spark.createDataFrame([(0, 4, "corner")], "i int, j int, text string"))
+    out = publish.table_spec(publish.align(printed, page), texts.select(F.lit("T").alias("table"), "i", "j", "text"))
+    return out.select("table", "sheet", "scale", *(F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("rows", "cols", "head", "labels", "decimals")), "corner")
+
+
+# --------------------------------------------------------- long chains, and cycles
+@query("SELECT cast(k AS BIGINT) AS cell, CASE WHEN k < 200 THEN k END AS level FROM range(203) x(k)")
+def deep_chain_levels(spark, d):
+    # 200 cells on a chain; two that need each other; one behind them.
+    cells = spark.range(203).select(F.col("id").alias("cell"))
+    needs = F.when(F.col("cell") < 200, F.col("cell") - 1).when(F.col("cell") == 200, 201).otherwise(200)
+    return levels.levels(cells, cells.filter("cell > 0").select("cell", needs.alias("needs")))
+
+
+@query("WITH RECURSIVE e AS (SELECT k AS cell, k - 1 AS needs FROM range(1, 501) x(k)), r AS (SELECT cell, needs AS leaf FROM e UNION SELECT r.cell, e.needs FROM r JOIN e ON r.leaf = e.cell) SELECT cell, leaf FROM r WHERE leaf NOT IN (SELECT cell FROM e)")
+def deep_closure(spark, d):
+    return levels.leaves(spark.range(1, 501).select(F.col("id").alias("cell"), (F.col("id") - 1).alias("needs")))
+
+
+@query("""WITH n AS (SELECT n_nationkey AS k, n_name FROM nation)
+SELECT 'shown' || k AS cell, NULL::DOUBLE AS num, n_name || ':' || cast(k AS VARCHAR) AS txt, false AS on_cycle FROM n
+UNION ALL SELECT 'dash' || k, CASE WHEN k <> 0 THEN k END, CASE WHEN k = 0 THEN '-' END, false FROM n
+UNION ALL SELECT 'half' || k, NULL, format('{:.1f}', k / 2), false FROM n
+UNION ALL SELECT 'big' || k, NULL, CASE WHEN k > 12 THEN n_name ELSE 'small' END, false FROM n
+UNION ALL SELECT 'loop' || k, NULL, NULL, true FROM n
+UNION ALL SELECT 'max', max(k), NULL, false FROM n UNION ALL SELECT 'filled', count(*), NULL, false FROM n UNION ALL SELECT 'strict', NULL, NULL, false UNION ALL SELECT 'safe', 7, NULL, false""")
+def formula_shapes_evaluated(spark, d):
+    n = t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("k"), F.col("n_nationkey").cast("double").alias("num"), "n_name")
+    none = F.lit(None)
+    given = lambda cell, num, txt: n.select(cell.alias("cell"), num.cast("double").alias("num"), txt.cast("string").alias("txt"))
+    name = lambda p: F.concat(F.lit(p), "k")
+    fixed = spark.createDataFrame([(":", None, ":"), ("2", 2.0, None), ("1", 1.0, None), ("12", 12.0, None), ("7", 7.0, None), ("small", None, "small")], "cell string, num double, txt string")
+    inputs = given(name("num"), F.col("num"), none).union(given(name("txt"), none, F.col("n_name"))).union(fixed)
+    cells = {"shown": ("concat", "txt{}", ":", "num{}"), "dash": ("zero_dash", "num{}"), "_h": ("div", "num{}", "2"), "half": ("text", "_h{}", "1"), "_c": ("cmp >", "num{}", "12"), "big": ("if", "_c{}", "txt{}", "small"), "loop": ("ref", "loop{}")}
+    put = lambda x: F.concat(F.lit(x[:-2]), "k") if x.endswith("{}") else F.lit(x)
+    specs = n.select(F.inline(F.array(*(F.struct(name(p).alias("cell"), F.lit(s[0]).alias("shape")) for p, s in cells.items()))))
+    edges = n.select(F.inline(F.array(*(F.struct(name(p).alias("cell"), F.lit(i).alias("pos"), put(x).alias("needs")) for p, s in cells.items() for i, x in enumerate(s[1:])))))
+    one = spark.createDataFrame([("max", "max"), ("filled", "counta"), ("strict", "add"), ("safe", "iferror")], "cell string, shape string")
+    over = lambda p, *to: n.select(F.explode(F.array(*map(F.lit, to))).alias("cell"), F.col("num").cast("int").alias("pos"), name(p).alias("needs"))
+    edges = edges.union(over("num", "max")).union(over("txt", "filled", "strict")).union(spark.createDataFrame([("safe", 0, "strict"), ("safe", 1, "7")], "cell string, pos int, needs string"))
+    out = levels.evaluate(inputs, specs.union(one), edges)
+    return out.join(inputs.select("cell"), "cell", "left_anti").filter("cell not like '\\_%'")
+
+
+# ------------------------------------------------- lookups and ranges within pages
+@query(f"WITH {MELT}, q(qid, needle) AS (VALUES {values(NEEDLES)}), h AS (SELECT qid, min(r) AS r FROM q LEFT JOIN g ON c = 2 AND r BETWEEN 2 AND 20 AND trim(upper(v_txt)) = trim(upper(needle)) GROUP BY qid) SELECT qid, v_num AS num, v_txt AS txt, NULL::DOUBLE AS outside FROM h LEFT JOIN g ON h.r = g.r AND g.c = 3")
+def page_vlookup(spark, d):
+    page = _grid(spark, d).select(F.lit("p").alias("part"), "sheet", "r", "c", F.col("v_num").alias("num"), F.col("v_txt").alias("txt"))
+    q = _needles(spark, NEEDLES).select("qid", F.lit("p").alias("part"), "sheet", F.lit(2).alias("r1"), F.lit(2).alias("c1"), F.lit(20).alias("r2"), F.lit(3).alias("c2"), F.lit(2).alias("index"), F.lit(None).cast("double").alias("num"), F.concat(F.lit(" "), "needle").alias("txt"))
+    outside = lookups.page_lookup(q.withColumn("index", F.lit(3)), page, "r").select("qid", F.col("num").alias("outside"))
+    return lookups.page_lookup(q, page, "r").join(outside, "qid")
+
+
+@query("SELECT cast(n_regionkey AS INTEGER) AS qid, cast(sum(n_nationkey) + 1000 AS DOUBLE) AS total, 1000.0::DOUBLE AS largest, 2 * count(*) + 1 AS filled FROM nation GROUP BY 1")
+def range_and_value_arguments(spark, d):
+    n = t(spark, d, "nation")
+    r = F.row_number().over(ranking.W.partitionBy("n_regionkey").orderBy("n_nationkey"))
+    cells = n.select(F.lit("p").alias("part"), F.col("n_regionkey").cast("string").alias("sheet"), r.alias("r"), F.inline(F.array(F.struct(F.lit(1).alias("c"), F.col("n_nationkey").cast("double").alias("num"), F.lit(None).cast("string").alias("txt")), F.struct(F.lit(2).alias("c"), F.lit(None).cast("double").alias("num"), F.col("n_name").alias("txt")))))
+    asked = n.select(F.col("n_regionkey").cast("int").alias("qid"), F.col("n_regionkey").cast("string").alias("sheet")).distinct()
+    rect = asked.select("qid", F.lit("p").alias("part"), "sheet", F.lit(1).alias("r1"), F.lit(1).alias("c1"), F.lit(1000).alias("r2"), F.lit(2).alias("c2"))
+    return ranges.range_aggregates(rect, cells, asked.select("qid", F.lit(1000.0).alias("num"), F.lit(None).cast("string").alias("txt")))
+
+
+@query("SELECT p_partkey, p_partkey % 99 + 1 AS own, 5::BIGINT AS fixed FROM part")
+def own_row(spark, d):
+    ref = F.concat(F.lit("B"), F.col("p_partkey") % 99 + 1)
+    return t(spark, d, "part").select("p_partkey", tables.own_row(ref).cast("long").alias("own"), tables.own_row(ref, 5).cast("long").alias("fixed"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey < n_regionkey THEN 'before' WHEN n_nationkey = n_regionkey THEN 'at' ELSE 'after' END AS place, CASE WHEN n_regionkey % 2 = 0 THEN n_name ELSE NULL END AS txt, CASE WHEN n_regionkey % 2 = 1 THEN n_nationkey * 10.0 ELSE cast(n_nationkey AS DOUBLE) END AS num FROM nation")
+def deref_computed_first(spark, d):
+    n = t(spark, d, "nation")
+    at = [F.lit("p").alias("part"), F.lit("s").alias("sheet"), F.col("n_nationkey").alias("r"), F.lit(1).alias("c")]
+    page = n.select(*at, F.col("n_nationkey").cast("double").alias("num"), F.col("n_name").alias("txt"))
+    computed = n.filter("n_regionkey % 2 = 1").select(*at, (F.col("n_nationkey") * 10.0).alias("num"), F.lit(None).cast("string").alias("txt"))
+    place = F.when(F.col("n_nationkey") < F.col("n_regionkey"), "before").when(F.col("n_nationkey") == F.col("n_regionkey"), "at").otherwise("after")
+    return lookups.deref(n.select("n_nationkey", place.alias("place"), *at), page, computed).select("n_nationkey", "place", "num", "txt")
+
+
+# -------------------------------------------------------------- more of publishing
+@query("SELECT 'p' AS part, n_regionkey AS sheet, n_nationkey AS ref FROM nation WHERE n_nationkey % 2 = 0 OR n_nationkey % 3 = 0")
+def required_cells(spark, d):
+    at = t(spark, d, "nation").select(F.lit("p").alias("part"), F.col("n_regionkey").alias("sheet"), F.col("n_nationkey").alias("ref"))
+    leaves = at.filter("ref % 2 = 0")
+    return publish.required_cells(leaves.union(leaves), at, at.filter("ref % 2 <> 0 and ref % 3 <> 0"))
+
+
+@query("SELECT p_brand AS page, p_size AS \"table\", count(*) AS n FROM part JOIN (SELECT p_brand AS b, min(p_size) AS s FROM (SELECT p_brand, p_size, string_agg(p_name, ',' ORDER BY p_partkey) AS names FROM part GROUP BY ALL) GROUP BY p_brand, names) ON b = p_brand AND s = p_size GROUP BY ALL")
+def distinct_tables(spark, d):
+    rows = t(spark, d, "part").select(F.col("p_brand").alias("page"), F.col("p_size").alias("table"), F.array("p_name").alias("cells"), "p_partkey")
+    rows = rows.withColumn("i", F.row_number().over(ranking.W.partitionBy("page", "table").orderBy("p_partkey")))
+    return publish.distinct_tables(rows).groupBy("page", "table").agg(F.count("*").alias("n"))
+
+
+@query("WITH l AS (SELECT c_nationkey AS chart, c_mktsegment AS label, c_custkey % 2 AS color, min(c_custkey) AS pos FROM customer GROUP BY ALL) SELECT * FROM l WHERE chart IN (SELECT chart FROM l GROUP BY chart HAVING count(*) >= 2)")
+def legend_entries(spark, d):
+    c = t(spark, d, "customer").select(F.col("c_nationkey").alias("chart"), F.col("c_custkey").alias("pos"), F.col("c_mktsegment").alias("label"), (F.col("c_custkey") % 2).alias("color"))
+    return publish.legend(c.union(c.withColumn("label", F.lit(""))))
+
+
+@query("WITH l AS (SELECT o_orderpriority AS sheet, o_custkey AS ref, count(DISTINCT o_orderkey) AS users FROM orders GROUP BY ALL) SELECT sheet, count(*) AS n_leaves, cast(sum(users) AS BIGINT) AS users, arg_max(ref, users * 1e9 - ref) AS top, count(*) FILTER (WHERE ref BETWEEN 1960 AND 2100) AS years, count(*) FILTER (WHERE ref <= 100) AS small FROM l GROUP BY sheet")
+def literal_dependencies(spark, d):
+    o = t(spark, d, "orders").select(F.lit("p").alias("part"), F.col("o_orderpriority").alias("sheet"), F.col("o_custkey").alias("ref"), F.col("o_orderkey").alias("cell"))
+    known = o.select("part", "sheet", "ref", F.col("ref").cast("double").alias("num"), F.lit(None).cast("string").alias("txt")).distinct()
+    of = lambda kind: F.size(F.filter("cells", lambda x: x["kind"] == kind)).cast("long")
+    return publish.literal_dependencies(o, known).select("sheet", "n_leaves", "users", F.get("cells", F.lit(0))["ref"].alias("top"), of("year").alias("years"), of("small number").alias("small"))
+
+
+@query(f"WITH {VERDICTS}, c AS (SELECT count(DISTINCT part) AS parts, count(*) FILTER (WHERE verdict IN ('match', 'mismatch', 'error', 'known-divergence')) AS cells FROM v) SELECT 'cells: ' || cells || ', at least 1000 expected' AS violation FROM c WHERE cells < 1000 UNION ALL SELECT 'parts: ' || parts || ', at least 99 expected' FROM c WHERE parts < 99")
+def floor_violations(spark, d):
+    found = verification.floor_violations(verification.rates(_verdicts(spark, d)), verification.Floor(99, 1000))
+    return spark.createDataFrame([(x,) for x in found], "violation string")
+
+
+@query("WITH s AS (SELECT n_nationkey AS k, n_name FROM nation) SELECT 'p' AS part, 's' AS sheet, k AS ref, CASE WHEN k % 3 = 0 THEN 'match' WHEN k % 3 = 1 AND k % 4 <> 1 THEN 'known-divergence' ELSE 'mismatch' END AS verdict FROM s")
+def exemptions_of_texts(spark, d):
+    n = t(spark, d, "nation").select(F.lit("p").alias("part"), F.lit("s").alias("sheet"), F.col("n_nationkey").alias("ref"), "n_name")
+    none, k = F.lit(None).cast("double"), F.col("ref")
+    r = n.select("part", "sheet", "ref", F.when(k % 3 == 0, "match").otherwise("mismatch").alias("verdict"), none.alias("e_num"), F.col("n_name").alias("e_txt"), none.alias("g_num"), F.concat("n_name", F.lit("?")).alias("g_txt"))
+    x = r.filter("ref % 3 <> 2").select("part", "sheet", "ref", "e_num", "e_txt", "g_num", F.when(k % 4 == 1, "other").otherwise(F.col("g_txt")).alias("g_txt"))
+    return verification.exempt(r, x.union(x)).select("part", "sheet", "ref", "verdict")
+
+
+@query("SELECT o_orderpriority AS \"table\", count(*) AS n_rows, 4 AS n_cols FROM orders GROUP BY 1")
+def data_tables(spark, d):
+    o = t(spark, d, "orders")
+    rows = o.select(F.col("o_orderpriority").alias("table"), F.col("o_orderkey").alias("i"), F.array(F.col("o_orderkey").cast("string"), F.format_number("o_totalprice", 1), F.lit(""), F.col("o_orderstatus")).alias("cells"))
+    labels = o.select(F.concat("o_orderpriority", F.lit(" (labels)")).alias("table"), F.col("o_orderkey").alias("i"), F.array("o_orderstatus", "o_orderpriority", F.lit("7")).alias("cells"))
+    return publish.data_table(rows.union(labels)).select("table", "n_rows", "n_cols")
+
+
+@query(f"WITH {PAGE} SELECT r AS page, count(*) FILTER (WHERE sheet = 'price') AS cells, count(DISTINCT sheet) AS charts FROM p GROUP BY r")
+def page_bundles(spark, d):
+    page = _page(spark, d)
+    charts = page.groupBy(F.col("r").alias("page"), F.col("sheet").alias("chart")).agg(F.lit(1).alias("series"), F.sort_array(F.collect_list("num")).alias("values"))
+    cells = page.filter("sheet = 'price'").select(F.col("r").alias("page"), F.lit(0).alias("i"), F.col("c").alias("j"), F.col("num").alias("value"), F.lit("v").alias("source"))
+    out = publish.bundle(page.select(F.col("r").alias("page")).distinct(), charts, cells)
+    size = lambda path: F.coalesce(F.json_array_length(F.get_json_object("document", path)), F.lit(0)).cast("long")
+    return out.select("page", size("$.cells").alias("cells"), size("$.charts").alias("charts"))
+
+
+# ------------------------------------------------------------------------- loaders
+@query("SELECT 'kosis' AS src, 'orders' AS table_id, o_orderpriority AS itm_nm, cast(year(o_orderdate) AS VARCHAR) AS prd_de, count(*) AS n, cast(sum(cast(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY ALL")
+def loaded_observations(spark, d):
+    """Orders as JSON lines of observations, loaded back."""
+    o = t(spark, d, "orders").select(F.year("o_orderdate").cast("string").alias("PRD_DE"), F.col("o_orderpriority").alias("ITM_NM"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("DT"))
+    path = scratch.json_lines(o.union(o.limit(1).select(F.lit(None).cast("string"), "ITM_NM", "DT")), "orders")
+    return tables.load_obs(spark, path, "kosis").groupBy("src", "table_id", "itm_nm", "prd_de").agg(F.count("*").alias("n"), F.sum(money("dt")).cast("double").alias("total"))
+
+
+@query("SELECT 'rates' AS table_id, n_name AS ref_area, 2024::VARCHAR AS period, CASE WHEN n_nationkey % 4 <> 0 THEN n_nationkey * 1.5 END::DOUBLE AS value, NULL::VARCHAR AS sex FROM nation")
+def loaded_international(spark, d):
+    """Nations as sparse JSON lines of an international table, loaded back: absent columns are null, numbers as periods are texts."""
+    n = t(spark, d, "nation").select(F.col("n_name").alias("REF_AREA"), F.lit(2024).alias("TIME_PERIOD"), F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey") * 1.5).alias("value"))
+    return tables.load_oecd(spark, scratch.json_lines(n, "rates")).select("table_id", F.col("REF_AREA").alias("ref_area"), F.col("TIME_PERIOD").alias("period"), "value", F.col("SEX").alias("sex"))
+
+
+@query("SELECT 'etc' AS src, 'sheet' AS sheet, cast(n_nationkey AS INTEGER) AS r, 1 AS c, cast(n_nationkey AS DOUBLE) + 0.5 AS v_num, NULL::VARCHAR AS v_txt FROM nation UNION ALL SELECT 'etc', 'sheet', n_nationkey, 2, NULL, n_name FROM nation UNION ALL SELECT 'etc', 'sheet', n_nationkey, 3, NULL, '202508' FROM nation")
+def loaded_grid(spark, d):
+    """Cells as JSON lines, loaded back: texts of digits stay texts, blank cells are left out."""
+    n = t(spark, d, "nation")
+    cell = lambda c, v: n.select(F.to_json(F.struct(F.col("n_nationkey").alias("r"), F.lit(c).alias("c"), v.alias("v"))).alias("value"))
+    lines = cell(1, F.col("n_nationkey") + 0.5).union(cell(2, F.col("n_name"))).union(cell(3, F.lit("202508"))).union(cell(4, F.lit("  ")))
+    return tables.load_grid(spark, scratch.text_lines(lines, "sheet"), "etc")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.criteria import Criterion, on_grid, relation
@@ -42,6 +43,8 @@ def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], ag
     names = [f"k{i}" for i in range(len(equal))] + [f"x{i}" for i in range(len(compare))]
     asked = criteria.select(qid, *keys)
     once = asked.groupBy(*names).agg(F.min(qid).alias("rep"))
+    if not equal and not few(once):
+        raise ValueError("so many bounds without an equal column would meet every fact: use bounded")
     on = [(ascii_fold(F.col(f)) if kinds[f] == "string" else F.col(f)) == F.col(f"k{i}") for i, f in enumerate(equal)]
     on += [relation(op, F.col(f), F.col(f"x{i}")) for i, (f, (op, _)) in enumerate(compare.items())]
     send = F.broadcast if few(once) else lambda df: df
@@ -53,6 +56,32 @@ def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], ag
     return out.select(asked[qid], value.alias("value"))
 
 
+def bounded(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], bound: tuple[str, str, str], value: Column, empty: float | int | None = 0, qid: str = "qid") -> DataFrame:
+    """qid, value for each row of criteria: sums of value over the facts that meet equal columns and one bound.
+
+    equal: as in conditional(); bound: (fact column, >=, >, <= or <, criteria column).
+    Facts are summed up by equal columns and bounded column where they are scanned.
+    These sums and the questions then form one line per combination of equal columns,
+    along which a running sum answers all questions: no fact meets more than one row.
+    """
+    kinds = dict(facts.dtypes)
+    fold = lambda c, k: ascii_fold(F.coalesce(c, F.lit(""))) if kinds[k] == "string" else c
+    column, op, limit = bound
+    names = [f"k{i}" for i in range(len(equal))]
+    summed = facts.select(*(fold(F.col(f), f).alias(n) for n, f in zip(names, equal, strict=True)), F.col(column).cast("double").alias("x"), value.alias("v"))
+    # What meets no bound at all: nulls.
+    summed = summed.filter(F.col("x").isNotNull()).groupBy(*names, "x").agg(F.sum("v").alias("v"))
+    asked = criteria.select(qid, *(fold(F.col(c), f).alias(n) for n, (f, c) in zip(names, equal.items(), strict=True)), F.col(limit).cast("double").alias("x"))
+    none = F.lit(None).cast(summed.schema["v"].dataType)
+    line = summed.select(*names, "x", "v", F.lit(None).cast(asked.schema[qid].dataType).alias(qid), F.lit(False).alias("question"))
+    line = line.unionByName(asked.select(*names, "x", none.alias("v"), qid, F.lit(True).alias("question")))
+    # Facts at the bound itself come before the question if they count.
+    order = [F.col("x").desc() if op in (">=", ">") else F.col("x").asc_nulls_last(), F.col("question") if op in (">=", "<=") else ~F.col("question")]
+    running = F.sum("v").over(W.partitionBy(*names).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    got = line.withColumn("value", F.when(F.col("x").isNotNull(), running)).filter("question")
+    return got.select(qid, (F.col("value") if empty is None else F.coalesce(F.col("value"), F.lit(empty))).alias("value"))
+
+
 def one_pass(facts: DataFrame, questions: dict[str, Column]) -> DataFrame:
     """A row with one column per question (an aggregate with its own condition): one scan, no join."""
     return facts.agg(*(q.alias(name) for name, q in questions.items()))

@@ -9,11 +9,6 @@ from ..functions.scalars import ascii_fold, text_number
 from .aggregates import small
 
 
-def same_needle(txt: Column, num: Column, needle: Column) -> Column:
-    """A needle (text) meets a text without regard to ASCII case, or a number that it spells."""
-    return F.coalesce(ascii_fold(txt) == ascii_fold(needle), F.lit(False)) | F.coalesce(num == F.when(F.trim(needle) != "", text_number(needle)), F.lit(False))
-
-
 def keyed(num: Column, txt: Column) -> Column:
     """One join key for both: a number's shortest text, or the folded text."""
     return F.coalesce(F.concat(F.lit("n"), num.cast("string")), F.concat(F.lit("t"), ascii_fold(txt)))
@@ -53,6 +48,30 @@ def hlookup(needles: DataFrame, grid: DataFrame, row: int, index: int) -> DataFr
     return search(needles, grid, "c", row, F.lit(index))
 
 
+def cell_key(num: Column, txt: Column) -> Column:
+    """One join key for cells that are equal on a page: a number and the texts that spell it, or a text without blanks around it in either case."""
+    number = F.coalesce(num, F.when(F.trim(txt) != "", text_number(txt)))
+    return F.coalesce(F.concat(F.lit("n"), (number + F.lit(0.0)).cast("string")), F.concat(F.lit("t"), F.upper(F.trim(txt))))
+
+
+def page_lookup(needles: DataFrame, cells: DataFrame, along: str) -> DataFrame:
+    """qid, num, txt of lookups inside a page's cells(part, sheet, r, c, num, txt).
+
+    needles(qid, part, sheet, r1, c1, r2, c2, index, num, txt): the needle is
+    searched down the first column (along "r") or across the first row ("c") of its
+    range, and the cell `index` - 1 lines beyond the first hit is the result: 0 if
+    it is blank, an error (both null) if it lies outside the range or nothing was hit.
+    """
+    across = "c" if along == "r" else "r"
+    hay = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("line"), cell_key(F.col("num"), F.col("txt")).alias("key")).filter("key is not null")
+    asked = needles.select("qid", "part", "sheet", F.col(f"{along}1").alias("first"), F.col(f"{along}2").alias("last"), F.col(f"{across}1").alias("line"), F.col(f"{across}2").alias("most"), "index", cell_key(F.col("num"), F.col("txt")).alias("key"))
+    hits = asked.join(hay, ["part", "sheet", "line", "key"]).filter(F.col("at").between(F.col("first"), F.col("last")))
+    hits = hits.groupBy("qid", "part", "sheet", "line", "most", "index").agg(F.min("at").alias("at")).withColumn("to", F.col("line") + F.col("index") - 1).filter("to <= most")
+    there = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("to"), "num", "txt")
+    got = hits.join(there, ["part", "sheet", "at", "to"], "left").select("qid", F.when(F.col("txt").isNull(), F.coalesce("num", F.lit(0.0))).alias("num"), "txt")
+    return needles.select("qid").join(got, "qid", "left")
+
+
 def deref(refs: DataFrame, cells: DataFrame, computed: DataFrame | None = None) -> DataFrame:
     """refs(part, sheet, r, c, ...) with num, txt: a computed cell first, then the page's own, else blank."""
     at = ["part", "sheet", "r", "c"]

@@ -6,30 +6,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_half_up
+from ..functions.scalars import floor, number_value, round_half_up
+from ..sources.scratch import written
 
 #: Units in which a printed table may show a value.
 SCALES = (1.0, 10.0, 100.0, 1000.0, 0.1, 0.01, 0.001)
 MOST_HITS = 40
 
 
-def value_votes(printed: DataFrame, cells: DataFrame, scales: tuple[float, ...] = SCALES) -> DataFrame:
-    """table, sheet, scale, i, r, votes: how strongly printed row i of a table speaks for row r of a sheet.
+def shown(value: Column, decimals: Column) -> Column:
+    """A value as printed with so many decimals."""
+    p = F.pow(F.lit(10.0), decimals)
+    return floor(value * p + 0.5) / p
+
 
-    printed(table, i, j, value, decimals); cells(sheet, r, c, num). A value
-    that occurs MOST_HITS times or more often says nothing; each other one
-    shares a vote among its places. An equi join on rounded values.
+def value_hits(printed: DataFrame, cells: DataFrame, scales: tuple[float, ...] = SCALES) -> DataFrame:
+    """table, i, j, sheet, scale, r, c, hits: the places whose value, in some unit, is shown as a printed cell.
+
+    printed(table, i, j, value, decimals); cells(sheet, r, c, num). A value with
+    more than MOST_HITS places in a sheet says nothing. An equi join on rounded values.
     """
-    units = F.explode(F.array(*(F.lit(s) for s in scales)))
-    places = cells.select("sheet", "r", "c", "num", units.alias("scale"))
+    places = cells.filter(F.col("num").isNotNull()).select("sheet", "r", "c", "num", F.explode(F.array(*(F.lit(s) for s in scales))).alias("scale"))
     places = places.select("sheet", "r", "c", "scale", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("decimals"), "num")
-    places = places.withColumn("shown", F.when(F.col("decimals") == 0, round_half_up(F.col("num") * F.col("scale"))).when(F.col("decimals") == 1, round_half_up(F.col("num") * F.col("scale"), 1)).otherwise(round_half_up(F.col("num") * F.col("scale"), 2)))
+    places = places.withColumn("shown", shown(F.col("num") * F.col("scale"), F.col("decimals"))).drop("num")
     # Values that are everywhere go before the join.
     often = places.groupBy("sheet", "scale", "decimals", "shown").agg(F.count("*").alias("hits")).filter(F.col("hits") <= MOST_HITS)
     places = places.join(often, ["sheet", "scale", "decimals", "shown"])
-    asked = printed.select("table", "i", "j", "decimals", F.col("value").alias("shown"))
-    hits = asked.join(places, ["decimals", "shown"])
-    return hits.groupBy("table", "sheet", "scale", "i", "r").agg(F.sum(F.lit(1.0) / F.col("hits")).alias("votes"))
+    asked = printed.filter(F.col("value").isNotNull()).select("table", "i", "j", "decimals", F.col("value").alias("shown"))
+    return asked.join(places, ["decimals", "shown"]).select("table", "i", "j", "sheet", "scale", "r", "c", "hits")
+
+
+def line_votes(hits: DataFrame, line: str, to: str) -> DataFrame:
+    """table, sheet, scale, line, to, votes: each printed cell shares a vote among the places that show it."""
+    return hits.groupBy("table", "sheet", "scale", line, to).agg(F.sum(F.lit(1.0) / F.col("hits")).alias("votes"))
+
+
+def value_votes(printed: DataFrame, cells: DataFrame, scales: tuple[float, ...] = SCALES) -> DataFrame:
+    """table, sheet, scale, i, r, votes: how strongly printed row i of a table speaks for row r of a sheet."""
+    return line_votes(value_hits(printed, cells, scales), "i", "r")
 
 
 def best_sheet(votes: DataFrame) -> DataFrame:
@@ -40,8 +54,92 @@ def best_sheet(votes: DataFrame) -> DataFrame:
     return score.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def acceptance(rate: Column, pairs: Column) -> Column:
-    return F.when((rate >= 0.9) & (pairs >= 4), "ok").when((rate >= 0.7) & (pairs >= 3), "weak").otherwise("fail")
+def acceptance(rate: Column, matched: Column) -> Column:
+    """How far an alignment can be trusted, by the share and the number of printed values that it reproduces."""
+    return F.when((rate >= 0.9) & (matched >= 4), "ok").when((rate >= 0.7) & (matched >= 3), "weak").otherwise("fail")
+
+
+def greedy_pairs(votes: DataFrame, line: str = "i", to: str = "r") -> DataFrame:
+    """table, sheet, scale, line, to, votes: each printed line, the one with the strongest vote first, takes its strongest line of the sheet that is free.
+
+    Votes are compared to nine decimals; of equal ones the lower line comes first.
+    One array per printed table, sheet and unit: its size is that of a table on a page.
+    """
+    keys, kinds = ["table", "sheet", "scale"], dict(votes.dtypes)
+    weighed = votes.withColumn("w", -F.round("votes", 9))
+    lines = weighed.groupBy(*keys, line).agg(F.min("w").alias("best"), F.array_sort(F.collect_list(F.struct("w", F.col(to).alias("to"), "votes"))).alias("offers"))
+    tables = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("best", F.col(line).alias("line"), "offers"))).alias("lines"))
+    start = F.struct(F.array().cast(f"array<{kinds[to]}>").alias("used"), F.array().cast(f"array<struct<line:{kinds[line]},to:{kinds[to]},votes:double>>").alias("got"))
+
+    def take(state: Column, x: Column) -> Column:
+        free = F.get(F.filter(x["offers"], lambda o: ~F.array_contains(state["used"], o["to"])), F.lit(0))
+        pair = F.struct(x["line"].alias("line"), free["to"].alias("to"), free["votes"].alias("votes"))
+        keep = lambda name, one: F.when(free.isNull(), state[name]).otherwise(F.concat(state[name], F.array(one))).alias(name)
+        return F.struct(keep("used", free["to"]), keep("got", pair))
+
+    got = tables.select(*keys, F.inline(F.aggregate("lines", start, take)["got"]))
+    return got.withColumnsRenamed({"line": line, "to": to})
+
+
+def align(printed: DataFrame, cells: DataFrame, scales: tuple[float, ...] = SCALES) -> DataFrame:
+    """table, sheet, scale, rate, pairs, matched, score, status, rows(i, r), cols(j, c): each printed table laid over each sheet by its values alone.
+
+    Printed rows and columns vote for those of the sheet and are assigned greedily.
+    Then every printed number whose row and column are assigned is compared with the
+    cell there (pairs; a missing cell counts against it). The unit with the best
+    score wins: the rate in percent, the number of matches, and half a point each
+    for rows and columns in ascending order; of equals the first of `scales`.
+    """
+    keys = ["table", "sheet", "scale"]
+    hits = written(value_hits(printed, cells, scales), "hits")
+    lines = written(greedy_pairs(line_votes(hits, "i", "r")), "rows")
+    columns = written(greedy_pairs(line_votes(hits, "j", "c"), "j", "c"), "columns")
+    asked = printed.filter(F.col("value").isNotNull()).select("table", "i", "j", "value", "decimals")
+    at = lines.select(*keys, "i", "r").join(columns.select(*keys, "j", "c"), keys).join(asked, ["table", "i", "j"])
+    at = at.join(cells.select("sheet", "r", "c", "num"), ["sheet", "r", "c"], "left")
+    same = shown(F.col("num") * F.col("scale"), F.col("decimals")) == shown(F.col("value"), F.col("decimals"))
+    checked = at.groupBy(*keys).agg(F.count("*").alias("pairs"), F.count_if(same).alias("matched"))
+    listed = lambda df, a, b, name: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(a, b))).alias(name))
+    both = checked.join(listed(lines, "i", "r", "rows"), keys).join(listed(columns, "j", "c", "cols"), keys)
+
+    def rising(name: str, to: str) -> Column:
+        order = F.transform(name, lambda x: x[to])
+        return F.when(order == F.array_sort(order), 0.5).otherwise(0.0)
+
+    rate = F.col("matched") / F.col("pairs")
+    scored = both.withColumns({"rate": F.round(rate, 3), "score": rate * 100 + F.col("matched") + rising("rows", "r") + rising("cols", "c")})
+    place = F.array_position(F.array(*(F.lit(s) for s in scales)), F.col("scale"))
+    w = W.partitionBy("table", "sheet").orderBy(F.desc("score"), place)
+    best = scored.withColumn("_n", F.row_number().over(w)).filter("_n = 1")
+    return best.select(*keys, "rate", "pairs", "matched", "score", acceptance(F.col("rate"), F.col("matched")).alias("status"), "rows", "cols")
+
+
+def table_spec(aligned: DataFrame, texts: DataFrame, corner: str = "") -> DataFrame:
+    """aligned(table, sheet, scale, rate, pairs, matched, status, rows, cols) with what a table on a page shows beside its values.
+
+    texts(table, i, j, text): all printed cells. head: the distinct texts above
+    the first row with values, by column; labels: the texts left of the first column
+    with values, by row; corner: where both meet; decimals: the usual number of
+    each column, of equally frequent ones the smallest. Tables that fail are left out.
+    """
+    keys = ["table", "sheet"]
+    good = aligned.filter("status <> 'fail'")
+    edges = good.select(*keys, F.array_min(F.transform("rows", lambda x: x["i"])).alias("top"), F.array_min(F.transform("cols", lambda x: x["j"])).alias("left"), "rows", "cols")
+    text = F.trim("text")
+    cols = edges.select(*keys, "top", F.posexplode("cols").alias("at", "x")).select(*keys, "top", "at", F.col("x.j").alias("j")).join(texts, ["table", "j"], "left")
+    heads = cols.filter(F.col("i").isNull() | (F.col("i") < F.col("top"))).groupBy(*keys, "at").agg(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(text != "", F.struct("i", text.alias("text"))))), lambda x: x["text"])), " ").alias("head"))
+    rows = edges.select(*keys, "left", F.posexplode("rows").alias("at", "x")).select(*keys, "left", "at", F.col("x.i").alias("i"))
+    beside = rows.join(texts, ["table", "i"], "left")
+    labels = beside.groupBy(*keys, "at").agg(F.coalesce(F.max(F.when(F.col("j") == F.greatest(F.col("left") - 1, F.lit(0)), text)), F.lit("")).alias("label"))
+    shown_at = cols.join(rows.select(*keys, "i"), [*keys, "i"]).filter(number_value(F.col("text")).isNotNull()).groupBy(*keys, "at", decimals_of(F.col("text")).alias("d")).agg(F.count("*").alias("n"))
+    usual = shown_at.groupBy(*keys, "at").agg(F.min_by("d", F.struct(-F.col("n"), "d")).alias("d"))
+    corners = edges.join(texts, "table").filter((F.col("i") == F.greatest(F.col("top") - 1, F.lit(0))) & (F.col("j") == F.greatest(F.col("left") - 1, F.lit(0)))).select(*keys, F.nullif(text, F.lit("")).alias("corner"))
+    by_col = cols.select(*keys, "at").distinct().join(heads, [*keys, "at"], "left").join(usual, [*keys, "at"], "left")
+    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("at", c.alias("v")))), lambda x: x["v"])
+    by_col = by_col.groupBy(*keys).agg(listed(F.coalesce("head", F.lit(""))).alias("head"), listed(F.coalesce("d", F.lit(0))).alias("decimals"))
+    by_row = labels.groupBy(*keys).agg(listed(F.col("label")).alias("labels"))
+    out = good.join(by_col, keys).join(by_row, keys).join(corners, keys, "left")
+    return out.select(*keys, "scale", "rate", "pairs", "matched", "status", "head", "labels", F.transform("rows", lambda x: x["r"]).alias("rows"), F.transform("cols", lambda x: x["c"]).alias("cols"), "decimals", F.coalesce("corner", F.lit(corner)).alias("corner"))
 
 
 def project_table(spec: DataFrame, cells: DataFrame, published: DataFrame) -> DataFrame:
@@ -52,7 +150,7 @@ def project_table(spec: DataFrame, cells: DataFrame, published: DataFrame) -> Da
     out = at.join(cells.select(*keys, F.col("num").alias("own")), keys, "left").join(published.select(*keys, F.col("num").alias("printed")), keys, "left")
     value = F.coalesce("own", "printed") * F.col("scale")
     p = F.pow(F.lit(10.0), F.col("d"))
-    return out.select("page", "i", "j", (F.floor(value * p + 0.5) / p).alias("value"), F.when(F.col("own").isNotNull(), "v").when(F.col("printed").isNotNull(), "x").alias("source"))
+    return out.select("page", "i", "j", (floor(value * p + 0.5) / p).alias("value"), F.when(F.col("own").isNotNull(), "v").when(F.col("printed").isNotNull(), "x").alias("source"))
 
 
 def chart_series(series: DataFrame, cells: DataFrame) -> DataFrame:
@@ -115,27 +213,6 @@ def nice_top(x: Column) -> Column:
     return F.when(m <= 1, p).when(m <= 2, 2 * p).when(m <= 5, 5 * p).otherwise(10 * p)
 
 
-def greedy_pairs(votes: DataFrame) -> DataFrame:
-    """table, sheet, scale, i, r, votes: the strongest votes first, each printed row and each sheet row used once.
-
-    One small group per printed table and candidate sheet: its size is that of
-    a table on a page, whatever the number of tables.
-    """
-
-    def pick(pdf):
-        rows, cols, keep = set(), set(), []
-        for k, (i, r) in enumerate(zip(pdf.i, pdf.r, strict=True)):
-            if i not in rows and r not in cols:
-                rows.add(i)
-                cols.add(r)
-                keep.append(k)
-        return pdf.iloc[keep]
-
-    ordered = lambda pdf: pick(pdf.assign(_v=pdf.votes.round(9)).sort_values(["_v", "i", "r"], ascending=[False, True, True]).drop(columns="_v"))
-    columns = votes.select("table", "sheet", "scale", "i", "r", "votes")
-    return columns.groupBy("table", "sheet", "scale").applyInPandas(ordered, columns.schema)
-
-
 def search(pages: DataFrame, text: str, columns: list[str]) -> DataFrame:
     """Pages whose columns together hold a text, whatever its case."""
     return pages.filter(F.lower(F.concat_ws(" ", *columns)).contains(text.lower()))
@@ -172,3 +249,40 @@ def bundle(pages: DataFrame, charts: DataFrame, table_cells: DataFrame) -> DataF
     x = table_cells.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("i", "j", "value", "source"))).alias("cells"))
     out = pages.join(c, "page", "left").join(x, "page", "left")
     return out.select("page", F.to_json(F.struct(*(k for k in out.columns))).alias("document"))
+
+
+def required_cells(leaves: DataFrame, charted: DataFrame, specs: DataFrame) -> DataFrame:
+    """part, sheet, ref: cells whose constants must be kept, each once: leaves of formulas, and cells that charts show and no formula fills."""
+    at = ["part", "sheet", "ref"]
+    return leaves.select(*at).union(charted.select(*at).join(specs.select(*at), at, "left_anti")).distinct()
+
+
+def distinct_tables(rows: DataFrame, page: str = "page") -> DataFrame:
+    """rows(page, table, i, cells) without the tables whose rows all equal those of an earlier table on their page."""
+    whole = rows.groupBy(page, "table").agg(F.to_json(F.array_sort(F.collect_list(F.struct("i", "cells")))).alias("key"))
+    first = whole.groupBy(page, "key").agg(F.min("table").alias("table")).drop("key")
+    return rows.join(first, [page, "table"], "left_semi")
+
+
+def legend(entries: DataFrame) -> DataFrame:
+    """entries(chart, pos, label, color) with each label and color once, in order, for charts that have two or more of them."""
+    once = entries.filter(F.coalesce("label", F.lit("")) != "").groupBy("chart", "label", "color").agg(F.min("pos").alias("pos"))
+    return once.withColumn("_n", F.count("*").over(W.partitionBy("chart"))).filter("_n >= 2").drop("_n")
+
+
+def leaf_kind(num: Column, txt: Column) -> Column:
+    """What a constant that formulas rest on seems to be."""
+    whole = num == floor(num)
+    return F.when(txt.isNotNull(), "label").when(num.isNull(), "other").when(whole & num.between(1960, 2100), "year").when(whole & (F.abs(num) <= 100), "small number").otherwise("value")
+
+
+def literal_dependencies(leaves: DataFrame, values: DataFrame) -> DataFrame:
+    """part, sheet, n_leaves, users, cells(ref, users, kind): the constants on each sheet and how many cells rest on them, the most used first.
+
+    leaves(part, sheet, ref, cell): a leaf and a cell that rests on it; values(part, sheet, ref, num, txt).
+    """
+    at = ["part", "sheet", "ref"]
+    used = leaves.groupBy(*at).agg(F.count_distinct("cell").alias("users")).join(values.select(*at, "num", "txt"), at, "left")
+    rows = used.select(*at, "users", leaf_kind(F.col("num"), F.col("txt")).alias("kind"))
+    cells = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("users")).alias("less"), "ref", "users", "kind"))), lambda x: F.struct(x["ref"].alias("ref"), x["users"].alias("users"), x["kind"].alias("kind")))
+    return rows.groupBy("part", "sheet").agg(F.count("*").alias("n_leaves"), F.sum("users").alias("users"), cells.alias("cells"))

@@ -13,9 +13,19 @@ def in_range(ranges: DataFrame, cells: DataFrame) -> DataFrame:
     return cells.join(ranges, hit).select(ranges["qid"], pos.alias("pos"), cells["num"], cells["txt"])
 
 
-def range_aggregates(ranges: DataFrame, cells: DataFrame) -> DataFrame:
-    """qid, total, largest, filled: SUM, MAX (0 without numbers) and COUNTA; texts, blanks and errors don't add up."""
-    got = in_range(ranges, cells).groupBy("qid").agg(F.sum("num").alias("total"), F.max("num").alias("largest"), F.count(F.when(F.col("num").isNotNull() | (F.col("txt") != ""), 1)).alias("filled"))
+def arguments(ranges: DataFrame, cells: DataFrame, single: DataFrame) -> DataFrame:
+    """qid, num, txt: the values of arguments that are ranges, and those of single(qid, num, txt) that are values themselves."""
+    return in_range(ranges, cells).select("qid", "num", "txt").union(single.select("qid", "num", "txt"))
+
+
+def range_aggregates(ranges: DataFrame, cells: DataFrame, single: DataFrame | None = None) -> DataFrame:
+    """qid, total, largest, filled: SUM, MAX (0 without numbers) and COUNTA; texts, blanks and errors don't add up.
+
+    single(qid, num, txt): further arguments of the same questions that are no ranges.
+    """
+    args = in_range(ranges, cells) if single is None else arguments(ranges, cells, single)
+    ranges = ranges.select("qid").distinct() if single is None else ranges.select("qid").union(single.select("qid")).distinct()
+    got = args.groupBy("qid").agg(F.sum("num").alias("total"), F.max("num").alias("largest"), F.count(F.when(F.col("num").isNotNull() | (F.col("txt") != ""), 1)).alias("filled"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
     return ranges.select("qid").join(got, "qid", "left").select("qid", zero("total"), zero("largest"), F.coalesce("filled", F.lit(0)).alias("filled"))
 

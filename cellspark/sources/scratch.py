@@ -69,3 +69,21 @@ class Growing:
 
     def all(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
+def text_lines(df: DataFrame, name: str) -> str:
+    """df(value) as lines of text in files called <name>.jsonl, one folder each; a pattern for their paths."""
+    path = shared_path(df.sparkSession, name)
+    df.write.text(f"{path}/parts")
+    jvm = df.sparkSession._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    for i, status in enumerate(fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/parts"))):
+        if status.getPath().getName().startswith("part-"):
+            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{path}/{i}"))
+            fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{i}/{name}.jsonl"))
+    return f"{path}/[0-9]*/{name}.jsonl"
+
+
+def json_lines(df: DataFrame, name: str) -> str:
+    """df as JSON lines, as in text_lines; null columns are left out of their line."""
+    return text_lines(df.select(F.to_json(F.struct("*")).alias("value")), name)

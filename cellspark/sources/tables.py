@@ -7,6 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.aggregates import few
+from .scratch import written
+
 _LEVELS = [f"c{i}{k}" for i in range(1, 5) for k in ("_obj_nm", "", "_nm")]
 OBS = T.StructType([*(T.StructField(n, T.StringType(), n not in ("src", "table_id", "prd_de")) for n in ("src", "table_id", "prd_de", "itm_id", "itm_nm", *_LEVELS, "unit_nm")), T.StructField("dt", T.DoubleType())])
 #: The international tables' columns; all but `value` are texts.
@@ -54,10 +57,21 @@ def load_grid(spark: SparkSession, path: str, src: str) -> DataFrame:
     return there.select(F.lit(src).alias("src"), "sheet", "r", "c", "v_num", "v_txt")
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df with row numbers from 1 in the given order; beyond a few rows, range partitions are numbered one by one and offset by their sizes."""
+    if few(df):
+        return df.withColumn(name, F.row_number().over(W.orderBy(*order)))
+    laid = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
+    sizes = laid.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    return laid.join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + own).drop("_part", "_before")
+
+
 def melt(df: DataFrame, src: str, sheet: str, order: list[str], header: bool = True) -> DataFrame:
-    """A small wide table as a grid: row numbers in the given order, behind a row of column names."""
+    """A wide table as a grid: row numbers in the given order, behind a row of column names."""
     names, kinds = df.columns, dict(df.dtypes)
-    rows = df.withColumn("_r", F.row_number().over(W.orderBy(*order)) + int(header))
+    rows = numbered(df, order, "_r").withColumn("_r", F.col("_r") + int(header))
     cells = F.array(*(F.struct(F.lit(i + 1).alias("c"), (F.col(n).cast("double") if kinds[n] != "string" else F.lit(None).cast("double")).alias("v_num"), (F.col(n) if kinds[n] == "string" else F.lit(None).cast("string")).alias("v_txt")) for i, n in enumerate(names)))
     out = rows.select(F.col("_r").cast("int").alias("r"), F.inline(cells))
     if header:
@@ -106,6 +120,11 @@ def coordinates(ref: Column) -> tuple[Column, Column]:
     return digits.try_cast("int"), F.aggregate(codes, F.lit(0), lambda a, x: a * 26 + x)
 
 
+def own_row(ref: Column, row: int | None = None) -> Column:
+    """ROW(): the row of the cell that asks, or a given one; a reference that is none gives null."""
+    return F.lit(row) if row is not None else coordinates(ref)[0]
+
+
 def write_parts(df: DataFrame, path: str, *by: str) -> None:
     """Parquet, one folder per part."""
     df.write.partitionBy(*by).mode("overwrite").parquet(path)
