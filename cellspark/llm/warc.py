@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import read, scratch_path, slices, table
 
 DATE = "2024-01-01T00:00:00Z"
+SALTS = 16
 INDEX = "page_id long, url string, digest string, payload_bytes long, record_type string, refers_to long, file string, offset long, length long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
@@ -86,9 +87,11 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, file_bytes: int
     """Write a record per row of pages(page_id, url, html) below path; the index."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumns({"sha": F.sha1(F.encode("html", "UTF-8")), "n": F.octet_length("html")})
-    stub = pages.select("page_id", "sha", "n")
+    # One payload may be that of a third of all pages: its stubs are dealt out by salt, and its one row goes to each.
+    stub = pages.select("page_id", "sha", "n", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int").alias("salt"))
     first = stub.filter(F.col("n") >= least).groupBy("sha", "n").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).filter("refers_to < last")
-    revisits = stub.join(first, ["sha", "n"]).filter("page_id > refers_to").select("page_id", "sha", "refers_to").distinct()
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    revisits = stub.join(first, ["sha", "n", "salt"]).filter("page_id > refers_to").select("page_id", "sha", "refers_to").distinct()
     rows = pages.join(revisits, ["page_id", "sha"], "left").select("page_id", "url", "html", "sha", "refers_to")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
