@@ -68,10 +68,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of what is left of documents; a stage's table is deleted when the next one's is written."""
     docs = read(spark, sf_dir, "documents")
-    with scope("pipeline results"):
-        for name, f in STAGES:
+    for k, (name, f) in enumerate(STAGES):
+        with scope(f"pipeline result {k}"):
             path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
-            f(spark, docs, sf_dir).write.parquet(path)
-            docs = spark.read.parquet(path)
+        f(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        release(spark, f"pipeline result {k - 1}")
+    release(spark, "pipeline")
     return docs
