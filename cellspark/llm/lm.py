@@ -237,16 +237,16 @@ def normalised(x: np.ndarray, want: np.ndarray, q: np.ndarray, b: np.ndarray) ->
         return out
     # No sum of scores overflows, unless parameters have grown beyond all measure.
     bound = np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1).max() + np.abs(b).max()
-    for i in range(0, len(want), 1024):
-        w = want[i : i + 1024]
-        s = x[i : i + 1024] @ q.T
-        s += b
-        hit = s[np.arange(len(w)), w]
-        most = s.max(1) if bound > 80 else np.zeros(len(s), "f4")
+    x, q = np.column_stack([x, np.ones(len(x), "f4")]), np.column_stack([q, b]).astype("f4")
+    out[:] = np.einsum("ij,ij->i", x, q[want])
+    columns, ones, room = np.ascontiguousarray(q.T), np.ones(len(q), "f4"), np.empty((512, len(q)), "f4")
+    for i in range(0, len(want), 512):
+        s = np.matmul(x[i : i + 512], columns, out=room[: len(want[i : i + 512])])
         if bound > 80:
+            most = s.max(1)
             s -= most[:, None]
-        np.exp(s, out=s)
-        out[i : i + 1024] = hit - most - np.log(s.sum(1))
+            out[i : i + 512] -= most
+        out[i : i + 512] -= np.log(np.exp(s, out=s) @ ones)
     return out
 
 
