@@ -17,7 +17,8 @@
 
 * null or empty text: no shingles; such documents are one class and have no
   other links. Very long texts: all shingles count.
-* Repeated rows and ties: each row counts as a document of its class.
+* Repeated rows and ties: each row counts as a document of its class. Rows with one doc_id and several texts belong to the
+  classes of their texts; keep_one() keeps one row of each group, also of equal rows.
 * Null doc_id: the row is left out. An empty table: no rows. Extra columns are
   ignored.
 """
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Words, flat, mix, read, slices, table, windows
@@ -87,34 +88,43 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return out
 
 
+def fingerprints(h: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """128 bits of each row's set of shingle hashes."""
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ np.uint64(s)))]) for s in (0x1234567, 0x89ABCDEF01)]
+    return [pa.array((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64)) for x in sums]
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """id, f1, f2 (the set's fingerprint), n (shingles), sig, bands."""
+    """id, t (a hash of the text), f1, f2 (the set's fingerprint), n (shingles), sig, bands."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            h, bounds = shingle_sets(*flat(b.column(1)), size)
-            sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ np.uint64(s)))]) for s in (0x1234567, 0x89ABCDEF01)]
-            f1, f2 = (pa.array((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64)) for x in sums)
+            h, bounds = shingle_sets(*flat(b.column(2)), size)
             sig = minhash(h, bounds)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), f1, f2, pa.array(np.diff(bounds)), pa.array([x.tobytes() for x in sig], pa.binary()), pa.FixedSizeListArray.from_arrays(pa.array(bands(sig).view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))],
-                ["id", "f1", "f2", "n", "sig", "bands"],
+                [*b.columns[:2], *fingerprints(h, bounds), pa.array(np.diff(bounds)), pa.array([x.tobytes() for x in sig], pa.binary()), pa.FixedSizeListArray.from_arrays(pa.array(bands(sig).view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))],
+                ["id", "t", "f1", "f2", "n", "sig", "bands"],
             )
 
-    slim = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    return slim.mapInArrow(work, "id long, f1 long, f2 long, n long, sig binary, bands array<long>")
+    slim = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), text_hash().alias("t"), F.coalesce("text", F.lit("")).alias("text"))
+    return slim.mapInArrow(work, "id long, t long, f1 long, f2 long, n long, sig binary, bands array<long>")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """id, set: the shingle hashes, 8 bytes each, of the documents wanted(id)."""
+def sets_of(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """id, set: the shingle hashes, 8 bytes each, of classes(id, doc, f1, f2), from a document of each; other texts with its doc_id are passed over."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             h, bounds = shingle_sets(*flat(b.column(1)), size)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([h[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["id", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *fingerprints(h, bounds), pa.array([h[a:z].tobytes() for a, z in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["doc", "f1", "f2", "set"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return slim.join(wanted.hint("shuffle_hash"), "id", "left_semi").mapInArrow(work, "id long, set binary").dropDuplicates(["id"])
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(classes.select("doc").hint("shuffle_hash"), "doc", "left_semi")
+    found = slim.mapInArrow(work, "doc long, f1 long, f2 long, set binary")
+    return found.join(classes.select("id", "doc", "f1", "f2"), ["doc", "f1", "f2"]).select("id", "set").dropDuplicates(["id"])
 
 
 # --------------------------------------------------------------------- pruning
@@ -282,9 +292,13 @@ def block_links(blocks: DataFrame, pairs: DataFrame, classes: DataFrame, sets: D
 
 # ------------------------------------------------------------------------- join
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """id, set_id (smallest id with the same shingles), class_id (smallest id of all that links reach), n_links (other documents that reach the threshold), n_set_links (other sets)."""
+    """id, t, set_id (smallest id with the same shingles), class_id (smallest id of all that links reach), n_links (other documents that reach the threshold), n_set_links (other sets), first (its set is the one of class_id).
+
+    Classes of equal sets have numbers of their own in here: rows that share a doc_id but not their text are kept apart.
+    """
     sig = table(signatures(docs, words), "signatures")
-    classes = table(sig.groupBy("f1", "f2").agg(F.min_by(F.struct("id", "n", "sig", "bands"), "id").alias("r"), F.count("*").alias("copies")).select("f1", "f2", "copies", "r.*"), "classes")
+    classes = sig.groupBy("f1", "f2").agg(F.min_by(F.struct(F.col("id").alias("doc"), "n", "sig", "bands"), "id").alias("r"), F.count("*").alias("copies"))
+    classes = table(classes.select(F.monotonically_increasing_id().alias("id"), "f1", "f2", "copies", "r.*"), "classes")
     banded = classes.filter("n > 0").select("id", F.explode("bands").alias("band"))
     full = table(banded.join(banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"), "band"), "bands")
     large = full.filter(F.col("size") > SMALL)
@@ -296,7 +310,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     pairs = pairs.filter("block_a is null or block_b is null").select("a", "b").union(pairs.filter("block_a is not null and block_b is not null").join(together, ["i", "j"], "left_anti").select("a", "b"))
     pairs = table(pruned(pairs, classes, threshold, tolerance), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(blocks.select("id")).distinct()
-    sets = table(sets_of(docs, wanted, words), "sets")
+    sets = table(sets_of(docs, table(classes.select("id", "doc", "f1", "f2").join(wanted, "id"), "wanted"), words), "sets")
     pairs = table(verified(pairs, sets, threshold), "verified")
     inside = table(block_links(blocks, together, classes, sets, threshold, tolerance), "linked")
     copies = classes.select("id", "copies")
@@ -304,16 +318,27 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WOR
     links = ends.select("id", F.lit(1).cast("long").alias("links"), F.col("copies").alias("docs")).union(inside.select("id", "links", "docs")).groupBy("id").agg(F.sum("links").alias("links"), F.sum("docs").alias("docs"))
     edges = pairs.union(inside.filter("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     labels = components(edges).select(F.col("v").alias("id"), "label")
-    full_classes = classes.select("f1", "f2", "id", "copies").join(links, "id", "left").join(labels, "id", "left")
-    full_classes = full_classes.select("f1", "f2", F.col("id").alias("set_id"), F.coalesce("label", "id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("links", F.lit(0)).cast("long").alias("n_set_links"))
-    return sig.select("id", "f1", "f2").join(full_classes, ["f1", "f2"]).drop("f1", "f2")
+    # The smallest document of each component; of several sets with its doc_id, the one with the smaller fingerprint.
+    named = table(labels.join(classes.select("id", "doc", "f1", "f2"), "id"), "labels")
+    least = for_salts(named.groupBy("label").agg(F.min(F.struct("doc", "f1", "f2", "id")).alias("least")))
+    named = salted(named, "id").join(least, ["label", "salt"]).select("id", F.col("least.doc").alias("class_id"), (F.col("least.id") == F.col("id")).alias("first"))
+    full_classes = classes.select("f1", "f2", "id", "doc", "copies").join(links, "id", "left").join(named, "id", "left")
+    full_classes = full_classes.select("f1", "f2", F.col("doc").alias("set_id"), F.coalesce("class_id", "doc").alias("class_id"), (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("links", F.lit(0)).cast("long").alias("n_set_links"), F.coalesce("first", F.lit(True)).alias("first"))
+    return sig.select("id", "t", "f1", "f2").join(full_classes, ["f1", "f2"]).drop("f1", "f2")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs without those that are linked, directly or not, to one with a smaller doc_id; rows without doc_id stay."""
-    gone = jaccard_join(docs, **options).filter("id <> class_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each group that links, direct or not, hold together: one with the smallest doc_id; rows without doc_id stay."""
+    found = jaccard_join(docs, **options)
+    # Rows with one doc_id and one text are judged alike.
+    rows = table(found.groupBy(F.col("id").alias("doc_id"), "t").agg(F.bool_or((F.col("id") != F.col("class_id")) | ~F.col("first")).alias("gone"), F.count("*").alias("n")).filter("gone or n > 1"), "judged")
+    marked = docs.withColumn("__text_hash", text_hash())
+    out = marked.join(rows.select("doc_id", F.col("t").alias("__text_hash")), ["doc_id", "__text_hash"], "left_anti").select(docs.columns)
+    twice = rows.filter("not gone").select("doc_id", F.col("t").alias("__text_hash"))
+    if not twice.isEmpty():
+        out = out.unionByName(marked.join(twice, ["doc_id", "__text_hash"], "left_semi").dropDuplicates(["doc_id", "__text_hash"]).select(docs.columns))
+    return out
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return jaccard_join(read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "set_id", "class_id", "n_links", "n_set_links")

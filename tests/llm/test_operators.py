@@ -137,7 +137,7 @@ def test_jaccard_equals_brute_force(make, nasty):
     assert got == jaccard_truth(rows)
     kept = jaccard.keep_one(make(rows))
     truth = {i: c for i, c, _ in jaccard_truth(rows)}
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(i for i, _ in rows if i is not None and truth[i] == i)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({i for i, _ in rows if i is not None and truth[i] == i})
     assert None in [r.doc_id for r in kept.collect()]
 
 
@@ -148,6 +148,15 @@ def test_large_groups_go_through_blocks(make, monkeypatch):
     assert got == jaccard_truth(rows)
 
 
+def test_rows_that_share_a_doc_id_are_kept_apart(make):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (1, a), (2, b + " more"), (3, a + " more"), (3, "some text of its own that nobody else has")]
+    got = sorted((r.id, r.class_id, r.n_links) for r in jaccard.jaccard_join(make(rows)).collect())
+    assert got == jaccard_truth(rows)
+    kept = sorted((r.doc_id, r.text) for r in jaccard.keep_one(make(rows)).collect())
+    assert kept == [(1, a), (1, b), rows[-1]]
+
+
 def test_jaccard_of_nothing(make):
     assert jaccard.jaccard_join(make([])).count() == 0
     assert [(r.id, r.class_id, r.n_links, r.n_set_links) for r in jaccard.jaccard_join(make([(5, None), (3, "")])).orderBy("id").collect()] == [(3, 3, 1, 0), (5, 3, 1, 0)]
