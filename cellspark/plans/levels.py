@@ -27,7 +27,7 @@ def levels(cells: DataFrame, edges: DataFrame) -> DataFrame:
     all_cells = cells.select("cell").distinct()
     rows = edges.select("cell", "needs", F.lit(1).alias("dist"), F.lit(None).cast("int").alias("base")).distinct()
     rows = rows.unionByName(all_cells.select("cell", F.lit(None).cast(edges.schema["needs"].dataType).alias("needs"), F.lit(None).cast("int").alias("dist"), F.lit(0).alias("base")))
-    rows, before = written(rows, "levels"), None
+    rows, before, edges_before = written(rows, "levels"), None, None
     while True:
         by_cell = rows.groupBy("cell").agg(F.count("needs").alias("open"), F.max("base").alias("own"), F.max("needs").alias("next"), F.max("dist").alias("more"))
         known = by_cell.filter((F.col("open") == 0) & F.col("own").isNotNull() | (F.col("open") == 1) & (F.col("next") != F.col("cell"))).withColumnRenamed("cell", "needs")
@@ -39,12 +39,16 @@ def levels(cells: DataFrame, edges: DataFrame) -> DataFrame:
         # A base that comes with an edge is a row of its own: it must not wait for the edge.
         step = step.select("cell", F.inline(F.array(F.struct("needs", "dist", F.when(F.col("needs").isNull(), F.col("base")).alias("base")), F.struct(F.lit(None).cast(edges.schema["needs"].dataType).alias("needs"), F.lit(None).cast("int").alias("dist"), F.coalesce("base", F.lit(0)).alias("base")))))
         rows = written(step.distinct().observe(settled, F.count("needs").alias("edges")), "levels")
-        if not settled.get["edges"]:
+        n = settled.get["edges"]
+        if not n:
             break
-        waiting = rows.filter("needs is not null").select("cell").distinct().count()
-        if waiting == before:  # without a cycle, some cell waits for settled ones only
-            break
-        before = waiting
+        if edges_before is not None and n >= edges_before:
+            # Without a cycle, some cell waits for settled ones only: there are fewer that wait than when this was last looked at.
+            waiting = rows.filter("needs is not null").select("cell").distinct().count()
+            if waiting == before:
+                break
+            before = waiting
+        edges_before = n
     done = rows.groupBy("cell").agg(F.when(F.count("needs") == 0, F.max("base")).alias("level"))
     return all_cells.join(done, "cell", "left")
 
@@ -129,10 +133,10 @@ def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame) -> DataFrame
     cells = specs.select("cell").union(inputs.select("cell")).distinct().select(F.col("cell").alias("needs"), F.lit(True).alias("inside"))
     operands = specs.select("cell", "shape").distinct().join(edges.select("cell", "pos", "needs"), "cell", "left").join(cells, "needs", "left")
     operands = written(operands.select("cell", "shape", "pos", "needs", F.coalesce("inside", F.lit(False)).alias("inside")), "operands")
-    left = operands.select("cell").distinct().count()
-    value = sc.cell()
-    for name, f in SHAPES.items():
-        value = F.when(F.col("shape") == name, f(F.col("args"))).otherwise(value)
+    asked = operands.agg(F.count_distinct("cell").alias("cells"), F.collect_set("shape").alias("shapes")).first()  # one row; no more shapes than there are
+    left, value = asked["cells"], sc.cell()
+    for name in SHAPES.keys() & set(asked["shapes"]):
+        value = F.when(F.col("shape") == name, SHAPES[name](F.col("args"))).otherwise(value)
 
     def evaluated(met: DataFrame) -> DataFrame:
         """Of operands with num, txt and arrived (for all of a cell's): the cells that wait for none."""
