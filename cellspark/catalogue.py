@@ -390,7 +390,7 @@ def verify_summary(spark, d):
 
 @query(f"WITH {VERDICTS}, c AS (SELECT part, count(*) FILTER (WHERE verdict IN ('match', 'mismatch', 'error', 'known-divergence')) AS comparable, count(*) FILTER (WHERE verdict = 'match') AS matches, count(*) FILTER (WHERE verdict IN ('mismatch', 'error', 'unsupported', 'no-oracle')) AS failures FROM v GROUP BY part) SELECT part, comparable, matches, round(matches * 100.0 / nullif(comparable, 0), 6) AS rate, failures = 0 AS passed FROM c")
 def verify_rates(spark, d):
-    return verification.rates(_verdicts(spark, d)).withColumn("rate", F.round("rate", 6))
+    return verification.rates(_verdicts(spark, d)).withColumn("rate", F.round("rate", 6)).drop("failures")
 
 
 EXEMPT = "x AS (SELECT part, sheet, ref, k * 1000.0 AS e_num, CASE WHEN k % 4 = 1 THEN k * 1000.0 + 1 ELSE 5.0 END AS g_num FROM s WHERE k % 3 <> 0)"
@@ -857,3 +857,44 @@ def loaded_grid(spark, d):
     cell = lambda c, v: n.select(F.to_json(F.struct(F.col("n_nationkey").alias("r"), F.lit(c).alias("c"), v.alias("v"))).alias("value"))
     lines = cell(1, F.col("n_nationkey") + 0.5).union(cell(2, F.col("n_name"))).union(cell(3, F.lit("202508"))).union(cell(4, F.lit("  ")))
     return tables.load_grid(spark, scratch.text_lines(lines, "sheet"), "etc")
+
+
+# ------------------------------------------------------ criteria, needles, reasons
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN NULL WHEN n_nationkey % 3 = 1 THEN cast(2000 + n_nationkey AS VARCHAR) ELSE n_name END AS year, CASE WHEN n_nationkey % 3 = 0 THEN 'unresolved year' END AS year_err, CASE WHEN n_nationkey % 3 = 0 THEN NULL WHEN n_nationkey % 3 = 1 THEN cast(2000 + n_nationkey AS VARCHAR) ELSE ' ' || n_name || '~* ' END AS cell, CASE WHEN n_nationkey % 3 = 0 THEN NULL WHEN n_nationkey % 3 = 1 THEN cast(2000 + n_nationkey AS VARCHAR) ELSE ' ' || n_name || '* ' END AS expr, CASE WHEN n_nationkey % 3 = 0 THEN 'unresolved expr' END AS expr_err FROM nation")
+def criterion_values(spark, d):
+    k = F.col("n_nationkey") % 3
+    escaped = sc.cell(F.when(k == 1, F.col("n_nationkey") + 2000), F.when(k == 2, F.concat(F.lit(" "), "n_name", F.lit("~* "))))
+    plain = sc.cell(F.when(k == 1, F.col("n_nationkey") + 2000), F.when(k == 2, F.concat(F.lit(" "), "n_name", F.lit(" "))))
+    out = t(spark, d, "nation").select("n_nationkey", cr.value_of("year", plain).alias("y"), cr.value_of("cell", escaped).alias("c"), cr.value_of("expr", escaped).alias("e"))
+    return out.select("n_nationkey", F.col("y.text").alias("year"), F.col("y.err").alias("year_err"), F.col("c.text").alias("cell"), F.col("e.text").alias("expr"), F.col("e.err").alias("expr_err"))
+
+
+PATTERNS = [(1, "FRANCE"), (2, "FRAN*"), (3, "N?TION_7"), (4, "nation~~_3"), (5, "~*")]
+
+
+@query(f"WITH {MELT}, q(qid, needle) AS (VALUES {values(PATTERNS)}), h AS (SELECT qid, min(r) AS r FROM q LEFT JOIN g ON c = 2 AND lower(v_txt) = lower(needle) AND NOT regexp_matches(needle, '[*?~]') GROUP BY qid) SELECT qid, v_num AS num, v_txt AS txt FROM h LEFT JOIN g ON h.r = g.r AND g.c = 3")
+def vlookup_refuses_patterns(spark, d):
+    return lookups.vlookup(_needles(spark, PATTERNS), _grid(spark, d), 2, 2)
+
+
+@query("SELECT CASE event_id % 3 WHEN 0 THEN 'no column' WHEN 1 THEN 'unknown function: ' || event_type ELSE 'row # of ' || event_type END AS key, count(*) AS n, min(event_id) AS sample FROM events GROUP BY 1")
+def reasons_with_noisy_tails(spark, d):
+    k = F.col("event_id") % 3
+    reason = F.when(k == 0, F.concat(F.lit("no column: ['"), "event_type", F.lit("', "), "user_id", F.lit("] (sheet p"), "user_id", F.lit(")"))).when(k == 1, F.concat(F.lit("unknown function: "), "event_type")).otherwise(F.concat(F.lit("row "), "user_id", F.lit(" of "), "event_type"))
+    return verification.reason_groups(t(spark, d, "events").select("event_id", reason.alias("reason")), "reason", "event_id")
+
+
+@query("SELECT n_nationkey AS chart, CASE WHEN n_nationkey % 4 = 0 THEN 'r' ELSE 'l' END AS axis FROM nation")
+def secondary_axes(spark, d):
+    k = F.col("n_nationkey")
+    groups = t(spark, d, "nation").select(k.alias("chart"), F.lit(1).alias("grp"), F.array(F.lit("cat"), F.lit("a"), F.when(k % 2 == 0, "b").otherwise("none")).alias("ids"))
+    axes = t(spark, d, "nation").select(k.alias("chart"), F.inline(F.array(F.struct(F.lit("cat").alias("id"), F.lit("catAx").alias("type"), F.lit("r").alias("pos")), F.struct(F.lit("a").alias("id"), F.lit("valAx").alias("type"), F.lit(None).cast("string").alias("pos")), F.struct(F.lit("b").alias("id"), F.lit("valAx").alias("type"), F.when(k % 4 == 0, "r").otherwise("l").alias("pos")))))
+    return publish.value_axes(groups, axes).select("chart", "axis")
+
+
+@query("SELECT r_name AS part, string_agg(shown, ';' ORDER BY first) AS chapters FROM (SELECT r_name, ch, min(n_nationkey) AS first, ch || ':' || string_agg(n_name, ',' ORDER BY sec_first, n_nationkey) AS shown FROM (SELECT r_name, left(n_name, 1) AS ch, n_name, n_nationkey, min(n_nationkey) OVER (PARTITION BY r_name, left(n_name, 1), coalesce(CASE WHEN n_nationkey % 2 = 0 THEN 'even' END, '')) AS sec_first FROM nation JOIN region ON n_regionkey = r_regionkey) GROUP BY r_name, ch) GROUP BY r_name")
+def contents_tree(spark, d):
+    n = t(spark, d, "nation").join(F.broadcast(t(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    pages = n.select(F.col("n_nationkey").alias("pos"), F.col("r_name").alias("part"), F.left("n_name", F.lit(1)).alias("chapter"), F.when(F.col("n_nationkey") % 2 == 0, "even").alias("section"), F.col("n_name").alias("page"))
+    line = lambda c: F.concat(c["chapter"], F.lit(":"), F.array_join(F.flatten(F.transform(c["sections"], lambda s: s["pages"])), ","))
+    return publish.tree(pages).select("part", F.array_join(F.transform("chapters", line), ";").alias("chapters"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import NUMBER, ascii_fold, fifteen_digits, number_prefix, text_number
+from .scalars import NUMBER, ascii_fold, fifteen_digits, general_number, number_prefix, text_number, unescape
 
 PATTERN = r"^(<>|>=|<=|>|<|=)?\s*([\s\S]*)$"
 
@@ -43,6 +43,25 @@ def split_column(raw: Column) -> Column:
     return F.struct(F.when(op == "", "=").otherwise(op).alias("op"), F.regexp_extract(text, PATTERN, 2).alias("rhs"))
 
 
+def value_of(kind: str, v: Column) -> Column:
+    """struct(text, err): what the right side of a criterion is when it comes from a cell.
+
+    year: a blank or an error is an error, never another year; numbers are spelled
+    without a point if whole, texts lose blanks around them. cell: a blank is the
+    blank criterion (null). expr: a blank or an error is an error; escapes are undone.
+    """
+    blank = v["num"].isNull() & v["txt"].isNull()
+    if kind == "year":
+        text, err = F.coalesce(general_number(v["num"]), F.trim(v["txt"])), blank
+    elif kind == "cell":
+        text, err = F.coalesce(general_number(v["num"]), v["txt"]), F.lit(False)
+    elif kind == "expr":
+        text, err = unescape(F.coalesce(v["txt"], general_number(v["num"]))), blank
+    else:
+        raise ValueError(f"unknown kind of criterion: {kind}")
+    return F.struct(text.alias("text"), F.when(err, F.lit(f"unresolved {kind}")).alias("err"))
+
+
 def relation(op: str, a: Column, b: Column) -> Column:
     return {"=": a == b, "<>": a != b, "<": a < b, "<=": a <= b, ">": a > b, ">=": a >= b}[op]
 

@@ -193,6 +193,12 @@ def unescape(s: Column) -> Column:
     return F.regexp_replace(s, r"~([~*?])", "$1")
 
 
+def literal_needle(s: Column) -> Column:
+    """What a lookup searches: escapes undone; an error (null) if that leaves a pattern, which lookups do not have."""
+    plain = unescape(s)
+    return F.when(~plain.rlike(r"[*?]"), plain)
+
+
 def has_wildcard(s: Column) -> Column:
     return F.regexp_replace(s, r"~[~*?]", "").rlike(r"[*?]")
 

@@ -65,13 +65,14 @@ def bounded(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], bound:
     along which a running sum answers all questions: no fact meets more than one row.
     """
     kinds = dict(facts.dtypes)
-    fold = lambda c, k: ascii_fold(F.coalesce(c, F.lit(""))) if kinds[k] == "string" else c
+    fold = lambda c, k: ascii_fold(c) if kinds[k] == "string" else c
+    blank = lambda c, k: F.coalesce(c, F.lit("")) if kinds[k] == "string" else c
     column, op, limit = bound
     names = [f"k{i}" for i in range(len(equal))]
     summed = facts.select(*(fold(F.col(f), f).alias(n) for n, f in zip(names, equal, strict=True)), F.col(column).cast("double").alias("x"), value.alias("v"))
     # What meets no bound at all: nulls.
     summed = summed.filter(F.col("x").isNotNull()).groupBy(*names, "x").agg(F.sum("v").alias("v"))
-    asked = criteria.select(qid, *(fold(F.col(c), f).alias(n) for n, (f, c) in zip(names, equal.items(), strict=True)), F.col(limit).cast("double").alias("x"))
+    asked = criteria.select(qid, *(fold(blank(F.col(c), f), f).alias(n) for n, (f, c) in zip(names, equal.items(), strict=True)), F.col(limit).cast("double").alias("x"))
     none = F.lit(None).cast(summed.schema["v"].dataType)
     line = summed.select(*names, "x", "v", F.lit(None).cast(asked.schema[qid].dataType).alias(qid), F.lit(False).alias("question"))
     line = line.unionByName(asked.select(*names, "x", none.alias("v"), qid, F.lit(True).alias("question")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import ascii_fold, text_number
+from ..functions.scalars import ascii_fold, literal_needle, text_number
 from .aggregates import small
 
 
@@ -15,7 +15,8 @@ def keyed(num: Column, txt: Column) -> Column:
 
 
 def keys_of(needle: Column) -> Column:
-    """The keys that a needle can meet."""
+    """The keys that a needle can meet; one with a pattern meets none."""
+    needle = literal_needle(needle)
     number = F.when(F.trim(needle) != "", text_number(needle))
     return F.array_compact(F.array(F.concat(F.lit("t"), ascii_fold(needle)), F.concat(F.lit("n"), number.cast("string"))))
 
@@ -64,7 +65,7 @@ def page_lookup(needles: DataFrame, cells: DataFrame, along: str) -> DataFrame:
     """
     across = "c" if along == "r" else "r"
     hay = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("line"), cell_key(F.col("num"), F.col("txt")).alias("key")).filter("key is not null")
-    asked = needles.select("qid", "part", "sheet", F.col(f"{along}1").alias("first"), F.col(f"{along}2").alias("last"), F.col(f"{across}1").alias("line"), F.col(f"{across}2").alias("most"), "index", cell_key(F.col("num"), F.col("txt")).alias("key"))
+    asked = needles.select("qid", "part", "sheet", F.col(f"{along}1").alias("first"), F.col(f"{along}2").alias("last"), F.col(f"{across}1").alias("line"), F.col(f"{across}2").alias("most"), "index", cell_key(F.col("num"), literal_needle(F.col("txt"))).alias("key"))
     hits = asked.join(hay, ["part", "sheet", "line", "key"]).filter(F.col("at").between(F.col("first"), F.col("last")))
     hits = hits.groupBy("qid", "part", "sheet", "line", "most", "index").agg(F.min("at").alias("at")).withColumn("to", F.col("line") + F.col("index") - 1).filter("to <= most")
     there = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("to"), "num", "txt")

@@ -198,6 +198,25 @@ def toc(pages: DataFrame) -> DataFrame:
     return pages.groupBy("part", "chapter").agg(F.array_sort(F.collect_list("page")).alias("pages"))
 
 
+def tree(pages: DataFrame) -> DataFrame:
+    """part, chapters(chapter, sections(section, pages)): the contents as a tree, each level in the order of its first page.
+
+    pages(pos, part, chapter, section, page); a page without a section is in the empty one.
+    """
+    listed = lambda *names: F.transform(F.array_sort(F.collect_list(F.struct("pos", *names))), lambda x: F.struct(*(x[n].alias(n) for n in names)))
+    pages = pages.withColumn("section", F.coalesce("section", F.lit("")))
+    sections = pages.groupBy("part", "chapter", "section").agg(F.min("pos").alias("first"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "page"))), lambda x: x["page"]).alias("pages")).withColumnRenamed("first", "pos")
+    chapters = sections.groupBy("part", "chapter").agg(F.min("pos").alias("first"), listed("section", "pages").alias("sections")).withColumnRenamed("first", "pos")
+    return chapters.groupBy("part").agg(listed("chapter", "sections").alias("chapters"))
+
+
+def value_axes(groups: DataFrame, axes: DataFrame) -> DataFrame:
+    """groups(chart, grp, ids) with axis: "r" if the last of its axes that shows values stands on the right, else "l"; axes(chart, id, type, pos)."""
+    ids = groups.select("chart", "grp", F.posexplode("ids").alias("at", "id")).join(axes.filter("type = 'valAx'"), ["chart", "id"])
+    last = ids.groupBy("chart", "grp").agg(F.max_by(F.coalesce("pos", F.lit("l")), "at").alias("pos"))
+    return groups.join(last, ["chart", "grp"], "left").withColumn("axis", F.when(F.col("pos") == "r", "r").otherwise("l")).drop("pos")
+
+
 def data_table(rows: DataFrame, cells: str = "cells") -> DataFrame:
     """Tables of rows(table, i, cells array<string>) that look like data: 2 rows, 3 columns, 6 filled cells, 4 in 10 of them numbers."""
     filled = F.filter(cells, lambda x: F.trim(x) != "")

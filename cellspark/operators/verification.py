@@ -75,10 +75,10 @@ def summary(results: DataFrame) -> DataFrame:
 
 
 def rates(results: DataFrame) -> DataFrame:
-    """part, comparable, matches, rate (percent, over comparable cells), passed."""
+    """part, comparable, matches, rate (percent, over comparable cells), passed, failures."""
     is_ = lambda *v: F.count(F.when(F.col("verdict").isin(*v), 1))
     out = results.groupBy("part").agg(is_(*COMPARABLE).alias("comparable"), is_("match").alias("matches"), is_(*FAILURES).alias("failures"))
-    return out.select("part", "comparable", "matches", F.try_divide(F.col("matches") * 100.0, "comparable").alias("rate"), (F.col("failures") == 0).alias("passed"))
+    return out.select("part", "comparable", "matches", F.try_divide(F.col("matches") * 100.0, "comparable").alias("rate"), (F.col("failures") == 0).alias("passed"), "failures")
 
 
 @dataclass(frozen=True)
@@ -104,9 +104,25 @@ def raised(old: Floor | None, new: Floor) -> Floor:
     return new
 
 
+def write_snapshot(results: DataFrame, path: str, old: Floor | None) -> Floor:
+    """Write the compared cells' values and the counts as JSON lines; the new floor. Refused if a cell fails or less is covered than before."""
+    by_part = rates(results)
+    got = by_part.agg(F.count("*").alias("parts"), F.coalesce(F.sum("comparable"), F.lit(0)).alias("cells"), F.coalesce(F.sum("failures"), F.lit(0)).alias("failures")).first()
+    if got["failures"]:
+        raise ValueError(f"{got['failures']} cells fail")
+    new = raised(old, Floor(got["parts"], got["cells"]))
+    compared = results.filter(F.col("verdict").isin(*COMPARABLE))
+    compared.select(F.concat_ws("!", *AT).alias("key"), F.col("g_num").alias("num"), F.col("g_txt").alias("txt")).write.mode("overwrite").json(f"{path}/values")
+    summary(results).write.mode("overwrite").json(f"{path}/counts")
+    return new
+
+
 def reason_key(reason: Column) -> Column:
-    """Reasons without what differs from cell to cell: brackets at the end, and numbers."""
-    return F.regexp_replace(F.trim(F.regexp_replace(reason, r"\s*\([^()]*\)\s*$", "")), r"\d+", "#")
+    """Reasons without what differs from cell to cell: brackets at the end, what follows a colon if it has digits, blanks, quotes or brackets, and numbers."""
+    key = F.regexp_replace(reason, r"\s*\([^()]*\)\s*$", "")
+    colon = r"(?s)^(.*?):\s(.+)$"
+    noisy = F.regexp_extract(key, colon, 2).rlike(r"""[\d\s"'\[\]{}]""")
+    return F.trim(F.regexp_replace(F.when(noisy, F.regexp_extract(key, colon, 1)).otherwise(key), r"\d+", "#"))
 
 
 def reason_groups(rows: DataFrame, reason: str, sample: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on small tables, with blanks, ties and empty inputs."""
 
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +221,85 @@ def test_greedy_pairs_bundle_and_prefer(spark):
     assert {r.k: r.x for r in publish.prefer(a, b, ["k"], ["x"]).collect()} == {1: None, 2: 6.0}
     assert tables.smoke(a, {"has one": F.col("k") == 1, "has two": F.col("k") == 2}) == ["has two"]
     assert [r.shown for r in spark.createDataFrame([(1234.5,), (123.45,), (1.5,), (2.0,)], "x double").select(publish.compact(F.col("x"))).collect()][0] in ("1,234", "1,235")
+
+
+@pytest.mark.parametrize("op", [">=", ">", "<=", "<"])
+def test_bounded_sums_equal_a_plain_loop(spark, op):
+    facts = [("a", 1.0, 10.0), ("A", 2.0, 20.0), ("a", 2.0, 5.0), ("b", 2.0, 7.0), ("a", None, 99.0), ("a", 3.0, None), (None, 2.0, 50.0), ("", 6.0, 3.0), ("a", float("inf"), 1.0)]
+    asked = [(1, "a", 2.0), (2, "B", 2.0), (3, "a", None), (4, "zz", 0.0), (5, None, 0.0), (6, "a", 2.0), (7, "a", -1.0), (8, "", 5.0)]
+    meets = {">=": lambda x, y: x >= y, ">": lambda x, y: x > y, "<=": lambda x, y: x <= y, "<": lambda x, y: x < y}[op]
+    # A null key of a question is the empty text; nulls of the facts match none.
+    want = {i: sum(v or 0 for k, x, v in facts if x is not None and bound is not None and k is not None and k.lower() == (key or "").lower() and meets(x, bound)) for i, key, bound in asked}
+    f = spark.createDataFrame(facts, "k string, x double, v double")
+    q = spark.createDataFrame(asked, "qid int, k string, bound double")
+    got = {r.qid: r.value for r in aggregates.bounded(f, q, {"k": "k"}, ("x", op, "bound"), F.col("v")).collect()}
+    assert got == want
+    none = aggregates.bounded(f.limit(0), q, {"k": "k"}, ("x", op, "bound"), F.col("v"), empty=None).collect()
+    assert len(none) == len(asked) and all(r.value is None for r in none)
+    assert {r.value for r in aggregates.bounded(f, q.select("qid", "bound"), {}, ("x", op, "bound"), F.col("v")).collect()} >= {0}
+
+
+def test_bounds_alone_are_never_a_nested_loop_over_many_questions(spark, obs, monkeypatch):
+    monkeypatch.setattr(aggregates, "MOST_BROADCAST", 1)
+    q = spark.createDataFrame([(i, float(i)) for i in range(3)], "qid int, least double")
+    with pytest.raises(ValueError, match="bounded"):
+        aggregates.conditional(obs, q, {}, F.sum("dt"), {"dt": (">=", "least")})
+
+
+def test_numbering_a_large_table(spark, monkeypatch):
+    from cellspark.operators import aggregates as sizes
+
+    df = spark.createDataFrame([(i * 7 % 101, "x") for i in range(101)], "k int, v string").repartition(5)
+    want = {(i, i + 1) for i in range(101)}
+    assert {(r.k, r.n) for r in tables.numbered(df, ["k"], "n").collect()} == want
+    monkeypatch.setattr(sizes, "MOST_BROADCAST", 10)
+    assert {(r.k, r.n) for r in tables.numbered(df, ["k"], "n").collect()} == want
+    assert tables.numbered(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_reports_and_snapshots(spark, tmp_path):
+    at = "part string, sheet string, ref string, verdict string, e_num double, e_txt string, g_num double, g_txt string, reason string"
+    rows = [("p", "s", "A1", "match", 1.0, None, 1.0, None, None), ("p", "s", "A2", "known-divergence", 1.0, None, None, "x", None), ("p", "s", "A3", "presentation", None, None, None, None, "left out: row 3")]
+    good = spark.createDataFrame(rows, at)
+    verification.write_report(good, f"{tmp_path}/report", "reason")
+    read = lambda p: spark.read.json(f"{tmp_path}/{p}").collect()
+    assert {(r.part, r.verdict, r.n) for r in read("report/summary")} == {("p", "match", 1), ("p", "known-divergence", 1), ("p", "presentation", 1)}
+    assert {r.ref for r in read("report/detail")} == {"A2", "A3"} and [(r.key, r.n) for r in read("report/reasons")] == [("left out", 1)]
+    floor = verification.write_snapshot(good, f"{tmp_path}/snapshot", None)
+    assert floor == verification.Floor(1, 2) and {(r.key, r.num, r.txt) for r in read("snapshot/values")} == {("p!s!A1", 1.0, None), ("p!s!A2", None, "x")}
+    for bad, old in ((good.union(spark.createDataFrame([("p", "s", "A4", "error", *[None] * 5)], at)), None), (good, verification.Floor(1, 3))):
+        with pytest.raises(ValueError):
+            verification.write_snapshot(bad, f"{tmp_path}/refused", old)
+
+
+def test_tables_written_inside_are_released(spark):
+    from cellspark.sources import scratch
+
+    with scratch.released(spark):
+        df = scratch.written(spark.range(3), "some")
+        path = df.inputFiles()[0]
+        assert df.count() == 3
+    assert not spark._jvm.java.io.File(path.removeprefix("file://").removeprefix("file:")).exists()
+
+
+def test_stale_and_text_exemptions(spark):
+    at = "part string, sheet string, ref string"
+    r = spark.createDataFrame([("p", "s", "A1", "mismatch", None, "a", None, "b"), ("p", "s", "A2", "error", 1.0, None, 2.0, None), ("p", "s", "A3", "mismatch", 1.0, None, None, "b")], f"{at}, verdict string, e_num double, e_txt string, g_num double, g_txt string")
+    x = spark.createDataFrame([("p", "s", "A1", None, "a", None, "b")] * 2 + [("p", "s", "A1", None, "a", None, "c"), ("p", "s", "A2", 1.0, None, 2.0, None), ("p", "s", "A3", 1.0, None, None, "c")], f"{at}, e_num double, e_txt string, g_num double, g_txt string")
+    assert sorted((y.ref, y.verdict) for y in verification.exempt(r, x).collect()) == [("A1", "known-divergence"), ("A2", "error"), ("A3", "mismatch")]
+    assert sorted((y.ref, y.reason) for y in verification.stale(x, r).collect()) == [("A1", "the computed value has changed"), ("A2", "it is no mismatch now"), ("A3", "the computed value has changed")]
+
+
+def test_alignment_of_shuffled_rows_and_table_specs(spark):
+    rng = __import__("random").Random(3)
+    values = {(r, c): round(rng.uniform(1, 9e4), 2) for r in range(10, 18) for c in range(3, 8)}
+    cells = spark.createDataFrame([("S", r, c, v) for (r, c), v in values.items()], "sheet string, r int, c int, num double")
+    rows, cols = [12, 10, 17, 14, 11], [7, 4, 3]
+    printed = [("T", i + 1, j + 1, float(math.floor(values[r, c] * 0.1 + 0.5)), 0) for i, r in enumerate(rows) for j, c in enumerate(cols)]
+    printed[0] = (*printed[0][:3], -5.0, 0)  # one number that is nowhere
+    got = publish.align(spark.createDataFrame(printed, "table string, i int, j int, value double, decimals int"), cells).first()
+    assert (got.scale, got.pairs, got.matched, got.rate, got.status) == (0.1, 15, 14, 0.933, "ok")
+    assert [(x.i, x.r) for x in got.rows] == list(enumerate(rows, 1)) and [(x.j, x.c) for x in got.cols] == list(enumerate(cols, 1))
+    assert got.score == pytest.approx(14 / 15 * 100 + 14)  # neither rows nor columns ascend
+    none = publish.align(spark.createDataFrame([("T", 1, 1, -1.0, 0)], "table string, i int, j int, value double, decimals int"), cells)
+    assert none.count() == 0

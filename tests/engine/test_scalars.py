@@ -34,6 +34,28 @@ def test_text(spark, x, decimals, group, want):
     assert one(spark, sc.text_fixed(num(x), decimals, group)) == want
 
 
+@pytest.mark.parametrize(("x", "digits", "want"), [(1e19, 0, 1e19), (1e19, 2, 1e19), (-1e300, 1, -1e300), (2.0**53, 0, 9007199254740990.0), (123456789012345.6, 0, 123456789012346.0)])
+def test_round_large(spark, x, digits, want):
+    assert one(spark, sc.round_half_away(num(x), digits)) == want
+
+
+def test_large_quotients(spark):
+    assert one(spark, sc.quotient(num(1e21), num(3.0))) == 1e21 / 3 and one(spark, sc.quotient(num(-1e21), num(1.0))) == -1e21
+    assert one(spark, sc.modulo(num(1e21), num(7.0))) == 1e21 - 7.0 * (1e21 / 7.0)
+    assert one(spark, sc.text_fixed(num(1e19), 1, True)) == "10,000,000,000,000,000,000.0"
+    assert one(spark, sc.text_fixed(num(-0.04), 1, True)) == "0.0" and one(spark, sc.text_fixed(num(-0.5), 1)) == "-0.5"
+
+
+@pytest.mark.parametrize(("x", "want"), [(1e20, "100000000000000000000"), (1e21, "1e+21"), (-1.25e22, "-1.25e+22"), (1e-20, "1e-20"), (1.5e-7, "1.5e-7"), (0.000001234567890123456, "0.00000123456789012346"), (1e-6, "0.000001"), (123456789012345680000.0, "123456789012346000000"), (0.0, "0"), (-0.0, "0"), (1e300, "1e+300"), (1234567890123456.0, "1234567890123460"), (-0.5, "-0.5"), (float("nan"), None)])
+def test_general_numbers_of_all_sizes(spark, x, want):
+    assert one(spark, sc.general_number(num(x))) == want
+
+
+def test_needles_with_patterns_are_errors(spark):
+    assert one(spark, sc.literal_needle(F.lit("5~~9인"))) == "5~9인" and one(spark, sc.literal_needle(F.lit("a~b"))) == "a~b"
+    assert one(spark, sc.literal_needle(F.lit("a*"))) is None and one(spark, sc.literal_needle(F.lit("~?"))) is None
+
+
 def test_arithmetic(spark):
     assert one(spark, sc.quotient(num(187.0), num(12.0))) == 15
     assert one(spark, sc.quotient(num(-187.0), num(12.0))) == -15
