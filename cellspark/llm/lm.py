@@ -214,7 +214,13 @@ class Model:
         return Model(r[:, :WIDTH].copy(), c[:, :WIDTH].copy(), q[:, :WIDTH].copy(), q[:, WIDTH].copy(), wq[:, :WIDTH].copy(), wq[:, WIDTH].copy())
 
     def expected(self, before: np.ndarray) -> np.ndarray:
-        return sum(self.r[before[:, j]] * c for j, c in enumerate(self.c))
+        out = self.r.take(before[:, 0], axis=0)
+        out *= self.c[0]
+        for j in range(1, CONTEXT):
+            more = self.r.take(before[:, j], axis=0)
+            more *= self.c[j]
+            out += more
+        return out
 
     def log_probabilities(self, seq: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log of each token's class probability, normalised over all classes."""
@@ -238,7 +244,7 @@ def normalised(x: np.ndarray, want: np.ndarray, q: np.ndarray, b: np.ndarray) ->
     # No sum of scores overflows, unless parameters have grown beyond all measure.
     bound = np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1).max() + np.abs(b).max()
     x, q = np.column_stack([x, np.ones(len(x), "f4")]), np.column_stack([q, b]).astype("f4")
-    out[:] = np.einsum("ij,ij->i", x, q[want])
+    out[:] = np.einsum("ij,ij->i", x, q.take(want, axis=0))
     columns, ones, room = np.ascontiguousarray(q.T), np.ones(len(q), "f4"), np.empty((512, len(q)), "f4")
     for i in range(0, len(want), 512):
         s = np.matmul(x[i : i + 512], columns, out=room[: len(want[i : i + 512])])
@@ -282,8 +288,8 @@ class Trainer:
 
     def contrast(self, x: np.ndarray, want: np.ndarray, noise: np.ndarray, q: np.ndarray, b: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gradients of the loss by x, by q's rows and by b."""
-        qw, qn = q[want], q[noise]
-        right = (x * qw).sum(1) + b[want] - log_noise[want]
+        qw, qn = q.take(want, axis=0), q[noise]
+        right = np.einsum("ij,ij->i", x, qw) + b[want] - log_noise[want]
         wrong = x @ qn.T + (b[noise] - log_noise[noise])
         e_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))
         e_wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))
@@ -308,7 +314,7 @@ class Trainer:
         self.move(m.b, self.sq[2], gb / n)
         dx += more
         at, grad = row_sums(ctx.T.ravel(), np.concatenate([dx * c for c in m.c]))
-        gc = np.stack([(dx * m.r[ctx[:, j]]).sum(0) for j in range(CONTEXT)])
+        gc = np.stack([np.einsum("ij,ij->j", dx, m.r.take(ctx[:, j], axis=0)) for j in range(CONTEXT)])
         self.move(m.r, self.r_sq, grad / n, at)
         self.move(m.c, self.sq[0], gc / n)
 
