@@ -162,7 +162,7 @@ def within(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ word hashes
 #: Longer runs of bytes are hashed by BLAKE2: polynomials modulo 2**64 have known collisions from about 1,000 terms on.
-LONG_RUN = 64
+LONG_RUN, CHUNK = 64, 1 << 18
 
 #: Characters that separate words: blank and tab to carriage return.
 SPACE = np.zeros(256, bool)
@@ -201,12 +201,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of runs of bytes: polynomials of up to LONG_RUN bytes, BLAKE2 digests of longer ones."""
-    up, down = powers(_BASE, len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    """64-bit hashes of runs of bytes, in ascending order: polynomials of up to LONG_RUN bytes, BLAKE2 digests of longer ones.
+
+    Runs are hashed CHUNK bytes at a time, so that what this takes beside the text does not grow with it.
+    """
     sizes = ends - starts
-    out = mix((sums[ends] - sums[starts]) * down[starts] + sizes.astype(np.uint64))
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK, side="right")))
+        lo, hi = starts[at], ends[to - 1]
+        if hi - lo <= CHUNK:
+            up, down = powers(_BASE, hi - lo + 1)
+            sums = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(_BYTE[data[lo:hi]] * up[: hi - lo], out=sums[1:])
+            first, last = starts[at:to] - lo, ends[at:to] - lo
+            out[at:to] = mix((sums[last] - sums[first]) * down[first] + sizes[at:to].astype(np.uint64))
+        at = to
     for i in np.flatnonzero(sizes > LONG_RUN).tolist():
         out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     return out
