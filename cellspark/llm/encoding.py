@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, flat, read, run_hashes, slices, within
+from .common import CHUNK, Words, flat, read, run_hashes, slices, within
 
 #: A worker forgets its pieces beyond this number, and beyond so many bytes.
 MOST_PIECES, MOST_BYTES = 1_500_000, 64 << 20
@@ -56,6 +56,24 @@ def odd_places(data: np.ndarray, marks: list[bytes]) -> np.ndarray:
     return np.append(at, len(data) - 1) if len(data) and (0x1C <= data[-1] <= 0x1F or any(len(m) == 1 and m[0] == data[-1] for m in marks)) else at
 
 
+def same_bytes(a: np.ndarray, a_starts: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_sizes: np.ndarray) -> bool:
+    """Whether runs of bytes of a and of b are the same, CHUNK bytes at a time."""
+    if not np.array_equal(a_sizes, b_sizes):
+        return False
+    ends, at = np.cumsum(a_sizes), 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+        if to == at + 1:
+            x, y, n = int(a_starts[at]), int(b_starts[at]), int(a_sizes[at])
+            same = np.array_equal(a[x : x + n], b[y : y + n])
+        else:
+            same = np.array_equal(a[within(a_starts[at:to], a_sizes[at:to])], b[within(b_starts[at:to], b_sizes[at:to])])
+        if not same:
+            return False
+        at = to
+    return True
+
+
 class Pieces:
     """A worker's table from pieces of text to their token ids, or only to their number of tokens.
 
@@ -63,12 +81,14 @@ class Pieces:
     the table's one byte by byte.
     """
 
-    def __init__(self, path: str, ids: bool):
+    def __init__(self, path: str, ids: bool, plain: bool = False):
+        """plain: strings of special tokens within texts are text like any other."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok, self.ids = Tokenizer.from_file(path), ids
-        added = json.loads(Path(path).read_text())["added_tokens"]
+        self.tok.encode_special_tokens = plain
+        added = [] if plain else json.loads(Path(path).read_text())["added_tokens"]
         self.marks = list({x["content"].encode()[:2] for x in added})
         #: Whether special tokens lie within words and take no white space beside them.
         self.apart = not any(x["lstrip"] or x["rstrip"] or re.search(r"\s", x["content"]) for x in added)
@@ -121,7 +141,7 @@ class Pieces:
     def encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Each piece's number of tokens, and their ids, one piece after the other."""
         at, sizes = self.places(data, starts, ends), ends - starts
-        if not ((self.sizes[at] == sizes).all() and np.array_equal(self.raw[within(self.begins[at], sizes)], data[within(starts, sizes)])):
+        if not same_bytes(self.raw, self.begins[at], self.sizes[at], data, starts, sizes):
             raw = data.tobytes()  # two pieces with one key: this slice does without the table
             return self.encode([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         n = self.lengths[at]
