@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, decontamination, encoding, jaccard, lm, media, oracles, packing, pii, sharding, substrings, toxicity, warc
+from . import alignment, decontamination, encoding, jaccard, lm, media, oracles, packing, pii, runs, sharding, substrings, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_media": media.op9_media,
     "op10_substrings": substrings.op10_substrings,
+    "op11_runs": runs.op11_runs,
     "op12_alignment": alignment.op12_alignment,
     "op13_pii": pii.op13_pii,
 }
