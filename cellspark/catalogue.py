@@ -898,3 +898,6 @@ def contents_tree(spark, d):
     pages = n.select(F.col("n_nationkey").alias("pos"), F.col("r_name").alias("part"), F.left("n_name", F.lit(1)).alias("chapter"), F.when(F.col("n_nationkey") % 2 == 0, "even").alias("section"), F.col("n_name").alias("page"))
     line = lambda c: F.concat(c["chapter"], F.lit(":"), F.array_join(F.flatten(F.transform(c["sections"], lambda s: s["pages"])), ","))
     return publish.tree(pages).select("part", F.array_join(F.transform("chapters", line), ";").alias("chapters"))
+
+
+from . import catalogue_bulk  # noqa: E402, F401  (its queries need the helpers above)

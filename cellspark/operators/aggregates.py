@@ -10,11 +10,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.criteria import Criterion, on_grid, relation
 from ..functions.scalars import ascii_fold
+from .scans import running
 
 MOST_BROADCAST = 100_000
 
@@ -33,9 +33,12 @@ def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], ag
     """qid, value for each row of criteria.
 
     equal: fact column -> criteria column, matched without regard to ASCII case
-    (numbers as they are); compare: fact column -> (operator, criteria column).
+    (numbers as they are), one at least; compare: fact column -> (operator, criteria column).
     empty: the value where no fact matches. A null criterion matches the empty text only.
+    Questions with bounds alone are bounded() or bulk.compared(): they need sums, counts or means.
     """
+    if not equal:
+        raise ValueError("every question would meet every fact: use bounded or bulk.compared")
     compare = compare or {}
     kinds = dict(facts.dtypes)
     fold = lambda c, k: ascii_fold(F.coalesce(c, F.lit(""))) if kinds[k] == "string" else c
@@ -43,8 +46,6 @@ def conditional(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], ag
     names = [f"k{i}" for i in range(len(equal))] + [f"x{i}" for i in range(len(compare))]
     asked = criteria.select(qid, *keys)
     once = asked.groupBy(*names).agg(F.min(qid).alias("rep"))
-    if not equal and not few(once):
-        raise ValueError("so many bounds without an equal column would meet every fact: use bounded")
     on = [(ascii_fold(F.col(f)) if kinds[f] == "string" else F.col(f)) == F.col(f"k{i}") for i, f in enumerate(equal)]
     on += [relation(op, F.col(f), F.col(f"x{i}")) for i, (f, (op, _)) in enumerate(compare.items())]
     send = F.broadcast if few(once) else lambda df: df
@@ -62,7 +63,8 @@ def bounded(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], bound:
     equal: as in conditional(); bound: (fact column, >=, >, <= or <, criteria column).
     Facts are summed up by equal columns and bounded column where they are scanned.
     These sums and the questions then form one line per combination of equal columns,
-    along which a running sum answers all questions: no fact meets more than one row.
+    along which a running sum answers all questions: no fact meets more than one row,
+    and no task holds a whole line.
     """
     kinds = dict(facts.dtypes)
     fold = lambda c, k: ascii_fold(c) if kinds[k] == "string" else c
@@ -77,10 +79,10 @@ def bounded(facts: DataFrame, criteria: DataFrame, equal: dict[str, str], bound:
     line = summed.select(*names, "x", "v", F.lit(None).cast(asked.schema[qid].dataType).alias(qid), F.lit(False).alias("question"))
     line = line.unionByName(asked.select(*names, "x", none.alias("v"), qid, F.lit(True).alias("question")))
     # Facts at the bound itself come before the question if they count.
-    order = [F.col("x").desc() if op in (">=", ">") else F.col("x").asc_nulls_last(), F.col("question") if op in (">=", "<=") else ~F.col("question")]
-    running = F.sum("v").over(W.partitionBy(*names).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
-    got = line.withColumn("value", F.when(F.col("x").isNotNull(), running)).filter("question")
-    return got.select(qid, (F.col("value") if empty is None else F.coalesce(F.col("value"), F.lit(empty))).alias("value"))
+    order = [(F.col("x"), op in (">=", ">")), (F.col("question") if op in (">=", "<=") else ~F.col("question"), False)]
+    got = running(line, names, order, {"total": F.col("v")}).filter("question")
+    value = F.when(F.col("x").isNotNull(), F.col("total"))
+    return got.select(qid, (value if empty is None else F.coalesce(value, F.lit(empty))).alias("value"))
 
 
 def one_pass(facts: DataFrame, questions: dict[str, Column]) -> DataFrame:

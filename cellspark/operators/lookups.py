@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import ascii_fold, literal_needle, text_number
 from .aggregates import small
+from .scans import successors
 
 
 def keyed(num: Column, txt: Column) -> Column:
-    """One join key for both: a number's shortest text, or the folded text."""
-    return F.coalesce(F.concat(F.lit("n"), num.cast("string")), F.concat(F.lit("t"), ascii_fold(txt)))
+    """One join key for both: a number's shortest text (0 and -0 are one), or the folded text."""
+    return F.coalesce(F.concat(F.lit("n"), (num + F.lit(0.0)).cast("string")), F.concat(F.lit("t"), ascii_fold(txt)))
 
 
 def keys_of(needle: Column) -> Column:
     """The keys that a needle can meet; one with a pattern meets none."""
     needle = literal_needle(needle)
     number = F.when(F.trim(needle) != "", text_number(needle))
-    return F.array_compact(F.array(F.concat(F.lit("t"), ascii_fold(needle)), F.concat(F.lit("n"), number.cast("string"))))
+    return F.array_compact(F.array(F.concat(F.lit("t"), ascii_fold(needle)), F.concat(F.lit("n"), (number + F.lit(0.0)).cast("string"))))
 
 
 def search(needles: DataFrame, grid: DataFrame, along: str, line: int, index: Column) -> DataFrame:
@@ -66,8 +67,9 @@ def page_lookup(needles: DataFrame, cells: DataFrame, along: str) -> DataFrame:
     across = "c" if along == "r" else "r"
     hay = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("line"), cell_key(F.col("num"), F.col("txt")).alias("key")).filter("key is not null")
     asked = needles.select("qid", "part", "sheet", F.col(f"{along}1").alias("first"), F.col(f"{along}2").alias("last"), F.col(f"{across}1").alias("line"), F.col(f"{across}2").alias("most"), "index", cell_key(F.col("num"), literal_needle(F.col("txt"))).alias("key"))
-    hits = asked.join(hay, ["part", "sheet", "line", "key"]).filter(F.col("at").between(F.col("first"), F.col("last")))
-    hits = hits.groupBy("qid", "part", "sheet", "line", "most", "index").agg(F.min("at").alias("at")).withColumn("to", F.col("line") + F.col("index") - 1).filter("to <= most")
+    # The first place of the key from the range's beginning on: a key's repeats cost nothing.
+    hits = successors(asked.filter("key is not null"), hay, ["part", "sheet", "line", "key"], "first", "at", "at").filter("at <= last")
+    hits = hits.withColumn("to", F.col("line") + F.col("index") - 1).filter("to <= most")
     there = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("to"), "num", "txt")
     got = hits.join(there, ["part", "sheet", "at", "to"], "left").select("qid", F.when(F.col("txt").isNull(), F.coalesce("num", F.lit(0.0))).alias("num"), "txt")
     return needles.select("qid").join(got, "qid", "left")

@@ -1,13 +1,28 @@
-"""Aggregates over ranges of cells: every function on all ranges at once, one row per range."""
+"""Aggregates over ranges of cells: every function on all ranges at once, one row per range.
+
+Sheets are covered by tiles of RADIX**i rows and RADIX**j columns. A range is a
+disjoint union of tiles, few of each size; a cell lies in one tile of each size
+that some range uses. So ranges meet sums, counts and maxima of tiles by an equi join, and
+rows grow with ranges and cells, not with their product.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .aggregates import small
+
+#: Rows and columns of a tile per side of the next smaller one, and the sizes of sides: RADIX**0 to RADIX**(SIZES - 1).
+RADIX, SIZES = 4, 12
+BITS = RADIX.bit_length() - 1
+
 
 def in_range(ranges: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cells inside the ranges(qid, part, sheet, r1, c1, r2, c2), with qid and pos (from 1, row by row)."""
+    """Cells inside the ranges(qid, part, sheet, r1, c1, r2, c2), with qid and pos (from 1, row by row): a row for each cell of each range."""
     hit = (ranges["part"] == cells["part"]) & (ranges["sheet"] == cells["sheet"]) & cells["r"].between(ranges["r1"], ranges["r2"]) & cells["c"].between(ranges["c1"], ranges["c2"])
     pos = (cells["r"] - ranges["r1"]) * (ranges["c2"] - ranges["c1"] + 1) + cells["c"] - ranges["c1"] + 1
     return cells.join(ranges, hit).select(ranges["qid"], pos.alias("pos"), cells["num"], cells["txt"])
@@ -18,16 +33,59 @@ def arguments(ranges: DataFrame, cells: DataFrame, single: DataFrame) -> DataFra
     return in_range(ranges, cells).select("qid", "num", "txt").union(single.select("qid", "num", "txt"))
 
 
+def sides(lo: Column, hi: Column, name: str) -> Column:
+    """array<struct<size, place>>: the numbers from lo to hi as stretches of RADIX**size aligned numbers, place being the stretch's number.
+
+    Of each size those are taken that lie in [lo, hi] while the next larger one around
+    them doesn't: below the first and behind the last whole larger one.
+    """
+    lo, hi = lo.cast("long"), hi.cast("long") + 1  # half open from here on
+    up = lambda x, i: F.shiftright(x + ((1 << BITS * i) - 1), BITS * i)
+    out = []
+    for i in range(SIZES):
+        first, end = up(lo, i), F.shiftright(hi, BITS * i)
+        if i == SIZES - 1:
+            parts = [(first, end)]
+        else:
+            # The next size covers what lies between; where it covers nothing, all of this size are taken at once.
+            a, z = F.shiftleft(up(lo, i + 1), BITS), F.shiftleft(F.shiftright(hi, BITS * (i + 1)), BITS)
+            parts = [(first, F.least(end, F.when(a < z, a).otherwise(end))), (F.when(a < z, z).otherwise(end), end)]
+        for a, z in parts:
+            out.append(F.when(a < z, F.transform(F.sequence(a, z - 1), _sized(i, name))).otherwise(F.array().cast(f"array<struct<{name}_size:int,{name}_place:bigint>>")))
+    return F.flatten(F.array(*out))
+
+
+def _sized(i: int, name: str):
+    return lambda x: F.struct(F.lit(i).alias(f"{name}_size"), x.alias(f"{name}_place"))
+
+
+def tiles(ranges: DataFrame) -> DataFrame:
+    """qid, part, sheet and the tiles (r_size, r_place, c_size, c_place) of ranges(qid, part, sheet, r1, c1, r2, c2); empty ranges have none."""
+    by_rows = ranges.select("qid", "part", "sheet", "c1", "c2", F.inline(sides(F.col("r1"), F.col("r2"), "r")))
+    return by_rows.select("qid", "part", "sheet", "r_size", "r_place", F.inline(sides(F.col("c1"), F.col("c2"), "c")))
+
+
 def range_aggregates(ranges: DataFrame, cells: DataFrame, single: DataFrame | None = None) -> DataFrame:
     """qid, total, largest, filled: SUM, MAX (0 without numbers) and COUNTA; texts, blanks and errors don't add up.
 
+    Several ranges of one qid are its arguments: a cell in two of them counts twice.
     single(qid, num, txt): further arguments of the same questions that are no ranges.
     """
-    args = in_range(ranges, cells) if single is None else arguments(ranges, cells, single)
-    ranges = ranges.select("qid").distinct() if single is None else ranges.select("qid").union(single.select("qid")).distinct()
-    got = args.groupBy("qid").agg(F.sum("num").alias("total"), F.max("num").alias("largest"), F.count(F.when(F.col("num").isNotNull() | (F.col("txt") != ""), 1)).alias("filled"))
+    at = ["part", "sheet", "r_size", "r_place", "c_size", "c_place"]
+    asked = written(tiles(ranges), "tiles")
+    sizes = [tuple(r) for r in asked.select("r_size", "c_size").distinct().collect()]  # SIZES ** 2 at most
+    filled = F.col("num").isNotNull() | F.coalesce(F.col("txt") != "", F.lit(False))
+    inside = cells.filter(filled)
+    step = F.array(*(F.struct(F.lit(i).alias("r_size"), F.shiftright(F.col("r").cast("long"), BITS * i).alias("r_place"), F.lit(j).alias("c_size"), F.shiftright(F.col("c").cast("long"), BITS * j).alias("c_place")) for i, j in sizes)) if sizes else F.array().cast("array<struct<r_size:int,r_place:bigint,c_size:int,c_place:bigint>>")
+    each = inside.select("part", "sheet", "num", F.inline(step)).join(small(asked.select(*at).distinct()), at, "left_semi")
+    sums = each.groupBy(*at).agg(F.sum("num").alias("total"), F.max("num").alias("largest"), F.count("*").alias("filled"))
+    met = asked.join(sums, at).select("qid", "total", "largest", "filled")
+    if single is not None:
+        met = met.unionByName(single.filter(filled).select("qid", F.col("num").alias("total"), F.col("num").alias("largest"), F.lit(1).cast("long").alias("filled")))
+    got = met.groupBy("qid").agg(F.sum("total").alias("total"), F.max("largest").alias("largest"), F.sum("filled").alias("filled"))
+    qids = reduce(DataFrame.union, [ranges.select("qid"), *([] if single is None else [single.select("qid")])]).distinct()
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-    return ranges.select("qid").join(got, "qid", "left").select("qid", zero("total"), zero("largest"), F.coalesce("filled", F.lit(0)).alias("filled"))
+    return qids.join(got, "qid", "left").select("qid", zero("total"), zero("largest"), F.coalesce("filled", F.lit(0)).alias("filled"))
 
 
 def count_where(df: DataFrame, *conditions: Column, by: list[str] = ()) -> DataFrame:

@@ -239,8 +239,7 @@ def test_bounded_sums_equal_a_plain_loop(spark, op):
     assert {r.value for r in aggregates.bounded(f, q.select("qid", "bound"), {}, ("x", op, "bound"), F.col("v")).collect()} >= {0}
 
 
-def test_bounds_alone_are_never_a_nested_loop_over_many_questions(spark, obs, monkeypatch):
-    monkeypatch.setattr(aggregates, "MOST_BROADCAST", 1)
+def test_bounds_alone_are_never_a_nested_loop(spark, obs):
     q = spark.createDataFrame([(i, float(i)) for i in range(3)], "qid int, least double")
     with pytest.raises(ValueError, match="bounded"):
         aggregates.conditional(obs, q, {}, F.sum("dt"), {"dt": (">=", "least")})
