@@ -24,6 +24,9 @@ COLUMNS = {
     "op8_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op9_media": "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string",
     "op10_substrings": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op11_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op12_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
+    "op13_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
 }
 ITEM = "an item of the benchmark that is long enough to be found wherever it stands in any text"
 PAGES = [(1, "http://a", "same"), (2, None, "same"), (3, "u", None), (4, "u", ""), (5, "http://c", "<p>é</p>"), (2, None, "same")]
