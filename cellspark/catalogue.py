@@ -267,9 +267,9 @@ def first_match(spark, d):
 
 
 # ------------------------------------------------------------------------ series
-@query("SELECT cast(i + 1 AS INTEGER) AS pos, cast(2025 - 11 + i AS INTEGER) AS year FROM range(12) x(i)")
+@query("SELECT anchor, cast(i + 1 AS INTEGER) AS pos, cast(anchor - 11 + i AS INTEGER) AS year FROM (SELECT DISTINCT cast(year(o_orderdate) AS INTEGER) AS anchor FROM orders), range(12) x(i)")
 def anchor_year_series(spark, d):
-    return series.years(spark, 2025, 12)
+    return series.years_before(t(spark, d, "orders").select(F.year("o_orderdate").alias("anchor")).distinct(), "anchor", 12)
 
 
 YEARLY = "y AS (SELECT l_returnflag AS flag, year(l_shipdate) AS yr, cast(sum(cast(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2)"
@@ -345,18 +345,21 @@ def zero_dash(spark, d):
     return t(spark, d, "nation").select("n_nationkey", sc.general_text(v).alias("shown"), sc.general_text(sc.zero_dash(sc.cell(txt=F.col("n_name")))).alias("text_shown"))
 
 
-@query("SELECT n_nationkey, n_name || '*?~' AS plain, true AS wild FROM nation")
+@query(r"SELECT n_nationkey, regexp_replace(n_name || '~*~?~~', '~([~*?])', '\1', 'g') AS plain, regexp_matches(regexp_replace(n_name || '~*~?~~*', '~[~*?]', '', 'g'), '[*?]') AS wild FROM nation")
 def wildcard_unescape(spark, d):
     s = F.concat("n_name", F.lit("~*~?~~"))
     return t(spark, d, "nation").select("n_nationkey", sc.unescape(s).alias("plain"), sc.has_wildcard(F.concat(s, F.lit("*"))).alias("wild"))
 
 
-RAW = [(1, ">=25"), (2, "<> x y"), (3, "<>"), (4, "="), (5, "  plain"), (6, ">text"), (7, "<5"), (8, "=a=b"), (9, None)]
+RAW = (">=#", "<> x #", "<>", "=", "  plain #", ">text", "<#", "=a=#", None)
+_RAW = f"CASE c_custkey % {len(RAW)} {' '.join(f'WHEN {i} THEN {values([(x,)])[1:-1]}' for i, x in enumerate(RAW))} END"
 
 
-@query(f"WITH q(id, raw) AS (VALUES {values(RAW)}) SELECT id, CASE WHEN regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) = '' THEN '=' ELSE regexp_extract(raw, '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) END AS op, regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 2) AS rhs FROM q")
+@query(f"WITH q AS (SELECT c_custkey AS id, replace({_RAW}, '#', cast(c_custkey AS VARCHAR)) AS raw FROM customer) SELECT id, CASE WHEN regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) = '' THEN '=' ELSE regexp_extract(raw, '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 1) END AS op, regexp_extract(coalesce(raw, ''), '^(<>|>=|<=|>|<|=)?\\s*(.*)$', 2) AS rhs FROM q")
 def split_criteria(spark, d):
-    return spark.createDataFrame(RAW, "id int, raw string").select("id", cr.split_column(F.col("raw")).alias("k")).select("id", "k.op", "k.rhs")
+    k = F.col("c_custkey")
+    raw = F.replace(F.get(F.array(*map(F.lit, RAW)), (k % len(RAW)).cast("int")), F.lit("#"), k.cast("string"))
+    return t(spark, d, "customer").select(k.alias("id"), cr.split_column(raw).alias("k")).select("id", "k.op", "k.rhs")
 
 
 # ------------------------------------------------------------------ verification
@@ -559,7 +562,7 @@ def pdf_line_grouping(spark, d):
     return tables.lines_of(words, 2.6).groupBy("page").agg(F.max("line").alias("lines"))
 
 
-@query("SELECT 'etc' AS src, 'nation' AS sheet, 1 AS header UNION ALL SELECT 'etc', 'titled', 3")
+@query(f"WITH {MELT}, n AS (SELECT r, count(*) AS n FROM g GROUP BY r) SELECT 'etc' AS src, 'nation' AS sheet, cast(min(r) AS INTEGER) AS header FROM n WHERE n >= 2 AND r <= 10 UNION ALL SELECT 'etc', 'titled', cast(min(r + 2) AS INTEGER) FROM n WHERE n >= 2 AND r + 2 <= 10")
 def header_inference(spark, d):
     g = _grid(spark, d)
     titled = g.select("src", F.lit("titled").alias("sheet"), (F.col("r") + 2).alias("r"), "c", "v_num", "v_txt").union(spark.createDataFrame([("etc", "titled", 1, 1, None, "title"), ("etc", "narrow", 1, 1, None, "x")], tables.GRID))
@@ -699,17 +702,24 @@ def printed_table_spec(spark, d):
 
 
 # --------------------------------------------------------- long chains, and cycles
-@query("SELECT cast(k AS BIGINT) AS cell, CASE WHEN k < 200 THEN k END AS level FROM range(203) x(k)")
+def _chains(spark, d) -> DataFrame:
+    """Parts of a brand as chains: each needs the one before it."""
+    before = F.lag("p_partkey").over(ranking.W.partitionBy("p_brand").orderBy("p_partkey"))
+    return t(spark, d, "part").select(F.col("p_partkey").alias("cell"), before.alias("needs"))
+
+
+@query("SELECT p_partkey AS cell, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS level FROM part UNION ALL SELECT -1 - s_suppkey, NULL FROM supplier")
 def deep_chain_levels(spark, d):
-    # 200 cells on a chain; two that need each other; one behind them.
-    cells = spark.range(203).select(F.col("id").alias("cell"))
-    needs = F.when(F.col("cell") < 200, F.col("cell") - 1).when(F.col("cell") == 200, 201).otherwise(200)
-    return levels.levels(cells, cells.filter("cell > 0").select("cell", needs.alias("needs")))
+    # Suppliers need each other, two by two.
+    k = F.col("s_suppkey")
+    rings = t(spark, d, "supplier").select((-1 - k).alias("cell"), (-2 - k + 2 * (k % 2)).alias("needs"))
+    both = _chains(spark, d).union(rings)
+    return levels.levels(both.select("cell"), both.filter("needs is not null"))
 
 
-@query("WITH RECURSIVE e AS (SELECT k AS cell, k - 1 AS needs FROM range(1, 501) x(k)), r AS (SELECT cell, needs AS leaf FROM e UNION SELECT r.cell, e.needs FROM r JOIN e ON r.leaf = e.cell) SELECT cell, leaf FROM r WHERE leaf NOT IN (SELECT cell FROM e)")
+@query("SELECT cell, leaf FROM (SELECT p_partkey AS cell, min(p_partkey) OVER (PARTITION BY p_brand) AS leaf FROM part) WHERE cell <> leaf")
 def deep_closure(spark, d):
-    return levels.leaves(spark.range(1, 501).select(F.col("id").alias("cell"), (F.col("id") - 1).alias("needs")))
+    return levels.leaves(_chains(spark, d).filter("needs is not null"))
 
 
 @query("""WITH n AS (SELECT n_nationkey AS k, n_name FROM nation)

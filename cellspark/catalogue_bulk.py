@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalogue import money, query, t
-from .operators import bulk, lookups, ranges, scans
+from .functions import scalars as sc
+from .operators import bulk, lookups, ranges, scans, verification
+from .sources import scratch, store, tables
 
 # ------------------------------------------------------------- criteria in bulk
 #: A question per customer; the criteria are strings of all kinds.
@@ -149,3 +151,57 @@ def lookups_many_ranges(spark, d):
     k = F.col("o_orderkey")
     n = t(spark, d, "orders").select(k.alias("qid"), F.lit("p").alias("part"), F.get(F.array(*map(F.lit, ("A", "N", "R", "none"))), (k % 4).cast("int")).alias("sheet"), (F.col("o_custkey") + 1).alias("r1"), F.lit(1).alias("c1"), (F.col("o_custkey") + 1 + k % 40).alias("r2"), F.lit(2).alias("c2"), F.lit(2).alias("index"), (k % 50 + 1).cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
     return lookups.page_lookup(n, _line_sheets(spark, d), "r").select("qid", "num")
+
+
+# -------------------------------------------------------------- damaged lines, stores
+def _lines(spark, d):
+    """Customers as lines of a grid; some are cut off, some are no objects or name no place, balances may be truth values."""
+    k = F.col("c_custkey")
+    v = F.when(k % 3 == 0, F.col("c_acctbal").cast("decimal(18,2)").cast("string")).when(k % 3 == 1, F.when(F.col("c_acctbal") > 0, "true").otherwise("false")).otherwise(F.to_json(F.struct(F.col("c_mktsegment").alias("s"))).substr(6, 100))
+    v = F.when(k % 3 == 2, F.expr("substr(to_json(struct(c_mktsegment AS s)), 6, length(to_json(struct(c_mktsegment AS s))) - 6)")).otherwise(v)
+    whole = F.concat(F.lit('{"r":'), k, F.lit(',"c":'), F.col("c_nationkey") + 1, F.lit(',"v":'), v, F.lit("}"))
+    line = F.when(k % 50 == 7, F.substring(whole, 1, 12)).when(k % 50 == 8, F.lit("[1]")).when(k % 50 == 9, F.concat(F.lit('{"r":'), k, F.lit("}"))).otherwise(whole)
+    return scratch.text_lines(t(spark, d, "customer").select(line.alias("value")), "customers")
+
+
+@query("SELECT CASE c_custkey % 50 WHEN 7 THEN 'no JSON' WHEN 8 THEN 'no object' ELSE 'no place' END AS reason, count(*) AS n FROM customer WHERE c_custkey % 50 IN (7, 8, 9) GROUP BY 1")
+def damaged_lines_set_aside(spark, d):
+    return tables.damaged_lines(spark, _lines(spark, d), "grid").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(c_custkey AS INTEGER) AS r, c_nationkey + 1 AS c, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal END AS v_num, CASE c_custkey % 3 WHEN 1 THEN CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END WHEN 2 THEN c_mktsegment END AS v_txt FROM customer WHERE c_custkey % 50 NOT IN (7, 8, 9)")
+def loaded_grid_kinds(spark, d):
+    """Numbers are numbers, truth values and texts are texts; damaged lines are left to damaged_lines()."""
+    return tables.load_grid(spark, _lines(spark, d), "etc", skip_damaged=True).select("r", "c", "v_num", "v_txt")
+
+
+@query("SELECT o_orderpriority AS kind, count(*) AS n, 'orders' AS version FROM orders GROUP BY 1 UNION ALL SELECT c_mktsegment, count(*), 'customer' FROM customer GROUP BY 1")
+def published_store(spark, d):
+    """Two versions of a store: the second replaces one table and keeps the other."""
+    root = scratch.shared_path(spark, "store")
+    count = lambda name, column: t(spark, d, name).groupBy(F.col(column).alias("kind")).agg(F.count("*").alias("n"))
+    store.publish(spark, root, {"a": count("orders", "o_orderpriority"), "b": count("orders", "o_orderstatus")})
+    store.publish(spark, root, {"b": count("customer", "c_mktsegment")})
+    return store.table(spark, root, "a").withColumn("version", F.lit("orders")).union(store.table(spark, root, "b").withColumn("version", F.lit("customer")))
+
+
+# ------------------------------------------------------------------------ scalars
+EXTREME = (0.0, 3.0, 1e10, -1e10, 1e308, -1e308)
+
+
+@query(f"""WITH x AS (SELECT p_partkey, p_name, CASE p_partkey % {len(EXTREME)} {' '.join(f'WHEN {i} THEN {x!r}' for i, x in enumerate(EXTREME))} END::DOUBLE AS n FROM part)
+SELECT p_partkey, CASE WHEN n >= 0 THEN left(p_name, least(n, length(p_name))::INTEGER) END AS l, CASE WHEN n > 0 THEN right(p_name, least(n, length(p_name))::INTEGER) WHEN n = 0 THEN '' END AS r,
+CASE WHEN n >= 0 THEN CASE WHEN n = 0 THEN round(p_partkey / 4) ELSE p_partkey / 4 END ELSE 0 END AS rounded, CASE n WHEN 0 THEN format('{{:.0f}}', round(p_partkey / 4)) WHEN 3 THEN format('{{:.3f}}', p_partkey / 4) WHEN -1e10 THEN '0' WHEN -1e308 THEN '0' END AS shown FROM x""")
+def scalars_extreme(spark, d):
+    k = F.col("p_partkey")
+    p = t(spark, d, "part").select(k, "p_name", F.get(F.array(*map(F.lit, EXTREME)), (k % len(EXTREME)).cast("int")).alias("n"))
+    n, x = F.col("n"), k / 4
+    return p.select(k, sc.left(F.col("p_name"), n).alias("l"), sc.right(F.col("p_name"), n).alias("r"), sc.round_half_away(x, n).alias("rounded"), sc.text_fixed(x, n).alias("shown"))
+
+
+# ------------------------------------------------------------------- verification
+@query("""WITH v AS (SELECT 'p' || n_regionkey AS part, CASE WHEN n_nationkey % 4 = 0 THEN 'mismatch' ELSE 'match' END AS verdict FROM nation)
+SELECT CASE WHEN grouping(part) = 0 AND grouping(verdict) = 0 THEN 'part and verdict' WHEN grouping(part) = 0 THEN 'part' WHEN grouping(verdict) = 0 THEN 'verdict' ELSE 'overall' END AS level, part, verdict, count(*) AS n FROM v GROUP BY CUBE (part, verdict)""")
+def verify_totals(spark, d):
+    v = t(spark, d, "nation").select(F.concat(F.lit("p"), "n_regionkey").alias("part"), F.when(F.col("n_nationkey") % 4 == 0, "mismatch").otherwise("match").alias("verdict"))
+    return verification.totals(v)

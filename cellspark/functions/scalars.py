@@ -120,18 +120,26 @@ def fifteen_digits(x: Column) -> Column:
 
 def round_half_away(x: Column, digits: int | Column = 0) -> Column:
     """ROUND(): halves away from zero, judged on 15 significant digits."""
-    f = F.pow(F.lit(10.0), F.lit(float(digits)) if isinstance(digits, int) else digits)
+    # No double has more places: beyond them, nothing is left to round, or nothing is left.
+    d = F.lit(float(digits)) if isinstance(digits, int) else digits.cast("double")
+    f = F.pow(F.lit(10.0), F.greatest(F.least(d, F.lit(308.0)), F.lit(-308.0)))
     n = fifteen_digits(x * f)
-    return F.signum(n) * F.when(F.abs(n) < WHOLE, floor(F.abs(n) + 0.5)).otherwise(F.abs(n)) / f + F.lit(0.0)
+    rounded = F.signum(n) * F.when(F.abs(n) < WHOLE, floor(F.abs(n) + 0.5)).otherwise(F.abs(n)) / f + F.lit(0.0)
+    return F.when(~F.isnan(x) & ~F.isnan(d), F.when(F.abs(x * f) == float("inf"), x).otherwise(rounded))
+
+
+#: A format with more decimals is an error.
+MOST_DECIMALS = 127
 
 
 def text_fixed(x: Column, decimals: int | Column = 0, group: bool = False) -> Column:
-    """TEXT() with a format of digits: rounded, with fixed decimals, in groups of three if asked; non-numbers count as 0."""
+    """TEXT() with a format of digits: rounded, with fixed decimals, in groups of three if asked; non-numbers count as 0; an unknown number of decimals is an error."""
     whole = "#,##0" if group else "0"
     if isinstance(decimals, int):
         pattern = F.lit(whole + ("." + "0" * decimals if decimals else ""))
     else:
-        pattern = F.when(decimals > 0, F.concat(F.lit(whole + "."), F.repeat(F.lit("0"), decimals))).otherwise(whole)
+        some = F.when(decimals > 0, F.least(decimals, F.lit(MOST_DECIMALS)).cast("int")).otherwise(0)
+        pattern = F.when(decimals <= MOST_DECIMALS, F.when(some > 0, F.concat(F.lit(whole + "."), F.repeat(F.lit("0"), some))).otherwise(whole))
     return F.call_function("format_number", round_half_away(F.coalesce(x, F.lit(0.0)), decimals), pattern)
 
 
@@ -171,11 +179,11 @@ def substitute(s: Column, find: Column, put: Column) -> Column:
 
 
 def left(s: Column, n: Column) -> Column:
-    return F.when(n >= 0, F.left(s, n.cast("int")))
+    return F.when((n >= 0) & ~F.isnan(n), F.left(s, F.least(n, F.length(s)).cast("int")))
 
 
 def right(s: Column, n: Column) -> Column:
-    return F.when(n >= 0, F.right(s, n.cast("int")))
+    return F.when((n >= 0) & ~F.isnan(n), F.right(s, F.least(n, F.length(s)).cast("int")))
 
 
 def find(needle: Column, s: Column) -> Column:

@@ -16,6 +16,12 @@ def years(spark: SparkSession, anchor: int, n: int) -> DataFrame:
     return spark.range(n).select((F.col("id") + 1).cast("int").alias("pos"), (F.lit(anchor - n + 1) + F.col("id")).cast("int").alias("year"))
 
 
+def years_before(anchors: DataFrame, anchor: str, n: int) -> DataFrame:
+    """anchor, pos, year for every anchor of a table: the n years that end with it."""
+    step = F.array(*(F.struct(F.lit(i + 1).alias("pos"), (F.col(anchor) - (n - 1 - i)).cast("int").alias("year")) for i in range(n)))
+    return anchors.select(anchor, F.inline(step))
+
+
 def growth(df: DataFrame, value: str, year: str, series: list[str], break_year: int = BREAK, out: str = "growth") -> DataFrame:
     """Percent change to the row before; text marks: "…" across the break in the series, "-" from 0 or from nothing."""
     w = W.partitionBy(*series).orderBy(year)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cell, same_value
+from ..sources.store import publish
 from .aggregates import small
 
 AT = ["part", "sheet", "ref"]
@@ -62,11 +63,11 @@ def stale(exemptions: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def write_report(results: DataFrame, path: str, reason: str | None = None) -> None:
-    """Below path: counts by part and verdict, all cells that do not match, and (with a column of reasons) how often each occurs, as JSON lines."""
-    summary(results).write.mode("overwrite").json(f"{path}/summary")
-    results.filter("verdict <> 'match'").write.mode("overwrite").json(f"{path}/detail")
+    """Publish in the store at path: summary (counts at all levels), detail (all cells that do not match) and, with a column of reasons, reasons (how often each occurs), as JSON lines."""
+    out = {"summary": totals(results), "detail": results.filter("verdict <> 'match'")}
     if reason:
-        reason_groups(results.filter(F.col(reason).isNotNull()), reason, "ref").write.mode("overwrite").json(f"{path}/reasons")
+        out["reasons"] = reason_groups(results.filter(F.col(reason).isNotNull()), reason, "ref")
+    publish(results.sparkSession, path, out, "json")
 
 
 def summary(results: DataFrame) -> DataFrame:
@@ -74,6 +75,12 @@ def summary(results: DataFrame) -> DataFrame:
     return results.groupBy("part", "verdict").agg(F.count("*").alias("n"))
 
 
+def totals(results: DataFrame) -> DataFrame:
+    """part, verdict, n at all levels in one pass: by both, by part (verdict null), by verdict (part null) and overall; level says which."""
+    level = F.element_at(F.array(*map(F.lit, ("part and verdict", "part", "verdict", "overall"))), (F.grouping_id() + 1).cast("int"))
+    return results.groupingSets([["part", "verdict"], ["part"], ["verdict"], []], "part", "verdict").agg(level.alias("level"), F.count("*").alias("n")).select("level", "part", "verdict", "n")
+
+
 def rates(results: DataFrame) -> DataFrame:
     """part, comparable, matches, rate (percent, over comparable cells), passed, failures."""
     is_ = lambda *v: F.count(F.when(F.col("verdict").isin(*v), 1))
@@ -105,15 +112,15 @@ def raised(old: Floor | None, new: Floor) -> Floor:
 
 
 def write_snapshot(results: DataFrame, path: str, old: Floor | None) -> Floor:
-    """Write the compared cells' values and the counts as JSON lines; the new floor. Refused if a cell fails or less is covered than before."""
+    """Publish the compared cells' values and the counts as JSON lines in the store at path, both or neither; the new floor. Refused if a cell fails or less is covered than before."""
     by_part = rates(results)
     got = by_part.agg(F.count("*").alias("parts"), F.coalesce(F.sum("comparable"), F.lit(0)).alias("cells"), F.coalesce(F.sum("failures"), F.lit(0)).alias("failures")).first()
     if got["failures"]:
         raise ValueError(f"{got['failures']} cells fail")
     new = raised(old, Floor(got["parts"], got["cells"]))
     compared = results.filter(F.col("verdict").isin(*COMPARABLE))
-    compared.select(F.concat_ws("!", *AT).alias("key"), F.col("g_num").alias("num"), F.col("g_txt").alias("txt")).write.mode("overwrite").json(f"{path}/values")
-    summary(results).write.mode("overwrite").json(f"{path}/counts")
+    values = compared.select(F.concat_ws("!", *AT).alias("key"), F.col("g_num").alias("num"), F.col("g_txt").alias("txt"))
+    publish(results.sparkSession, path, {"values": values, "counts": totals(results)}, "json")
     return new
 
 

@@ -112,7 +112,7 @@ shape("if")(lambda a: sc.if_else(_at(a, 0), _at(a, 1), _at(a, 2)))
 shape("iferror")(lambda a: F.when(sc.is_blank(_at(a, 0)), _at(a, 1)).otherwise(_at(a, 0)))
 shape("concat")(lambda a: sc.cell(txt=F.aggregate(a, F.lit(""), lambda x, y: F.concat(x, sc.general_text(y)))))
 shape("round")(lambda a: sc.cell(sc.round_half_away(_number(a, 0), _number(a, 1))))
-shape("text")(lambda a: sc.cell(txt=sc.text_fixed(_at(a, 0)["num"], _number(a, 1).cast("int"))))
+shape("text")(lambda a: sc.cell(txt=sc.text_fixed(_at(a, 0)["num"], _number(a, 1))))
 shape("zero_dash")(lambda a: sc.zero_dash(_at(a, 0)))
 for _relation in ("=", "<>", "<", "<=", ">", ">="):
     shape(f"cmp {_relation}")(lambda a, r=_relation: sc.cell(sc.compare(_at(a, 0), r, _at(a, 1))))

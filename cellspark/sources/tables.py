@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import few
+from . import store
 from .scratch import written
 
 _LEVELS = [f"c{i}{k}" for i in range(1, 5) for k in ("_obj_nm", "", "_nm")]
@@ -18,40 +19,59 @@ OECD = T.StructType([T.StructField("table_id", T.StringType(), False), *(T.Struc
 GRID = T.StructType([T.StructField("src", T.StringType()), T.StructField("sheet", T.StringType()), T.StructField("r", T.IntegerType()), T.StructField("c", T.IntegerType()), T.StructField("v_num", T.DoubleType()), T.StructField("v_txt", T.StringType())])
 
 
-def _with_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    df = spark.read.schema(schema).json(path)
-    return df.withColumn("_table", F.regexp_extract(F.input_file_name(), r"([^/]+)\.jsonl$", 1)).filter(~F.col("_table").startswith("0_"))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, table, line, value, v: the lines of JSON files that aren't blank, but those of files whose names begin with 0_."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), "value").filter(F.trim("value") != "")
+    lines = lines.withColumns({"table": F.regexp_extract("file", r"([^/]+)\.jsonl$", 1), "v": F.try_parse_json("value")})
+    return lines.filter(~F.col("table").startswith("0_"))
 
 
-def load_obs(spark: SparkSession, path: str, src: str) -> DataFrame:
-    """Observations from <table>.jsonl files with upper-case keys; rows without a period are dropped."""
+def _reason(kind: str) -> Column:
+    """Why a line can't be loaded; null if it can."""
+    reason = F.when(F.col("v").isNull(), "no JSON").when(~F.schema_of_variant("v").startswith("OBJECT"), "no object")
+    if kind == "grid":
+        return reason.when(F.try_variant_get("v", "$.r", "int").isNull() | F.try_variant_get("v", "$.c", "int").isNull(), "no place")
+    return reason
+
+
+def damaged_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """file, value, reason of the lines that a loader of this kind (obs, oecd or grid) refuses."""
+    return _lines(spark, path).withColumn("reason", _reason(kind)).filter("reason is not null").select("file", "value", "reason")
+
+
+def _sound(lines: DataFrame, kind: str, skip_damaged: bool) -> DataFrame:
+    """The lines that can be loaded; another one ends the job with its file and text, or is left to damaged_lines()."""
+    reason = _reason(kind)
+    if skip_damaged:
+        return lines.filter(reason.isNull())
+    told = F.concat(F.lit("damaged line ("), reason, F.lit(") in "), "file", F.lit(": "), F.left("value", F.lit(200)))
+    return lines.filter(F.when(reason.isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True))
+
+
+def load_obs(spark: SparkSession, path: str, src: str, skip_damaged: bool = False) -> DataFrame:
+    """Observations from <table>.jsonl files with upper-case keys; rows without a period are dropped, a damaged line is an error."""
     names = [f.name for f in OBS if f.name not in ("src", "table_id")]
-    raw = T.StructType([T.StructField(n.upper(), T.StringType()) for n in names])
-    df = _with_name(spark, path, raw).filter(F.col("PRD_DE").isNotNull())
-    return df.select(F.lit(src).alias("src"), F.col("_table").alias("table_id"), *(F.col(n.upper()).try_cast(OBS[n].dataType).alias(n) for n in names))
+    df = _sound(_lines(spark, path), "obs", skip_damaged).select("table", *(F.try_variant_get("v", f"$.{n.upper()}", "string").alias(n) for n in names)).filter(F.col("prd_de").isNotNull())
+    return df.select(F.lit(src).alias("src"), F.col("table").alias("table_id"), *(F.col(n).try_cast(OBS[n].dataType).alias(n) for n in names))
 
 
-def load_oecd(spark: SparkSession, path: str) -> DataFrame:
-    """Sparse international tables; a column that isn't known and isn't empty is an error."""
-    seen = spark.read.json(path)
-    unknown = [c for c in seen.columns if c not in (*OECD_COLUMNS, "value")]
+def load_oecd(spark: SparkSession, path: str, skip_damaged: bool = False) -> DataFrame:
+    """Sparse international tables; a column that isn't known and isn't empty is an error, and so is a damaged line."""
+    lines = _sound(_lines(spark, path), "oecd", skip_damaged)
+    keys = lines.select(F.explode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("e"))
+    unknown = keys.filter(~F.col("e.key").isin(*OECD_COLUMNS, "value") & (F.coalesce("e.value", F.lit("")) != "")).select("e.key").distinct().limit(20).collect()
     if unknown:
-        filled = seen.agg(*(F.count(F.col(f"`{c}`")).alias(c) for c in unknown)).first()
-        bad = [c for c in unknown if filled[c]]
-        if bad:
-            raise ValueError(f"unknown columns with values: {', '.join(bad)}")
-    raw = T.StructType([T.StructField(n, T.StringType()) for n in (*OECD_COLUMNS, "value")])
-    return _with_name(spark, path, raw).select(F.col("_table").alias("table_id"), *(F.col(f"`{n}`") for n in OECD_COLUMNS), F.col("value").try_cast("double").alias("value"))
-
-
-def load_grid(spark: SparkSession, path: str, src: str) -> DataFrame:
-    """Cells {"r", "c", "v"}: JSON numbers and texts stay apart, blanks are left out, the last line for a place wins."""
-    lines = spark.read.text(path).select("value", F.regexp_extract(F.input_file_name(), r"([^/]+)\.jsonl$", 1).alias("sheet"), F.monotonically_increasing_id().alias("line"))
-    v = F.try_parse_json("value")
-    kind = F.schema_of_variant(F.try_variant_get(v, "$.v", "variant"))
-    cells = lines.select("sheet", "line", F.try_variant_get(v, "$.r", "int").alias("r"), F.try_variant_get(v, "$.c", "int").alias("c"), kind.alias("kind"), F.try_variant_get(v, "$.v", "double").alias("n"), F.try_variant_get(v, "$.v", "string").alias("t"))
-    text = F.col("kind") == "STRING"
-    cells = cells.select("sheet", "line", "r", "c", F.when(~text, F.col("n")).alias("v_num"), F.when(text & (F.trim("t") != ""), F.col("t")).alias("v_txt"))
+        raise ValueError(f"unknown columns with values: {', '.join(sorted(r.key for r in unknown))}")
+    return lines.select(F.col("table").alias("table_id"), *(F.try_variant_get("v", f"$['{n}']", "string").alias(n) for n in OECD_COLUMNS), F.try_variant_get("v", "$.value", "string").try_cast("double").alias("value"))
+
+
+def load_grid(spark: SparkSession, path: str, src: str, skip_damaged: bool = False) -> DataFrame:
+    """Cells {"r", "c", "v"}: JSON numbers are numbers, texts, truth values and the rest stay texts, blanks are left out, the last line for a place wins; a damaged line is an error."""
+    lines = _sound(_lines(spark, path), "grid", skip_damaged)
+    kind = F.schema_of_variant(F.try_variant_get("v", "$.v", "variant"))
+    cells = lines.select(F.col("table").alias("sheet"), "line", F.try_variant_get("v", "$.r", "int").alias("r"), F.try_variant_get("v", "$.c", "int").alias("c"), kind.alias("kind"), F.try_variant_get("v", "$.v", "double").alias("n"), F.try_variant_get("v", "$.v", "string").alias("t"))
+    number = F.col("kind").rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
+    cells = cells.select("sheet", "line", "r", "c", F.when(number, F.col("n")).alias("v_num"), F.when(~number & (F.trim("t") != ""), F.col("t")).alias("v_txt"))
     last = F.row_number().over(W.partitionBy("sheet", "r", "c").orderBy(F.desc("line")))
     there = cells.filter(F.col("v_num").isNotNull() | F.col("v_txt").isNotNull()).withColumn("_nth", last).filter("_nth = 1")
     return there.select(F.lit(src).alias("src"), "sheet", "r", "c", "v_num", "v_txt")
@@ -125,13 +145,14 @@ def own_row(ref: Column, row: int | None = None) -> Column:
     return F.lit(row) if row is not None else coordinates(ref)[0]
 
 
-def write_parts(df: DataFrame, path: str, *by: str) -> None:
-    """Parquet, one folder per part."""
-    df.write.partitionBy(*by).mode("overwrite").parquet(path)
+def write_parts(df: DataFrame, root: str, name: str, *by: str) -> None:
+    """Parquet, one folder per part, as a new version of the store at root."""
+    store.publish(df.sparkSession, root, {name: df}, by=by)
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_documents(df: DataFrame, root: str, name: str) -> None:
+    """JSON lines, as a new version of the store at root."""
+    store.publish(df.sparkSession, root, {name: df}, "json")
 
 
 def load_all(spark: SparkSession, root: str, long: tuple[str, ...] = ("kosis",), sparse: tuple[str, ...] = ("oecd",), grids: tuple[str, ...] = ("etc", "panel")) -> dict[str, DataFrame]:

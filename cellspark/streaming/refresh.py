@@ -14,7 +14,11 @@ def arriving(spark: SparkSession, path: str, schema: T.StructType, files_per_tri
 
 
 def running_totals(observations: DataFrame, keys: list[str], value: str, time: str | None = None, late: str = "1 day", window: str = "1 day") -> DataFrame:
-    """Totals and counts per key, or per key and time window; rows that come later than `late` behind the newest are left out of windows."""
+    """Totals and counts per key, or per key and time window.
+
+    A window closes when the newest row is `late` beyond its end: refresh() with
+    windows=True writes it then, once; rows that come later are left out, and its state goes.
+    """
     by = list(keys)
     if time:
         observations = observations.withWatermark(time, late)
@@ -22,10 +26,16 @@ def running_totals(observations: DataFrame, keys: list[str], value: str, time: s
     return observations.groupBy(*by).agg(F.sum(value).alias("total"), F.count("*").alias("rows"))
 
 
-def refresh(totals: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived and stop: each batch replaces the table at target/version=<batch>."""
+def refresh(totals: DataFrame, target: str, checkpoint: str, windows: bool = False) -> StreamingQuery:
+    """Process what has arrived and stop.
+
+    Without windows each batch writes all totals as target/version=<batch>, the last of
+    which counts. With windows each batch writes those that have closed, so that all
+    versions together are the table. A batch that is repeated after a failure replaces its own version.
+    """
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/version={number}")
 
-    return totals.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(put).start()
+    mode = "append" if windows else "complete"
+    return totals.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(put).start()
