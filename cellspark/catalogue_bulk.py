@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .catalogue import money, query, t
 from .functions import scalars as sc
 from .operators import bulk, lookups, ranges, scans, verification
+from .plans import levels
 from .sources import scratch, store, tables
 
 # ------------------------------------------------------------- criteria in bulk
@@ -205,3 +206,24 @@ SELECT CASE WHEN grouping(part) = 0 AND grouping(verdict) = 0 THEN 'part and ver
 def verify_totals(spark, d):
     v = t(spark, d, "nation").select(F.concat(F.lit("p"), "n_regionkey").alias("part"), F.when(F.col("n_nationkey") % 4 == 0, "mismatch").otherwise("match").alias("verdict"))
     return verification.totals(v)
+
+
+# ------------------------------------------------------------------- moved anchors
+@query("""WITH c AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 50 = 3 AND c_nationkey % 4 = 1 THEN 1000.0 ELSE round(c_acctbal) END AS v, c_custkey % 50 = 3 AND c_nationkey % 4 = 1 AS moved FROM customer),
+n AS (SELECT c_nationkey, sum(v) AS v, bool_or(moved) AS moved FROM c GROUP BY 1),
+r AS (SELECT n_regionkey, sum(coalesce(v, 0)) AS v, coalesce(bool_or(moved), false) AS moved FROM nation LEFT JOIN n ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT 'c' || c_custkey AS cell, v AS num, moved AS touched FROM c UNION ALL SELECT 'n' || c_nationkey, v, moved FROM n UNION ALL SELECT 'r' || n_regionkey, v, moved FROM r UNION ALL SELECT 'all', sum(v), bool_or(moved) FROM r""")
+def moved_inputs(spark, d):
+    """Balances add up by nation, region and overall; some balances change, and only what rests on them is evaluated again."""
+    c = t(spark, d, "customer").filter("c_nationkey is not null")
+    n = t(spark, d, "nation")
+    name = lambda p, k: F.concat(F.lit(p), k)
+    inputs = c.select(name("c", "c_custkey").alias("cell"), F.round("c_acctbal").alias("num"))
+    by_nation = c.select(name("n", "c_nationkey").alias("cell"), F.col("c_custkey").cast("int").alias("pos"), name("c", "c_custkey").alias("needs"))
+    by_region = n.select(name("r", "n_regionkey").alias("cell"), F.col("n_nationkey").alias("pos"), name("n", "n_nationkey").alias("needs"))
+    overall = n.select(F.lit("all").alias("cell"), F.col("n_regionkey").alias("pos"), name("r", "n_regionkey").alias("needs")).distinct()
+    edges = by_nation.union(by_region).union(overall)
+    specs = edges.select("cell").distinct().withColumn("shape", F.lit("sum"))
+    before = scratch.written(levels.evaluate(inputs, specs, edges), "values")
+    changed = c.filter("c_custkey % 50 = 3 and c_nationkey % 4 = 1").select(name("c", "c_custkey").alias("cell"), F.lit(1000.0).alias("num"))
+    return levels.reevaluate(before, changed, specs, edges).select("cell", "num", "touched")

@@ -161,3 +161,43 @@ def evaluate(inputs: DataFrame, specs: DataFrame, edges: DataFrame) -> DataFrame
         return out
     behind = specs.select("cell").distinct().join(known.all().select("cell"), "cell", "left_anti")
     return out.unionByName(behind.select("cell", *blank, F.lit(True).alias("on_cycle")))
+
+
+def downstream(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """cell: everything that needs a cell of start(cell), over any number of steps; start's own cells only if they lie on a cycle."""
+    found = Growing("downstream")
+    back = written(edges.select("cell", "needs").distinct(), "edges")
+    new, n = found.counted(back.join(start.select(F.col("cell").alias("needs")).distinct(), "needs", "left_semi").select("cell").distinct())
+    while n:
+        # Only what the last round found can lead further; what is known isn't found again.
+        step = back.join(new.withColumnRenamed("cell", "needs"), "needs", "left_semi").select("cell").distinct()
+        new, n = found.counted(step.join(found.all(), "cell", "left_anti"))
+    return found.all()
+
+
+def reevaluate(values: DataFrame, changed: DataFrame, specs: DataFrame, edges: DataFrame) -> DataFrame:
+    """cell, num, txt, on_cycle, touched: what evaluate() gives once the inputs changed(cell, num, optionally txt) have their new values.
+
+    values: what evaluate() gave before. Only cells downstream of the changed inputs are
+    evaluated again, from the stored values of all others; touched marks these and
+    the inputs. A changed cell need not have existed; one that is specified becomes an input.
+    """
+    txt = F.col("txt") if "txt" in changed.columns else F.lit(None).cast("string")
+    changed = written(changed.select("cell", F.col("num").cast("double").alias("num"), txt.alias("txt")), "changed")
+    own = changed.select("cell")
+    specs = specs.join(own, "cell", "left_anti")
+    edges = edges.join(specs.select("cell"), "cell", "left_semi")
+    moved = written(downstream(edges, own), "moved")
+    mine = specs.join(moved, "cell", "left_semi")
+    operands = edges.join(moved, "cell", "left_semi")
+    touched = moved.union(own).distinct()
+    kept = values.join(touched, "cell", "left_anti")
+    near = written(kept.join(operands.select(F.col("needs").alias("cell")).distinct(), "cell", "left_semi"), "near")
+    # A stored cell without a value, as it waits for a cycle, waits for itself here.
+    stuck = near.filter("on_cycle").select("cell")
+    mine = mine.select("cell", "shape").union(stuck.select("cell", F.lit("ref")))
+    operands = operands.select("cell", "pos", "needs").union(stuck.select("cell", F.lit(0), "cell"))
+    inputs = near.filter("not on_cycle").select("cell", "num", "txt").union(changed)
+    new = evaluate(inputs, mine, operands).join(touched, "cell", "left_semi")
+    mark = lambda df, t: df.select("cell", "num", "txt", "on_cycle", F.lit(t).alias("touched"))
+    return mark(kept, False).union(mark(new, True))
