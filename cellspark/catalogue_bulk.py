@@ -227,3 +227,21 @@ def moved_inputs(spark, d):
     before = scratch.written(levels.evaluate(inputs, specs, edges), "values")
     changed = c.filter("c_custkey % 50 = 3 and c_nationkey % 4 = 1").select(name("c", "c_custkey").alias("cell"), F.lit(1000.0).alias("num"))
     return levels.reevaluate(before, changed, specs, edges).select("cell", "num", "touched")
+
+
+@query("""WITH RECURSIVE n AS (SELECT n_nationkey AS k, n_regionkey AS g, lead(n_nationkey) OVER w AS nxt, first_value(n_nationkey) OVER w AS head FROM nation WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_nationkey)),
+e AS (SELECT k AS cell, coalesce(nxt, CASE WHEN g <> 0 THEN head END) AS needs FROM n UNION ALL SELECT head, (SELECT min(k) FROM n m WHERE m.g = n.g + 1) FROM n WHERE g IN (1, 2) AND k = head
+UNION ALL SELECT 1000 + s_suppkey, s_nationkey FROM supplier),
+r AS (SELECT cell, needs FROM e WHERE needs IS NOT NULL UNION SELECT r.cell, e.needs FROM r JOIN e ON e.cell = r.needs WHERE e.needs IS NOT NULL),
+o AS (SELECT a.cell, min(a.needs) AS component FROM r a JOIN r b ON a.needs = b.cell AND b.needs = a.cell GROUP BY 1)
+SELECT DISTINCT r.cell::BIGINT AS cell, o.component::BIGINT AS component FROM r LEFT JOIN o USING (cell) WHERE o.component IS NOT NULL OR r.needs IN (SELECT cell FROM o)""")
+def cycle_components(spark, d):
+    """Nations need the next one of their region, in rings but for region 0; two rings need another; suppliers need their nation."""
+    w = scans.W.partitionBy("n_regionkey").orderBy("n_nationkey")
+    n = t(spark, d, "nation").select("n_nationkey", "n_regionkey", F.lead("n_nationkey").over(w).alias("next"), F.first("n_nationkey").over(w).alias("head"))
+    ring = n.select(F.col("n_nationkey").alias("cell"), F.coalesce("next", F.when(F.col("n_regionkey") != 0, F.col("head"))).alias("needs"))
+    heads = n.filter("n_nationkey = head")
+    across = heads.filter("n_regionkey in (1, 2)").join(heads.select((F.col("n_regionkey") - 1).alias("n_regionkey"), F.col("head").alias("needs")), "n_regionkey").select(F.col("head").alias("cell"), "needs")
+    behind = t(spark, d, "supplier").select((F.col("s_suppkey") + 1000).alias("cell"), F.col("s_nationkey").alias("needs"))
+    edges = ring.union(across).union(behind).filter("needs is not null").select(F.col("cell").cast("long").alias("cell"), F.col("needs").cast("long").alias("needs"))
+    return levels.cycles(edges.select("cell").union(edges.select("needs")), edges)

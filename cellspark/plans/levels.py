@@ -53,6 +53,49 @@ def levels(cells: DataFrame, edges: DataFrame) -> DataFrame:
     return all_cells.join(done, "cell", "left")
 
 
+def _least_below(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels(cell, label), each lowered to the least label of all that the cell needs over any number of steps."""
+    state = new = written(labels, "labels")
+    while True:
+        offered = edges.join(new.withColumnRenamed("cell", "needs"), "needs").groupBy("cell").agg(F.min("label").alias("offer"))
+        lower = written(offered.join(state, "cell").filter("offer < label").select("cell", F.col("offer").alias("label")), "labels")
+        if lower.isEmpty():
+            return state
+        better = lower.withColumnRenamed("label", "offer")
+        state = written(state.join(better, "cell", "left").select("cell", F.coalesce("offer", "label").alias("label")), "labels")
+        new = lower  # only what has changed can lower others
+
+
+def cycles(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """cell, component of the cells that levels() leaves without a level: those of one cycle (or of cycles that meet) share
+    a component, named by its smallest cell; those that merely wait behind a cycle, or lie between two, have none.
+
+    Cells that nothing on a cycle needs are trimmed by levels along the reversed edges. Of the
+    others, each takes the smallest cell that it needs over any number of steps; where that is the cell itself,
+    it and all that it needs with the same smallest cell are one component. Components are taken away
+    until nothing is left. Rounds are as many as a cycle is long.
+    """
+    waiting = written(levels(cells, edges).filter("level is null").select("cell"), "waiting")
+    inside = lambda e, c: e.join(c, "cell", "left_semi").join(c.withColumnRenamed("cell", "needs"), "needs", "left_semi").select("cell", "needs").distinct()
+    graph = written(inside(edges, waiting), "graph")
+    back = levels(waiting, graph.select(F.col("needs").alias("cell"), F.col("cell").alias("needs")))
+    left = written(back.filter("level is null").select("cell"), "left")
+    graph, found = written(inside(graph, left), "graph"), Growing("components")
+    found.add(left.limit(0).select("cell", F.col("cell").alias("component")))
+    while not left.isEmpty():
+        label = _least_below(left.select("cell", F.col("cell").alias("label")), graph)
+        a, b = label.select("cell", F.col("label").alias("mine")), label.select(F.col("cell").alias("needs"), F.col("label").alias("its"))
+        same = graph.join(a, "cell").join(b, "needs").filter("mine = its")
+        roots = label.filter("cell = label").select("cell")
+        reached = downstream(same.select(F.col("needs").alias("cell"), F.col("cell").alias("needs")), roots)
+        # A cell by itself is on a cycle if it needs itself: then it is reached from itself, too.
+        found.add(label.join(reached, "cell", "left_semi").select("cell", F.col("label").alias("component")))
+        gone = reached.union(roots).distinct()
+        left = written(left.join(gone, "cell", "left_anti"), "left")
+        graph = written(inside(graph, left), "graph")
+    return waiting.join(found.all(), "cell", "left")
+
+
 def leaves(edges: DataFrame) -> DataFrame:
     """cell, leaf: the cells without needs that each cell rests on, over any number of steps.
 

@@ -35,3 +35,17 @@ def test_downstream_of_nothing_and_around_a_cycle(spark):
     e = spark.createDataFrame([("b", "a"), ("c", "b"), ("a", "c"), ("d", "c"), ("y", "x")], "cell string, needs string")
     at = lambda x: {r.cell for r in levels.downstream(e, spark.createDataFrame(x, "cell string")).collect()}
     assert at([("a",)]) == {"a", "b", "c", "d"} and at([("x",)]) == {"y"} and at([("none",)]) == set() == at([])
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_components_equal_mutual_reach(spark, seed):
+    r = random.Random(seed)
+    edges = list({(r.randint(0, 24), r.randint(0, 24)) for _ in range(26)} | {(90, 90), (91, 90), (90, 92), (92, 93), (93, 92), (95, 94)})
+    reach = {c: {n for x, n in edges if x == c} for c in {c for e in edges for c in e}}
+    for _ in reach:
+        reach = {c: n | {z for y in n for z in reach[y]} for c, n in reach.items()}
+    on = {c: min(n for n in reach[c] if c in reach[n]) for c in reach if c in reach[c]}
+    want = {(c, on.get(c)) for c, n in reach.items() if c in on or n & set(on)}
+    e = spark.createDataFrame(edges, "cell int, needs int")
+    got = levels.cycles(e.select("cell").union(e.select("needs")), e).collect()
+    assert {(x.cell, x.component) for x in got} == want and len(got) == len(want)
