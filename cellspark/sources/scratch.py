@@ -6,12 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-_made: list[str] = []
+#: Paths made inside the innermost released() of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -23,22 +25,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/cellspark-scratch"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted at the end: what was built on them must have been written or collected by then."""
-    first = len(_made)
+    mine: list[str] = []
+    token = _made.set(mine)
     try:
         yield
     finally:
+        _made.reset(token)
         jvm = spark._jvm
-        for path in _made[first:]:
+        for path in mine:
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        del _made[first:]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
