@@ -18,7 +18,7 @@ corpus: one of 1 GB would mean 250 passes.
 * Ties: of equal distances the first place counts. Repeated item rows: one
   result per item_id, its best text. Repeated documents: a result for each row.
 * Null item_id or doc_id: kept as null in the results; a filter judges each row by its own text. An empty table: no rows.
-* Extra columns are ignored.
+* item_id is a whole number; doc_id may have any type. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@
   other links. Very long texts: all shingles count.
 * Repeated rows and ties: each row counts as a document of its class. Rows with one doc_id and several texts belong to the
   classes of their texts; keep_one() keeps one row of each group, also of equal rows.
-* Null doc_id: the row is left out. An empty table: no rows. Extra columns are
+* doc_id is a whole number. Null doc_id: the row is left out. An empty table: no rows. Extra columns are
   ignored.
 """
 

@@ -8,6 +8,8 @@ that begin within the k-th of n equal parts of all bytes.
 * null doc_id: sorts first. Repeated rows and ties in doc_id: told apart by
   checksum, size and a row number that is written down once, so that all
   columns of a result agree.
+* Equal texts are ties in nothing but their size: they lie in doc_id order like all
+  others and may be cut apart between two shards, since a group may be larger than a shard.
 * null or empty text: size is the overhead alone. An empty table: no rows.
 * Extra columns are ignored; the result holds the columns named below.
 """

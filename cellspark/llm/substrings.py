@@ -17,7 +17,7 @@ Windows are compared by 96 bits, of two hashes over word hashes.
   stays null. Very long texts: all windows count.
 * Ties and repeated rows: a window that only documents with the same doc_id
   share stays. Null doc_id: the row is kept whole and is nobody's predecessor.
-* An empty table: no rows. Input columns that bear a result's name give way.
+* doc_id is a whole number. An empty table: no rows. Input columns that bear a result's name give way.
 """
 
 from __future__ import annotations

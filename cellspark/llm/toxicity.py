@@ -17,6 +17,7 @@ most MAX_FEATURES numbers.
 * Repeated labels: a document is toxic if one of its labels says so; null
   labels and labels of unknown documents don't count. Repeated rows and ties:
   equal texts, equal scores. Null doc_id: scored, never learned from.
+* doc_id is a whole number where labels are learned from; scoring takes any type.
 * An empty table: no rows. Extra columns are ignored.
 """
 
