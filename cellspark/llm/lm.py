@@ -12,22 +12,21 @@ words of a group for the tokens of that group.
 
 Passes over the texts, all of them over whole texts and all documents:
 
-1. words that are frequent in some slice, summed up: the FREQUENT largest are
-   those with vectors and whose counts every worker gets (rarer words are
-   counted exactly, too), and the largest become classes;
+1. exact counts of all words: tasks sum up what they hold, then one exchange.
+   The FREQUENT largest of those with LEAST tokens or more get vectors, the
+   largest of them become classes, and workers get the counts of KNOWN words
+   at most;
 2. training in ROUNDS rounds, each over its own share of the documents: workers
    run stochastic gradient descent with noise-contrastive estimation from the
    same start, and Spark averages parameters and step sizes, each word's
-   weighted by the tokens it was learned from, for the next round; beside it,
-   exact counts of frequent words and of the classes' tokens;
-3. scores of each document's classes and frequent words, and its rare words.
-   Rare words are summed up where they are scanned, then over all documents,
-   and join the documents that hold them.
+   weighted by the tokens it was learned from, for the next round;
+3. scores of each document's classes and of the words whose counts workers have;
+   its other words join the table of counts.
 
-Passes 1 and 2 deal documents out by a hash of doc_id and text to as many
-workers as there are WORKER_BYTES of text (MOST_WORKERS at most, which then
-have more of it), in the order of that hash: the model depends on the
-documents alone, not on files or partitions.
+Pass 2 deals documents out by a hash of doc_id and text to as many workers as
+there are WORKER_BYTES of text (MOST_WORKERS at most, which then have more of
+it), in the order of that hash: the model depends on the documents alone, not
+on files or partitions.
 
 * null or empty text: the end alone. Very long texts: every token counts.
 * Repeated rows and ties: each row is a document of its own, also with an equal
@@ -39,7 +38,7 @@ documents alone, not on files or partitions.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +48,9 @@ from pyspark.sql import functions as F
 
 from .common import Words, even_keys, exchanges_deleted, flat, read, slices, table
 
-TOP, FREQUENT, OFTEN, COUNT_BYTES = 64, 65_536, 4, 2_000_000
-MOST = 2_000_000
+TOP, FREQUENT, LEAST, KNOWN = 64, 65_536, 5, 524_288
+#: Words that a task sorts in one go, and distinct ones that it holds before it hands them on.
+SORTED, HELD = 4_000_000, 1_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
 ROUNDS, WORKER_BYTES, MOST_WORKERS = 3, 48_000_000, 4096
 ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 384, 256, 512
@@ -66,21 +66,26 @@ _ENDING[128:] = 29
 
 # ---------------------------------------------------------------------- tokens
 class Texts:
-    """Words of a slice of texts: their hashes, and the classes of those that aren't top words."""
+    """Words of a slice of texts: 58 bits of their hashes, followed by their endings, which are their classes unless they are frequent."""
 
     def __init__(self, col: pa.Array):
         data, offsets = flat(col)
         data = _LOWER[data]
         w = Words(data, offsets)
-        self.h, self.bounds, self.n = w.hashes(), w.bounds, len(offsets) - 1
+        self.bounds, self.n = w.bounds, len(offsets) - 1
         wide = np.concatenate([[0], np.cumsum(data >= 128)])
         self.endings = _ENDING[data[w.ends - 1]] + 30 * (wide[w.ends] > wide[w.starts])
+        self.h = (w.hashes() | np.uint64(63)) - np.uint64(63) + self.endings.astype(np.uint64)
         self.rows = np.repeat(np.arange(self.n), np.diff(w.bounds))
 
 
 @dataclass
 class Counts:
-    """Frequent words by hash in ascending order, with their training counts and classes; class counts; totals."""
+    """Frequent words by hash in ascending order, with their training counts and classes; class counts; documents.
+
+    others, other_counts: words without vectors whose counts are at hand, by hash in ascending order; distinct: words without
+    vectors by ending.
+    """
 
     hashes: np.ndarray
     counts: np.ndarray
@@ -88,6 +93,9 @@ class Counts:
     top: int
     class_counts: np.ndarray
     docs: int
+    others: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    other_counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    distinct: np.ndarray = field(default_factory=lambda: np.zeros(ENDINGS, np.int64))
 
     def __post_init__(self) -> None:
         # A word's slot: its place when words are ordered by class; class k has the slots from starts[k] to starts[k + 1].
@@ -107,11 +115,8 @@ class Counts:
     def look(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Of each word: its place among the frequent ones, or -1; its class."""
         classes = self.top + t.endings
-        if not len(self.hashes):
-            return np.full(len(t.h), -1), classes
-        at = np.minimum(np.searchsorted(self.hashes, t.h), len(self.hashes) - 1)
-        hit = self.hashes[at] == t.h
-        return np.where(hit, at, -1), np.where(hit, self.classes[at], classes)
+        at = found(self.hashes, t.h)
+        return at, np.where(at >= 0, self.classes[at], classes) if len(self.hashes) else classes
 
     def sequence(self, t: Texts, at: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all tokens with ends: the class, the context before (CONTEXT columns: frequent words, endings, the end), the row, and the slot or -1."""
@@ -150,39 +155,105 @@ def dealt(training: DataFrame, workers: int, nth: int = 0, of: int = 1) -> DataF
     return keyed.repartition(workers, "worker").sortWithinPartitions("worker", "key", "text").select("text")
 
 
-def frequent_words(training: DataFrame) -> Counts:
-    """The frequent words of training(text), with nearly their counts: what a slice has too few of is missing."""
+def found(line: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Of each h its place in an ascending line, or -1."""
+    if not len(line):
+        return np.full(len(h), -1)
+    at = np.minimum(np.searchsorted(line, h), len(line) - 1)
+    return np.where(line[at] == h, at, -1)
 
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", COUNT_BYTES):
-            t = Texts(b.column(0))
-            h, first, n = np.unique(t.h, return_index=True, return_counts=True)
-            keep = n >= OFTEN
-            all_endings = np.bincount(t.endings, minlength=ENDINGS)  # rows without a word
-            yield pa.RecordBatch.from_arrays([pa.array([*h[keep].view(np.int64).tolist(), *[None] * ENDINGS], pa.int64()), pa.array(np.concatenate([t.endings[first[keep]], np.arange(ENDINGS)])), pa.array(np.concatenate([n[keep], all_endings]))], ["h", "ending", "n"])
-
-    summed = training.mapInArrow(often, "h long, ending long, n long").groupBy("h", "ending").agg(F.sum("n").alias("n"))
-    summed = table(summed, "lm-words")
-    endings = np.zeros(ENDINGS, np.int64)
-    tokens = summed.filter("h is null").agg(F.sum("n")).first()[0] or 0
-    # No more than MOST words can have so large a share, whatever the number of partitions that offer them.
-    candidates = summed.filter(F.col("h").isNull() | (F.col("n") >= tokens / MOST))
-    best = candidates.orderBy(F.col("h").isNotNull(), F.desc("n"), "h").limit(ENDINGS + FREQUENT).toArrow()  # so many rows at most
-    word = best.column("h").is_valid().to_numpy()
-    all_e, all_n = best.column("ending").to_numpy(), best.column("n").to_numpy()
-    endings[all_e[~word]] = all_n[~word]
-    h, e, n = best.column("h").drop_null().to_numpy().view(np.uint64), all_e[word], all_n[word]
-    top = min(TOP, len(h))
-    np.subtract.at(endings, e, n)
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct h of several (h, n) and the sum of each one's n."""
+    if len(parts) == 1:
+        return parts[0]
+    h, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return h[first], np.add.reduceat(n[order], first)
+
+
+def word_counts(training: DataFrame, at_once: int = SORTED, most: int = HELD) -> DataFrame:
+    """h, n: each distinct word of training(text) and its tokens, exactly."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def sort() -> None:
+            h = np.sort(np.concatenate(new)) if new else np.zeros(0, np.uint64)
+            if len(h):
+                first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+                held.append((h[first], np.diff(np.append(first, len(h)))))
+            new.clear()
+
+        def rows() -> pa.RecordBatch:
+            h, n = merged(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+
+        for b in slices(batches, "text"):
+            new.append(Texts(b.column(0)).h)
+            if sum(map(len, new)) < at_once:
+                continue
+            sort()
+            # What is held is merged when there is twice as much as may stay, and handed on if it is too much even then.
+            if sum(len(h) for h, _ in held) >= 2 * most:
+                held[:] = [merged(held)]
+                if len(held[0][0]) >= most:
+                    yield rows()
+        sort()
+        if held:
+            yield rows()
+
+    return training.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def most_frequent(words: DataFrame, most: int) -> pa.Table:
+    """h, n of the most frequent of words(h, n), `most` at most, by falling n.
+
+    Counts fall into classes 1.1 % wide, exact ones below 64; whole classes are taken from the largest down, and of the class
+    that doesn't fit the words in bins of their hashes that still do. Only histograms and what is taken reach the driver.
+    """
+    words = words.withColumn("size", F.floor(F.log2("n") * 64)).withColumn("bin", F.shiftrightunsigned("h", 52))
+    sizes = np.array([(r["size"], r["rows"]) for r in words.groupBy("size").agg(F.count("*").alias("rows")).orderBy(F.desc("size")).collect()], np.int64).reshape(-1, 2)  # 64 * 63 rows at most
+    fit = int(np.searchsorted(np.cumsum(sizes[:, 1]), most, side="right"))
+    take = F.lit(fit == len(sizes))
+    if fit < len(sizes):
+        edge, left = int(sizes[fit, 0]), most - int(sizes[:fit, 1].sum())
+        bins = words.filter(F.col("size") == edge).groupBy("bin").agg(F.count("*").alias("rows")).orderBy("bin").collect()  # 4096 rows at most
+        fits = int(np.searchsorted(np.cumsum([r["rows"] for r in bins]), left, side="right"))
+        take = (F.col("size") > edge) | (F.col("size") == edge) & (F.col("bin") < F.lit(int(bins[fits]["bin"]) if fits < len(bins) else 4096))
+    got = words.filter(take).select("h", "n").toArrow()  # `most` rows at most
+    return got.take(np.lexsort((got.column("h").to_numpy(), -got.column("n").to_numpy())))
+
+
+def vocabulary(training: DataFrame, docs: int) -> tuple[Counts, DataFrame]:
+    """Words and classes of training(text), which has so many documents, and the table of all word counts."""
+    words = table(word_counts(training), "lm-words")
+    totals, distinct = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
+    for r in words.groupBy(F.col("h").bitwiseAND(63).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # ENDINGS rows at most
+        totals[r["ending"]], distinct[r["ending"]] = r["n"], r["words"]
+    best = most_frequent(words, KNOWN)
+    h, n = best.column("h").to_numpy().view(np.uint64), best.column("n").to_numpy()
+    size = min(FREQUENT, int((n >= LEAST).sum()))
+    other = size + np.argsort(h[size:])
+    others, other_counts = h[other], n[other]
+    h, n = h[:size], n[:size]
+    e = (h & np.uint64(63)).astype(np.int64)
+    np.subtract.at(totals, e, n)
+    np.subtract.at(distinct, e, 1)
+    top = min(TOP, size)
     # Groups: words with the same ending, by falling counts.
     rest = top + np.argsort(e[top:], kind="stable")
     place = np.arange(len(rest)) - np.searchsorted(e[rest], e[rest])
     new = np.diff(np.stack([e[rest], place // GROUP], 1), axis=0, prepend=-1).any(1)
-    classes = np.arange(len(h))
+    classes = np.arange(size)
     classes[rest] = top + ENDINGS + np.cumsum(new)
     groups = np.bincount(classes[rest] - top - ENDINGS - 1, n[rest]).astype(np.int64)
     order = np.argsort(h)
-    return Counts(h[order], n[order], classes[order], top, np.concatenate([n[:top], np.maximum(endings, 0), [max(1, n.sum() // 100)], groups]), 0)
+    return Counts(h[order], n[order], classes[order], top, np.concatenate([n[:top], totals, [docs], groups]), docs, others, other_counts, distinct), words
 
 
 # ----------------------------------------------------------------------- model
@@ -339,82 +410,74 @@ class Trainer:
             self.step(seq[i : i + BATCH], before[i : i + BATCH], more[i : i + BATCH])
 
 
-def train_round(texts: DataFrame, rough: Counts, start: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Averages of what the workers (partitions of texts) made of start, weighted by the tokens behind each row; counts of frequent words, classes and documents."""
-    words, classes = len(rough.hashes), len(rough.class_counts)
+def train_round(texts: DataFrame, counts: Counts, start: np.ndarray, seed: int) -> np.ndarray:
+    """Averages of what the workers (partitions of texts) made of start, weighted by the tokens behind each row."""
+    words, classes = len(counts.hashes), len(counts.class_counts)
     contexts_n = words + ENDINGS + 1
-    blocks, sizes = -(-len(start) // BLOCK), np.diff(rough.starts)
+    blocks, sizes = -(-len(start) // BLOCK), np.diff(counts.starts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Of each block of rows those that were learned from: their places, and values times weight, and weight; the last block: the counts.
-        trainer, total, contexts = Trainer(Model.start(rough), rough, seed, start), np.zeros(words + classes + 1, np.int64), np.zeros(contexts_n, np.int64)
+        # Of each block of rows those that were learned from: their places, and values times weight, and weight.
+        trainer, group, contexts = Trainer(Model.start(counts), counts, seed, start), np.zeros(classes, np.int64), np.zeros(contexts_n, np.int64)
         for b in slices(batches, "text"):
             t = Texts(b.column(0))
-            at, cls = rough.look(t)
-            seq, before, _, slot = rough.sequence(t, at, cls)
-            total[:words] += np.bincount(at[at >= 0], minlength=words)
-            total[words:-1] += np.bincount(seq, minlength=classes)
-            total[-1] += t.n
+            seq, before, _, slot = counts.sequence(t, *counts.look(t))
+            group += np.bincount(seq, minlength=classes)
             contexts += np.bincount(before[:, 0], minlength=contexts_n)
             trainer.learn(seq, before, slot)
-        if total[-1]:
-            group = total[words:-1]
+        if group.any():
             weight = np.concatenate([contexts, np.full(CONTEXT + classes, group.sum()), np.repeat(group, sizes)]).astype("f8")
             seen = np.flatnonzero(weight)
             rows = np.column_stack([trainer.rows()[seen] * weight[seen, None], weight[seen]]).astype("f4")
             cuts = np.searchsorted(seen, np.arange(blocks + 1) * BLOCK)
             some = np.flatnonzero(np.diff(cuts))
             parts = [(seen[a:z] % BLOCK).astype("u2").tobytes() + rows[a:z].tobytes() for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
-            worker = np.full(len(some) + 1, TaskContext.get().partitionId(), np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(some, blocks).astype(np.int32)), pa.array(worker), pa.array([*parts, total.tobytes()], pa.binary())], ["block", "worker", "v"])
+            worker = np.full(len(some), TaskContext.get().partitionId(), np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(worker), pa.array(parts, pa.binary())], ["block", "worker", "v"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, v in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if k == blocks:
-                    sums[k] = sums.get(k, 0) + np.frombuffer(v, "i8")
-                else:
-                    n = len(v) // (2 + 4 * (start.shape[1] + 1))
-                    sums.setdefault(k, np.zeros((BLOCK, start.shape[1] + 1)))[np.frombuffer(v, "u2", n)] += np.frombuffer(v, "f4", offset=2 * n).reshape(n, -1)
+                n = len(v) // (2 + 4 * (start.shape[1] + 1))
+                sums.setdefault(k, np.zeros((BLOCK, start.shape[1] + 1)))[np.frombuffer(v, "u2", n)] += np.frombuffer(v, "f4", offset=2 * n).reshape(n, -1)
         yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["block", "v"])
 
     sent = texts.mapInArrow(work, "block int, worker int, v binary").repartition("block").sortWithinPartitions("block", "worker")
     with exchanges_deleted(texts.sparkSession):
         got = sent.mapInArrow(add, "block int, v binary").toArrow()  # one row per block
-    total, values = np.zeros(words + classes + 1, np.int64), start.copy()
+    values = start.copy()
     for k, v in zip(got.column("block").to_pylist(), got.column("v").to_pylist(), strict=True):
-        if k == blocks:
-            total = np.frombuffer(v, "i8")
-        else:
-            v = np.frombuffer(v, "f8").reshape(BLOCK, -1)
-            seen = np.flatnonzero(v[:, -1])
-            values[k * BLOCK + seen] = v[seen, :-1] / v[seen, -1:]
-    return values, total
-
-
-def learn(training: DataFrame, rounds: int = ROUNDS, worker_bytes: int = WORKER_BYTES) -> tuple[Counts, Model]:
-    """Exact counts over training(doc_id, text), and the parameters after all rounds."""
-    size = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        v = np.frombuffer(v, "f8").reshape(BLOCK, -1)
+        seen = np.flatnonzero(v[:, -1])
+        values[k * BLOCK + seen] = v[seen, :-1] / v[seen, -1:]
+    return values
+
+
+def learn(training: DataFrame, rounds: int = ROUNDS, worker_bytes: int = WORKER_BYTES) -> tuple[Counts, Model, DataFrame]:
+    """Exact counts over training(doc_id, text), the parameters after all rounds, and the table of word counts."""
+    size, docs = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     # Each worker sends all parameters that it changed: their number is what bounds that traffic.
-    workers = lambda of: min(MOST_WORKERS, max(1, -(-size // (of * worker_bytes))))
-    rough = frequent_words(dealt(training, workers(1)))
-    words = len(rough.hashes)
-    values, total = Trainer(Model.start(rough), rough).rows(), 0
+    workers = min(MOST_WORKERS, max(1, -(-size // (rounds * worker_bytes))))
+    counts, words = vocabulary(training, docs)
+    values = Trainer(Model.start(counts), counts).rows()
     for r in range(rounds):
-        values, counted = train_round(dealt(training, workers(rounds), r, rounds), rough, values, SEED + r)
-        total = total + counted
-    return Counts(rough.hashes, total[:words], rough.classes, rough.top, total[words:-1], int(total[-1])), Model.start(rough).filled(values[:, : WIDTH + 1])
+        values = train_round(dealt(training, workers, r, rounds), counts, values, SEED + r)
+    return counts, Model.start(counts).filled(values[:, : WIDTH + 1]), words
 
 
 # --------------------------------------------------------------------- scoring
 def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score: all documents, learning from those with train."""
     texts = docs.select("doc_id", F.coalesce(train, F.lit(True)).alias("train"), F.coalesce("text", F.lit("")).alias("text"))
-    counts, model = learn(texts.filter("train").select("doc_id", "text"))
-    logs = np.log10(counts.counts + 1.0)
+    counts, model, words = learn(texts.filter("train").select("doc_id", "text"))
+    logs, other_logs = np.log10(counts.counts + 1.0), np.log10(counts.other_counts + 1.0)
     end_log = float(np.log10(counts.docs + 1.0))
-    rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32()), ("ending", pa.int32())]))
+    # A word without a vector has its count's share of its ending's words, all unknown ones together one more.
+    rare_class = counts.class_counts[counts.top : counts.end]
+    shares = np.log10(rare_class + counts.distinct + 1.0)
+    tokens, distinct = int(counts.class_counts.sum()), int(counts.distinct.sum()) + len(counts.hashes) + (counts.docs > 0)
+    rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
@@ -422,36 +485,32 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
             at, classes = counts.look(t)
             seq, before, row, slot = counts.sequence(t, at, classes)
             lm = np.bincount(row, model.log_word_probabilities(counts, seq, before, slot), t.n) / LN10
-            known = at >= 0
-            value = np.where(known, logs[at] if len(logs) else 0.0, 0.0)
-            rest = ~known
-            endings = np.bincount(t.rows[rest] * ENDINGS + classes[rest] - counts.top, minlength=t.n * ENDINGS).astype(np.int32)
-            # Rare words: each document's distinct ones, with their number.
+            rest = np.flatnonzero(at < 0)
+            known, value = at >= 0, np.zeros(len(at))
+            value[known] = logs[at[known]]
+            other = found(counts.others, t.h[rest])
+            here = rest[other >= 0]
+            known[here], value[here] = True, other_logs[other[other >= 0]]
+            lm += np.bincount(t.rows[rest], value[rest] - shares[t.endings[rest]], t.n)
+            # Words whose counts aren't here: each document's distinct ones, with their number.
             rare = np.flatnonzero(~known)
             order = rare[np.lexsort((t.h[rare], t.rows[rare]))]
             h, rows = t.h[order], t.rows[order]
             new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])])) if len(h) else np.zeros(0, np.int64)
             n = np.diff(np.append(new, len(h))).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array(h[new].view(np.int64)), pa.array(n), pa.array(t.endings[order][new].astype(np.int32))], ["h", "n", "ending"])
+            items = pa.StructArray.from_arrays([pa.array(h[new].view(np.int64)), pa.array(n)], ["h", "n"])
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rows[new], np.arange(t.n + 1)), pa.int32()), items)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.diff(t.bounds) + 1), pa.array(np.bincount(t.rows, known, t.n).astype(np.int64)), pa.array(np.bincount(t.rows, value, t.n)), pa.array(lm), pa.ListArray.from_arrays(pa.array(np.arange(t.n + 1) * ENDINGS, pa.int32()), pa.array(endings)), lists.cast(rare_type)],
-                ["doc_id", "train", "n_tokens", "known", "logs", "lm", "endings", "rare"],
+                [b.column(0), b.column(1), pa.array(np.diff(t.bounds) + 1), pa.array(np.bincount(t.rows, known, t.n).astype(np.int64)), pa.array(np.bincount(t.rows, value, t.n)), pa.array(lm), lists.cast(rare_type)],
+                ["doc_id", "train", "n_tokens", "known", "logs", "lm", "rare"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = texts.mapInArrow(work, f"doc_id {kind}, train boolean, n_tokens long, known long, logs double, lm double, endings array<int>, rare array<struct<h: long, n: int, ending: int>>")
+    scored = texts.mapInArrow(work, f"doc_id {kind}, train boolean, n_tokens long, known long, logs double, lm double, rare array<struct<h: long, n: int>>")
     scored = table(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    rare = scored.select("row", "train", F.inline("rare"))
-    known = rare.filter("train").groupBy("h").agg(F.sum("n").alias("c"), F.min("row").alias("first"))
-    rare = table(rare.join(known, "h").select("row", "n", "ending", "c", (F.col("row") == F.col("first")).alias("first")), "lm-rare")
-    kinds = {r["ending"]: r["v"] for r in rare.filter("first").groupBy("ending").agg(F.count("*").alias("v")).collect()}  # ENDINGS rows at most
-    tokens = int(counts.class_counts.sum())
-    distinct = sum(kinds.values()) + int((counts.counts > 0).sum()) + (counts.docs > 0)
-    shares = [float(np.log10(int(counts.class_counts[counts.top + k]) + kinds.get(k, 0) + 1)) for k in range(ENDINGS)]
+    rare = scored.select("row", F.inline("rare")).join(words.select("h", F.col("n").alias("c")), "h")
     by_doc = rare.groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("rare_logs"), F.sum("n").alias("rare_known"))
     out = scored.drop("rare").join(by_doc, "row", "left").withColumn("rare_logs", F.coalesce("rare_logs", F.lit(0.0)))
-    inside = F.aggregate(F.zip_with("endings", F.array(*map(F.lit, shares)), lambda n, s: n * s), F.lit(0.0), lambda a, x: a + x)
     return out.select(
         "doc_id",
         "train",
@@ -459,7 +518,7 @@ def lm_scores(docs: DataFrame, train: Column) -> DataFrame:
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(counts.docs > 0))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("rare_logs") + F.lit(end_log) - F.col("n_tokens") * F.lit(float(np.log10(tokens + distinct + 1)))).alias("base_score"),
-        (F.col("lm") + F.col("rare_logs") - inside).alias("score"),
+        (F.col("lm") + F.col("rare_logs")).alias("score"),
     )
 
 

@@ -347,7 +347,7 @@ def test_a_sweep_gives_each_document_the_smallest_free_slot(spark):
 
 # ------------------------------------------------------------------------ 5 LM
 def test_base_scores_and_gain(make, nasty, monkeypatch):
-    monkeypatch.setattr(lm, "OFTEN", 3)
+    monkeypatch.setattr(lm, "LEAST", 3)
     rng = np.random.default_rng(4)
     # Two "languages": the model can tell from the context which words come next.
     a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
@@ -388,7 +388,7 @@ def test_the_model_depends_on_the_documents_alone(make):
     docs = make(rows)
     got = []
     for parts in (1, 5):
-        counts, model = lm.learn(docs.repartition(parts, "doc_id").select("doc_id", "text"), 3, 20_000)  # several workers in each round
+        counts, model, _ = lm.learn(docs.repartition(parts, "doc_id").select("doc_id", "text"), 3, 20_000)  # several workers in each round
         got.append([counts.hashes, counts.counts, counts.classes, counts.class_counts, *vars(model).values()])
     assert all(np.array_equal(a, b) for a, b in zip(*got, strict=True))
     assert got[0][3].sum() == sum(len(WORD.findall(t)) + 1 for _, t in rows)
@@ -400,11 +400,11 @@ def test_scores_equal_a_plain_evaluation(make):
     rows = [(i, " ".join(words[k] for k in rng.zipf(1.3, 40) % 150) + f" only{i}a") for i in range(250)]
     docs = make(rows)
     scores = {r.doc_id: r.score for r in lm.lm_scores(docs, F.lit(True)).collect()}
-    counts, model = lm.learn(docs.select("doc_id", "text"))
+    counts, model, _ = lm.learn(docs.select("doc_id", "text"))
     c = collections.Counter(x for _, t in rows for x in WORD.findall(t))
     at = {h: k for k, h in enumerate(counts.hashes.tolist())}
     ending = lambda x: lm._ENDING[x.encode()[-1]]
-    hashed = lambda x: int(Words(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x)])).hashes()[0])
+    hashed = lambda x: int(lm.Texts(pa.array([x])).h[0])
     rest = collections.defaultdict(list)  # rare words by ending
     for x in c:
         if hashed(x) not in at:
@@ -428,6 +428,26 @@ def test_scores_equal_a_plain_evaluation(make):
         assert scores[i] == pytest.approx(total, abs=2e-3)
 
 
+def test_words_are_counted_exactly_however_little_a_task_holds(make):
+    rng = np.random.default_rng(16)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.2, 300) % 900)) for i in range(200)] + [(None, None), (300, ""), (301, "W0 w0")]
+    want = collections.Counter(x.lower() for _, t in rows for x in WORD.findall(t or ""))
+    key = lambda x: int(lm.Texts(pa.array([x])).h.view(np.int64)[0])
+    truth = {key(x): n for x, n in want.items()}
+    assert len(truth) == len(want)
+    for at_once, most in ((1, 1), (1, 40), (500, 200), (4_000_000, 1_000_000)):
+        table = lm.word_counts(make(rows), at_once, most)
+        assert {r.h: r.n for r in table.collect()} == truth
+    for most in (0, 1, 50, 400, len(truth), 10_000):
+        got = lm.most_frequent(table, most).to_pydict()
+        assert len(got["h"]) <= most and all(truth[h] == n for h, n in zip(got["h"], got["n"], strict=True)) and got["n"] == sorted(got["n"], reverse=True)
+        left = [n for h, n in truth.items() if h not in set(got["h"])]
+        # All but 4,096th parts of the last class of equal counts, and nothing of a smaller one.
+        assert not left or not got["n"] or max(left) <= min(got["n"]) * 1.011 or most == 0
+        assert len(got["h"]) >= min(most, len(truth)) - 4
+    assert lm.word_counts(make([])).count() == 0
+
+
 def test_word_probabilities_are_normalised():
     h, ones = np.arange(9, dtype=np.uint64), np.ones(9, np.int64)
     classes = np.array([0, 62, 1, 63, 62, 63, 62, 62, 63]) + np.array([0, 1, 0, 1, 1, 1, 1, 1, 1])
