@@ -329,10 +329,14 @@ def normalised(x: np.ndarray, want: np.ndarray, q: np.ndarray, b: np.ndarray) ->
 
 def row_sums(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct rows of at, and the sums of their values."""
-    order = np.argsort(at, kind="stable" if at.itemsize == 2 else None)
-    at = at[order]
+    # Rows and places are sorted as one number, which is faster than sorting places by rows.
+    bits = max(1, (len(at) - 1).bit_length())
+    key = np.left_shift(at, bits, dtype=np.int64)
+    key |= np.arange(len(at))
+    key.sort()
+    order, at = key & ((1 << bits) - 1), key >> bits
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[first], np.add.reduceat(values[order], first, axis=0)
+    return at[first], np.add.reduceat(values.take(order, axis=0), first, axis=0)
 
 
 class Trainer:
@@ -361,10 +365,13 @@ class Trainer:
         """Gradients of the loss by x, by q's rows and by b."""
         qw, qn = q.take(want, axis=0), q[noise]
         right = np.einsum("ij,ij->i", x, qw) + b[want] - log_noise[want]
-        wrong = x @ qn.T + (b[noise] - log_noise[noise])
-        e_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))
-        e_wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30)))
-        at, sums = row_sums(np.concatenate([want, noise], dtype=np.int16, casting="unsafe"), np.concatenate([e_right[:, None] * x, e_wrong.T @ x]))
+        e_right = -1 / (1 + np.exp(np.minimum(right, 30)))
+        e_wrong = x @ -qn.T
+        e_wrong -= b[noise] - log_noise[noise]
+        np.exp(np.minimum(e_wrong, 30, out=e_wrong), out=e_wrong)
+        e_wrong += 1
+        np.reciprocal(e_wrong, out=e_wrong)
+        at, sums = row_sums(np.concatenate([want, noise]), np.concatenate([e_right[:, None] * x, e_wrong.T @ x]))
         gq = np.zeros_like(q)
         gq[at] = sums
         gb = np.bincount(want, e_right, len(b)) + np.bincount(noise, e_wrong.sum(0), len(b))
