@@ -4,8 +4,8 @@ Tokens are lower-cased words and an end. All frequent words have a vector of
 their own as context and as target; rarer words have one by their ending. The
 model predicts a token's class from the CONTEXT tokens before it, and then the
 word within its class: the TOP most frequent words are classes of their own,
-the other frequent words are dealt into groups of GROUP words at most, and rarer
-words fall into classes by their ending, whose words share its probability by
+the other frequent words are dealt into groups of GROUP words at most, smaller
+ones for more frequent words, and rarer words fall into classes by their ending, whose words share its probability by
 their counts. Each position of the context has weights of its own (a diagonal
 matrix). Scores are normalised by matrix products over all classes, and over all
 words of a group for the tokens of that group.
@@ -53,7 +53,7 @@ TOP, FREQUENT, LEAST, KNOWN = 64, 65_536, 5, 524_288
 SORTED, HELD = 4_000_000, 1_000_000
 CONTEXT, WIDTH, NOISE, BATCH, RATE, SEED = 3, 16, 32, 2048, 0.15, 5
 ROUNDS, WORKER_BYTES, MOST_WORKERS = 3, 48_000_000, 4096
-ENDINGS, GROUP, BLOCK, WORD_BATCH = 60, 384, 256, 512
+ENDINGS, GROUP, BLOCK, WORD_BATCH, CACHED = 60, 2048, 256, 512, 200_000
 LN10 = np.log(10.0)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -245,10 +245,14 @@ def vocabulary(training: DataFrame, docs: int) -> tuple[Counts, DataFrame]:
     np.subtract.at(totals, e, n)
     np.subtract.at(distinct, e, 1)
     top = min(TOP, size)
-    # Groups: words with the same ending, by falling counts.
+    # Groups: words with the same ending, by falling counts. A group costs each of its tokens its size, and all tokens one class
+    # more, which is least in sum where groups of s words with the share p of the tokens each have s * sqrt(p) = 1.
     rest = top + np.argsort(e[top:], kind="stable")
-    place = np.arange(len(rest)) - np.searchsorted(e[rest], e[rest])
-    new = np.diff(np.stack([e[rest], place // GROUP], 1), axis=0, prepend=-1).any(1)
+    first = np.searchsorted(e[rest], e[rest])
+    roots = np.sqrt(n[rest] / max(1, totals.sum() + n.sum() + docs))
+    before = np.cumsum(roots) - roots
+    place = np.arange(len(rest)) - first
+    new = np.diff(np.stack([e[rest], (before - before[first]).astype(np.int64), place // GROUP], 1), axis=0, prepend=-1).any(1)
     classes = np.arange(size)
     classes[rest] = top + ENDINGS + np.cumsum(new)
     groups = np.bincount(classes[rest] - top - ENDINGS - 1, n[rest]).astype(np.int64)
@@ -316,14 +320,16 @@ def normalised(x: np.ndarray, want: np.ndarray, q: np.ndarray, b: np.ndarray) ->
     bound = np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1).max() + np.abs(b).max()
     x, q = np.column_stack([x, np.ones(len(x), "f4")]), np.column_stack([q, b]).astype("f4")
     out[:] = np.einsum("ij,ij->i", x, q.take(want, axis=0))
-    columns, ones, room = np.ascontiguousarray(q.T), np.ones(len(q), "f4"), np.empty((512, len(q)), "f4")
-    for i in range(0, len(want), 512):
-        s = np.matmul(x[i : i + 512], columns, out=room[: len(want[i : i + 512])])
+    # So many rows at once that their scores stay in the processor's cache.
+    many = max(16, CACHED // len(q))
+    columns, ones, room = np.ascontiguousarray(q.T), np.ones(len(q), "f4"), np.empty((many, len(q)), "f4")
+    for i in range(0, len(want), many):
+        s = np.matmul(x[i : i + many], columns, out=room[: len(want[i : i + many])])
         if bound > 80:
             most = s.max(1)
             s -= most[:, None]
-            out[i : i + 512] -= most
-        out[i : i + 512] -= np.log(np.exp(s, out=s) @ ones)
+            out[i : i + many] -= most
+        out[i : i + many] -= np.log(np.exp(s, out=s) @ ones)
     return out
 
 
@@ -361,8 +367,8 @@ class Trainer:
     def rows(self) -> np.ndarray:
         return np.column_stack([self.m.rows(), self.squares.rows()])
 
-    def contrast(self, x: np.ndarray, want: np.ndarray, noise: np.ndarray, q: np.ndarray, b: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Gradients of the loss by x, by q's rows and by b."""
+    def contrast(self, x: np.ndarray, want: np.ndarray, noise: np.ndarray, q: np.ndarray, b: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Gradients of the loss by x, by some of q's rows, which these are, and by b."""
         qw, qn = q.take(want, axis=0), q[noise]
         right = np.einsum("ij,ij->i", x, qw) + b[want] - log_noise[want]
         e_right = -1 / (1 + np.exp(np.minimum(right, 30)))
@@ -372,10 +378,8 @@ class Trainer:
         e_wrong += 1
         np.reciprocal(e_wrong, out=e_wrong)
         at, sums = row_sums(np.concatenate([want, noise]), np.concatenate([e_right[:, None] * x, e_wrong.T @ x]))
-        gq = np.zeros_like(q)
-        gq[at] = sums
         gb = np.bincount(want, e_right, len(b)) + np.bincount(noise, e_wrong.sum(0), len(b))
-        return e_right[:, None] * qw + e_wrong @ qn, gq, gb.astype("f4")
+        return e_right[:, None] * qw + e_wrong @ qn, sums, at, gb.astype("f4")
 
     @staticmethod
     def move(value: np.ndarray, sq: np.ndarray, grad: np.ndarray, at=...) -> None:
@@ -387,8 +391,8 @@ class Trainer:
         """One step for the classes and the contexts; more: other gradients by what the contexts expect."""
         m, n = self.m, len(want)
         noise = np.minimum(np.searchsorted(self.cumulated, self.rng.random(NOISE)), len(m.b) - 1)
-        dx, gq, gb = self.contrast(m.expected(ctx), want, noise, m.q, m.b, self.log_noise)
-        self.move(m.q, self.sq[1], gq / n)
+        dx, gq, at, gb = self.contrast(m.expected(ctx), want, noise, m.q, m.b, self.log_noise)
+        self.move(m.q, self.sq[1], gq / n, at)
         self.move(m.b, self.sq[2], gb / n)
         dx += more
         at, grad = row_sums(ctx.T.ravel(), np.concatenate([dx * c for c in m.c]))
@@ -404,11 +408,11 @@ class Trainer:
             a, b = self.word_cumulated[[lo, hi]]
             x = m.expected(ctx[some])
             for i in range(0, len(some), WORD_BATCH):
-                at = some[i : i + WORD_BATCH]
+                part = some[i : i + WORD_BATCH]
                 noise = np.clip(np.searchsorted(self.word_cumulated[lo : hi + 1], a + self.rng.random(NOISE) * (b - a), side="right") - 1, 0, hi - lo - 1)
-                dx[at], gq, gb = self.contrast(x[i : i + WORD_BATCH], slot[at] - lo, noise, m.wq[lo:hi], m.wb[lo:hi], self.word_noise[lo:hi])
-                self.move(m.wq[lo:hi], self.wq_sq[lo:hi], gq / len(at))
-                self.move(m.wb[lo:hi], self.wb_sq[lo:hi], gb / len(at))
+                dx[part], gq, at, gb = self.contrast(x[i : i + WORD_BATCH], slot[part] - lo, noise, m.wq[lo:hi], m.wb[lo:hi], self.word_noise[lo:hi])
+                self.move(m.wq[lo:hi], self.wq_sq[lo:hi], gq / len(part), at)
+                self.move(m.wb[lo:hi], self.wb_sq[lo:hi], gb / len(part))
         return dx
 
     def learn(self, seq: np.ndarray, before: np.ndarray, slot: np.ndarray) -> None:
