@@ -8,14 +8,16 @@ null: none). Nothing is compared row by row:
   is a signed sum of questions of the kind "these columns equal these keys", which
   an equi join answers for all patterns of columns at once.
 * Bounds are cuts of an ordered column: rows before the upper cut, less rows
-  before the lower one. Rows before the cuts of several columns are counted
-  without comparing questions and rows: the first columns' orders are divided
-  into blocks of RADIX**level neighbouring rows, a cut takes some blocks of each
+  before the lower one. The distinct cuts of a column are numbered, and of a row
+  nothing matters but how many cuts lie before it: rows between the same cuts are
+  summed up first. Rows before the cuts of several columns are counted
+  without comparing questions and rows: all columns but the one with most cuts are divided
+  into blocks of RADIX**level neighbouring numbers, a cut takes some blocks of each
   level, and within each block a running sum along the last column answers. A
-  question without a bound on a column takes the one block that holds all rows.
+  question without a bound on a column meets sums over that whole column.
 
-A table of N rows with d bounded columns becomes N * log(N)**(d - 1) rows (base RADIX)
-before these are summed up; a question with as many bounds grows likewise. Sums of decimals are exact; sums of
+A table of N rows with d bounded columns becomes N * log(C)**(d - 1) rows (base RADIX; C: distinct cuts of a column)
+at most before these are summed up; a question with as many bounds grows likewise. Sums of decimals are exact; sums of
 doubles are rounded as sums and differences of doubles are.
 """
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.criteria import split_column
 from ..functions.scalars import NUMBER, ascii_fold, fifteen_digits, number_prefix, text_number
 from ..sources.scratch import written
+from . import aggregates
 from .aggregates import small
 from .scans import running
 
@@ -140,37 +143,43 @@ class Field:
         """The kind of places from which on each row has exactly one."""
         return {"text": 1, "page": 2}.get(self.kind, 0)
 
-    def cuts(self, raws: list[Column], last: bool) -> Column:
-        """array<struct<sign, cut>>: rows before the upper cut of all bounds, less rows before the lower one.
-
-        Without a bound: all rows, each once; a null cut, but on the last column.
-        """
-        signed = lambda sign, c: F.struct(F.lit(sign).alias("sign"), c.cast(CUT).alias("cut"))
+    def between(self, raws: list[Column]) -> Column:
+        """struct<lo, hi>: where all bounds meet, null without a bound."""
         bounds = F.array_compact(F.array(*map(self.interval, raws)))
-        lo, hi = F.array_max(F.transform(bounds, lambda b: b["lo"])), F.array_min(F.transform(bounds, lambda b: b["hi"]))
-        start = (lo["kind"] == 0) & (lo["num"] == -INF) & (lo["after"] == 0)  # nothing lies before it
-        between = F.when(start, F.array(signed(1, hi))).otherwise(F.array(signed(1, hi), signed(-1, lo)))
-        whole = F.array(signed(1, F.lit(None))) if not last else F.array(signed(1, cut(3))) if not self.lowest() else F.array(signed(1, cut(3)), signed(-1, cut(self.lowest())))
-        return F.when(F.size(bounds) == 0, whole).when(lo < hi, between).otherwise(F.array().cast(f"array<struct<sign:int,cut:{CUT}>>"))
+        return F.when(F.size(bounds) > 0, F.struct(F.array_max(F.transform(bounds, lambda b: b["lo"])).alias("lo"), F.array_min(F.transform(bounds, lambda b: b["hi"])).alias("hi")))
+
+
+def cuts_of(between: Column) -> Column:
+    """array<struct<sign, cut>>: rows before the upper cut, less rows before the lower one; without a bound a null cut."""
+    signed = lambda sign, c: F.struct(F.lit(sign).alias("sign"), c.cast(CUT).alias("cut"))
+    lo, hi = between["lo"], between["hi"]
+    start = (lo["kind"] == 0) & (lo["num"] == -INF) & (lo["after"] == 0)  # nothing lies before it
+    some = F.when(start, F.array(signed(1, hi))).otherwise(F.array(signed(1, hi), signed(-1, lo)))
+    return F.when(between.isNull(), F.array(signed(1, F.lit(None)))).when(lo < hi, some).otherwise(F.array().cast(f"array<struct<sign:int,cut:{CUT}>>"))
 
 
 def levels_for(n: int) -> int:
-    """Levels of blocks, so that a block of the level above the highest would hold n rows."""
+    """Levels of blocks, so that a block of the level above the highest would hold n numbers."""
     out = 1
     while n >> (BITS * out):
         out += 1
     return out
 
 
-def positions(facts: DataFrame, asked: DataFrame, keys: list[str], column: str) -> tuple[DataFrame, DataFrame]:
-    """facts and asked, with column replaced by a fact's row number from 0 along its line, and by how many of its line's facts lie before a cut."""
-    packed = lambda df: F.struct(*(c for c in df.columns if c not in (*keys, column)))
-    none = lambda df: F.lit(None).cast(df.select(packed(df)).schema[0].dataType)
-    line = facts.select(*keys, F.col(column).alias("at"), packed(facts).alias("fact"), none(asked).alias("ask"))
-    line = line.unionByName(asked.select(*keys, F.col(column).alias("at"), none(facts).alias("fact"), packed(asked).alias("ask")))
-    got = written(running(line, keys, [(F.col("at"), False)], {"n": F.when(F.col("fact").isNotNull(), 1)}), "positions")
-    n = F.coalesce("n", F.lit(0)).cast("long")
-    return got.filter("fact is not null").select(*keys, (n - 1).alias(column), "fact.*"), got.filter("ask is not null").select(*keys, n.alias(column), "ask.*")
+def numbered(facts: DataFrame, asked: DataFrame, column: str) -> tuple[DataFrame, DataFrame, int]:
+    """The places of facts and the cuts of asked, each (at) with the number (n) of distinct cuts up to it; how many cuts there are."""
+    places = facts.select(F.col(column).alias("at"), F.lit(None).cast("int").alias("cut")).distinct()
+    cuts = asked.filter(F.col(column).isNotNull()).select(F.col(column).alias("at"), F.lit(1).alias("cut")).distinct()
+    got = running(places.unionByName(cuts), [], [(F.col("at"), False)], {"n": F.col("cut")})
+    got = written(got.select("at", "cut", F.coalesce("n", F.lit(0)).cast("long").alias("n")), "numbers")
+    places, cuts = got.filter("cut is null").select("at", "n"), got.filter("cut is not null").select("at", "n")
+    return places, cuts, cuts.agg(F.max("n")).first()[0] or 0
+
+
+def _replaced(df: DataFrame, column: str, numbers: DataFrame) -> DataFrame:
+    """df with column's place or cut replaced by its number; null stays null."""
+    numbers = small(numbers.select(F.col("at").alias("_at"), F.col("n").alias("_n")))
+    return df.join(numbers, F.col(column) == F.col("_at"), "left").drop(column, "_at").withColumnRenamed("_n", column)
 
 
 def _asked_for(facts: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
@@ -180,7 +189,7 @@ def _asked_for(facts: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame
 
 
 def _blocks(n: Column, i: int, highest: bool, level: str, block: str) -> Column:
-    """The blocks of level i that the first n rows of a line take: as many as the number's digit there says, before the ones of lower levels."""
+    """The blocks of level i that the numbers below n take: as many as the digit of n there says, before the ones of lower levels."""
     upto = F.shiftright(n, BITS * i)
     count = upto if highest else upto.bitwiseAND(RADIX - 1)
     all_of = F.when(count > 0, F.sequence(upto - count, upto - 1)).otherwise(F.array().cast("array<bigint>"))
@@ -188,29 +197,29 @@ def _blocks(n: Column, i: int, highest: bool, level: str, block: str) -> Column:
 
 
 def before_cuts(facts: DataFrame, asked: DataFrame, keys: list[str], columns: dict[str, int], values: list[str], qid: str) -> DataFrame:
-    """qid and signed sums of values over the facts that share a question's keys and lie before its cut in every column.
+    """qid and signed sums of values over the facts that share a question's keys and whose number is below its own in every column.
 
-    facts(keys, columns, values), with cuts as places; asked(keys, columns, qid, sign).
-    columns: name -> the kind of place from which on each row has one.
+    facts(keys, columns, values) and asked(keys, columns, qid, sign), with numbers as
+    numbered() gives them; null on both sides: no bound. columns: name -> how many cuts it has.
     """
-    *first, last = columns
+    *first, last = sorted(columns, key=columns.get)
     for c in first:
-        facts, asked = facts.withColumn("whole", F.col(c)["kind"] >= columns[c]), asked.withColumn("whole", F.col(c).isNull())
-        facts, asked = positions(facts, asked, keys, c)
-        top = levels_for(facts.agg(F.max(c)).first()[0] or 0)
+        top = levels_for(columns[c])
         at, level, block = F.col(c), f"{c}_level", f"{c}_block"
-        all_rows = F.array(F.struct(F.lit(top).alias(level), F.lit(0).cast("long").alias(block)))
+        all_rows = F.array(F.struct(F.lit(-1).alias(level), F.lit(0).cast("long").alias(block)))
         own = F.array(*(F.struct(F.lit(i).alias(level), F.shiftright(at, BITS * i).alias(block)) for i in range(top)))
-        facts = facts.select("*", F.inline(F.when(F.col("whole"), F.concat(own, all_rows)).otherwise(own))).drop(c, "whole")
+        facts = facts.select("*", F.inline(F.when(at.isNull(), all_rows).otherwise(own))).drop(c)
         # A cut takes, of each level, the blocks that its digit there counts.
         taken = F.flatten(F.array(*(_blocks(at, i, i == top - 1, level, block) for i in range(top))))
-        asked = asked.select("*", F.inline(F.when(F.col("whole"), all_rows).otherwise(taken))).drop(c, "whole")
+        asked = asked.select("*", F.inline(F.when(at.isNull(), all_rows).otherwise(taken))).drop(c)
         keys = [*keys, level, block]
         facts = _asked_for(facts, asked, keys)
+    # A question comes before the facts that have its own number; without a bound, behind all.
+    facts, asked = facts.withColumn(last, F.coalesce(last, F.lit(0))), asked.withColumn(last, F.coalesce(last, F.lit(1)))
     summed = facts.groupBy(*keys, last).agg(*(F.sum(v).alias(v) for v in values))
     none = {c: F.lit(None).cast(t) for c, t in asked.select(qid, "sign").dtypes}
     line = summed.select(*keys, last, *values, *(none[c].alias(c) for c in (qid, "sign"))).unionByName(asked.select(*keys, last, qid, "sign"), allowMissingColumns=True)
-    got = running(line, keys, [(F.col(last), False)], {f"_{v}": F.col(v) for v in values}).filter(F.col("sign").isNotNull())
+    got = running(line, keys, [(F.col(last), False), (F.col("sign").isNull(), False)], {f"_{v}": F.col(v) for v in values}).filter(F.col("sign").isNotNull())
     return got.groupBy(qid).agg(*(F.sum(F.when(F.col("sign") > 0, F.col(f"_{v}")).otherwise(-F.col(f"_{v}"))).alias(v) for v in values))
 
 
@@ -224,7 +233,8 @@ def answer(facts: DataFrame, questions: DataFrame, fields: dict[str, Field], val
     """
     keys = keys or {}
     raws = list(fields)
-    once = written(questions.select(*raws, *keys.values()).distinct().withColumn("_q", F.monotonically_increasing_id()), "questions")
+    once = questions.select(*raws, *keys.values()).distinct().repartition(questions.sparkSession.sparkContext.defaultParallelism)
+    once = written(once.withColumn("_q", F.monotonically_increasing_id()), "questions")
     shapes = once.agg(*(F.bool_or(f.compared(F.col(r))).alias(r) for r, f in fields.items())).first()  # one row
     # Bounds of one field meet in one interval; texts may have two orders, so that each of their bounds stands alone.
     bounded: dict[tuple, tuple[Field, list[str]]] = {}
@@ -233,34 +243,59 @@ def answer(facts: DataFrame, questions: DataFrame, fields: dict[str, Field], val
     dims = list(bounded.values())
     # Terms: one choice of each field, and one cut of each field with bounds.
     terms = once.select("_q", *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keys.values())), *raws, F.lit(1).alias("sign"))
+    for i, (f, mine) in enumerate(dims):
+        terms = terms.withColumn(f"_at{i}", F.explode(F.array(f.between([F.col(r) for r in mine]))))  # worked out here, once per question
     for i, r in enumerate(raws):
         terms = terms.withColumn("_t", F.explode(fields[r].choices(F.col(r)))).select("*", F.col("_t.mask").alias(f"_m{i}"), F.col("_t.key").alias(f"_f{i}"), (F.col("sign") * F.col("_t.sign")).alias("_s")).drop("_t", "sign").withColumnRenamed("_s", "sign")
-    for i, (f, mine) in enumerate(dims):
-        terms = terms.withColumn("_t", F.explode(f.cuts([F.col(r) for r in mine], i == len(dims) - 1))).select("*", F.col("_t.cut").alias(f"_c{i}"), (F.col("sign") * F.col("_t.sign")).alias("_s")).drop("_t", "sign").withColumnRenamed("_s", "sign")
-    masks = [f"_m{i}" for i in range(len(raws))]
-    terms = written(terms.drop(*raws), "terms")
-    used = [tuple(r) for r in terms.select(*masks).distinct().collect()] if raws else [()]  # at most 3 ** fields
-    used = used or [(0,) * len(raws)]  # no questions
-    # Facts: keys, places and values, summed up before they are written once per pattern of columns in use.
-    v = value if how == "count" else value.cast("double") if dict(facts.select(value.alias("v")).dtypes)["v"] == "float" else value
-    base = facts.select(*(F.col(f).alias(f"_k{i}") for i, f in enumerate(keys)), *(f.key().alias(f"_f{i}") for i, f in enumerate(fields.values())), *(f.present().alias(f"_p{i}") for i, f in enumerate(fields.values())), *(f.places().alias(f"_c{i}") for i, (f, _) in enumerate(dims)), v.alias("_v"))
     for i in range(len(dims)):
-        base = base.withColumn(f"_c{i}", F.explode(f"_c{i}"))
+        terms = terms.withColumn("_t", F.explode(cuts_of(F.col(f"_at{i}")))).select("*", F.col("_t.cut").alias(f"_c{i}"), (F.col("sign") * F.col("_t.sign")).alias("_s")).drop("_t", "sign", f"_at{i}").withColumnRenamed("_s", "sign")
+    # A term's shape: the masks of all fields, and which fields it bounds.
+    cuts = [f"_c{i}" for i in range(len(dims))]
+    digits = [*(F.col(f"_m{i}") for i in range(len(raws))), *(F.col(c).isNotNull().cast("int") for c in cuts)]
+    terms = terms.withColumn("_shape", sum((d * 3**i for i, d in enumerate(digits)), F.lit(0)).cast("long"))
+    terms = written(terms.drop(*raws, *(f"_m{i}" for i in range(len(raws)))), "terms")
+    line = [*(f"_k{i}" for i in range(len(keys))), "_shape", *(f"_f{i}" for i in range(len(raws)))]
+    used = {r[0]: r[1] for r in terms.groupBy("_shape").agg(F.approx_count_distinct(F.xxhash64(*line))).collect()} or {0: 0}  # at most 3 ** fields * 2 ** bounded ones
+    # Facts: keys, places and values, summed up before they are written once per shape in use.
+    v = value if how == "count" else value.cast("double") if dict(facts.select(value.alias("v")).dtypes)["v"] == "float" else value
+    base = facts.select(*(F.col(f).alias(f"_k{i}") for i, f in enumerate(keys)), *(f.key().alias(f"_f{i}") for i, f in enumerate(fields.values())), *(f.present().alias(f"_p{i}") for i, f in enumerate(fields.values())), *(f.places().alias(c) for c, (f, _) in zip(cuts, dims, strict=True)), v.alias("_v"))
     by = [c for c in base.columns if c != "_v"]
     base = base.groupBy(*by).agg(*([] if how == "count" else [F.sum("_v").alias("_sum")]), F.count("_v").alias("_count"))
-    patterns = F.array(*(F.struct(*(F.lit(m).alias(n) for n, m in zip(masks, p, strict=True)), reduce(Column.__and__, [F.col(f"_p{i}") if m == 1 else F.col(f"_f{i}").isNotNull() for i, m in enumerate(p) if m], F.lit(True)).alias("_use")) for p in used))
-    spread = base.select("*", F.inline(patterns)).filter("_use")
-    spread = spread.withColumns({f"_f{i}": F.when(F.col(f"_m{i}") == 2, F.col(f"_f{i}")) for i in range(len(raws))})
-    line = [*(f"_k{i}" for i in range(len(keys))), *masks, *(f"_f{i}" for i in range(len(raws)))]
     sums = ["_count"] if how == "count" else ["_sum", "_count"]
-    cuts = [f"_c{i}" for i in range(len(dims))]
-    spread = spread.groupBy(*line, *cuts).agg(*(F.sum(s).alias(s) for s in sums))
+    many = {}
+    if dims:
+        base, asked = written(base, "base"), terms
+        for c, (f, _) in zip(cuts, dims, strict=True):
+            base = base.withColumn(c, F.explode(c))
+            places, numbers, many[c] = numbered(base, terms, c)
+            base = _replaced(base.withColumn(f"_once{c}", F.col(c)["kind"] >= f.lowest()), c, places)
+            asked = _replaced(asked, c, numbers)
+        base = base.groupBy(*by, *(f"_once{c}" for c in cuts)).agg(*(F.sum(s).alias(s) for s in sums))
+        base, asked = written(base, "numbered"), written(asked, "asked")
+
+    def spread(shapes: list[int]) -> DataFrame:
+        """The facts once per shape, as far as some term has their keys: what a shape doesn't look at is null."""
+        each = []
+        for shape in shapes:
+            m = [shape // 3**i % 3 for i in range(len(digits))]
+            at = dict(zip(cuts, m[len(raws) :], strict=True))
+            use = [F.col(f"_p{i}") if x == 1 else F.col(f"_f{i}").isNotNull() for i, x in enumerate(m[: len(raws)]) if x]
+            use += [F.col(c) < many[c] if bound else F.col(f"_once{c}") for c, bound in at.items()]
+            own = [*((F.col(f"_f{i}") if x == 2 else F.lit(None).cast("string")).alias(f"_t{i}") for i, x in enumerate(m[: len(raws)])), *((F.col(c) if bound else F.lit(None).cast("long")).alias(f"_n{c}") for c, bound in at.items())]
+            each.append(F.when(reduce(Column.__and__, use, F.lit(True)), F.struct(F.lit(shape).cast("long").alias("_shape"), *own)))
+        out = base.select(*(f"_k{i}" for i in range(len(keys))), *sums, F.inline(F.array_compact(F.array(*each))))
+        out = out.withColumnsRenamed({**{f"_t{i}": f"_f{i}" for i in range(len(raws))}, **{f"_n{c}": c for c in cuts}})
+        return _asked_for(out, terms.filter(F.col("_shape").isin(shapes)), line).groupBy(*line, *cuts).agg(*(F.sum(s).alias(s) for s in sums))
+
+    # Shapes with few lines are cut down to them before facts are dealt out.
+    light = [s for s, n in used.items() if n * len(used) <= aggregates.MOST_BROADCAST // 2]
+    heavy = [s for s in used if s not in light]
+    met = reduce(DataFrame.unionByName, [spread(x) for x in (light, heavy) if x])
     if dims:
-        spread = _asked_for(spread, terms, line)
-        got = before_cuts(spread, terms.select(*line, *cuts, "_q", "sign"), line, {c: f.lowest() for c, (f, _) in zip(cuts, dims, strict=True)}, sums, "_q")
+        got = before_cuts(met, asked.select(*line, *cuts, "_q", "sign"), line, many, sums, "_q")
     else:
-        spread = small(spread)
-        met = terms.join(spread, reduce(Column.__and__, [terms[c].eqNullSafe(spread[c]) for c in line], F.lit(True)))
+        met = small(met)
+        met = terms.join(met, reduce(Column.__and__, [terms[c].eqNullSafe(met[c]) for c in line]))
         got = met.groupBy("_q").agg(*(F.sum(F.when(F.col("sign") > 0, F.col(s)).otherwise(-F.col(s))).alias(s) for s in sums))
     n = F.col("_count")
     shown = {"count": n, "sum": F.col("_sum") if how != "count" else n, "mean": F.col("_sum").cast("double") / n if how != "count" else n}[how]

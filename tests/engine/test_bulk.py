@@ -104,3 +104,14 @@ def test_a_line_is_spread_over_partitions(spark, monkeypatch):
     assert scans.running(df, ["k"], [(F.col("x"), False)], {"n": F.lit(1)}, 8).agg(F.max("n")).first()[0] == 4000
     sizes = [r["count"] for r in kept[0].groupBy("scan_part").count().collect()]
     assert len(sizes) >= 6 and max(sizes) < 1500
+
+
+def test_bounds_lay_places_and_cuts_not_facts(spark, monkeypatch):
+    """Rows between the same cuts are one: what is laid on lines grows with distinct places and cuts."""
+    laid = []
+    monkeypatch.setattr(bulk, "running", lambda df, *a, f=bulk.running: (laid.append(df.count()), f(df, *a))[1])
+    facts = spark.range(6000).select((F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 61).cast("double").alias("y"), F.col("id").alias("v"))
+    asked = [(1, 10.0, 20.0, 30.0), (2, 0.0, 50.0, 7.0), (3, 20.0, 10.0, 7.0)]
+    got = bulk.compared(facts, spark.createDataFrame(asked, "qid int, lo double, hi double, top double"), {}, {"x": [(">=", "lo"), ("<", "hi")], "y": [("<=", "top")]}, F.col("v"))
+    assert {r.qid: r.value for r in got.collect()} == {q: sum(i for i in range(6000) if lo <= i % 97 < hi and i % 61 <= top) for q, lo, hi, top in asked}
+    assert max(laid) < 120
