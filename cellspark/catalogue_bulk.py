@@ -125,10 +125,11 @@ RANGES = "x AS (SELECT o_orderkey AS qid, CASE o_orderkey % 4 WHEN 0 THEN 'A' WH
 
 def _line_sheets(spark, d):
     """A sheet per return flag: quantities, suppliers as numbers and the line's status as text."""
-    w = scans.W.partitionBy("l_returnflag").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    order = [(F.col(c), False) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
     num = lambda c, x: F.struct(F.lit(c).alias("c"), x.cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
     txt = F.struct(F.lit(3).alias("c"), F.lit(None).cast("double").alias("num"), F.col("l_linestatus").alias("txt"))
-    rows = t(spark, d, "lineitem").withColumn("r", F.row_number().over(w))
+    lines = t(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_linestatus")
+    rows = scans.running(lines, ["l_returnflag"], order, {"r": F.lit(1)})  # three sheets: no task holds a whole one
     return rows.select(F.lit("p").alias("part"), F.col("l_returnflag").alias("sheet"), "r", F.inline(F.array(num(1, F.col("l_quantity")), num(2, F.col("l_suppkey")), txt)))
 
 

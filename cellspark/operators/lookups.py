@@ -67,10 +67,15 @@ def page_lookup(needles: DataFrame, cells: DataFrame, along: str) -> DataFrame:
     across = "c" if along == "r" else "r"
     hay = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("line"), cell_key(F.col("num"), F.col("txt")).alias("key")).filter("key is not null")
     asked = needles.select("qid", "part", "sheet", F.col(f"{along}1").alias("first"), F.col(f"{along}2").alias("last"), F.col(f"{across}1").alias("line"), F.col(f"{across}2").alias("most"), "index", cell_key(F.col("num"), literal_needle(F.col("txt"))).alias("key"))
+    # Of each key only the stretch is laid that some question can reach, and of the results' lines likewise.
+    reach = lambda *by: asked.filter("first <= last").groupBy(*by).agg(F.min("first").alias("low"), F.max("last").alias("high"))
+    keys = ["part", "sheet", "line", "key"]
+    hay = hay.join(small(reach(*keys)), keys).filter("at between low and high").drop("low", "high")
     # The first place of the key from the range's beginning on: a key's repeats cost nothing.
     hits = successors(asked.filter("key is not null"), hay, ["part", "sheet", "line", "key"], "first", "at", "at").filter("at <= last")
     hits = hits.withColumn("to", F.col("line") + F.col("index") - 1).filter("to <= most")
     there = cells.select("part", "sheet", F.col(along).alias("at"), F.col(across).alias("to"), "num", "txt")
+    there = there.join(small(reach("part", "sheet", (F.col("line") + F.col("index") - 1).alias("to"))), ["part", "sheet", "to"]).filter("at between low and high").drop("low", "high")
     got = hits.join(there, ["part", "sheet", "at", "to"], "left").select("qid", F.when(F.col("txt").isNull(), F.coalesce("num", F.lit(0.0))).alias("num"), "txt")
     return needles.select("qid").join(got, "qid", "left")
 

@@ -92,3 +92,22 @@ def test_zero_and_minus_zero_are_one_needle(spark):
     ranged = grid.select(F.col("c").alias("pos"), F.col("v_num").alias("num"), F.col("v_txt").alias("txt"))
     assert {x.qid: x.pos for x in lookups.match(needles, ranged).collect()} == {1: 1, 2: 1}
     assert aggregates.grid_conditional(grid, "e", "S", 2, {1: split("0")}).first().matches == 1
+
+
+def test_sheets_are_numbered_without_whole_sheets_in_a_task(spark, small, monkeypatch):
+    from cellspark import catalogue_bulk
+
+    got = catalogue_bulk._line_sheets(spark, small)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and "scan_part" in plan
+    r = got.filter("c = 1").groupBy("sheet").agg(F.min("r").alias("a"), F.max("r").alias("z"), F.count_distinct("r").alias("n")).collect()
+    assert r and all(x.a == 1 and x.z == x.n for x in r)
+
+
+def test_lookups_lay_only_what_questions_reach(spark, monkeypatch):
+    laid = []
+    monkeypatch.setattr(lookups, "successors", lambda asked, places, *a, f=scans.successors: (laid.append(places.count()), f(asked, places, *a))[1])
+    cells = spark.range(1, 3001).select(F.lit("p").alias("part"), F.lit("S").alias("sheet"), F.col("id").cast("int").alias("r"), F.explode(F.array(F.lit(1), F.lit(2))).alias("c"), (F.col("id") % 10).cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
+    asked = spark.createDataFrame([(1, "p", "S", 100, 1, 120, 2, 2, 7.0, None), (2, "p", "S", 108, 1, 112, 2, 2, 7.0, None), (3, "p", "S", 5, 1, 4, 2, 2, 7.0, None)], "qid int, part string, sheet string, r1 int, c1 int, r2 int, c2 int, index int, num double, txt string")
+    assert {x.qid: x.num for x in lookups.page_lookup(asked, cells, "r").collect()} == {1: 7.0, 2: None, 3: None}
+    assert laid == [2]
