@@ -1,8 +1,8 @@
 """Aggregates over ranges of cells: every function on all ranges at once, one row per range.
 
 Sheets are covered by tiles of RADIX**i rows and RADIX**j columns. A range is a
-disjoint union of tiles, few of each size; a cell lies in one tile of each size
-that some range uses. So ranges meet sums, counts and maxima of tiles by an equi join, and
+disjoint union of tiles, few of each size; a cell lies in one tile of each size,
+and tiles are added up from smaller ones. So ranges meet sums, counts and maxima of tiles by an equi join, and
 rows grow with ranges and cells, not with their product.
 """
 
@@ -34,10 +34,10 @@ def arguments(ranges: DataFrame, cells: DataFrame, single: DataFrame) -> DataFra
 
 
 def sides(lo: Column, hi: Column, name: str) -> Column:
-    """array<struct<size, place>>: the numbers from lo to hi as stretches of RADIX**size aligned numbers, place being the stretch's number.
+    """array<struct<size, first, end>>: the numbers from lo to hi as stretches of RADIX**size aligned numbers, those numbered from first to before end.
 
     Of each size those are taken that lie in [lo, hi] while the next larger one around
-    them doesn't: below the first and behind the last whole larger one.
+    them doesn't: below the first and behind the last whole larger one. Some are empty.
     """
     lo, hi = lo.cast("long"), hi.cast("long") + 1  # half open from here on
     up = lambda x, i: F.shiftright(x + ((1 << BITS * i) - 1), BITS * i)
@@ -50,19 +50,17 @@ def sides(lo: Column, hi: Column, name: str) -> Column:
             # The next size covers what lies between; where it covers nothing, all of this size are taken at once.
             a, z = F.shiftleft(up(lo, i + 1), BITS), F.shiftleft(F.shiftright(hi, BITS * (i + 1)), BITS)
             parts = [(first, F.least(end, F.when(a < z, a).otherwise(end))), (F.when(a < z, z).otherwise(end), end)]
-        for a, z in parts:
-            out.append(F.when(a < z, F.transform(F.sequence(a, z - 1), _sized(i, name))).otherwise(F.array().cast(f"array<struct<{name}_size:int,{name}_place:bigint>>")))
-    return F.flatten(F.array(*out))
-
-
-def _sized(i: int, name: str):
-    return lambda x: F.struct(F.lit(i).alias(f"{name}_size"), x.alias(f"{name}_place"))
+        out += [F.struct(F.lit(i).alias(f"{name}_size"), a.alias("_first"), z.alias("_end")) for a, z in parts]
+    return F.array(*out)
 
 
 def tiles(ranges: DataFrame) -> DataFrame:
     """qid, part, sheet and the tiles (r_size, r_place, c_size, c_place) of ranges(qid, part, sheet, r1, c1, r2, c2); empty ranges have none."""
-    by_rows = ranges.select("qid", "part", "sheet", "c1", "c2", F.inline(sides(F.col("r1"), F.col("r2"), "r")))
-    return by_rows.select("qid", "part", "sheet", "r_size", "r_place", F.inline(sides(F.col("c1"), F.col("c2"), "c")))
+    places = F.explode(F.sequence(F.col("_first"), F.col("_end") - 1))
+    names = ["qid", "part", "sheet"]
+    by_columns = ranges.select(*names, "r1", "r2", F.inline(sides(F.col("c1"), F.col("c2"), "c"))).filter("_first < _end").select(*names, "r1", "r2", "c_size", places.alias("c_place"))
+    by_rows = by_columns.select(*names, "c_size", "c_place", F.inline(sides(F.col("r1"), F.col("r2"), "r"))).filter("_first < _end")
+    return by_rows.select(*names, "r_size", places.alias("r_place"), "c_size", "c_place")
 
 
 def range_aggregates(ranges: DataFrame, cells: DataFrame, single: DataFrame | None = None) -> DataFrame:
@@ -72,13 +70,22 @@ def range_aggregates(ranges: DataFrame, cells: DataFrame, single: DataFrame | No
     single(qid, num, txt): further arguments of the same questions that are no ranges.
     """
     at = ["part", "sheet", "r_size", "r_place", "c_size", "c_place"]
-    asked = written(tiles(ranges), "tiles")
-    sizes = [tuple(r) for r in asked.select("r_size", "c_size").distinct().collect()]  # SIZES ** 2 at most
+    asked = written(tiles(ranges.repartition(ranges.sparkSession.sparkContext.defaultParallelism)), "tiles")
+    top, across = asked.agg(F.max("r_size"), F.collect_set("c_size")).first()  # SIZES numbers at most
     filled = F.col("num").isNotNull() | F.coalesce(F.col("txt") != "", F.lit(False))
-    inside = cells.filter(filled)
-    step = F.array(*(F.struct(F.lit(i).alias("r_size"), F.shiftright(F.col("r").cast("long"), BITS * i).alias("r_place"), F.lit(j).alias("c_size"), F.shiftright(F.col("c").cast("long"), BITS * j).alias("c_place")) for i, j in sizes)) if sizes else F.array().cast("array<struct<r_size:int,r_place:bigint,c_size:int,c_place:bigint>>")
-    each = inside.select("part", "sheet", "num", F.inline(step)).join(small(asked.select(*at).distinct()), at, "left_semi")
-    sums = each.groupBy(*at).agg(F.sum("num").alias("total"), F.max("num").alias("largest"), F.count("*").alias("filled"))
+    # The rows and columns that some range can reach.
+    reach = ranges.filter("r1 <= r2 and c1 <= c2").groupBy("part", "sheet").agg(*(f(c).alias(f"_{c}") for c, f in (("r1", F.min), ("r2", F.max), ("c1", F.min), ("c2", F.max))))
+    inside = cells.filter(filled).join(small(reach), ["part", "sheet"]).filter("r between _r1 and _r2 and c between _c1 and _c2")
+    step = F.array(*(F.struct(F.lit(j).alias("c_size"), F.shiftright(F.col("c").cast("long"), BITS * j).alias("c_place")) for j in sorted(across))) if across else F.array().cast("array<struct<c_size:int,c_place:bigint>>")
+    each = inside.select("part", "sheet", F.col("r").cast("long").alias("r_place"), F.inline(step), F.col("num").alias("total"), F.col("num").alias("largest"), F.lit(1).cast("long").alias("filled"))
+    # Tiles of each height are added up from those of the height before, a RADIX-th as many.
+    heights = []
+    for i in range((top or 0) + 1):
+        by = ["part", "sheet", "c_size", "c_place"]
+        each = each.groupBy(*by, (F.shiftright("r_place", BITS) if i else F.col("r_place")).alias("r_place")).agg(F.sum("total").alias("total"), F.max("largest").alias("largest"), F.sum("filled").alias("filled"))
+        each = written(each, "heights")
+        heights.append(each.withColumn("r_size", F.lit(i)))
+    sums = reduce(DataFrame.unionByName, heights)
     met = asked.join(sums, at).select("qid", "total", "largest", "filled")
     if single is not None:
         met = met.unionByName(single.filter(filled).select("qid", F.col("num").alias("total"), F.col("num").alias("largest"), F.lit(1).cast("long").alias("filled")))

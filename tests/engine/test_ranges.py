@@ -111,3 +111,13 @@ def test_lookups_lay_only_what_questions_reach(spark, monkeypatch):
     asked = spark.createDataFrame([(1, "p", "S", 100, 1, 120, 2, 2, 7.0, None), (2, "p", "S", 108, 1, 112, 2, 2, 7.0, None), (3, "p", "S", 5, 1, 4, 2, 2, 7.0, None)], "qid int, part string, sheet string, r1 int, c1 int, r2 int, c2 int, index int, num double, txt string")
     assert {x.qid: x.num for x in lookups.page_lookup(asked, cells, "r").collect()} == {1: 7.0, 2: None, 3: None}
     assert laid == [2]
+
+
+def test_tiles_are_added_up_from_smaller_ones(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(ranges, "written", lambda df, name, f=ranges.written: sizes.append((name, (out := f(df, name)).count())) or out)
+    cells = spark.range(1, 4097).select(F.lit("p").alias("part"), F.lit("S").alias("sheet"), F.col("id").cast("int").alias("r"), F.lit(1).alias("c"), F.lit(1.0).alias("num"), F.lit(None).cast("string").alias("txt"))
+    asked = spark.createDataFrame([(1, "p", "S", 3, 1, 1500, 1), (2, "p", "S", 1000, 1, 2040, 1)], "qid int, part string, sheet string, r1 int, c1 int, r2 int, c2 int")
+    assert {x.qid: (x.total, x.largest, x.filled) for x in ranges.range_aggregates(asked, cells).collect()} == {1: (1498.0, 1.0, 1498), 2: (1041.0, 1.0, 1041)}
+    heights = [n for name, n in sizes if name == "heights"]
+    assert heights[0] == 2038 and sum(heights) < 2038 * 3 / 2
