@@ -18,7 +18,7 @@ carry a pair once per block, not once per document or link.
 
 * null or empty text, and texts whose joined A or B bytes differ from blank +
   text: no tokens; all counts are 0 and the groups empty. Very long texts: cut into
-  parts of SLICE bytes between two plain words, aligned one after the other.
+  parts of PART bytes between two plain words, aligned one after the other.
 * Repeated rows and ties: each row is a document of its own and has its own
   result. Ties for an A id's highest count are all best. Null doc_id: kept.
 * An empty table: no rows. Extra columns are ignored.
@@ -27,6 +27,7 @@ carry a pair once per block, not once per document or link.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -38,11 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import flat, read, run_hashes, slices, table, within
+from .common import BATCH_BYTES, flat, read, run_hashes, setting, slices, table, within
 from .encoding import Pieces, same_bytes, tokenizer_path
 
-#: Bytes of text in a block, and what a long text is cut into.
+#: Bytes of text in a block.
 SLICE = 2_000_000
+#: Bytes of text that are aligned together, and what a long text is cut into; new pieces that the tokenizers get in one call.
+PART, BATCH = 256_000, 4_096
+#: Blocks in a row group: Spark's reader decodes a whole one at once, if it has fewer than some thousand rows.
+GROUP = 8
 #: A worker forgets its pieces beyond so many, and beyond so many bytes of groups and links.
 MOST_PIECES, MOST_BYTES = 400_000, 64 << 20
 #: Copies of a pair's row in exchanges.
@@ -88,27 +93,45 @@ class Digits:
         return out[np.arange(self.width) <= sizes[:, None]], sizes + 1
 
 
+class Grown:
+    """An array to which rows are appended, with room for half as many more when it has to move."""
+
+    def __init__(self, kind: type, *width: int):
+        self.room, self.used = np.zeros((1 << 12, *width), kind), 0
+
+    def __len__(self) -> int:
+        return self.used
+
+    def add(self, rows: np.ndarray) -> None:
+        need = self.used + len(rows)
+        if need > len(self.room):
+            room = np.empty((need + need // 2, *self.room.shape[1:]), self.room.dtype)
+            room[: self.used] = self.room[: self.used]
+            self.room = room
+        self.room[self.used : need] = rows
+        self.used = need
+
+    def nbytes(self) -> int:
+        return self.used * self.room[:1].nbytes
+
+
 class Pool:
     """Runs of values of one kind, appended and gathered many at a time."""
 
     def __init__(self, kind: type):
-        self.values, self.used, self.begins, self.sizes = np.zeros(1 << 12, kind), 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.values, self.begins, self.sizes = Grown(kind), Grown(np.int64), Grown(np.int64)
 
     def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        need = self.used + len(values)
-        if need > len(self.values):
-            self.values = np.concatenate([self.values[: self.used], np.zeros(need, self.values.dtype)])
-        self.values[self.used : need] = values
-        self.begins = np.concatenate([self.begins, self.used + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.used = need
+        self.begins.add(len(self.values) + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.values.add(values)
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = self.sizes[at]
-        return self.values[within(self.begins[at], sizes)], sizes
+        sizes = self.sizes.room[at]
+        return self.values.room[within(self.begins.room[at], sizes)], sizes
 
     def nbytes(self) -> int:
-        return self.used * self.values.itemsize
+        return self.values.nbytes()
 
 
 class Aligner:
@@ -135,15 +158,21 @@ class Aligner:
         self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.raw, self.text, self.links = Pool(np.uint8), Pool(np.uint8), Pool(np.int64)
         #: n_a, n_b, n_groups and whether all bytes are covered, of each piece.
-        self.numbers = np.zeros((0, 4), np.int64)
+        self.numbers = Grown(np.int64, 4)
 
     def encoded(self, pieces: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of all pieces and how many each has, by A and by B (which adds the blank that a piece begins with)."""
-        a = [x.ids for x in self.a.tok.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        b = self.b.encode([p[1:].decode() for p in pieces], num_threads=1)
-        b = [ids if len(p) > 1 else [self.blank] for p, ids in zip(pieces, b, strict=True)]
-        sizes = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
-        return [np.fromiter((i for ids in x for i in ids), np.int64, int(n.sum())) for x, n in zip((a, b), sizes, strict=True)], sizes
+        ids, sizes = ([], []), ([], [])
+        for i in range(0, len(pieces), BATCH):
+            some = pieces[i : i + BATCH]
+            a = [x.ids for x in self.a.tok.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
+            b = self.b.encode([p[1:].decode() for p in some], num_threads=1)
+            b = [x if len(p) > 1 else [self.blank] for p, x in zip(some, b, strict=True)]
+            for k, found in enumerate((a, b)):
+                n = np.fromiter(map(len, found), np.int64, len(found))
+                ids[k].append(np.fromiter((i for x in found for i in x), np.int64, int(n.sum())))
+                sizes[k].append(n)
+        return [np.concatenate(x) for x in ids], [np.concatenate(x) for x in sizes]
 
     def learn(self, pieces: list[bytes]) -> None:
         """Append pieces with their groups and links."""
@@ -177,7 +206,7 @@ class Aligner:
         behind = np.concatenate([np.where(last_a, ord("|"), ord(",")), np.where(last_b, ord(";"), ord(","))])[order]
         text, each = self.digits.written(np.concatenate([a, b])[order], behind)
         self.text.add(text, self.per_piece(each, n_a + n_b))
-        self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, groups, whole.astype(np.int64)], axis=1)])
+        self.numbers.add(np.stack([n_a, n_b, groups, whole.astype(np.int64)], axis=1))
 
     @staticmethod
     def per_piece(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -200,8 +229,8 @@ class Aligner:
             to = np.searchsorted(self.keys, each[new])
             self.keys, self.places = np.insert(self.keys, to, each[new]), np.insert(self.places, to, places)
         at = self.places[np.searchsorted(self.keys, each)][which]
-        if not same_bytes(self.raw.values, self.raw.begins[at], self.raw.sizes[at], data, starts, ends - starts):
-            self.forget()  # two pieces with one key: these are learnt one by one, and forgotten by the next slice
+        if not same_bytes(self.raw.values.room, self.raw.begins.room[at], self.raw.sizes.room[at], data, starts, ends - starts):
+            self.forget()  # two pieces with one key: these are learnt one by one, and forgotten by the next part
             self.learn(cut(np.arange(len(starts))))
             at = np.arange(len(starts))
         return at
@@ -227,13 +256,23 @@ _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
-def parts(data: np.ndarray, offsets: np.ndarray, most: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """rows, data, offsets: texts with a blank before each; one of over twice `most` bytes in parts, cut before a blank between two plain words."""
-    rows = np.flatnonzero(np.diff(offsets))
-    if len(rows) != 1 or len(data) <= 2 * most:
-        starts = offsets[:-1][rows]
-        yield rows, np.insert(data, starts, 0x20), np.append(starts, len(data)) + np.arange(len(rows) + 1)
-        return
+def parts(data: np.ndarray, offsets: np.ndarray, most: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """rows, data, offsets: texts of `most` bytes together, with a blank before each; one of over twice as many in parts, cut before a blank between two plain words."""
+    rows, at = np.flatnonzero(np.diff(offsets)), 0
+    begins, ends = offsets[:-1][rows], offsets[1:][rows]
+    while at < len(rows):
+        lo = begins[at]
+        to = max(at + 1, int(np.searchsorted(ends, lo + most, side="right")))
+        some, part, starts = rows[at:to], data[lo : ends[to - 1]], begins[at:to] - lo
+        if len(part) > 2 * most:
+            yield from long_parts(some, part, most)
+        else:
+            yield some, np.insert(part, starts, 0x20), np.append(starts, len(part)) + np.arange(len(some) + 1)
+        at = to
+
+
+def long_parts(row: np.ndarray, data: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The parts of one text."""
     at, n = 0, len(data)
     while at < n:
         to, look = min(at + most, n), min(at + most, n)
@@ -245,7 +284,7 @@ def parts(data: np.ndarray, offsets: np.ndarray, most: int = SLICE) -> Iterator[
                 break
             look += 65_534
         part = data[at:to]
-        yield rows, np.insert(part, 0, 0x20) if at == 0 else part, np.array([0, len(part) + (at == 0)])
+        yield row, np.insert(part, 0, 0x20) if at == 0 else part, np.array([0, len(part) + (at == 0)])
         at = to
 
 
@@ -256,12 +295,12 @@ class Found:
         n = len(offsets) - 1
         self.numbers = np.zeros((n, 3), np.int64)
         whole, begun, done = np.diff(offsets) > 0, np.zeros(n, bool), [[] if texts else hashlib.sha256() for _ in range(n)]
-        links = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        links: list[tuple[np.ndarray, np.ndarray]] = []
         for rows, raw, bounds in parts(data, offsets):
             starts, ends = tables.cuts(raw, bounds)
             at = tables.find(raw, starts, ends)
             cut = np.searchsorted(starts, bounds)
-            sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(tables.numbers[at], axis=0)])
+            sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(tables.numbers.room[at], axis=0)])
             each = sums[cut[1:]] - sums[cut[:-1]]
             self.numbers[rows] += each[:, :3]
             whole[rows] &= each[:, 3] == np.diff(cut)
@@ -274,25 +313,35 @@ class Found:
             begun[rows] = True
             pairs, sizes = tables.links.take(at)
             key, times = np.unique(np.repeat(np.repeat(rows, np.diff(cut)), sizes) << ROW | pairs, return_counts=True)
-            links = merged([*links, (key, times)])
+            if len(key):
+                links.append((key, times))
+            # Parts of a long text are merged when they have grown to half of what is before them.
+            while len(links) > 1 and follow(*links[-2:]) and 2 * len(links[-1][0]) >= len(links[-2][0]):
+                links[-2:] = [merged(links[-2:])]
         self.numbers[~whole] = 0
         keep = self.numbers[:, 0] > 0
         self.groups = ["" if not k else b"".join(x).decode() if texts else x.hexdigest() for k, x in zip(keep.tolist(), done, strict=True)]
-        key, times = links[0] if len(links) == 1 else merged(links)[0]
+        key, times = merged(links)
         some = whole[key >> ROW]
         key, self.times = key[some], times[some]
         self.pairs = key & (1 << ROW) - 1
         self.bounds = np.searchsorted(key >> ROW, np.arange(n + 1))
 
 
-def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Sorted keys with their counts, as one."""
-    if len(parts) == 1 or not len(parts[0][0]):
-        return parts[-1:]
-    key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    times = np.zeros(len(key), np.int64)
-    np.add.at(times, back, np.concatenate([t for _, t in parts]))
-    return [(key, times)]
+def follow(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether the row of a's last key is that of b's first."""
+    return a[0][-1] >> ROW == b[0][0] >> ROW
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with their counts, as one; rows that don't lie in two parts are in order."""
+    keys, times = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*parts, strict=True) if parts else ((), ())))
+    if not any(follow(*x) for x in itertools.pairwise(parts)):
+        return keys, times
+    key, back = np.unique(keys, return_inverse=True)
+    out = np.zeros(len(key), np.int64)
+    np.add.at(out, back, times)
+    return key, out
 
 
 def texts_of(b: pa.RecordBatch, a: str, z: str, texts: bool) -> Found:
@@ -320,7 +369,8 @@ def slim(docs: DataFrame) -> DataFrame:
 def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """A row per slice of texts; of each document: the counts, the digest of its groups, and its distinct links as places in `pairs`.
 
-    held: how many of the block's documents hold each pair. Write it before use:
+    held: how many of the block's documents hold each pair. Places and the links'
+    times are bytes of the narrowest kind that they fit. Write it before use:
     a block's number is that of the task and of the slice in it.
     """
 
@@ -330,11 +380,21 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             f = texts_of(b, path_a, path_b, False)
             pairs, at, held = np.unique(f.pairs, return_inverse=True, return_counts=True)
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x))
-            columns = [*(f.numbers[:, k] for k in range(3)), pa.array(f.groups, pa.string()), pairs, held.astype(np.int32), at.astype(np.int32), f.times.astype(np.int32), f.bounds[1:].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array([task + i]), one(b.column(0)), *map(one, columns)], ["block", "doc_id", "n_a", "n_b", "n_groups", "digest", "pairs", "held", "at", "times", "bounds"])
+            columns = [*(f.numbers[:, k] for k in range(3)), pa.array(f.groups, pa.string()), pairs, held.astype(np.int32), f.bounds[1:].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array([task + i]), one(b.column(0)), *map(one, columns), *(pa.array([narrow(x)]) for x in (at, f.times))], ["block", "doc_id", "n_a", "n_b", "n_groups", "digest", "pairs", "held", "bounds", "at", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return slim(docs).mapInArrow(work, f"block long, doc_id array<{kind}>, n_a array<long>, n_b array<long>, n_groups array<long>, digest array<string>, pairs array<long>, held array<int>, at array<int>, times array<int>, bounds array<int>")
+    return slim(docs).mapInArrow(work, f"block long, doc_id array<{kind}>, n_a array<long>, n_b array<long>, n_groups array<long>, digest array<string>, pairs array<long>, held array<int>, bounds array<int>, at binary, times binary")
+
+
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in one, two, four or eight bytes each."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
+
+
+def widened(raw: pa.Buffer, n: int) -> np.ndarray:
+    """What narrow() made of n numbers."""
+    return np.frombuffer(raw, f"u{raw.size // n}" if n else np.uint8).astype(np.int64)
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
@@ -367,7 +427,8 @@ def scored(found: DataFrame, known: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {name: batch.column(k)[i] for k, name in enumerate(names)}
                 get = lambda name: row[name].values.to_numpy(zero_copy_only=False)  # noqa: E731, B023
-                at, times, ends = get("at"), get("times").astype(np.int64), get("bounds").astype(np.int64)
+                ends = get("bounds").astype(np.int64)
+                at, times = (widened(row[name].as_buffer(), int(ends[-1])) for name in ("at", "times"))
                 n, best = np.zeros(0, np.int64), np.zeros(0, bool)
                 if row["known"].is_valid:
                     x = row["known"].values
@@ -383,6 +444,8 @@ def scored(found: DataFrame, known: DataFrame) -> DataFrame:
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = table(blocks(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")), "aligned")
+    # A batch makes four blocks, none of them small.
+    with setting(spark, BATCH_BYTES, str(15 * SLICE // 4)):
+        found = table(blocks(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")), "aligned", **{"parquet.block.row.count.limit": GROUP})
     counts = table(pair_counts(found), "pair-counts")
     return scored(found, table(by_block(found, counts), "known"))

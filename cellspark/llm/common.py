@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from pathlib import Path
 from threading import Lock
 
@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1_000_000
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _scratch: dict[str, list[str]] = {}
 _scope = ""
-_lock, _cleaning, _before = Lock(), 0, None
+_lock = Lock()
+#: Of each setting that holds for a while: how many want it, and what it was before.
+_settings: dict[str, tuple[int, str | None]] = {}
 
 
 # --------------------------------------------------------------- scratch tables
@@ -70,34 +73,40 @@ def scope(name: str) -> Iterator[None]:
 
 
 @contextmanager
-def exchanges_deleted(spark: SparkSession) -> Iterator[None]:
-    """What runs inside has its exchanges' files deleted when it ends; writes may overlap in threads of a session."""
-    global _cleaning, _before
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """What runs inside finds a setting so; this may overlap in threads of a session."""
     with _lock:
-        if not _cleaning:
-            _before = spark.conf.get(CLEAN_UP, None)
-            spark.conf.set(CLEAN_UP, "true")
-        _cleaning += 1
+        n, before = _settings.get(key, (0, None))
+        if not n:
+            before = spark.conf.get(key, None)
+            spark.conf.set(key, value)
+        _settings[key] = n + 1, before
     try:
         yield
     finally:
         with _lock:
-            _cleaning -= 1
-            if not _cleaning:
-                spark.conf.unset(CLEAN_UP) if _before is None else spark.conf.set(CLEAN_UP, _before)
+            n, before = _settings[key]
+            _settings[key] = n - 1, before
+            if n == 1:
+                spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def exchanges_deleted(spark: SparkSession) -> AbstractContextManager[None]:
+    """What runs inside has its exchanges' files deleted when it ends."""
+    return setting(spark, CLEAN_UP, "true")
+
+
+def table(df: DataFrame, name: str, path: str | None = None, **options: int) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage, outlives executors.
 
     Once the table is there, the exchanges behind it are needed no longer:
     Spark deletes their files at the end of this write, so that they leave room
-    for the next ones.
+    for the next ones. options: of the Parquet writer.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     with exchanges_deleted(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

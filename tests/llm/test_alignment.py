@@ -6,6 +6,7 @@ import itertools
 import random
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from cellspark.llm import alignment
@@ -103,3 +104,43 @@ def test_operator_returns_groups_and_links(spark, make, walk):
     for r in alignment.aligned(make(rows), tokenizer_path(A), tokenizer_path(B)).collect():
         assert (r.n_a, r.n_b, r.n_groups, r.groups, {(x.a, x.b): x.times for x in r.links}) == walk(dict(rows)[r.doc_id])
     assert alignment.aligned(make([]), tokenizer_path(A), tokenizer_path(B)).collect() == []
+
+
+def test_memory_follows_parts_and_not_slices(walk, monkeypatch):
+    r = random.Random(6)
+    words = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    texts, seen = [*(words(150) for _ in range(300)), words(120_000), *(words(150) for _ in range(300)), None, ""], collections.Counter()
+    tables = alignment.Aligner(tokenizer_path(A), tokenizer_path(B))
+    find, real = tables.find, tables.b
+
+    class Watched:
+        def encode(self, pieces, **more):
+            seen["batch"] = max(seen["batch"], len(pieces))
+            return real.encode(pieces, **more)
+
+    def watched(data, starts, ends):
+        seen["part"] = max(seen["part"], len(data))
+        return find(data, starts, ends)
+
+    monkeypatch.setattr(tables, "find", watched)
+    tables.b = Watched()
+    f = alignment.Found(tables, *flat(pa.array(texts, pa.string())), True)
+    assert [(*map(int, f.numbers[k]), f.groups[k]) for k in (0, 299, 301, 600, 601, 602)] == [walk(texts[k])[:4] for k in (0, 299, 301, 600, 601, 602)]
+    assert seen["part"] <= 2 * 256_000 + 1000 and seen["batch"] <= 4096
+
+
+def test_blocks_are_read_a_few_at_a_time(spark, make, walk, tmp_path, monkeypatch):
+    rows, seen, table = [(k, f"word{k} and {'more ' * (k % 7)}text") for k in range(90)], {}, alignment.table
+    make(rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def kept(df, name, *more, **options):
+        seen[name] = table(df, name, *more, **options)
+        return seen[name]
+
+    monkeypatch.setattr(alignment, "table", kept)
+    monkeypatch.setattr(alignment, "SLICE", 1)  # a block per document
+    assert sorted(map(tuple, alignment.op12_alignment(spark, str(tmp_path)).collect())) == sorted(want(rows, walk))
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in seen["aligned"].inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) == 90 and max(groups) <= 8
+    assert dict(seen["aligned"].dtypes)["at"] == "binary"
